@@ -21,7 +21,7 @@ from martloom.operators.tables import MonthlyTable  # noqa: E402
 from martloom.plans import checks, kpis, pipeline  # noqa: E402
 from martloom.plans.models import Models  # noqa: E402
 from martloom.session import scratch_path  # noqa: E402
-from martloom.sources import from_testdata  # noqa: E402
+from martloom.sources import from_testdata, with_tables  # noqa: E402
 from martloom.sources.testdata import orders_source  # noqa: E402
 from martloom.streaming.order_feed import start_order_feed  # noqa: E402
 
@@ -109,7 +109,7 @@ def orders_incremental(spark: SparkSession, folder: str) -> DataFrame:
             "shipped_date": F.when(open_order, "NULL").otherwise(F.col("shipped_date")),
         }
     )
-    pipeline.refresh_orders(Models({**models.sources, "orders": earlier}), table)
+    pipeline.refresh_orders(Models(with_tables(models.sources, orders=earlier)), table)
     pipeline.refresh_orders(models, table)
     return table.read()
 
@@ -118,7 +118,7 @@ def orders_schema_sync(spark: SparkSession, folder: str) -> DataFrame:
     """A stored table with one column too few and one too many, then one later run."""
     models = _models(spark, folder)
     table = MonthlyTable(spark, scratch_path(spark, "orders"))
-    earlier = Models({**models.sources, "orders": _first_load(models)}).orders
+    earlier = Models(with_tables(models.sources, orders=_first_load(models))).orders
     table.replace(earlier.drop("order_line_count").withColumn("legacy_code", F.lit("x")))
     pipeline.refresh_orders(models, table)
     return table.read()

@@ -2,15 +2,17 @@
 
 from __future__ import annotations
 
+from collections.abc import Mapping
 from functools import cached_property
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from martloom.functions.columns import days_between, is_on_time, year_month
 from martloom.functions import money
+from martloom.functions.columns import days_between, is_on_time, year_month
 from martloom.plans import analyses, intermediate, marts, staging
-from martloom.session import configure, keep
+from martloom.session import keep
+from martloom.sources.tables import with_tables
 
 
 class Models:
@@ -20,9 +22,8 @@ class Models:
     they rank (see ``operators.ranking``).
     """
 
-    def __init__(self, sources: dict[str, DataFrame]):
+    def __init__(self, sources: Mapping[str, DataFrame]):
         self.sources = sources
-        configure(next(iter(sources.values())).sparkSession)
 
     def for_orders(self, condition: Column) -> "Models":
         """The same pipeline over some orders only.
@@ -32,7 +33,7 @@ class Models:
         """
         orders = self.sources["orders"].where(condition)
         lines = self.sources["order_items"].join(orders.select("order_id"), "order_id", "left_semi")
-        return Models({**self.sources, "orders": orders, "order_items": lines})
+        return Models(with_tables(self.sources, orders=orders, order_items=lines))
 
     def keep_order_facts(self) -> None:
         """Write the order facts once, for runs that build several marts from them."""

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Mapping
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -59,7 +61,7 @@ def refresh_orders(models: Models, table: MonthlyTable, full_refresh: bool = Fal
 
 def build(
     spark: SparkSession,
-    sources: dict[str, DataFrame],
+    sources: Mapping[str, DataFrame],
     base: str,
     env: str = "dev",
     full_refresh: bool = False,
@@ -83,7 +85,7 @@ def build(
     return tables
 
 
-def validate(sources: dict[str, DataFrame], tables: dict[str, SnapshotTable]) -> DataFrame:
+def validate(sources: Mapping[str, DataFrame], tables: dict[str, SnapshotTable]) -> DataFrame:
     """Run every check over the views and the stored marts."""
     stored = {name: table.read() for name, table in tables.items()}
     return checks.run_all(checks.ModelFrames(Models(sources), stored))

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Mapping
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
@@ -9,6 +11,7 @@ from pyspark.sql.streaming import StreamingQuery
 from martloom.operators.tables import MonthlyTable
 from martloom.plans.descriptions import described
 from martloom.plans.models import Models
+from martloom.sources.tables import with_tables
 
 
 def newest_per_key(updates: DataFrame, key: str, sequence: str) -> DataFrame:
@@ -22,7 +25,7 @@ def newest_per_key(updates: DataFrame, key: str, sequence: str) -> DataFrame:
 
 def start_order_feed(
     updates: DataFrame,
-    sources: dict[str, DataFrame],
+    sources: Mapping[str, DataFrame],
     table: MonthlyTable,
     checkpoint: str,
     sequence: str = "updated_at",
@@ -36,7 +39,7 @@ def start_order_feed(
 
     def apply(batch: DataFrame, _: int) -> None:
         latest = newest_per_key(batch, "order_id", sequence).drop(sequence)
-        models = Models({**sources, "orders": latest}).for_orders(F.lit(True))
+        models = Models(with_tables(sources, orders=latest)).for_orders(F.lit(True))
         rows = described("orders", models.orders)
         if table.exists():
             table.merge(rows)

@@ -334,10 +334,10 @@ def _stored() -> dict[str, str]:
     incremental = ", ".join(f"CASE WHEN NOT stale THEN {c} END AS {c}" for c in cleared)
     return {
         "orders_incremental": prefix(("cutoff", cutoff)) + f"""
-            SELECT * REPLACE (
+            SELECT * EXCLUDE (stale) REPLACE (
                 CASE WHEN stale THEN 2 ELSE order_status END AS order_status,
                 CASE WHEN stale THEN 'Processing' ELSE order_status_label END
-                    AS order_status_label, {incremental}) EXCLUDE (stale)
+                    AS order_status_label, {incremental})
             FROM (SELECT *, {stale} AS stale FROM mart_orders)""",
         "orders_schema_sync": prefix(("cutoff", cutoff)) + """
             SELECT * REPLACE (
