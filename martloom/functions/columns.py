@@ -25,13 +25,13 @@ def hash_pii(value: Column) -> Column:
     return F.sha2(value.cast("string"), 256)
 
 
-def surrogate_key(*parts: Column) -> Column:
+def surrogate_key(*parts: Column | str) -> Column:
     """A 60-bit key computed from the row's own values, so it needs no shuffle.
 
     The same row gets the same key in every run. Never NULL, which lets a count of it
     become a plain row count.
     """
-    digest = F.md5(F.concat_ws("|", *[p.cast("string") for p in parts]))
+    digest = F.md5(F.concat_ws("|", *parts))
     return F.coalesce(
         F.conv(F.substring(digest, 1, 15), 16, 10).cast("bigint"), F.lit(0).cast("bigint")
     )

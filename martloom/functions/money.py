@@ -30,17 +30,23 @@ def _steps(value: Column) -> Column:
 
 def net_price_cents(list_price: Column, discount: Column) -> Column:
     """Discounted unit price in cents."""
-    return half_up_div(
-        _steps(list_price) * _steps(1 - discount), F.lit(_STEPS_PER_CENT).cast("bigint")
-    )
+    return line_cents(F.lit(1).cast("bigint"), list_price, discount)
 
 
 def line_cents(quantity: Column, list_price: Column, discount: Column) -> Column:
     """Revenue of one order line in cents, rounded once at the end."""
-    return half_up_div(
-        quantity * _steps(list_price) * _steps(1 - discount),
-        F.lit(_STEPS_PER_CENT).cast("bigint"),
-    )
+    price, rate = _steps(list_price), _steps(1 - discount)
+    per_cent = F.lit(_STEPS_PER_CENT).cast("bigint")
+    steps = F.try_multiply(F.try_multiply(quantity, price), rate)
+    # Lines beyond 90 billion do not fit a BIGINT of steps; those alone use decimals.
+    wide_steps = quantity.cast("decimal(18,0)") * price.cast("decimal(19,0)") * rate
+    return F.coalesce(_half_up(steps, per_cent), _half_up(wide_steps, per_cent))
+
+
+def _half_up(num: Column, den: Column) -> Column:
+    half = F.call_function("div", den, F.lit(2))
+    size = F.call_function("div", F.abs(num) + half, den)
+    return F.when(num < 0, -size).otherwise(size)
 
 
 def wide(cents: Column) -> Column:

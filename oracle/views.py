@@ -7,6 +7,10 @@ def key(*parts: str) -> str:
     return f"CAST('0x' || substr(md5(concat_ws('|', {', '.join(parts)})), 1, 15) AS BIGINT)"
 
 
+def hundredths(amount: str) -> str:
+    return f"CAST(CAST({amount} AS DECIMAL(18,2)) * 100 AS BIGINT)"
+
+
 def line_amount(quantity: str, price: str, discount: str) -> str:
     """Exact decimal amount, rounded once to cents."""
     return (
@@ -58,10 +62,10 @@ SOURCES = {
               FROM orders)""",
     "src_order_items": f"""
         SELECT l_orderkey AS order_id,
-               {key("l_linenumber", "l_partkey", "l_suppkey", "CAST(l_quantity AS DECIMAL(18,2))",
-                    "CAST(l_extendedprice AS DECIMAL(18,2))", "CAST(l_discount AS DECIMAL(18,4))",
-                    "CAST(l_tax AS DECIMAL(18,4))", "l_returnflag", "l_linestatus",
-                    "CAST(l_shipdate AS DATE)")} AS item_id,
+               {key("l_linenumber", "l_partkey", "l_suppkey", hundredths("l_quantity"),
+                    hundredths("l_extendedprice"), hundredths("l_discount"), hundredths("l_tax"),
+                    "l_returnflag", "l_linestatus",
+                    "CAST(l_shipdate AS DATE) - DATE '1970-01-01'")} AS item_id,
                l_partkey AS product_id, CAST(l_quantity AS BIGINT) AS quantity,
                l_extendedprice AS list_price, l_discount AS discount
         FROM lineitem""",

@@ -1,0 +1,121 @@
+import datetime as dt
+import os
+import sys
+
+import pytest
+from pyspark.sql import SparkSession
+
+ROOT = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+sys.path[:0] = [ROOT, os.path.join(ROOT, "tests")]
+
+TESTDATA = "/root/testdata"
+
+# Column types of the nine source tables.
+SCHEMAS = {
+    "customers": (
+        "customer_id bigint, first_name string, last_name string, phone string, email string,"
+        " street string, city string, state string, zip_code string"
+    ),
+    "orders": (
+        "order_id bigint, customer_id bigint, store_id bigint, staff_id bigint,"
+        " order_status int, order_date date, required_date date, shipped_date string"
+    ),
+    "order_items": (
+        "order_id bigint, item_id bigint, product_id bigint, quantity int, list_price double,"
+        " discount double"
+    ),
+    "products": (
+        "product_id bigint, brand_id bigint, category_id bigint, product_name string,"
+        " model_year int, list_price double"
+    ),
+    "stores": (
+        "store_id bigint, store_name string, phone string, email string, street string,"
+        " city string, state string, zip_code string"
+    ),
+    "staffs": (
+        "staff_id bigint, store_id bigint, manager_id string, first_name string,"
+        " last_name string, phone string, email string, active int"
+    ),
+    "brands": "brand_id bigint, brand_name string",
+    "categories": "category_id bigint, category_name string",
+    "stocks": "store_id bigint, product_id bigint, quantity int",
+}
+
+# Two stores, two sellers, three buyers, three products.
+ROWS = {
+    "customers": [
+        (1, "Ann", "Lee", "1", "ann@x.org", "s", "c", "st", "z"),
+        (2, "Bob", None, "2", None, "s", "c", "st", "z"),
+        (3, "Cy", "Poe", "3", "cy@x.org", "s", "c", "st", "z"),
+    ],
+    "orders": [],
+    "order_items": [],
+    "products": [
+        (10, 1, 1, "Alpha", 2016, 100.0),
+        (11, 1, 2, "Beta", 2017, 50.0),
+        (12, 2, 2, "Gamma", 2018, 10.0),
+    ],
+    "stores": [
+        (1, "North", "p", "e", "s", "Oslo", "OS", "z"),
+        (2, "South", "p", "e", "s", "Rome", "RM", "z"),
+    ],
+    "staffs": [
+        (1, 1, "NULL", "Di", "Fox", "p", "e", 1),
+        (2, 2, "1", "Ed", "Gay", "p", "e", 0),
+    ],
+    "brands": [(1, "Acme"), (2, "Zeta")],
+    "categories": [(1, "Road"), (2, "Trail")],
+    "stocks": [(1, 10, 0), (2, 10, 5), (1, 11, 6)],
+}
+
+
+def day(text):
+    return dt.date.fromisoformat(text) if text else None
+
+
+def order(order_id, customer=1, store=1, staff=1, status=4, date="2016-01-10", required=None,
+          shipped="NULL"):
+    required = required or date
+    return (order_id, customer, store, staff, status, day(date), day(required), shipped)
+
+
+@pytest.fixture(scope="session")
+def spark(tmp_path_factory):
+    session = (
+        SparkSession.builder.master("local[*]")
+        .appName("tests")
+        .config("spark.ui.enabled", "false")
+        .config("spark.ui.showConsoleProgress", "false")
+        .config("spark.sql.shuffle.partitions", "4")
+        .config("spark.driver.memory", "6g")
+        .config("spark.checkpoint.dir", str(tmp_path_factory.mktemp("shared")))
+        .getOrCreate()
+    )
+    session.sparkContext.setLogLevel("ERROR")
+    yield session
+    session.stop()
+
+
+@pytest.fixture(scope="session")
+def make_sources(spark):
+    """Source tables from literal rows; tables not given have the rows above."""
+
+    def make(**tables):
+        rows = {**ROWS, **tables}
+        return {n: spark.createDataFrame(rows[n], SCHEMAS[n]) for n in SCHEMAS}
+
+    return make
+
+
+@pytest.fixture(scope="session")
+def small(spark):
+    """The sources over the smallest test tables."""
+    from martloom.sources import from_testdata
+
+    return from_testdata(spark, f"{TESTDATA}/sf0.001")
+
+
+def records(df, *columns):
+    """Rows as a sorted list of tuples."""
+    rows = df.select(*columns).collect() if columns else df.collect()
+    return sorted((tuple(r) for r in rows), key=repr)
