@@ -1,0 +1,32 @@
+"""Every registered query against its SQL on the smallest test tables."""
+
+import duckdb
+import pytest
+from conftest import TESTDATA
+
+import __spark_entry__ as entry
+from tools.compare import TABLES, compare
+
+FOLDER = f"{TESTDATA}/sf0.001"
+
+
+@pytest.fixture(scope="module")
+def con():
+    con = duckdb.connect()
+    for table in TABLES:
+        con.sql(f"CREATE VIEW {table} AS SELECT * FROM '{FOLDER}/{table}.parquet'")
+    return con
+
+
+def test_every_query_has_its_sql():
+    assert entry.queries().keys() == entry.oracle_sql().keys()
+
+
+def test_entry(spark):
+    assert entry.entry(spark).count() > 0
+
+
+@pytest.mark.parametrize("name", entry.queries())
+def test_query_equals_sql(spark, con, name):
+    same, rows, why = compare(spark, con, FOLDER, name)
+    assert same and rows > 0, why
