@@ -1,4 +1,8 @@
-"""Delivery and stock analyses."""
+"""Delivery and stock analyses.
+
+Each sorts by the order it is read in and then by name, so that rows which tie are not
+all sorted in one task.
+"""
 
 from __future__ import annotations
 
@@ -42,7 +46,7 @@ def late_deliveries_by_store(orders: DataFrame, stores: DataFrame) -> DataFrame:
             money.ratio(F.col("late_days"), F.col("late_orders")).alias("avg_delay_days_when_late"),
             "max_delay_days",
         )
-        .orderBy(F.desc("late_delivery_rate_pct"))
+        .orderBy(F.desc("late_delivery_rate_pct"), "store_name")
     )
 
 
@@ -84,7 +88,9 @@ def low_stock_analysis(sales: DataFrame, stocks: DataFrame, stores: DataFrame) -
             stock_status(quantity, "OK").alias("stock_status"),
             restock_priority(quantity, F.col("sales_percentile")).alias("restock_priority"),
         )
-        .orderBy(F.coalesce(urgency, F.lit(3)), F.desc("total_revenue"))
+        .orderBy(
+            F.coalesce(urgency, F.lit(3)), F.desc("total_revenue"), "product_name", "store_name"
+        )
     )
 
 
@@ -108,5 +114,5 @@ def stock_top_products(
             quantity.alias("stock_quantity"),
             stock_status(quantity, "In stock").alias("stock_status"),
         )
-        .orderBy("revenue_rank", "store_name")
+        .orderBy("revenue_rank", "store_name", "product_name")
     )
