@@ -11,6 +11,7 @@ from martloom.operators.tables import MonthlyTable, SnapshotTable
 from martloom.plans import checks
 from martloom.plans.descriptions import described
 from martloom.plans.models import Models
+from martloom.session import temporary_tables
 
 STAGING_VIEWS = (
     "stg_brands",
@@ -67,22 +68,17 @@ def build(
     full_refresh: bool = False,
 ) -> dict[str, SnapshotTable]:
     """Write all marts under ``base/env`` and return them by name."""
-    models = Models(sources)
-    register_views(models)
-    tables: dict[str, SnapshotTable] = {
-        "orders": MonthlyTable(spark, mart_path(base, env, "orders"))
-    }
-    if full_refresh or not tables["orders"].exists():
+    register_views(Models(sources))
+    orders = MonthlyTable(spark, mart_path(base, env, "orders"))
+    tables = {name: SnapshotTable(spark, mart_path(base, env, name)) for name in TABLES}
+    with temporary_tables(spark):
+        models = Models(sources)
         # Three marts read the order facts of all orders: sum the lines once.
         models.keep_order_facts()
-        refresh_orders(models, tables["orders"], full_refresh)
-    else:
-        refresh_orders(models, tables["orders"])
-        models.keep_order_facts()
-    for name in TABLES:
-        tables[name] = SnapshotTable(spark, mart_path(base, env, name))
-        tables[name].replace(described(name, getattr(models, name)))
-    return tables
+        refresh_orders(models, orders, full_refresh)
+        for name, table in tables.items():
+            table.replace(described(name, getattr(models, name)))
+    return {"orders": orders, **tables}
 
 
 def validate(sources: Mapping[str, DataFrame], tables: dict[str, SnapshotTable]) -> DataFrame:

@@ -4,6 +4,9 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
+from contextvars import ContextVar
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -41,6 +44,29 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{shared_folder(spark)}/martloom/{name}-{uuid.uuid4().hex}"
 
 
+_run_folder: ContextVar[str | None] = ContextVar("run_folder", default=None)
+
+
+@contextmanager
+def temporary_tables(spark: SparkSession) -> Iterator[None]:
+    """Remove what ``keep`` writes inside the block when it ends.
+
+    For steps that leave only stored tables behind: frames built on kept tables cannot
+    be read afterwards. Blocks may be nested; the outermost one removes.
+    """
+    if _run_folder.get():
+        yield
+        return
+    folder = scratch_path(spark, "run")
+    token = _run_folder.set(folder)
+    try:
+        yield
+    finally:
+        _run_folder.reset(token)
+        path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+
+
 def keep(df: DataFrame, name: str = "kept") -> DataFrame:
     """Write ``df`` once to the shared folder and return the written table.
 
@@ -49,6 +75,7 @@ def keep(df: DataFrame, name: str = "kept") -> DataFrame:
     whether it may be broadcast.
     """
     spark = df.sparkSession
-    path = scratch_path(spark, name)
+    folder = _run_folder.get()
+    path = f"{folder}/{name}-{uuid.uuid4().hex}" if folder else scratch_path(spark, name)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from martloom.operators.tables import DuplicateKeyError, MonthlyTable, SnapshotTable
 from martloom.plans.models import Models
 from martloom.plans.pipeline import refresh_orders
+from martloom.session import shared_folder
 
 SCHEMA = "order_id bigint, store_id bigint, order_status int, order_date date, note string"
 
@@ -95,12 +96,12 @@ def test_a_row_leaves_its_old_month(spark, table):
         (3, 1, day("2016-02-20"), "c"),
         (4, 1, None, "d"),
     ]
-    assert sorted(table._state()["months"]) == ["2016-02", "__HIVE_DEFAULT_PARTITION__"]
+    assert sorted(table._state(table._version())["months"]) == ["2016-02", "__HIVE_DEFAULT_PARTITION__"]
 
 
 def test_untouched_months_are_not_written_again(spark, table):
     table.merge(rows(spark, (9, 1, "2016-03-01", "new")))
-    months = table._state()["months"]
+    months = table._state(table._version())["months"]
     assert months["2016-03"] > months["2016-01"] == months["2016-02"]
 
 
@@ -147,7 +148,39 @@ def test_a_failed_run_leaves_the_table_as_it_was(spark, table):
 
 def test_a_second_writer_is_refused(spark, table):
     with pytest.raises(RuntimeError, match="another writer"):
-        table._publish(table._versions()[-1], {})
+        table._publish(table._version() - 1, {})
+    assert len(seen(table)) == 4
+
+
+def test_a_writer_that_started_earlier_loses(spark, table):
+    """Two upserts of the same version: the later one must not undo the earlier one."""
+    slow = MonthlyTable(spark, table.root)
+    reject = slow._reject_duplicates
+    slow._version = lambda version=table._version(): version
+    slow._reject_duplicates = lambda batch: (
+        table.merge(rows(spark, (7, 1, "2016-02-02", "fast"))), reject(batch)
+    )
+    with pytest.raises(RuntimeError, match="another writer"):
+        slow.merge(rows(spark, (8, 1, "2016-02-02", "slow")))
+    assert [r[0] for r in seen(table)] == [1, 2, 3, 4, 7]
+
+
+def test_old_data_can_be_removed(spark, table):
+    table.merge(rows(spark, (5, 1, "2016-02-21", "y")))
+    table.merge(rows(spark, (6, 1, "2016-02-22", "z")))
+    before = seen(table)
+    table.remove_old(versions=1)
+    assert seen(table) == before
+    assert sorted(table._snapshots()) == [1, 3] and table._versions() == [3]
+    table.merge(rows(spark, (7, 1, "2016-01-22", "w")))
+    assert len(seen(table)) == 7
+
+
+def test_upserts_leave_no_temporary_tables(spark, table):
+    folder = os.path.join(shared_folder(spark), "martloom")
+    before = set(os.listdir(folder)) if os.path.exists(folder) else set()
+    table.merge(rows(spark, (5, 1, "2016-02-21", "y")))
+    assert set(os.listdir(folder)) == before
 
 
 def test_reading_since_a_day_opens_later_months_only(spark, table):
