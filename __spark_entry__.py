@@ -134,11 +134,8 @@ def orders_stream(spark: SparkSession, folder: str) -> DataFrame:
     """The order history filled from a stream of raw orders."""
     models = _models(spark, folder)
     table = MonthlyTable(spark, scratch_path(spark, "orders"))
-    stream = (
-        spark.readStream.schema(SCHEMAS["orders"])
-        .option("pathGlobFilter", "orders.parquet")
-        .parquet(folder)
-    )
+    # The pattern takes the table as one file or as a folder of files.
+    stream = spark.readStream.schema(SCHEMAS["orders"]).parquet(f"{folder}/orders.parquet*")
     updates = orders_source(spark, folder, stream).withColumn("updated_at", F.col("order_date"))
     feed = start_order_feed(updates, models.sources, table, scratch_path(spark, "feed"))
     feed.awaitTermination()

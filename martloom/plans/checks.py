@@ -9,6 +9,7 @@ from martloom.functions.columns import ORDER_STATUS
 from martloom.operators import quality
 from martloom.operators.quality import AcceptedValues, Relationship, Rule
 from martloom.plans.models import Models
+from martloom.session import keep
 from martloom.sources.tables import SOURCE_TABLES
 
 # Columns that must have a value, per model.
@@ -188,8 +189,27 @@ class ModelFrames(dict):
         return self[name]
 
 
+def checked_columns(model: str) -> list[str]:
+    """The columns of a model that any check reads."""
+    names = set(NOT_NULL.get(model, ()))
+    names.update(column for name, column in UNIQUE if name == model)
+    names.update(c for name, columns in UNIQUE_COMBINATION if name == model for c in columns)
+    names.update(check.column for check in ACCEPTED_VALUES if check.model == model)
+    return sorted(names)
+
+
+def keep_joined(frames: dict[str, DataFrame]) -> None:
+    """Write the checked columns of the joined models once.
+
+    Up to six checks read each of them; without this every one would join again.
+    """
+    for model in ("int_orders_enriched", "int_orders_with_revenue", "int_order_items_enriched"):
+        frames[model] = keep(frames[model].select(*checked_columns(model)), model)
+
+
 def run_all(frames: dict[str, DataFrame]) -> DataFrame:
     """Every check, with its outcome."""
+    keep_joined(frames)
     results = [
         quality.not_null(frames, NOT_NULL),
         quality.unique(frames, UNIQUE),
