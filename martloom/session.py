@@ -19,10 +19,32 @@ SKEW_SETTINGS = {
 }
 
 
-def configure(spark: SparkSession) -> SparkSession:
-    """Turn on runtime skew handling; everything else stays as the cluster set it."""
+# Input per shuffle partition, and the number of partitions beyond which the blocks of a
+# shuffle would be too many and too small. Spark merges partitions that stay small, but
+# it never splits the partitions of an aggregate: too few of them is what fails.
+PARTITION_BYTES = 256 * 1024 * 1024
+MOST_PARTITIONS = 20_000
+INITIAL_PARTITIONS = "spark.sql.adaptive.coalescePartitions.initialPartitionNum"
+
+
+def configure(spark: SparkSession, largest: str | None = None) -> SparkSession:
+    """Turn on runtime skew handling and give shuffles enough partitions.
+
+    ``largest`` is the path of the largest table. The number of shuffle partitions is
+    raised when the cluster's own is too small for it, and never lowered.
+    """
     for name, value in SKEW_SETTINGS.items():
         spark.conf.set(name, value)
+    if largest is not None:
+        path = spark._jvm.org.apache.hadoop.fs.Path(largest)
+        files = path.getFileSystem(spark._jsc.hadoopConfiguration())
+        size = files.getContentSummary(path).getLength() if files.exists(path) else 0
+        wanted = min(-(-size // PARTITION_BYTES), MOST_PARTITIONS)
+        given = spark.conf.get(INITIAL_PARTITIONS, None) or spark.conf.get(
+            "spark.sql.shuffle.partitions"
+        )
+        if wanted > int(given):
+            spark.conf.set(INITIAL_PARTITIONS, str(wanted))
     return spark
 
 

@@ -1,0 +1,46 @@
+import pytest
+
+from martloom import session
+
+
+@pytest.fixture
+def partitions(spark):
+    yield lambda: spark.conf.get(session.INITIAL_PARTITIONS, None)
+    spark.conf.unset(session.INITIAL_PARTITIONS)
+
+
+def test_small_tables_leave_the_partitions_alone(spark, partitions):
+    session.configure(spark, "/root/testdata/sf0.001/lineitem.parquet")
+    assert partitions() is None
+    session.configure(spark, "/no/such/table")
+    assert partitions() is None
+
+
+def test_large_tables_raise_the_partitions(spark, partitions, monkeypatch):
+    monkeypatch.setattr(session, "PARTITION_BYTES", 1000)
+    session.configure(spark, "/root/testdata/sf0.001/lineitem.parquet")
+    assert 100 < int(partitions()) < 200
+    monkeypatch.setattr(session, "PARTITION_BYTES", 1)
+    session.configure(spark, "/root/testdata/sf0.001/lineitem.parquet")
+    assert int(partitions()) == session.MOST_PARTITIONS
+    monkeypatch.setattr(session, "PARTITION_BYTES", 1000)
+    session.configure(spark, "/root/testdata/sf0.001/lineitem.parquet")
+    assert int(partitions()) == session.MOST_PARTITIONS
+
+
+def test_shared_folder_is_the_one_the_session_names(spark):
+    assert session.shared_folder(spark) == spark.conf.get("spark.checkpoint.dir")
+
+
+def test_kept_tables_outlive_a_query_but_not_a_block(spark):
+    rows = session.keep(spark.range(3))
+    assert rows.count() == 3
+    with session.temporary_tables(spark):
+        inside = session.keep(spark.range(4))
+        with session.temporary_tables(spark):
+            session.keep(spark.range(5))
+        assert inside.count() == 4
+        files = inside.inputFiles()
+    with pytest.raises(Exception, match="PATH_NOT_FOUND"):
+        spark.read.parquet(files[0])
+    assert rows.count() == 3
