@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 # Prices and rates are read to four decimals, so price * rate counts in 1e-8.
 _STEPS = 10_000
 _STEPS_PER_CENT = _STEPS * _STEPS // 100
+_LARGEST_STEPS = 2**63 - _STEPS_PER_CENT
 
 
 def half_up_div(num: Column, den: Column) -> Column:
@@ -36,17 +37,15 @@ def net_price_cents(list_price: Column, discount: Column) -> Column:
 def line_cents(quantity: Column, list_price: Column, discount: Column) -> Column:
     """Revenue of one order line in cents, rounded once at the end."""
     price, rate = _steps(list_price), _steps(1 - discount)
-    per_cent = F.lit(_STEPS_PER_CENT).cast("bigint")
     steps = F.try_multiply(F.try_multiply(quantity, price), rate)
-    # Lines beyond 90 billion do not fit a BIGINT of steps; those alone use decimals.
-    wide_steps = quantity.cast("decimal(18,0)") * price.cast("decimal(19,0)") * rate
-    return F.coalesce(_half_up(steps, per_cent), _half_up(wide_steps, per_cent))
-
-
-def _half_up(num: Column, den: Column) -> Column:
-    half = F.call_function("div", den, F.lit(2))
-    size = F.call_function("div", F.abs(num) + half, den)
-    return F.when(num < 0, -size).otherwise(size)
+    fast = F.call_function("div", steps + _STEPS_PER_CENT // 2, F.lit(_STEPS_PER_CENT))
+    # Only negative lines, and lines beyond 90 billion, whose steps do not fit a BIGINT,
+    # take the slower way.
+    exact = quantity.cast("decimal(18,0)") * price.cast("decimal(19,0)") * rate
+    return F.coalesce(
+        F.when(steps.between(0, _LARGEST_STEPS), fast),
+        half_up_div(exact, F.lit(_STEPS_PER_CENT).cast("decimal(20,0)")),
+    )
 
 
 def wide(cents: Column) -> Column:

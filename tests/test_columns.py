@@ -21,6 +21,7 @@ def test_line_amounts_round_half_cents_up(spark):
         (2, 100.0, 0.0, 20000),
         (2, 100.0, 1.0, 0),
         (-1, 0.05, 0.1, -5),
+        (1, 92_233_720_368.5477, 0.0, 9_223_372_036_855),  # the last one that just fits
         (10**6, 10.0**8, 0.5, 5 * 10**15),  # more than a BIGINT of ten-thousandths holds
         (None, 1.0, 0.0, None),
     ]
