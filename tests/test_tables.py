@@ -99,6 +99,12 @@ def test_a_row_leaves_its_old_month(spark, table):
     assert sorted(table._state(table._version())["months"]) == ["2016-02", "__HIVE_DEFAULT_PARTITION__"]
 
 
+def test_rows_without_a_key_are_added(spark, table):
+    table.merge(rows(spark, (None, 1, "2016-02-21", "x"), (None, 1, "2016-02-22", "y")))
+    table.merge(rows(spark, (None, 1, "2016-02-23", "z")))
+    assert table.read().where("order_id IS NULL").count() == 3 and len(seen(table)) == 7
+
+
 def test_untouched_months_are_not_written_again(spark, table):
     table.merge(rows(spark, (9, 1, "2016-03-01", "new")))
     months = table._state(table._version())["months"]
