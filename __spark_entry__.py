@@ -25,6 +25,15 @@ from martloom.sources import from_testdata, with_tables  # noqa: E402
 from martloom.sources.testdata import SCHEMAS, orders_source  # noqa: E402
 from martloom.streaming.order_feed import start_order_feed  # noqa: E402
 
+# The corpus operators may be absent; everything else works without them.
+try:
+    import corpus_pipeline
+    from martloom.llm import registry as corpus
+except ModuleNotFoundError as missing:
+    if missing.name not in ("corpus_pipeline", "martloom.llm"):
+        raise
+    corpus = corpus_pipeline = None
+
 Query = Callable[[SparkSession, str], DataFrame]
 
 MODEL_QUERIES = (
@@ -163,8 +172,16 @@ def queries() -> dict[str, Query]:
     out["orders_schema_sync"] = orders_schema_sync
     out["orders_stream"] = orders_stream
     out["rank_scalable"] = rank_scalable
+    if corpus is not None:
+        out.update(corpus.queries())
+        out["pipeline"] = corpus_pipeline.run
     return out
 
 
 def oracle_sql() -> dict[str, str]:
-    return oracle.statements()
+    out = oracle.statements()
+    if corpus is not None:
+        out.update(corpus.oracle_sql())
+        if corpus_pipeline.ORACLE_SQL:
+            out["pipeline"] = corpus_pipeline.ORACLE_SQL
+    return out
