@@ -2,16 +2,20 @@
 
 from __future__ import annotations
 
-from martloom.llm import mixing, sharding
+from martloom.llm import mixing, neardup, sharding, topk
 
 QUERIES = {
+    "op2_odd_sketch_neardup": neardup.op2_odd_sketch_neardup,
     "op3_feistel_sharding": sharding.op3_feistel_sharding,
     "op6_rake_mixture": mixing.op6_rake_mixture,
+    "op7_pivot_topk": topk.op7_pivot_topk,
 }
 
 ORACLES = {
+    "op2_odd_sketch_neardup": neardup.oracle_sql,
     "op3_feistel_sharding": sharding.oracle_sql,
     "op6_rake_mixture": mixing.oracle_sql,
+    "op7_pivot_topk": topk.oracle_sql,
 }
 
 

@@ -132,19 +132,23 @@ def shingles(words: Words, size: int) -> tuple[np.ndarray, np.ndarray]:
     it has none.
     """
     hashes, whole = grams(words, size)
-    owner = words.text_of_word()
     counts = words.counts()
+    sizes = np.where(counts >= size, counts - size + 1, np.minimum(counts, 1))
+    first = np.concatenate([[0], np.cumsum(sizes)])
     short = np.flatnonzero((counts > 0) & (counts < size))
-    extra = np.empty(len(short), dtype=np.uint64)
-    for at, text in enumerate(short):
+    values = np.empty(first[-1], dtype=np.uint64)
+    full = np.ones(first[-1], dtype=bool)
+    full[first[short]] = False
+    values[full] = hashes[whole]
+    for text in short:
         part = words.hashes[words.first[text] : words.first[text + 1]]
         # The length takes part, so that a short text never equals a full shingle.
-        extra[at] = (part * _WEIGHTS[: len(part)]).sum(dtype=np.uint64) + np.uint64(len(part))
-    values = np.concatenate([hashes[whole], mixed(extra)])
-    owners = np.concatenate([owner[whole], short])
-    order = np.lexsort((values, owners))
-    values, owners = values[order], owners[order]
-    if len(values):
-        fresh = np.concatenate([[True], (values[1:] != values[:-1]) | (owners[1:] != owners[:-1])])
-        values, owners = values[fresh], owners[fresh]
-    return values, np.searchsorted(owners, np.arange(len(counts) + 1))
+        total = (part * _WEIGHTS[: len(part)]).sum(dtype=np.uint64) + np.uint64(len(part))
+        values[first[text]] = mixed(np.array([total]))[0]
+    for begin, stop in zip(first[:-1], first[1:]):
+        values[begin:stop].sort()
+    fresh = np.ones(len(values), dtype=bool)
+    fresh[1:] = values[1:] != values[:-1]
+    fresh[first[:-1][sizes > 0]] = True
+    kept = np.concatenate([[0], np.cumsum(fresh)])
+    return values[fresh], kept[first]
