@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
-from martloom.llm import mixing, neardup, sharding, topk
+from martloom.llm import decontamination, language_model, mixing, neardup, sharding, topk
 
 QUERIES = {
     "op2_odd_sketch_neardup": neardup.op2_odd_sketch_neardup,
     "op3_feistel_sharding": sharding.op3_feistel_sharding,
+    "op4_bloom_lm": language_model.op4_bloom_lm,
+    "op5_seed_alignment": decontamination.op5_seed_alignment,
     "op6_rake_mixture": mixing.op6_rake_mixture,
     "op7_pivot_topk": topk.op7_pivot_topk,
 }

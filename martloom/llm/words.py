@@ -7,6 +7,7 @@ array arithmetic handles them, however long or short each of them is.
 
 from __future__ import annotations
 
+import string
 from collections.abc import Sequence
 from dataclasses import dataclass
 
@@ -14,6 +15,9 @@ import numpy as np
 
 _SPACE = np.zeros(256, dtype=bool)
 _SPACE[[9, 10, 11, 12, 13, 32]] = True
+_WITHOUT_MARKS = bytes.maketrans(
+    string.punctuation.encode(), b" " * len(string.punctuation)
+)
 _RANDOM = np.random.default_rng(20_240_611)
 _BYTE_VALUES = _RANDOM.integers(1, 2**63, 256, dtype=np.uint64)
 _STEP = np.uint64(0x9E3779B97F4A7C15)
@@ -54,12 +58,17 @@ class Words:
         return self.data[self.start[i] : self.end[i]]
 
 
-def split_words(texts: Sequence[str | None], lower: bool) -> Words:
-    """Words of every text; a missing text has none. ``lower`` maps A-Z to a-z."""
+def split_words(texts: Sequence[str | None], lower: bool, marks: bool = True) -> Words:
+    """Words of every text; a missing text has none. ``lower`` maps A-Z to a-z.
+
+    Without ``marks``, ASCII punctuation separates words like a space.
+    """
     encoded = [(t or "").encode("utf-8", "surrogatepass") for t in texts]
     data = b"\n".join(encoded) + b"\n"
     if lower:
         data = data.lower()
+    if not marks:
+        data = data.translate(_WITHOUT_MARKS)
     space = _SPACE[np.frombuffer(data, dtype=np.uint8)]
     edges = np.flatnonzero(space[1:] != space[:-1]) + 1
     if not space[0]:
