@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from martloom.llm import decontamination, language_model, mixing, neardup, sharding, topk
+from martloom.llm import decontamination, language_id, language_model, mixing, neardup, sharding, topk
 
 QUERIES = {
     "op2_odd_sketch_neardup": neardup.op2_odd_sketch_neardup,
@@ -11,6 +11,7 @@ QUERIES = {
     "op5_seed_alignment": decontamination.op5_seed_alignment,
     "op6_rake_mixture": mixing.op6_rake_mixture,
     "op7_pivot_topk": topk.op7_pivot_topk,
+    "op8_hierarchical_langid": language_id.op8_hierarchical_langid,
 }
 
 ORACLES = {

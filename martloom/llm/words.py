@@ -161,3 +161,13 @@ def shingles(words: Words, size: int) -> tuple[np.ndarray, np.ndarray]:
     fresh[first[:-1][sizes > 0]] = True
     kept = np.concatenate([[0], np.cumsum(fresh)])
     return values[fresh], kept[first]
+
+
+def part_of(hashes: np.ndarray, parts: int) -> np.ndarray:
+    """Part from 0 by the leading bits, so that sorted hashes have sorted parts."""
+    return ((hashes >> np.uint64(32)) * np.uint64(parts)) >> np.uint64(32)
+
+
+def part_bounds(hashes: np.ndarray, parts: int) -> np.ndarray:
+    """Where each part begins in sorted ``hashes``."""
+    return np.searchsorted(part_of(hashes, parts), np.arange(parts + 1))
