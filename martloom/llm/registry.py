@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from martloom.llm import decontamination, language_id, language_model, mixing, neardup, sharding, topk
+from martloom.llm import decontamination, language_id, language_model, mixing, neardup, sharding, substring, topk
 
 QUERIES = {
     "op2_odd_sketch_neardup": neardup.op2_odd_sketch_neardup,
@@ -12,6 +12,7 @@ QUERIES = {
     "op6_rake_mixture": mixing.op6_rake_mixture,
     "op7_pivot_topk": topk.op7_pivot_topk,
     "op8_hierarchical_langid": language_id.op8_hierarchical_langid,
+    "op9_suffix_dedup": substring.op9_suffix_dedup,
 }
 
 ORACLES = {
@@ -19,6 +20,7 @@ ORACLES = {
     "op3_feistel_sharding": sharding.oracle_sql,
     "op6_rake_mixture": mixing.oracle_sql,
     "op7_pivot_topk": topk.oracle_sql,
+    "op9_suffix_dedup": substring.oracle_sql,
 }
 
 
