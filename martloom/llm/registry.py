@@ -2,9 +2,21 @@
 
 from __future__ import annotations
 
-from martloom.llm import decontamination, language_id, language_model, mixing, neardup, sharding, substring, topk
+from martloom.llm import (
+    decontamination,
+    language_id,
+    language_model,
+    licenses,
+    mixing,
+    neardup,
+    pii,
+    sharding,
+    substring,
+    topk,
+)
 
 QUERIES = {
+    "op1_license_scan": licenses.op1_license_scan,
     "op2_odd_sketch_neardup": neardup.op2_odd_sketch_neardup,
     "op3_feistel_sharding": sharding.op3_feistel_sharding,
     "op4_bloom_lm": language_model.op4_bloom_lm,
@@ -13,6 +25,7 @@ QUERIES = {
     "op7_pivot_topk": topk.op7_pivot_topk,
     "op8_hierarchical_langid": language_id.op8_hierarchical_langid,
     "op9_suffix_dedup": substring.op9_suffix_dedup,
+    "op10_feistel_pseudonyms": pii.op10_feistel_pseudonyms,
 }
 
 ORACLES = {
