@@ -16,7 +16,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from martloom.llm.tables import read_table
+from martloom.llm.tables import carried, filtered, read_table, restored
 from martloom.llm.words import grams, split_words
 
 SEED_WORDS = 3
@@ -87,9 +87,9 @@ class Items:
         return out
 
 
-def _holding(frame: pd.DataFrame, wanted: np.ndarray):
+def _holding(texts: list[str | None], wanted: np.ndarray):
     """Words of a batch, and text, place and index into ``wanted`` of every n-gram in it."""
-    words = split_words(frame["text"].tolist(), lower=True, marks=False)
+    words = split_words(texts, lower=True, marks=False)
     hashes, whole = grams(words, SEED_WORDS)
     at = np.minimum(np.searchsorted(wanted, hashes), len(wanted) - 1)
     hits = np.flatnonzero((wanted[at] == hashes) & whole)
@@ -135,34 +135,48 @@ def leaks(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     found. Documents without doc_id are searched and reported with none; repeated rows
     are reported once each. An empty table on either side gives no row.
     """
-    spark = docs.sparkSession
-    docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-    tests = benchmark.select(F.col("item_id").cast("long").alias("item_id"), "text").where(
-        "text IS NOT NULL"
-    )
+    rows = docs.select(carried(), "text")
+    found = docs.sparkSession.createDataFrame([], _FOUND)
+    for items in _slices(benchmark):
+        known = _prepared(rows, items)
+        if known is not None:
+            found = found.unionAll(rows.mapInPandas(_aligned(known), _FOUND))
+    found = restored(found)
+    return restored(found, "item_id")
+
+
+def without_leaks(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
+    """Rows of ``docs``, with all their columns, that hold no test item."""
+    for items in _slices(benchmark):
+        known = _prepared(docs.select("text"), items)
+        if known is not None:
+            docs = filtered(docs, _clean(known))
+    return docs
+
+
+def _slices(benchmark: DataFrame) -> Iterator[Items]:
+    tests = benchmark.select(carried("item_id"), "text").where("text IS NOT NULL")
     size = tests.agg(F.coalesce(F.sum(F.octet_length("text")), F.lit(0))).first()[0]
     slices = max(1, -(-size // SLICE_BYTES))
-    found = None
     for number in range(slices):
         part = tests.where(F.pmod(F.xxhash64("item_id", "text"), F.lit(slices)) == number)
         rows = part.distinct().orderBy("item_id", "text").collect()
-        items = Items([r["item_id"] for r in rows], [r["text"] for r in rows])
-        some = _leaks_of(spark, docs, items)
-        found = some if found is None else found.unionAll(some)
-    return found
+        yield Items([r["item_id"] for r in rows], [r["text"] for r in rows])
 
 
-def _leaks_of(spark: SparkSession, docs: DataFrame, items: Items) -> DataFrame:
+def _prepared(docs: DataFrame, items: Items):
+    """Broadcast of the seeds of ``items`` and their places; none without seeds."""
+    spark = docs.sparkSession
     wanted = items.all_grams()
     if not len(wanted):
-        return spark.createDataFrame([], _FOUND)
+        return None
     sent = spark.sparkContext.broadcast(wanted)
 
     def held(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         """For every n-gram of the items, the documents of a partition that hold it."""
         total = np.zeros(len(sent.value), dtype=np.int64)
         for frame in frames:
-            _, text, _, gram = _holding(frame, sent.value)
+            _, text, _, gram = _holding(frame["text"].tolist(), sent.value)
             once = np.unique(gram * np.int64(len(frame)) + text) // len(frame)
             total += np.bincount(once, minlength=len(total))
         some = np.flatnonzero(total)
@@ -173,30 +187,46 @@ def _leaks_of(spark: SparkSession, docs: DataFrame, items: Items) -> DataFrame:
     )
     # At most one count per n-gram of the slice.
     seeds = items.seeds({row[0] % 2**64: row[1] for row in counts})
-    known = spark.sparkContext.broadcast(
+    return spark.sparkContext.broadcast(
         (np.array(sorted(seeds), dtype=np.uint64), seeds, items.ids, items.words)
     )
 
+
+def _alignments(texts: list[str | None], known) -> list[tuple]:
+    """Text, item, score and span of every item that a text of the batch holds."""
+    rare, places_of, ids, item_words = known.value
+    words, text, hits, gram = _holding(texts, rare)
+    meets: dict[tuple[int, int], list[tuple[int, int]]] = {}
+    for t, hit, g in zip(text, hits, gram):
+        for item, seed in places_of[int(rare[g])]:
+            meets.setdefault((t, item), []).append((hit - words.first[t], seed))
+    out = []
+    for (t, item), places in meets.items():
+        own = words.hashes[words.first[t] : words.first[t + 1]]
+        score, first, last = _best_alignment(item_words[item], own, places)
+        length = len(item_words[item])
+        if score >= needed(length):
+            out.append((t, ids[item], round(score / (MATCH * length), 6), first, last))
+    return out
+
+
+def _aligned(known):
     def aligned(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        rare, places_of, ids, item_words = known.value
         for frame in frames:
-            words, text, hits, gram = _holding(frame, rare)
-            meets: dict[tuple[int, int], list[tuple[int, int]]] = {}
-            for t, hit, g in zip(text, hits, gram):
-                for item, seed in places_of[int(rare[g])]:
-                    meets.setdefault((t, item), []).append((hit - words.first[t], seed))
-            rows = []
-            for (t, item), places in meets.items():
-                own = words.hashes[words.first[t] : words.first[t + 1]]
-                score, first, last = _best_alignment(item_words[item], own, places)
-                length = len(item_words[item])
-                if score >= needed(length):
-                    share = round(score / (MATCH * length), 6)
-                    rows.append((frame["doc_id"].iloc[t], ids[item], share, first, last))
-            out = pd.DataFrame(rows, columns=["doc_id", "item_id", "score", "first_word", "last_word"])
-            yield out.astype({"doc_id": "Int64", "item_id": "Int64"})
-
-    return docs.mapInPandas(aligned, _FOUND)
+            ids = frame["doc_id"].to_numpy()
+            rows = [(ids[t], *rest) for t, *rest in _alignments(frame["text"].tolist(), known)]
+            names = ["doc_id", "item_id", "score", "first_word", "last_word"]
+            yield pd.DataFrame(rows, columns=names)
+
+    return aligned
+
+
+def _clean(known):
+    def clean(texts: list[str | None]) -> list[bool]:
+        bad = {t for t, *_ in _alignments(texts, known)}
+        return [t not in bad for t in range(len(texts))]
+
+    return clean
 
 
 def op5_seed_alignment(spark: SparkSession, folder: str) -> DataFrame:

@@ -23,13 +23,14 @@ from pyspark.ml.linalg import SparseVector, VectorUDT
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from martloom.llm.tables import read_table
+from martloom.llm.tables import carried, filtered, read_table, restored
 from martloom.session import keep
 
 SAMPLE = 800
 SIZES = (3, 4)
 BUCKET_BITS = 14
 REGULARISATION, STEPS = 1e-4, 25
+LEAST = 0.25
 # n-gram frequencies are small: scaled up, margins are of the order of 1.
 SCALE = 100.0
 
@@ -248,15 +249,8 @@ def predict(docs: DataFrame, machines: Machines | None) -> DataFrame:
     sent = docs.sparkSession.sparkContext.broadcast(machines)
 
     def predicted(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        known = sent.value
         for frame in frames:
-            texts = frame["text"].tolist()
-            spoken = np.array([bool(t and _LETTER.search(t)) for t in texts], dtype=bool)
-            languages = np.full(len(texts), "und", dtype=object)
-            scores = np.zeros(len(texts))
-            if known is not None and spoken.any():
-                some = [t for t, s in zip(texts, spoken) if s]
-                languages[spoken], scores[spoken] = known.decide(some)
+            languages, scores = _decided(frame["text"].tolist(), sent.value)
             yield pd.DataFrame(
                 {
                     "doc_id": frame["doc_id"],
@@ -266,7 +260,35 @@ def predict(docs: DataFrame, machines: Machines | None) -> DataFrame:
                 }
             )
 
-    return docs.select("doc_id", "held_out", "text").mapInPandas(predicted, _PREDICTION)
+    rows = docs.select(carried(), "held_out", "text")
+    return restored(rows.mapInPandas(predicted, _PREDICTION))
+
+
+def _decided(texts: list[str | None], machines: Machines | None) -> tuple[np.ndarray, np.ndarray]:
+    spoken = np.array([bool(t and _LETTER.search(t)) for t in texts], dtype=bool)
+    languages = np.full(len(texts), "und", dtype=object)
+    scores = np.zeros(len(texts))
+    if machines is not None and spoken.any():
+        some = [t for t, s in zip(texts, spoken) if s]
+        languages[spoken], scores[spoken] = machines.decide(some)
+    return languages, scores
+
+
+def in_a_language(docs: DataFrame, least: float = LEAST, sample: int = SAMPLE) -> DataFrame:
+    """Rows of ``docs``, with all their columns, whose language is told.
+
+    Texts that are missing or without a letter go, and those whose score does not exceed
+    ``least``: at 0.25, both the family and the language are a coin toss.
+    """
+    sent = docs.sparkSession.sparkContext.broadcast(
+        train(docs.where(in_training()).select("text", "lang"), sample)
+    )
+
+    def told(texts: list[str | None]) -> list[bool]:
+        languages, scores = _decided(texts, sent.value)
+        return [x != "und" and s > least for x, s in zip(languages, scores)]
+
+    return filtered(docs, told)
 
 
 def identify(docs: DataFrame, sample: int = SAMPLE) -> DataFrame:
@@ -282,9 +304,3 @@ def identify(docs: DataFrame, sample: int = SAMPLE) -> DataFrame:
 
 def op8_hierarchical_langid(spark: SparkSession, folder: str) -> DataFrame:
     return identify(read_table(spark, folder, "documents"))
-
-
-def is_language(lang: str = "lang_pred", score: str = "score", least: float = 0.25) -> Column:
-    """Whether a prediction counts; at 0.25, family and language are both a coin toss."""
-    return (F.col(lang) != "und") & (F.col(score) >= least)
-

@@ -21,7 +21,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from martloom.llm.tables import read_table
+from martloom.llm.tables import carried, read_table, restored
 from martloom.llm.words import Words, grams, mixed, split_words
 from martloom.session import keep
 
@@ -305,10 +305,9 @@ def scan(docs: DataFrame, templates: dict[str, list[str]] | None = None) -> Data
                         )
                     )
             names = [c.split()[0] for c in _FOUND.split(", ")]
-            yield pd.DataFrame(out, columns=names).astype({"doc_id": "Int64"})
+            yield pd.DataFrame(out, columns=names)
 
-    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-    return rows.mapInPandas(scanned, _FOUND)
+    return restored(docs.select(carried(), "text").mapInPandas(scanned, _FOUND))
 
 
 def op1_license_scan(spark: SparkSession, folder: str) -> DataFrame:

@@ -21,7 +21,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from martloom.llm.tables import read_table
+from martloom.llm.tables import NO_ID, carried, read_table, restored
 from martloom.llm.words import mixed, shingles, split_words
 from martloom.session import keep
 
@@ -228,15 +228,16 @@ def links(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
     ``docs`` has doc_id and text. ``node`` is the smallest doc_id of the class; documents
     without words have none.
     """
-    texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
+    texts = docs.select(carried(), "text")
     signed = keep(texts.mapInPandas(_signed, _SIGNATURE), "signatures")
     classes = (
-        signed.where("n_shingles > 0 AND doc_id IS NOT NULL")
+        signed.where((F.col("n_shingles") > 0) & (F.col("doc_id") != NO_ID))
         .groupBy("print1", "print2", "n_shingles")
         .agg(F.min("doc_id").alias("node"))
     )
     prints = ["print1", "print2", "n_shingles"]
     membership = signed.select("doc_id", *prints).join(classes, prints, "left")
+    membership = membership.withColumn("node", F.when(F.col("doc_id") != NO_ID, F.col("node")))
     nodes = keep(
         signed.join(classes.select("node"), signed["doc_id"] == classes["node"], "left_semi")
         .where("n_shingles > 0")
@@ -327,7 +328,7 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     """
     membership, confirmed = links(docs)
     parts = components(confirmed)
-    return membership.join(parts, "node", "left").select(
+    return restored(membership).join(parts, "node", "left").select(
         "doc_id",
         F.col("n_shingles").cast("long").alias("n_shingles"),
         F.coalesce("component", "node", "doc_id").alias("component_id"),

@@ -19,7 +19,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from martloom.llm.tables import read_table
+from martloom.llm.tables import carried, read_table, restored
 
 # Production takes the key from its own secret store.
 DEMONSTRATION_KEY = b"demonstration key, replace it"
@@ -36,7 +36,6 @@ class Feistel:
 
     def __init__(self, key: bytes):
         self.key = hashlib.blake2b(key, digest_size=32).digest()
-        self.known: dict[tuple, int] = {}
 
     def _round(self, label: str, number: int, half: int) -> int:
         text = f"{label}|{number}|{half}".encode()
@@ -183,9 +182,9 @@ class Pseudonyms:
     def iban(self, found: str) -> str | None:
         compact = found.replace(" ", "")
         country, check, account = compact[:2], compact[2:4], compact[4:]
-        if iban_digits(country, account) != check:
-            return None
         digits = _only_digits(account)
+        if not digits or iban_digits(country, account) != check:
+            return None
         account = _fill(account, self._number(digits, 10, f"iban|{country}"))
         supply = iter(country + iban_digits(country, account) + account)
         return "".join(c if c == " " else next(supply) for c in found)
@@ -278,8 +277,7 @@ def protect(docs: DataFrame, key: bytes = DEMONSTRATION_KEY, undo: bool = False)
             out.insert(0, "doc_id", frame["doc_id"].to_numpy())
             yield out
 
-    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-    return rows.mapInPandas(replaced, _RESULT)
+    return restored(docs.select(carried(), "text").mapInPandas(replaced, _RESULT))
 
 
 def op10_feistel_pseudonyms(spark: SparkSession, folder: str) -> DataFrame:

@@ -25,7 +25,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from martloom.llm.tables import read_table
+from martloom.llm.tables import NO_ID, carried, read_table, restored
 from martloom.llm.words import Words, grams, mixed, part_of, split_words
 from martloom.session import keep
 
@@ -221,7 +221,7 @@ def _judge(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
                 rows.append((*base, int(removed.sum()), digest, None, None, None, None, None))
         names = [c.split()[0] for c in _JUDGED.split(", ")]
         out = pd.DataFrame(rows, columns=names)
-        yield out.astype({"doc_id": "Int64", "n_removed": "Int64"})
+        yield out.astype({"n_removed": "Int64"})
 
 
 def _segment_words(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -360,11 +360,11 @@ def without_repeats(docs: DataFrame) -> DataFrame:
     doc_id remove nothing from each other. An empty table gives an empty result.
     """
     texts = docs.select(
-        F.col("doc_id").cast("long").alias("doc_id"),
+        carried(),
         F.xxhash64(F.coalesce("text", F.lit(""))).alias("print"),
         "text",
     )
-    named = texts.where("doc_id IS NOT NULL AND text IS NOT NULL")
+    named = texts.where((F.col("doc_id") != NO_ID) & F.col("text").isNotNull())
     size = named.agg(F.coalesce(F.sum(F.octet_length("text")), F.lit(0))).first()[0]
     parts = max(1, -(-size // PART_TEXT_BYTES))
     replies = (
@@ -391,7 +391,9 @@ def without_repeats(docs: DataFrame) -> DataFrame:
         .mapInPandas(_finish, _RESULT)
     )
     settled = judged.where("text IS NULL")
-    return settled.select("doc_id", "n_words", "n_removed", "kept_sha256").unionAll(compared)
+    return restored(
+        settled.select("doc_id", "n_words", "n_removed", "kept_sha256").unionAll(compared)
+    )
 
 
 def op9_suffix_dedup(spark: SparkSession, folder: str) -> DataFrame:
