@@ -1,18 +1,71 @@
-"""The corpus pipeline: operators of ``martloom.llm`` applied to the documents in turn."""
+"""The corpus pipeline: operators of ``martloom.llm`` applied to the documents in turn.
+
+Every stage works on all rows that its predecessor kept and returns the columns of
+``documents``; the last adds ``shard`` and ``slot``. Rows without text or letters go
+with the first stage; rows without doc_id are no one's duplicate. An empty table gives
+an empty result.
+"""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import functions as F
 
+from martloom.llm import decontamination, language_id, mixing, neardup, sharding
 from martloom.llm.tables import read_table
-from martloom.session import keep
+from martloom.session import configure, keep
+
+
+def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents in a language that is told from their text."""
+    return language_id.in_a_language(docs)
+
+
+def deduplicated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group of near duplicates, the one of the smallest doc_id.
+
+    Of rows that share a doc_id one stays.
+    """
+    kept = neardup.near_duplicates(docs).where("kept").select("doc_id").distinct()
+    same_id = Window.partitionBy("doc_id").orderBy(F.xxhash64(*docs.columns))
+    first = (
+        docs.join(kept, "doc_id", "left_semi")
+        .withColumn("__row", F.row_number().over(same_id))
+        .where("__row = 1")
+    )
+    return first.select(*docs.columns).unionAll(docs.where("doc_id IS NULL"))
+
+
+def decontaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that hold no passage of the benchmark."""
+    return decontamination.without_leaks(docs, read_table(spark, sf_dir, "benchmark"))
+
+
+def mixed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """A sample whose tokens have the target shares of source, language and topic."""
+    drawn = mixing.mix(docs, mixing.document_dimensions())
+    return drawn.where("sampled").select(*docs.columns)
+
+
+def sharded(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    return sharding.shard_rows(docs, ["doc_id"])
+
+
+STAGES = [
+    ("language", language),
+    ("deduplicated", deduplicated),
+    ("decontaminated", decontaminated),
+    ("mixed", mixed),
+    ("sharded", sharded),
+]
 
-STAGES: list = []
+# Linear machines and local alignment have no form in SQL.
 ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Each stage over all that the one before kept; written and read again in between."""
+    configure(spark)
     docs = read_table(spark, sf_dir, "documents")
     for number, (name, stage) in enumerate(STAGES):
         docs = stage(spark, docs, sf_dir)
