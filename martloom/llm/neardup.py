@@ -8,17 +8,16 @@ number of ones in the XOR of two sketches estimates how many samples differ. Pai
 that the sketch finds near enough are confirmed on their full sets.
 
 No bucket is expanded into its pairs. Its members are compared block against block by
-array arithmetic, and a class reports only its best partner outside its own component;
-confirmed links join components, and the search is repeated. In a dense group, two rounds
-leave one component, which needs no further pair. The last round reports every pair that
-still spans two components, so that no link is lost.
+array arithmetic. At first a class reports its best partner only, and confirmed partners form
+components: in a dense group, nearly all of it. A second round reports every pair near
+enough that still spans two components, so that no link is lost.
 """
 
 from __future__ import annotations
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from martloom.llm.tables import NO_ID, carried, read_table, restored
@@ -113,15 +112,11 @@ def components(edges: DataFrame) -> DataFrame:
     smaller ones, in turn, until every edge leads to a component's smallest node. Each
     step is an aggregate and a join, and is written once.
     """
-    stars = keep(
-        edges.select(F.greatest("a", "b").alias("node"), F.least("a", "b").alias("low"))
-        .where("node <> low")
-        .distinct(),
-        "edges",
-    )
+    stars = edges.select(F.greatest("a", "b").alias("node"), F.least("a", "b").alias("low"))
+    stars = keep(stars.where("node <> low").distinct(), "edges")
     before = None
     while True:
-        both = stars.unionAll(stars.select(F.col("low"), F.col("node")).toDF("node", "low"))
+        both = stars.unionAll(stars.select("low", "node"))
         least = both.groupBy("node").agg(F.min("low").alias("least"))
         least = least.select("node", F.least("node", "least").alias("least"))
         larger = both.where("low > node").join(least, "node")
@@ -131,13 +126,14 @@ def components(edges: DataFrame) -> DataFrame:
         hung = large.join(smallest, "node").select(
             lower.alias("node"), F.col("least").alias("low")
         )
-        stars = keep(hung.where("node <> low").distinct(), "stars")
-        state = stars.agg(
-            F.count("*"), F.sum(F.xxhash64("node", "low").cast("decimal(38,0)"))
-        ).first()
-        if state == before:
+        # Edges and their hashes summed up while they are written: no change, no more steps.
+        seen = Observation()
+        digest = F.sum(F.shiftright(F.xxhash64("node", "low"), 24)).alias("digest")
+        step = hung.where("node <> low").distinct()
+        stars = keep(step.observe(seen, F.count(F.lit(1)).alias("edges"), digest), "stars")
+        if seen.get == before or not seen.get["edges"]:
             break
-        before = state
+        before = seen.get
     linked = stars.groupBy("node").agg(F.min("low").alias("component"))
     roots = linked.select(F.col("component").alias("node"), "component").distinct()
     return linked.unionAll(roots)
@@ -222,11 +218,11 @@ def _candidates(members: DataFrame, best_only: bool) -> DataFrame:
     )
 
 
-def links(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """Classes of equal sets (doc_id, n_shingles, node) and confirmed links of nodes.
+def _linked(docs: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """Classes of equal sets, components of first links, and how later links join those.
 
-    ``docs`` has doc_id and text. ``node`` is the smallest doc_id of the class; documents
-    without words have none.
+    ``docs`` has doc_id and text. A class is doc_id, n_shingles and ``node``, the smallest
+    doc_id of the class; documents without words have none.
     """
     texts = docs.select(carried(), "text")
     signed = keep(texts.mapInPandas(_signed, _SIGNATURE), "signatures")
@@ -262,46 +258,41 @@ def links(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
         ),
         "sets",
     )
-    confirmed = failed = None
-    parts = None
-    for last in (False, False, True):
-        described = sketches.withColumn("component", F.col("node"))
-        if parts is not None:
-            described = sketches.join(parts, "node", "left").withColumn(
-                "component", F.coalesce("component", "node")
-            )
-        members = met.join(described, "node")
-        if parts is not None:
-            # Buckets within one component have nothing left to find.
-            open_buckets = (
-                members.groupBy("bucket")
-                .agg(F.min("component").alias("low"), F.max("component").alias("high"))
-                .where("low <> high")
-                .select("bucket")
-            )
-            members = members.join(open_buckets, "bucket")
-        found = _candidates(members, best_only=not last)
-        found = found.groupBy("a", "b").agg(F.max("near").alias("near"))
-        if not last:
-            # Several buckets and blocks name a partner: the best one is enough.
-            ends = F.explode(F.array("a", "b")).alias("end")
-            best = (
-                found.select(ends, "a", "b", "near")
-                .groupBy("end")
-                .agg(F.max_by(F.struct("a", "b"), F.struct("near", "a", "b")).alias("pair"))
-            )
-            found = best.select("pair.a", "pair.b").distinct()
-        found = found.select("a", "b")
-        if failed is not None:
-            found = found.join(failed, ["a", "b"], "left_anti")
-        checked = keep(_confirmed(found, sets), "checked")
-        good = checked.where("linked").select("a", "b")
-        bad = checked.where("NOT linked").select("a", "b")
-        confirmed = good if confirmed is None else confirmed.unionAll(good)
-        failed = bad if failed is None else failed.unionAll(bad)
-        if not last:
-            parts = keep(components(confirmed), "parts")
-    return membership, confirmed
+    described = sketches.withColumn("component", F.col("node"))
+    found = _candidates(met.join(described, "node"), best_only=True)
+    # Several buckets and blocks name a partner for a node: the best one is enough.
+    best = (
+        found.select(F.explode(F.array("a", "b")).alias("end"), "a", "b", "near")
+        .groupBy("end")
+        .agg(F.max_by(F.struct("a", "b"), F.struct("near", "a", "b")).alias("pair"))
+    )
+    checked = keep(_confirmed(best.select("pair.a", "pair.b").distinct(), sets), "checked")
+    parts = keep(components(checked.where("linked")), "parts")
+    described = (
+        sketches.join(parts, "node", "left")
+        .withColumn("component", F.coalesce("component", "node"))
+    )
+    members = met.join(described, "node")
+    # Buckets within one component have nothing left to find.
+    spanning = (
+        members.groupBy("bucket")
+        .agg(F.min("component").alias("low"), F.max("component").alias("high"))
+        .where("low <> high")
+        .select("bucket")
+    )
+    rest = _candidates(members.join(spanning, "bucket"), best_only=False)
+    rest = rest.select("a", "b").distinct().join(checked, ["a", "b"], "left_anti")
+    late = keep(_confirmed(rest, sets).where("linked"), "late")
+    part_of = lambda end: parts.select(F.col("node").alias(end), F.col("component").alias(f"{end}c"))
+    between = (
+        late.join(part_of("a"), "a", "left")
+        .join(part_of("b"), "b", "left")
+        .select(F.coalesce("ac", "a").alias("a"), F.coalesce("bc", "b").alias("b"))
+    )
+    merged = components(between).select(
+        F.col("node").alias("component"), F.col("component").alias("merged")
+    )
+    return membership, parts, merged
 
 
 def _confirmed(pairs: DataFrame, sets: DataFrame) -> DataFrame:
@@ -326,13 +317,19 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     Rows without doc_id are linked with nothing: their component and ``kept`` are null.
     Rows that share a doc_id are one node. An empty table gives an empty result.
     """
-    membership, confirmed = links(docs)
-    parts = components(confirmed)
-    return restored(membership).join(parts, "node", "left").select(
-        "doc_id",
-        F.col("n_shingles").cast("long").alias("n_shingles"),
-        F.coalesce("component", "node", "doc_id").alias("component_id"),
-        (F.col("doc_id") == F.coalesce("component", "node", "doc_id")).alias("kept"),
+    membership, parts, merged = _linked(docs)
+    own = F.coalesce("merged", "component", "node", "doc_id")
+    return (
+        restored(membership)
+        .join(parts, "node", "left")
+        .withColumn("component", F.coalesce("component", "node"))
+        .join(merged, "component", "left")
+        .select(
+            "doc_id",
+            F.col("n_shingles").cast("long").alias("n_shingles"),
+            own.alias("component_id"),
+            (F.col("doc_id") == own).alias("kept"),
+        )
     )
 
 
