@@ -17,7 +17,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from martloom.llm.tables import carried, filtered, read_table, restored
-from martloom.llm.words import grams, split_words
+from martloom.llm.words import grams, split_words, text_slices
 
 SEED_WORDS = 3
 WINDOW = 5
@@ -176,9 +176,11 @@ def _prepared(docs: DataFrame, items: Items):
         """For every n-gram of the items, the documents of a partition that hold it."""
         total = np.zeros(len(sent.value), dtype=np.int64)
         for frame in frames:
-            _, text, _, gram = _holding(frame["text"].tolist(), sent.value)
-            once = np.unique(gram * np.int64(len(frame)) + text) // len(frame)
-            total += np.bincount(once, minlength=len(total))
+            for part in text_slices(frame["text"]):
+                texts = frame["text"].iloc[part].tolist()
+                _, text, _, gram = _holding(texts, sent.value)
+                once = np.unique(gram * np.int64(len(texts)) + text) // len(texts)
+                total += np.bincount(once, minlength=len(total))
         some = np.flatnonzero(total)
         yield pd.DataFrame({"gram": sent.value[some].astype(np.int64), "docs": total[some]})
 
@@ -194,6 +196,14 @@ def _prepared(docs: DataFrame, items: Items):
 
 def _alignments(texts: list[str | None], known) -> list[tuple]:
     """Text, item, score and span of every item that a text of the batch holds."""
+    return [
+        (part.start + t, *rest)
+        for part in text_slices(texts)
+        for t, *rest in _alignments_of(texts[part], known)
+    ]
+
+
+def _alignments_of(texts: list[str | None], known) -> list[tuple]:
     rare, places_of, ids, item_words = known.value
     words, text, hits, gram = _holding(texts, rare)
     meets: dict[tuple[int, int], list[tuple[int, int]]] = {}

@@ -24,6 +24,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from martloom.llm.tables import carried, filtered, read_table, restored
+from martloom.llm.words import text_slices
 from martloom.session import keep
 
 SAMPLE = 800
@@ -103,18 +104,6 @@ def features(texts: list[str | None]) -> tuple[np.ndarray, np.ndarray, np.ndarra
     return bucket, owner, np.bincount(owner, minlength=len(texts))
 
 
-def _batches(texts: list, budget: int = 4_000_000) -> Iterator[slice]:
-    """Consecutive texts of together about ``budget`` characters; a long text stands alone."""
-    begin, size = 0, 0
-    for at, text in enumerate(texts):
-        size += len(text or "") + 8
-        if size >= budget:
-            yield slice(begin, at + 1)
-            begin, size = at + 1, 0
-    if begin < len(texts):
-        yield slice(begin, len(texts))
-
-
 @F.udf(VectorUDT())
 def _vector(text: str | None) -> SparseVector:
     """For training only: texts of the bounded sample."""
@@ -141,7 +130,7 @@ class Machines:
         """Margin of every machine for every text, and the number of n-grams."""
         out = np.zeros((len(self.names), len(texts)))
         counts = np.zeros(len(texts), dtype=np.int64)
-        for some in _batches(texts):
+        for some in text_slices(texts):
             bucket, owner, total = features(texts[some])
             counts[some] = total
             for row, (weights, offset) in enumerate(zip(self.weights, self.offsets)):

@@ -22,7 +22,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from martloom.llm.tables import carried, read_table, restored
-from martloom.llm.words import Words, grams, mixed, split_words
+from martloom.llm.words import Words, grams, mixed, split_words, text_slices
 from martloom.session import keep
 
 BUCKET_BITS = 13
@@ -276,8 +276,8 @@ def scan(docs: DataFrame, templates: dict[str, list[str]] | None = None) -> Data
         ordinary = scanner.classes.index(ORDINARY)
         for frame in frames:
             out = []
-            for at in range(0, len(frame), 500):
-                some = frame.iloc[at : at + 500]
+            for part in text_slices(frame["text"], 2_000_000):
+                some = frame.iloc[part]
                 paragraphs, places = [], []
                 for doc, text in enumerate(some["text"]):
                     for number, paragraph in enumerate((text or "").split("\n")):

@@ -21,7 +21,7 @@ from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from martloom.llm.tables import NO_ID, carried, read_table, restored
-from martloom.llm.words import mixed, shingles, split_words
+from martloom.llm.words import mixed, shingles, split_words, text_slices
 from martloom.session import keep
 
 SHINGLE = 5
@@ -86,8 +86,8 @@ def similarity(differing: np.ndarray) -> np.ndarray:
 
 def _signed(frames):
     for frame in frames:
-        for at in range(0, len(frame), 500):
-            some = frame.iloc[at : at + 500]
+        for part in text_slices(frame["text"], 2_000_000):
+            some = frame.iloc[part]
             yield pd.DataFrame(
                 {"doc_id": some["doc_id"].to_numpy()} | signatures(some["text"].tolist())
             )
@@ -95,14 +95,16 @@ def _signed(frames):
 
 def _sets(frames):
     for frame in frames:
-        values, first = shingles(split_words(frame["text"].tolist(), lower=True), SHINGLE)
-        signed = values.astype(np.int64)
-        yield pd.DataFrame(
-            {
-                "doc_id": frame["doc_id"].to_numpy(),
-                "shingles": [signed[a:b] for a, b in zip(first[:-1], first[1:])],
-            }
-        )
+        for part in text_slices(frame["text"]):
+            some = frame.iloc[part]
+            values, first = shingles(split_words(some["text"].tolist(), lower=True), SHINGLE)
+            signed = values.astype(np.int64)
+            yield pd.DataFrame(
+                {
+                    "doc_id": some["doc_id"].to_numpy(),
+                    "shingles": [signed[a:b] for a, b in zip(first[:-1], first[1:])],
+                }
+            )
 
 
 def components(edges: DataFrame) -> DataFrame:

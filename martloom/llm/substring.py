@@ -26,7 +26,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from martloom.llm.tables import NO_ID, carried, read_table, restored
-from martloom.llm.words import Words, grams, mixed, part_of, split_words
+from martloom.llm.words import Words, grams, mixed, part_of, split_words, text_slices
 from martloom.session import keep
 
 WINDOW = 13
@@ -90,9 +90,15 @@ class Segments:
         return self.last[i] + self.window
 
 
+def _small(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    for frame in frames:
+        for part in text_slices(frame["text"]):
+            yield frame.iloc[part]
+
+
 def _sent(parts: int):
     def send(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for frame in frames:
+        for frame in _small(frames):
             cut = Segments(split_words(frame["text"].tolist(), lower=False))
             part = part_of(cut.anchor, parts).astype(np.int64)
             order = np.argsort(part, kind="stable")
@@ -176,7 +182,7 @@ def _bytes(text: str | None) -> bytes:
 
 def _judge(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     """Results of documents that are settled; of others, the segments to compare."""
-    for frame in frames:
+    for frame in _small(frames):
         told = frame["replies"].notna().to_numpy()
         cut = Segments(split_words(frame["text"].where(told, None).tolist(), lower=False))
         bounds = np.searchsorted(cut.text, np.arange(len(frame) + 1))
@@ -225,7 +231,7 @@ def _judge(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
 
 
 def _segment_words(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    for frame in frames:
+    for frame in _small(frames):
         words = split_words(frame["text"].tolist(), lower=False)
         short = words.hashes.astype(np.uint32)
         rows = []

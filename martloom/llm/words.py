@@ -8,7 +8,7 @@ array arithmetic handles them, however long or short each of them is.
 from __future__ import annotations
 
 import string
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
 from dataclasses import dataclass
 
 import numpy as np
@@ -35,6 +35,19 @@ def mixed(values: np.ndarray) -> np.ndarray:
     return out
 
 
+def text_slices(texts: Sequence[str | None], size: int = 4_000_000) -> Iterator[slice]:
+    """Consecutive texts of together about ``size`` characters, so that the arrays made of
+    them stay small; a longer text stands alone."""
+    begin = filled = 0
+    for at, text in enumerate(texts):
+        filled += len(text or "") + 8
+        if filled >= size:
+            yield slice(begin, at + 1)
+            begin, filled = at + 1, 0
+    if begin < len(texts):
+        yield slice(begin, len(texts))
+
+
 @dataclass
 class Words:
     """``data[start[i]:end[i]]`` is word i; text t has the words ``first[t]:first[t + 1]``."""
