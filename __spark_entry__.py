@@ -20,7 +20,7 @@ from martloom.operators import quality, ranking  # noqa: E402
 from martloom.operators.tables import MonthlyTable  # noqa: E402
 from martloom.plans import checks, kpis, pipeline  # noqa: E402
 from martloom.plans.models import Models  # noqa: E402
-from martloom.session import scratch_path  # noqa: E402
+from martloom.session import local_trial, scratch_path  # noqa: E402
 from martloom.sources import from_testdata, with_tables  # noqa: E402
 from martloom.sources.testdata import SCHEMAS, orders_source  # noqa: E402
 from martloom.streaming.order_feed import start_order_feed  # noqa: E402
@@ -85,7 +85,11 @@ CHECK_QUERIES: dict[str, Callable[[dict], DataFrame]] = {
 
 
 def _models(spark: SparkSession, folder: str) -> Models:
-    return Models(from_testdata(spark, folder))
+    return Models(from_testdata(local_trial(spark), folder))
+
+
+def _trial(query: Query) -> Query:
+    return lambda spark, folder: query(local_trial(spark), folder)
 
 
 def _model_query(name: str) -> Query:
@@ -175,7 +179,7 @@ def queries() -> dict[str, Query]:
     if corpus is not None:
         out.update(corpus.queries())
         out["pipeline"] = corpus_pipeline.run
-    return out
+    return {name: _trial(query) for name, query in out.items()}
 
 
 def oracle_sql() -> dict[str, str]:

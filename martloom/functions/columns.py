@@ -28,10 +28,12 @@ def hash_pii(value: Column) -> Column:
 def surrogate_key(*parts: Column | str) -> Column:
     """A 60-bit key computed from the row's own values, so it needs no shuffle.
 
-    The same row gets the same key in every run. Never NULL, which lets a count of it
-    become a plain row count.
+    The same row gets the same key in every run. A missing part counts in its place.
+    Never NULL, which lets a count of it become a plain row count.
     """
-    digest = F.md5(F.concat_ws("|", *parts))
+    texts = [(F.col(p) if isinstance(p, str) else p).cast("string") for p in parts]
+    shown = [F.coalesce(t, F.lit("\x01")) for t in texts]
+    digest = F.md5(F.concat_ws("|", *shown))
     return F.coalesce(
         F.conv(F.substring(digest, 1, 15), 16, 10).cast("bigint"), F.lit(0).cast("bigint")
     )

@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-# Prices and rates are read to four decimals, so price * rate counts in 1e-8.
+# Prices and rates of up to four decimals count in whole steps, price * rate in 1e-8.
 _STEPS = 10_000
 _STEPS_PER_CENT = _STEPS * _STEPS // 100
 _LARGEST_STEPS = 2**63 - _STEPS_PER_CENT
@@ -26,7 +26,18 @@ def half_up_div(num: Column, den: Column) -> Column:
 
 
 def _steps(value: Column) -> Column:
-    return F.rint(value * _STEPS).cast("bigint")
+    return F.rint(value * _STEPS).try_cast("bigint")
+
+
+def _has_steps(value: Column) -> Column:
+    """Whether a number has at most four decimals."""
+    return F.rint(value * _STEPS) / _STEPS == value
+
+
+def _own_digits(value: Column, kind: str) -> Column:
+    """A number as the decimal that its shortest form shows, if ``kind`` holds all of it."""
+    digits = value.try_cast(kind)
+    return F.when(digits.cast("double") == value, digits)
 
 
 def net_price_cents(list_price: Column, discount: Column) -> Column:
@@ -35,16 +46,34 @@ def net_price_cents(list_price: Column, discount: Column) -> Column:
 
 
 def line_cents(quantity: Column, list_price: Column, discount: Column) -> Column:
-    """Revenue of one order line in cents, rounded once at the end."""
+    """Revenue of one order line in cents, rounded once at the end.
+
+    Up to four decimals are exact as whole numbers, up to eight as decimals. A number
+    with more (a third, say) is no decimal amount in the first place: it is multiplied
+    as the DOUBLE it is, and its product rounded.
+    """
     price, rate = _steps(list_price), _steps(1 - discount)
     steps = F.try_multiply(F.try_multiply(quantity, price), rate)
     fast = F.call_function("div", steps + _STEPS_PER_CENT // 2, F.lit(_STEPS_PER_CENT))
     # Only negative lines, and lines beyond 90 billion, whose steps do not fit a BIGINT,
     # take the slower way.
-    exact = quantity.cast("decimal(18,0)") * price.cast("decimal(19,0)") * rate
-    return F.coalesce(
+    wide_steps = quantity.cast("decimal(18,0)") * price.cast("decimal(19,0)") * rate
+    whole = F.coalesce(
         F.when(steps.between(0, _LARGEST_STEPS), fast),
-        half_up_div(exact, F.lit(_STEPS_PER_CENT).cast("decimal(20,0)")),
+        half_up_div(wide_steps, F.lit(_STEPS_PER_CENT).cast("decimal(20,0)")),
+    )
+    # 7 + 18 + 11 digits and two carries: the product is exact in a DECIMAL.
+    amount = (
+        _own_digits(list_price, "decimal(18,8)")
+        * (1 - _own_digits(discount, "decimal(10,8)")).cast("decimal(11,8)")
+        * quantity.try_cast("decimal(7,0)")
+    )
+    rounded = F.round(quantity * list_price * (1 - discount), 2)
+    return F.when(_has_steps(list_price) & _has_steps(discount), whole).otherwise(
+        F.coalesce(
+            (F.round(amount, 2) * 100).try_cast("bigint"),
+            F.rint(rounded * 100).try_cast("bigint"),
+        )
     )
 
 

@@ -19,46 +19,39 @@ SKEW_SETTINGS = {
 }
 
 
-# Input per shuffle partition, and the number of partitions beyond which the blocks of a
-# shuffle would be too many and too small. Spark merges partitions that stay small, but
-# it never splits the partitions of an aggregate: too few of them is what fails.
-PARTITION_BYTES = 256 * 1024 * 1024
-MOST_PARTITIONS = 20_000
-INITIAL_PARTITIONS = "spark.sql.adaptive.coalescePartitions.initialPartitionNum"
-
-
-def configure(spark: SparkSession, largest: str | None = None) -> SparkSession:
-    """Turn on runtime skew handling and give shuffles enough partitions.
-
-    ``largest`` is the path of the largest table. The number of shuffle partitions is
-    raised when the cluster's own is too small for it, and never lowered.
-    """
+def configure(spark: SparkSession) -> SparkSession:
+    """Turn on runtime skew handling. Nothing here depends on the size of a table."""
     for name, value in SKEW_SETTINGS.items():
         spark.conf.set(name, value)
-    if largest is not None:
-        path = spark._jvm.org.apache.hadoop.fs.Path(largest)
-        files = path.getFileSystem(spark._jsc.hadoopConfiguration())
-        size = files.getContentSummary(path).getLength() if files.exists(path) else 0
-        wanted = min(-(-size // PARTITION_BYTES), MOST_PARTITIONS)
-        given = spark.conf.get(INITIAL_PARTITIONS, None) or spark.conf.get(
-            "spark.sql.shuffle.partitions"
-        )
-        if wanted > int(given):
-            spark.conf.set(INITIAL_PARTITIONS, str(wanted))
     return spark
 
 
+_trial_folder: str | None = None
+
+
 def shared_folder(spark: SparkSession) -> str:
-    """Folder every executor can reach, as named by ``spark.checkpoint.dir``."""
-    folder = spark.conf.get("spark.checkpoint.dir", None)
-    if folder:
-        return folder.rstrip("/")
-    context = spark.sparkContext
-    if not context.master.startswith("local"):
+    """Folder every executor can reach, as named by ``spark.checkpoint.dir``.
+
+    The setting is fixed when the session is made; it is required in every mode.
+    """
+    folder = spark.conf.get("spark.checkpoint.dir", None) or _trial_folder
+    if not folder:
         raise RuntimeError("set spark.checkpoint.dir to a folder shared by all executors")
-    folder = tempfile.mkdtemp(prefix="martloom-")
-    spark.conf.set("spark.checkpoint.dir", folder)
-    return folder
+    return folder.rstrip("/")
+
+
+def local_trial(spark: SparkSession) -> SparkSession:
+    """Use a temporary folder of this machine where the session names none.
+
+    For trial runs in local mode, where all executors are this machine. The library
+    never calls it.
+    """
+    global _trial_folder
+    master = spark.sparkContext.master
+    local = master == "local" or master.startswith("local[")
+    if local and not (spark.conf.get("spark.checkpoint.dir", None) or _trial_folder):
+        _trial_folder = tempfile.mkdtemp(prefix="martloom-")
+    return spark
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:

@@ -43,7 +43,7 @@ def with_tables(sources: Mapping[str, DataFrame], **tables: DataFrame) -> Mappin
 
 def read_tables(spark: SparkSession, base: str, fmt: str = "parquet") -> Sources:
     """Read the nine tables from ``<base>/<table>``. Sources are never written to."""
-    configure(spark, f"{base}/order_items")
+    configure(spark)
     return Sources(lambda name: spark.read.format(fmt).load(f"{base}/{name}"))
 
 

@@ -4,7 +4,8 @@ from __future__ import annotations
 
 
 def key(*parts: str) -> str:
-    return f"CAST('0x' || substr(md5(concat_ws('|', {', '.join(parts)})), 1, 15) AS BIGINT)"
+    shown = ", ".join(f"coalesce(CAST({p} AS VARCHAR), chr(1))" for p in parts)
+    return f"CAST('0x' || substr(md5(concat_ws('|', {shown})), 1, 15) AS BIGINT)"
 
 
 def hundredths(amount: str) -> str:
@@ -14,8 +15,8 @@ def hundredths(amount: str) -> str:
 def line_amount(quantity: str, price: str, discount: str) -> str:
     """Exact decimal amount, rounded once to cents."""
     return (
-        f"ROUND(CAST({quantity} AS DECIMAL(10,0)) * CAST({price} AS DECIMAL(16,4))"
-        f" * (1 - CAST({discount} AS DECIMAL(5,4))), 2)"
+        f"ROUND(CAST({quantity} AS DECIMAL(9,0)) * CAST({price} AS DECIMAL(18,8))"
+        f" * (1 - CAST({discount} AS DECIMAL(9,8))), 2)"
     )
 
 

@@ -24,6 +24,11 @@ def test_line_amounts_round_half_cents_up(spark):
         (1, 92_233_720_368.5477, 0.0, 9_223_372_036_855),  # the last one that just fits
         (10**6, 10.0**8, 0.5, 5 * 10**15),  # more than a BIGINT of ten-thousandths holds
         (None, 1.0, 0.0, None),
+        (10, 99_999.99, 0.12345, 87_654_991),
+        (3, 1000.0, 0.33333, 200_001),
+        (100, 19.99995, 0.0, 200_000),  # 1,999.995 exactly
+        (3, 1000.0, 1 / 3, 200_000),  # no decimal amount: as the DOUBLE it is
+        (10**8, 0.123456, 0.0, 1_234_560_000),
     ]
     df = spark.createDataFrame(rows, "q bigint, p double, d double, want bigint")
     got = df.select(money.line_cents(F.col("q"), F.col("p"), F.col("d")).alias("x"), "want")
@@ -49,6 +54,25 @@ def test_line_amounts_equal_exact_decimals(spark, lines):
     assert got == want
 
 
+@settings(max_examples=4, deadline=None, phases=[Phase.generate])
+@given(
+    st.lists(
+        st.tuples(st.integers(0, 10**5), st.integers(0, 10**12), st.integers(0, 10**8)),
+        min_size=50,
+        max_size=200,
+    )
+)
+def test_eight_decimals_are_exact(spark, lines):
+    rows = [(q, p / 10**8, d / 10**8) for q, p, d in lines]
+    df = spark.createDataFrame(rows, "q bigint, p double, d double")
+    got = [r[0] for r in df.select(money.line_cents(F.col("q"), F.col("p"), F.col("d"))).collect()]
+    want = [
+        int((Decimal(q * p * (10**8 - d)) / 10**14).quantize(Decimal(1), ROUND_HALF_UP))
+        for q, p, d in lines
+    ]
+    assert got == want
+
+
 def test_mean_and_percent(spark):
     df = spark.createDataFrame([(5, 2), (1001, 2), (-5, 2), (7, 0), (None, 3)], "c bigint, n bigint")
     got = df.select(money.mean_dollars(F.col("c").cast("decimal(28,0)"), F.col("n"))).collect()
@@ -105,6 +129,12 @@ def test_stock_levels(spark):
     ]
 
 
+def test_surrogate_key_tells_where_a_part_is_missing(spark):
+    rows = [("a", None, "b"), ("a", "b", None), ("a", "", "b")]
+    df = spark.createDataFrame(rows, "x string, y string, z string")
+    assert df.select(columns.surrogate_key("x", "y", "z").alias("k")).distinct().count() == 3
+
+
 def test_surrogate_key_is_never_null(spark):
     df = spark.range(1).select(columns.surrogate_key(F.lit(None).cast("string"), F.col("id")).alias("k"))
     assert not df.schema["k"].nullable and df.first().k > 0

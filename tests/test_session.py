@@ -3,35 +3,44 @@ import pytest
 from martloom import session
 
 
-@pytest.fixture
-def partitions(spark):
-    yield lambda: spark.conf.get(session.INITIAL_PARTITIONS, None)
-    spark.conf.unset(session.INITIAL_PARTITIONS)
+def test_settings_do_not_depend_on_tables(spark):
+    session.configure(spark)
+    for name, value in session.SKEW_SETTINGS.items():
+        assert spark.conf.get(name) == value
+    assert spark.conf.get(INITIAL, None) is None
 
 
-def test_small_tables_leave_the_partitions_alone(spark, partitions):
-    session.configure(spark, "/root/testdata/sf0.001/lineitem.parquet")
-    assert partitions() is None
-    session.configure(spark, "/no/such/table")
-    assert partitions() is None
-
-
-def test_large_tables_raise_the_partitions(spark, partitions, monkeypatch):
-    monkeypatch.setattr(session, "PARTITION_BYTES", 1000)
-    session.configure(spark, "/root/testdata/sf0.001/lineitem.parquet")
-    assert 100 < int(partitions()) < 200
-    monkeypatch.setattr(session, "PARTITION_BYTES", 1)
-    session.configure(spark, "/root/testdata/sf0.001/lineitem.parquet")
-    assert int(partitions()) == session.MOST_PARTITIONS
-    monkeypatch.setattr(session, "PARTITION_BYTES", 1000)
-    session.configure(spark, "/root/testdata/sf0.001/lineitem.parquet")
-    assert int(partitions()) == session.MOST_PARTITIONS
+INITIAL = "spark.sql.adaptive.coalescePartitions.initialPartitionNum"
 
 
 def test_shared_folder_is_the_one_the_session_names(spark):
     assert session.shared_folder(spark) == spark.conf.get("spark.checkpoint.dir")
 
 
+class Unnamed:
+    """A session that names no folder."""
+
+    class conf:
+        get = staticmethod(lambda name, default=None: default)
+
+    class sparkContext:
+        master = "spark://cluster:7077"
+
+
+def test_shared_folder_must_be_named():
+    with pytest.raises(RuntimeError, match="checkpoint"):
+        session.shared_folder(Unnamed)
+    with pytest.raises(RuntimeError, match="checkpoint"):
+        session.shared_folder(session.local_trial(Unnamed))
+
+
+def test_local_trials_name_a_folder(monkeypatch):
+    monkeypatch.setattr(session, "_trial_folder", None)
+    monkeypatch.setattr(Unnamed.sparkContext, "master", "local[2]")
+    folder = session.shared_folder(session.local_trial(Unnamed))
+    assert folder == session.shared_folder(session.local_trial(Unnamed))
+
+
 def test_kept_tables_outlive_a_query_but_not_a_block(spark):
     rows = session.keep(spark.range(3))
     assert rows.count() == 3

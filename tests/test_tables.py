@@ -177,7 +177,8 @@ def test_old_data_can_be_removed(spark, table):
     before = seen(table)
     table.remove_old(versions=1)
     assert seen(table) == before
-    assert sorted(table._snapshots()) == [1, 3] and table._versions() == [3]
+    numbers = sorted(s.split("-")[0] for s in table._snapshots())
+    assert numbers == ["1", "3"] and table._versions() == [3]
     table.merge(rows(spark, (7, 1, "2016-01-22", "w")))
     assert len(seen(table)) == 7
 
@@ -204,7 +205,8 @@ def test_layout_by_month_sorted_by_cluster_columns(spark, tmp_path):
     )
     table = MonthlyTable(spark, str(tmp_path / "t"))
     table.replace(df)
-    folders = [n for n in os.listdir(tmp_path / "t/data/snapshot=1") if n.startswith("order_month")]
+    (snapshot,) = os.listdir(tmp_path / "t/data")
+    folders = [n for n in os.listdir(tmp_path / "t/data" / snapshot) if n.startswith("order_month")]
     assert sorted(folders) == ["order_month=2016-01", "order_month=2016-02"]
     for path in table.read().inputFiles():
         keys = [(r[0], r[1]) for r in spark.read.parquet(path).select("store_id", "order_status").collect()]
