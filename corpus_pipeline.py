@@ -8,12 +8,15 @@ an empty result.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+from functools import wraps
+
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from martloom.llm import decontamination, language_id, mixing, neardup, sharding
-from martloom.llm.tables import read_table
-from martloom.session import configure, keep
+from martloom.llm.tables import prepared, read_table
+from martloom.session import keep, local_trial
 
 
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -51,12 +54,17 @@ def sharded(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return sharding.shard_rows(docs, ["doc_id"])
 
 
+def _stage(function: Callable) -> Callable:
+    @wraps(function)
+    def stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+        return function(prepared(local_trial(spark)), docs, sf_dir)
+
+    return stage
+
+
 STAGES = [
-    ("language", language),
-    ("deduplicated", deduplicated),
-    ("decontaminated", decontaminated),
-    ("mixed", mixed),
-    ("sharded", sharded),
+    (function.__name__, _stage(function))
+    for function in (language, deduplicated, decontaminated, mixed, sharded)
 ]
 
 # Linear machines and local alignment have no form in SQL.
@@ -65,8 +73,7 @@ ORACLE_SQL = None
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Each stage over all that the one before kept; written and read again in between."""
-    configure(spark)
-    docs = read_table(spark, sf_dir, "documents")
+    docs = read_table(local_trial(spark), sf_dir, "documents")
     for number, (name, stage) in enumerate(STAGES):
         docs = stage(spark, docs, sf_dir)
         if number < len(STAGES) - 1:
