@@ -20,7 +20,7 @@ from martloom.llm.tables import carried, filtered, read_table, restored
 from martloom.llm.words import grams, split_words, text_slices
 
 SEED_WORDS = 3
-WINDOW = 5
+WINDOW = 3
 MATCH, MISMATCH, GAP = 2, -1, -1
 LEAST_SCORE = 0.5
 # An alignment of fewer matches is a copy only if it covers its whole item.

@@ -231,7 +231,7 @@ _FORMS = re.compile(
     r"|[0-9]{2}(?P<m2>[-/.])[0-9]{2}(?P=m2)[0-9]{4})(?![\w-]))",
     re.ASCII,
 )
-_HINT = re.compile(r"[0-9]{2}|@", re.ASCII)
+_HINT = re.compile(r"[0-9]\.?[0-9]|@", re.ASCII)
 
 
 def pseudonymised(text: str, names: Pseudonyms) -> tuple[str, dict[str, int]]:

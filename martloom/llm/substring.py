@@ -31,7 +31,7 @@ from martloom.session import keep
 
 WINDOW = 13
 ANCHOR = 5
-PART_TEXT_BYTES = 64 * 1024 * 1024
+PART_TEXT_BYTES = 32 * 1024 * 1024
 # Shards with more different segments than this are cut by whole windows.
 SHARD_SEGMENTS = 1000
 

@@ -15,8 +15,19 @@ from martloom.session import configure
 NO_ID = -(2**63)
 
 
-def read_table(spark: SparkSession, folder: str, name: str) -> DataFrame:
+# Texts are long: batches of the default size would take much of a worker's memory.
+BATCH_ROWS, BATCH_BYTES = "2000", "16m"
+
+
+def prepared(spark: SparkSession) -> SparkSession:
     configure(spark)
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", BATCH_ROWS)
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", BATCH_BYTES)
+    return spark
+
+
+def read_table(spark: SparkSession, folder: str, name: str) -> DataFrame:
+    prepared(spark)
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 

@@ -1,0 +1,35 @@
+"""Fixtures and helpers that the tests of the corpus operators import."""
+
+import pytest
+
+TESTDATA = "/root/testdata"
+
+# Columns that clash with names used inside the operators.
+DOCS = (
+    "doc_id bigint, text string, lang string, source string, n_chars bigint, node string,"
+    " component string, shard string, slot string, row_number string, part string, key string"
+)
+
+
+@pytest.fixture(scope="session")
+def make_docs(spark):
+    """Documents from (doc_id, text) or (doc_id, text, lang, source), over several partitions."""
+
+    def make(rows, partitions=3):
+        full = []
+        for doc_id, text, *rest in rows:
+            lang, source = (*rest, "en", "s")[:2] if len(rest) < 2 else rest
+            full.append((doc_id, text, lang, source, len(text or ""), *["x"] * 7))
+        return spark.createDataFrame(full, DOCS).repartition(partitions)
+
+    return make
+
+
+def rows_of(df):
+    return [row.asDict() for row in df.collect()]
+
+
+def words_of(text, lower=False):
+    """Words by the contract's pattern, in plain Python."""
+    data = (text or "").encode()
+    return (data.lower() if lower else data).split()

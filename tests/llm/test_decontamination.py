@@ -1,0 +1,94 @@
+import random
+
+import numpy as np
+from corpus_support import TESTDATA, make_docs, rows_of  # noqa: F401
+from hypothesis import given, settings
+from hypothesis import strategies as st
+
+from martloom.llm import decontamination as dc
+
+WORDS = st.lists(st.integers(0, 4), min_size=1, max_size=12)
+
+
+def plain_alignment(a, b):
+    """Smith-Waterman cell by cell."""
+    best, rows = 0, [[0] * (len(b) + 1) for _ in range(len(a) + 1)]
+    for i, x in enumerate(a, 1):
+        for j, y in enumerate(b, 1):
+            diagonal = rows[i - 1][j - 1] + (dc.MATCH if x == y else dc.MISMATCH)
+            rows[i][j] = max(0, diagonal, rows[i - 1][j] + dc.GAP, rows[i][j - 1] + dc.GAP)
+            best = max(best, rows[i][j])
+    return best
+
+
+@settings(max_examples=200, deadline=None)
+@given(WORDS, WORDS)
+def test_alignment_equals_the_plain_one(a, b):
+    score, end = dc.align(np.array(a, dtype=np.uint64), np.array(b, dtype=np.uint64))
+    assert score == plain_alignment(a, b) and (score == 0 or 0 <= end < len(b))
+
+
+def prose(rng, n):
+    return [f"w{rng.randrange(3000)}" for _ in range(n)]
+
+
+def benchmark_of(spark, items):
+    return spark.createDataFrame(items, "item_id bigint, text string, doc_id string, score string")
+
+
+def test_copies_edited_copies_and_clean_texts(spark, make_docs):
+    rng = random.Random(2)
+    items = [prose(rng, 30) for _ in range(4)] + [["the"] * 4 + prose(rng, 2) + ["the"] * 20]
+    benchmark = benchmark_of(spark, [(i, " ".join(t), "x", "y") for i, t in enumerate(items)]
+                         + [(90, None, "", ""), (91, "", "", ""), (92, "one two", "", "")])
+    edited = list(items[1])
+    for at in (4, 11, 18, 25):
+        edited[at] = "changed"
+    del edited[14]
+    edited.insert(8, "added")
+    around = lambda words: " ".join([*prose(rng, 400), *words, *prose(rng, 300)])
+    rows = [
+        (1, around(items[0])), (2, around(edited)), (3, around([w.upper() + "!," for w in items[2]])),
+        (4, around([])), (5, None), (6, ""), (7, around(items[4])), (8, "one two"),
+        (9, around(items[3]) + " " + around(items[0])), (None, around(items[0])),
+        (10, around(items[0][:6])),
+    ]
+    rows += [(50 + i, rows[0][1]) for i in range(60)]
+    got = {(r["doc_id"], r["item_id"]): r for r in rows_of(dc.leaks(make_docs(rows), benchmark))}
+    copies = {(50 + i, 0) for i in range(60)}
+    assert set(got) == {(1, 0), (2, 1), (3, 2), (7, 4), (9, 3), (9, 0), (None, 0)} | copies
+    assert got[1, 0]["score"] == 1.0 and 0.6 < got[2, 1]["score"] < 1.0
+    assert (got[1, 0]["first_word"], got[1, 0]["last_word"]) == (400, 429)
+    clean = dc.without_leaks(make_docs(rows), benchmark)
+    assert {r["doc_id"] for r in rows_of(clean)} == {4, 5, 6, 8, 10}
+    assert clean.columns == make_docs([]).columns
+
+
+def test_slices_of_the_benchmark(spark, make_docs, monkeypatch):
+    monkeypatch.setattr(dc, "SLICE_BYTES", 200)
+    test_copies_edited_copies_and_clean_texts(spark, make_docs)
+
+
+def test_empty_tables(spark, make_docs):
+    nothing = benchmark_of(spark, [])
+    some = benchmark_of(spark, [(1, "a b c d e f g h i j", "", "")])
+    assert rows_of(dc.leaks(make_docs([(1, "a b c d")]), nothing)) == []
+    assert rows_of(dc.leaks(make_docs([]), some)) == []
+    assert dc.without_leaks(make_docs([(1, "a b c d")]), nothing).count() == 1
+
+
+def test_smallest_table_equals_all_alignments(spark):
+    """Every document against every item, without seeds."""
+    docs = [(r["doc_id"], r["text"]) for r in spark.read.parquet(
+        f"{TESTDATA}/sf0.001/documents.parquet").collect()]
+    tests = spark.read.parquet(f"{TESTDATA}/sf0.001/benchmark.parquet").collect()
+    items = dc.Items([r["item_id"] for r in tests], [r["text"] for r in tests])
+    words = dc.split_words([t for _, t in docs], lower=True, marks=False)
+    want = set()
+    for t, (doc_id, _) in enumerate(docs):
+        own = words.hashes[words.first[t] : words.first[t + 1]]
+        for item_id, item in zip(items.ids, items.words):
+            if dc.align(item, own)[0] >= dc.needed(len(item)):
+                want.add((doc_id, item_id))
+    got = rows_of(dc.op5_seed_alignment(spark, f"{TESTDATA}/sf0.001"))
+    assert {(r["doc_id"], r["item_id"]) for r in got} == want and want

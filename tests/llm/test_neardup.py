@@ -1,0 +1,119 @@
+import random
+
+import numpy as np
+import pytest
+
+from corpus_support import TESTDATA, make_docs, rows_of, words_of  # noqa: F401
+
+from martloom.llm import neardup
+
+def brute(rows):
+    """Sizes and components from all pairs."""
+    sets = {}
+    for doc_id, text, *_ in rows:
+        w = words_of(text, lower=True)
+        s = {tuple(w[i : i + 5]) for i in range(len(w) - 4)} if len(w) > 4 else {tuple(w)} - {()}
+        sets.setdefault(doc_id, []).append(s)
+    ids = [i for i in sets if i is not None]
+    low = {i: i for i in ids}
+
+    def root(i):
+        while low[i] != i:
+            i = low[i]
+        return i
+
+    for a in ids:
+        for b in ids:
+            if a < b and any(
+                x and y and 100 * len(x & y) >= 85 * len(x | y) for x in sets[a] for y in sets[b]
+            ):
+                one, two = sorted((root(a), root(b)))
+                low[two] = one
+    return sets, {i: root(i) for i in ids}
+
+
+def check(make_docs, rows, **kwargs):
+    sets, low = brute(rows)
+    got = rows_of(neardup.near_duplicates(make_docs(rows, **kwargs)))
+    assert len(got) == len(rows)
+    for row in got:
+        want = low.get(row["doc_id"])
+        assert row["component_id"] == want, row
+        assert row["n_shingles"] in {len(s) for s in sets[row["doc_id"]]}
+        assert row["kept"] == (None if want is None else row["doc_id"] == want)
+    return got
+
+
+def prose(rng, n):
+    return [rng.choice(["of", "the", "a"]) + str(rng.randrange(400)) for _ in range(n)]
+
+
+def test_edge_cases(make_docs):
+    long = " ".join(f"w{i}" for i in range(60_000))
+    rows = [
+        (5, "One two three four five six"),
+        (9, "one two\tthree  four\nfive six"),
+        (9, "one two\tthree  four\nfive six"),
+        (3, None), (4, ""), (6, " \n\t"), (7, "one two"), (8, "ONE TWO"), (10, "two one"),
+        (None, "one two three four five six"), (None, None),
+        (20, long), (21, long + " end"), (22, "é è É"), (23, "é è é"),
+    ]
+    got = check(make_docs, rows)
+    assert {r["doc_id"] for r in got if r["kept"]} >= {3, 4, 5, 6, 7, 10, 20, 22, 23}
+
+
+def test_empty_table(make_docs):
+    assert rows_of(neardup.near_duplicates(make_docs([]))) == []
+
+
+def test_dense_and_chained_groups(make_docs):
+    """Many near copies of one text, of which few pairs reach the threshold, and a chain."""
+    rng = random.Random(4)
+    base = prose(rng, 150)
+    rows = [(0, " ".join(base))]
+    for i in range(1, 90):
+        copy = list(base)
+        for _ in range(rng.randrange(1, 5)):
+            copy[rng.randrange(len(copy))] = f"edit{i}x{rng.randrange(50)}"
+        rows.append((i, " ".join(copy)))
+    step = prose(rng, 200)
+    for i in range(100, 130):
+        step = step[6:] + prose(rng, 6)
+        rows.append((i, " ".join(step)))
+    rows += [(200 + i, " ".join(prose(rng, 60))) for i in range(30)]
+    rng.shuffle(rows)
+    check(make_docs, rows, partitions=5)
+
+
+def test_blocks_meet_each_other(make_docs, monkeypatch):
+    monkeypatch.setattr(neardup, "BLOCK", 8)
+    test_dense_and_chained_groups(make_docs)
+
+
+def test_odd_sketch_estimates_similarity():
+    rng = random.Random(1)
+    one = prose(rng, 400)
+    for edits, tolerance in ((0, 1e-9), (4, 0.1), (10, 0.15)):
+        two = list(one)
+        for at in rng.sample(range(400), edits):
+            two[at] = f"other{at}"
+        made = neardup.signatures([" ".join(one), " ".join(two)])
+        a, b = (np.frombuffer(s, dtype=np.uint64) for s in made["sketch"])
+        s = [{tuple(x[i : i + 5]) for i in range(396)} for x in (one, two)]
+        true = len(s[0] & s[1]) / len(s[0] | s[1])
+        assert abs(neardup.similarity(np.bitwise_count(a ^ b).sum()) - true) <= tolerance
+
+
+def test_smallest_table_equals_all_pairs(spark):
+    docs = spark.read.parquet(f"{TESTDATA}/sf0.001/documents.parquet")
+    rows = [(r["doc_id"], r["text"]) for r in docs.collect()]
+    _, low = brute(rows)
+    got = {r["doc_id"]: r["component_id"] for r in rows_of(neardup.near_duplicates(docs))}
+    assert got == low
+
+
+@pytest.mark.parametrize("edges", [[], [(1, 2), (2, 3), (9, 8), (3, 4), (7, 9), (4, 4)]])
+def test_components(spark, edges):
+    got = neardup.components(spark.createDataFrame(edges, "a long, b long"))
+    want = {1: 1, 2: 1, 3: 1, 4: 1, 7: 7, 8: 7, 9: 7} if edges else {}
+    assert {r["node"]: r["component"] for r in rows_of(got)} == want

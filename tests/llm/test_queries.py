@@ -1,0 +1,29 @@
+"""The registered queries of the corpus operators against their SQL."""
+
+import duckdb
+import pytest
+
+import __spark_entry__ as entry
+from martloom.llm import registry
+from tools.compare import TABLES, compare
+
+FOLDER = "/root/testdata/sf0.001"
+
+
+@pytest.fixture(scope="module")
+def con():
+    con = duckdb.connect()
+    for table in TABLES:
+        con.sql(f"CREATE VIEW {table} AS SELECT * FROM '{FOLDER}/{table}.parquet'")
+    return con
+
+
+def test_one_query_of_each_operator():
+    numbers = sorted(int(name[2:].split("_")[0]) for name in registry.queries())
+    assert numbers == list(range(1, 11)) and "pipeline" in entry.queries()
+
+
+@pytest.mark.parametrize("name", registry.oracle_sql())
+def test_query_equals_sql(spark, con, name):
+    same, rows, why = compare(spark, con, FOLDER, name)
+    assert same and rows > 0, why
