@@ -158,8 +158,23 @@ def orders_stream(spark: SparkSession, folder: str) -> DataFrame:
 def rank_scalable(spark: SparkSession, folder: str) -> DataFrame:
     """Every order ranked by revenue, both ways."""
     orders = _models(spark, folder).order_measures.select("order_id", "order_revenue")
-    ranked = ranking.with_dense_rank(orders, "order_revenue", "revenue_rank", descending=True)
-    return ranking.with_percent_rank(ranked, "order_revenue", "revenue_percentile")
+    return ranking.with_both_ranks(orders, "order_revenue", "revenue_rank", "revenue_percentile")
+
+
+# Checks that the test tables do not pass, so that there are rows to show.
+FAILING = (
+    quality.Failing("not_null", "stg_orders", "shipped_date"),
+    quality.Failing("unique", "stg_orders", "customer_id"),
+    quality.Failing("accepted_values", "stg_orders", "order_status", accepted=(1, 2, 3)),
+    quality.Failing(
+        "relationships", "stg_customers", "customer_id", parent=("stg_orders", "customer_id")
+    ),
+)
+
+
+def dq_failing_values(spark: SparkSession, folder: str) -> DataFrame:
+    """The values behind failures, for one check of each kind."""
+    return quality.failing_values(checks.ModelFrames(_models(spark, folder)), FAILING)
 
 
 def entry(spark: SparkSession) -> DataFrame:
@@ -176,6 +191,7 @@ def queries() -> dict[str, Query]:
     out["orders_schema_sync"] = orders_schema_sync
     out["orders_stream"] = orders_stream
     out["rank_scalable"] = rank_scalable
+    out["dq_failing_values"] = dq_failing_values
     if corpus is not None:
         out.update(corpus.queries())
         out["pipeline"] = corpus_pipeline.run

@@ -27,6 +27,16 @@ class AcceptedValues(NamedTuple):
     values: tuple
 
 
+class Failing(NamedTuple):
+    """A check whose failing values are asked for: ``test`` names its kind."""
+
+    test: str
+    model: str
+    column: str
+    accepted: tuple = ()
+    parent: tuple[str, str] = ("", "")
+
+
 class Rule(NamedTuple):
     name: str
     model: str
@@ -130,6 +140,57 @@ def equal_rowcount(frames: dict[str, DataFrame], checks: list[tuple[str, str, st
     return _union([of_pair(*c) for c in checks])
 
 
+def rows_without_value(rows: DataFrame, column: str) -> DataFrame:
+    """The rows that fail ``not_null``."""
+    return rows.where(F.col(column).isNull())
+
+
+def repeated_values(rows: DataFrame, *columns: str) -> DataFrame:
+    """Values or combinations that fail ``unique``, and how many rows hold each."""
+    held = rows.where(F.col(columns[0]).isNotNull()) if len(columns) == 1 else rows
+    return held.groupBy(*columns).agg(F.count("*").alias("rows")).where("rows > 1")
+
+
+def orphan_rows(rows: DataFrame, column: str, parents: DataFrame, parent: str) -> DataFrame:
+    """The rows that name a parent which does not exist."""
+    keys = parents.select(F.col(parent).alias(column)).distinct()
+    return rows.where(F.col(column).isNotNull()).join(keys, column, "left_anti")
+
+
+def strange_rows(rows: DataFrame, column: str, accepted: tuple) -> DataFrame:
+    """The rows whose value is not an accepted one."""
+    return rows.where(~F.col(column).isin(*accepted))
+
+
+def failing_values(frames: dict[str, DataFrame], wanted: tuple[Failing, ...]) -> DataFrame:
+    """The values behind each failure: model, test, column_name, value as text, rows."""
+
+    def of_check(check: Failing) -> DataFrame:
+        rows, column = frames[check.model], check.column
+        if check.test == "not_null":
+            found = rows_without_value(rows, column)
+        elif check.test == "accepted_values":
+            found = strange_rows(rows, column, check.accepted)
+        elif check.test == "relationships":
+            model, parent = check.parent
+            found = orphan_rows(rows, column, frames[model], parent)
+        elif check.test == "unique":
+            found = repeated_values(rows, column)
+        else:
+            raise ValueError(f"no failing values for {check.test}")
+        if check.test != "unique":
+            found = found.groupBy(column).agg(F.count("*").alias("rows"))
+        return found.select(
+            F.lit(check.model).alias("model"),
+            F.lit(check.test).alias("test"),
+            F.lit(column).alias("column_name"),
+            F.col(column).cast("string").alias("value"),
+            "rows",
+        )
+
+    return _union([of_check(c) for c in wanted])
+
+
 def failing_rows(frames: dict[str, DataFrame], rule: Rule) -> DataFrame:
     """The rows that break a rule, with the columns that tell why."""
     return frames[rule.model].where(rule.violated).select(*rule.columns)

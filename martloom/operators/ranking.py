@@ -22,8 +22,9 @@ def _ordered(name: str, descending: bool) -> Column:
 def value_ranks(df: DataFrame, value: str, descending: bool = False) -> DataFrame:
     """One row per distinct value: its rows, and the values and rows ranked before it.
 
-    Columns: ``value``, ``values_before``, ``rows_before``, ``rows_total``. NULL is a
-    value of its own, first in ascending and last in descending order.
+    Columns: ``value``, ``values_before``, ``values_total``, ``rows_before``,
+    ``rows_total``. NULL is a value of its own, first in ascending and last in
+    descending order.
     """
     counted = df.groupBy(F.col(value).alias("value")).agg(F.count("*").alias("n"))
     # The range number is written out before it is used: ranges are found by sampling,
@@ -44,6 +45,7 @@ def value_ranks(df: DataFrame, value: str, descending: bool = False) -> DataFram
             F.coalesce(F.sum("range_values").over(so_far), F.lit(0)).alias("values_start"),
             F.coalesce(F.sum("range_rows").over(so_far), F.lit(0)).alias("rows_start"),
             F.sum("range_rows").over(W.partitionBy()).alias("rows_total"),
+            F.sum("range_values").over(W.partitionBy()).alias("values_total"),
         )
     )
     inside = W.partitionBy("range").orderBy(_ordered("value", descending))
@@ -61,46 +63,75 @@ def value_ranks(df: DataFrame, value: str, descending: bool = False) -> DataFram
             (F.col("values_start") + F.col("position") - 1).alias("values_before"),
             (F.col("rows_start") + F.col("rows_inside")).alias("rows_before"),
             "rows_total",
+            "values_total",
         )
     )
 
 
-def _attach(df: DataFrame, value: str, name: str, descending: bool, rank: Column) -> DataFrame:
-    rows = keep(df, "ranked")
-    ranks = value_ranks(rows, value, descending).select("value", rank.alias(name))
-    joined = rows.join(ranks, F.col(value).eqNullSafe(F.col("value")))
-    return joined.select(*df.columns, name)
+def _attach(df: DataFrame, value: str, descending: bool, ranks: dict[str, Column]) -> DataFrame:
+    """``df`` with ranks by its values. Only the distinct values are written; the rows
+    themselves are planned once more for the join."""
+    ranked = value_ranks(df.select(value), value, descending)
+    ranked = ranked.select("value", *[rank.alias(name) for name, rank in ranks.items()])
+    joined = df.join(ranked, F.col(value).eqNullSafe(F.col("value")))
+    return joined.select(*df.columns, *ranks)
+
+
+def _dense() -> Column:
+    return F.col("values_before") + 1
+
+
+def _percent() -> Column:
+    share = F.col("rows_before") / (F.col("rows_total") - 1)
+    return F.when(F.col("rows_total") > 1, share).otherwise(F.lit(0.0))
 
 
 def with_dense_rank(
     df: DataFrame, value: str, name: str, descending: bool = False
 ) -> DataFrame:
     """Add ``dense_rank`` over the whole table as a BIGINT column."""
-    return _attach(df, value, name, descending, F.col("values_before") + 1)
+    return _attach(df, value, descending, {name: _dense()})
 
 
 def with_percent_rank(
     df: DataFrame, value: str, name: str, descending: bool = False
 ) -> DataFrame:
     """Add ``percent_rank`` over the whole table as a DOUBLE column."""
-    rank = F.when(
-        F.col("rows_total") > 1, F.col("rows_before") / (F.col("rows_total") - 1)
-    ).otherwise(F.lit(0.0))
-    return _attach(df, value, name, descending, rank)
+    return _attach(df, value, descending, {name: _percent()})
+
+
+def with_both_ranks(df: DataFrame, value: str, dense: str, percent: str) -> DataFrame:
+    """Add ``dense``, from the largest value down, and ``percent``, from the smallest up.
+
+    One ranking serves both: counted from above, a value has the place that is left by
+    the values before it.
+    """
+    downwards = F.col("values_total") - F.col("values_before")
+    return _attach(df, value, False, {dense: downwards, percent: _percent()})
 
 
 def top_ranked(df: DataFrame, value: str, name: str, k: int) -> DataFrame:
     """Rows whose dense rank by ``value``, descending, is at most ``k``; ties all stay.
 
-    Only the ``k`` largest distinct values are looked up, and they are broadcast.
+    Only the ``k`` largest distinct values are looked up, and they are broadcast. No job
+    runs before the result is asked for.
     """
-    rows = keep(df, "ranked")
     best = (
-        rows.select(F.col(value).alias("value"))
+        df.select(F.col(value).alias("value"))
         .distinct()
         .orderBy(F.desc("value"))
         .limit(k)
         .select("value", F.row_number().over(W.orderBy(F.desc("value"))).cast("bigint").alias(name))
     )
-    joined = rows.join(F.broadcast(best), F.col(value).eqNullSafe(F.col("value")))
+    joined = df.join(F.broadcast(best), F.col(value).eqNullSafe(F.col("value")))
     return joined.select(*df.columns, name)
+
+
+def best_by_revenue(sales: DataFrame, ranks: int) -> DataFrame:
+    """Products on the first ``ranks`` revenue ranks, with ``revenue_rank``.
+
+    A stored ranking is filtered by the rank it has; other product frames are ranked.
+    """
+    if "revenue_rank" in sales.columns:
+        return sales.where(F.col("revenue_rank") <= ranks)
+    return top_ranked(sales, "total_revenue", "revenue_rank", ranks)

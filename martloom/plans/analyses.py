@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from martloom.functions import money
 from martloom.functions.columns import COMPLETED, LOW_STOCK, restock_priority, stock_status
-from martloom.operators.ranking import top_ranked, with_percent_rank
+from martloom.operators.ranking import best_by_revenue, with_percent_rank
 
 
 def late_deliveries_by_store(orders: DataFrame, stores: DataFrame) -> DataFrame:
@@ -97,8 +97,11 @@ def low_stock_analysis(sales: DataFrame, stocks: DataFrame, stores: DataFrame) -
 def stock_top_products(
     sales: DataFrame, stocks: DataFrame, stores: DataFrame, top: int = 3
 ) -> DataFrame:
-    """Stock per store of the products on the first ``top`` revenue ranks."""
-    best = top_ranked(sales, "cents", "revenue_rank", top)
+    """Stock per store of the products on the first ``top`` revenue ranks.
+
+    ``sales`` is a frame of sold products or the stored ranking of them.
+    """
+    best = best_by_revenue(sales, top)
     quantity = F.col("quantity")
     return (
         best.join(stocks, "product_id", "left")

@@ -1,9 +1,11 @@
 """Business figures read off the marts.
 
 Every function takes mart frames. Averages and shares round half away from zero. A
-share needs the grand total beside each row: the grouped result is written once and its
-total read back as a scalar, so nothing upstream runs twice and no window spans the
-table.
+share needs the grand total beside each row: it is a scalar subquery over the grouped
+rows, so no window spans the table and no job runs before the result is asked for.
+
+Products are read from the product frame or from the stored ranking, which knows the
+rank of every product and needs no look at the order lines.
 """
 
 from __future__ import annotations
@@ -16,8 +18,7 @@ from pyspark.sql import functions as F
 
 from martloom.functions import money
 from martloom.functions.columns import COMPLETED, LOW_STOCK, days_between, stock_status
-from martloom.operators.ranking import top_ranked, with_percent_rank
-from martloom.session import keep
+from martloom.operators.ranking import best_by_revenue, with_percent_rank
 
 # Queries whose rows name a customer stay internal; all others may be published.
 INTERNAL = frozenset({"customer_ltv", "top_customers"})
@@ -32,9 +33,8 @@ def _year(column: str):
 
 
 def _with_share(grouped: DataFrame, cents: str = "cents") -> DataFrame:
-    rows = keep(grouped, "grouped")
-    total = rows.agg(F.sum(cents)).scalar()
-    return rows.withColumn("revenue_share_pct", money.percent(F.col(cents), total))
+    total = grouped.agg(F.sum(cents)).scalar()
+    return grouped.withColumn("revenue_share_pct", money.percent(F.col(cents), total))
 
 
 def total_revenue(
@@ -66,7 +66,7 @@ def monthly_revenue_by_store(by_store: DataFrame) -> DataFrame:
 def top_products_by_revenue(sales: DataFrame, n: int = 10) -> DataFrame:
     """The ``n`` best sellers. Equal revenue is decided by product id."""
     return (
-        sales.orderBy(F.desc("cents"), "product_id")
+        sales.orderBy(F.desc("total_revenue"), "product_id")
         .limit(n)
         .select("product_id", "product_name", "brand_name", "category_name", "total_revenue")
     )
@@ -197,7 +197,7 @@ def category_unit_value(by_category: DataFrame) -> DataFrame:
 
 def best_ranked_products(sales: DataFrame, ranks: int = 5) -> DataFrame:
     """Products on the first ``ranks`` revenue ranks, ties included."""
-    return top_ranked(sales, "cents", "revenue_rank", ranks).select(
+    return best_by_revenue(sales, ranks).select(
         "revenue_rank",
         "product_id",
         "product_name",
@@ -211,9 +211,9 @@ def best_ranked_products(sales: DataFrame, ranks: int = 5) -> DataFrame:
 def brand_concentration(sales: DataFrame, ranks: int = 5) -> DataFrame:
     """How the first ``ranks`` revenue ranks spread over brands."""
     grouped = (
-        top_ranked(sales, "cents", "revenue_rank", ranks)
+        best_by_revenue(sales, ranks)
         .groupBy("brand_name")
-        .agg(F.count("*").alias("product_count"), F.sum("cents").alias("cents"))
+        .agg(F.count("*").alias("product_count"), _sum_dollars("total_revenue").alias("cents"))
     )
     return _with_share(grouped).select(
         "brand_name",

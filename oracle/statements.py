@@ -319,6 +319,23 @@ def _kpis() -> dict[str, str]:
                    percent_rank() OVER (ORDER BY order_revenue ASC NULLS FIRST)
                        AS revenue_percentile
             FROM mart_orders""",
+        "dq_failing_values": """
+            SELECT 'stg_orders' AS model, 'not_null' AS test, 'shipped_date' AS column_name,
+                   CAST(NULL AS VARCHAR) AS value, count(*) AS rows
+            FROM stg_orders WHERE shipped_date IS NULL HAVING count(*) > 0
+            UNION ALL
+            SELECT 'stg_orders', 'unique', 'customer_id', CAST(customer_id AS VARCHAR), count(*)
+            FROM stg_orders WHERE customer_id IS NOT NULL GROUP BY customer_id HAVING count(*) > 1
+            UNION ALL
+            SELECT 'stg_orders', 'accepted_values', 'order_status', CAST(order_status AS VARCHAR),
+                   count(*)
+            FROM stg_orders WHERE order_status NOT IN (1, 2, 3) GROUP BY order_status
+            UNION ALL
+            SELECT 'stg_customers', 'relationships', 'customer_id', CAST(customer_id AS VARCHAR),
+                   count(*)
+            FROM stg_customers WHERE customer_id NOT IN
+                (SELECT customer_id FROM stg_orders WHERE customer_id IS NOT NULL)
+            GROUP BY customer_id""",
     }
 
 

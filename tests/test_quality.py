@@ -132,3 +132,25 @@ def test_failing_rows_are_shown(make_sources):
     rule = next(r for r in checks.domain_rules() if r.model == "stg_stocks")
     rows = quality.failing_rows(checks.ModelFrames(models), rule).collect()
     assert [tuple(r) for r in rows] == [(1, 10, -4)]
+
+
+def test_failing_values_show_planted_violations(spark):
+    orders = spark.createDataFrame(
+        [(1, 4, 7), (1, 9, 7), (2, None, 8), (None, 9, None)], "id long, status long, parent long"
+    )
+    frames = {"orders": orders, "parents": spark.createDataFrame([(7,), (7,)], "id long")}
+    wanted = (
+        quality.Failing("not_null", "orders", "status"),
+        quality.Failing("unique", "orders", "id"),
+        quality.Failing("accepted_values", "orders", "status", accepted=(4,)),
+        quality.Failing("relationships", "orders", "parent", parent=("parents", "id")),
+    )
+    got = {(r.test, r.value, r.rows) for r in quality.failing_values(frames, wanted).collect()}
+    assert got == {
+        ("not_null", None, 1),
+        ("unique", "1", 2),
+        ("accepted_values", "9", 2),
+        ("relationships", "8", 1),
+    }
+    assert quality.orphan_rows(orders, "parent", frames["parents"], "id").first()["id"] == 2
+    assert quality.repeated_values(orders, "id", "status").count() == 0

@@ -5,7 +5,13 @@ from conftest import records
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from martloom.operators.ranking import top_ranked, value_ranks, with_dense_rank, with_percent_rank
+from martloom.operators.ranking import (
+    top_ranked,
+    value_ranks,
+    with_both_ranks,
+    with_dense_rank,
+    with_percent_rank,
+)
 
 
 @pytest.fixture
@@ -66,3 +72,20 @@ def test_no_row_of_the_input_passes_a_single_task(values):
     windows = [line for line in plan.splitlines() if " Window [" in line]
     single = [line for line in windows if "dense_rank" in line or "row_number" in line]
     assert single and all("[range#" in line for line in single)
+
+
+def test_one_ranking_serves_both_ways(many_ranges, values):
+    both = with_both_ranks(values, "v", "dense", "percent")
+    want = values.select(
+        "*",
+        F.dense_rank().over(W.orderBy(F.desc("v"))).cast("bigint").alias("dense"),
+        F.percent_rank().over(W.orderBy(F.asc("v"))).alias("percent"),
+    )
+    assert both.dtypes == want.dtypes and records(both) == records(want)
+
+
+def test_top_values_run_no_job_and_write_nothing(spark, values, monkeypatch):
+    from martloom.operators import ranking
+
+    monkeypatch.setattr(ranking, "keep", None)
+    assert top_ranked(values, "v", "rank", 3).count() > 0
