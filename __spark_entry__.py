@@ -20,7 +20,7 @@ from martloom.operators import quality, ranking  # noqa: E402
 from martloom.operators.tables import MonthlyTable  # noqa: E402
 from martloom.plans import checks, kpis, pipeline  # noqa: E402
 from martloom.plans.models import Models  # noqa: E402
-from martloom.session import local_trial, scratch_path  # noqa: E402
+from martloom.session import keep, local_trial, scratch_path  # noqa: E402
 from martloom.sources import from_testdata, with_tables  # noqa: E402
 from martloom.sources.testdata import SCHEMAS, orders_source  # noqa: E402
 from martloom.streaming.order_feed import start_order_feed  # noqa: E402
@@ -144,14 +144,35 @@ def orders_schema_sync(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def orders_stream(spark: SparkSession, folder: str) -> DataFrame:
-    """The order history filled from a stream of raw orders."""
+    """The order history from three deliveries with repeated and late updates.
+
+    First all orders, every third of them still open; then the open ones as they are now,
+    and some orders again; last, older news of every fifth order, which must change nothing.
+    """
     models = _models(spark, folder)
     table = MonthlyTable(spark, scratch_path(spark, "orders"))
-    # The pattern takes the table as one file or as a folder of files.
-    stream = spark.readStream.schema(SCHEMAS["orders"]).parquet(f"{folder}/orders.parquet*")
-    updates = orders_source(spark, folder, stream).withColumn("updated_at", F.col("order_date"))
-    feed = start_order_feed(updates, models.sources, table, scratch_path(spark, "feed"))
-    feed.awaitTermination()
+    news, progress = scratch_path(spark, "news"), scratch_path(spark, "feed")
+    totals = keep(models.order_totals, "totals")
+    raw = spark.read.schema(SCHEMAS["orders"]).parquet(f"{folder}/orders.parquet")
+    number = F.col("o_orderkey")
+    still_open = raw.withColumn("o_orderstatus", F.lit("O"))
+
+    def news_of(orders: DataFrame, sequence: int) -> DataFrame:
+        return orders.withColumn("updated_at", F.lit(sequence))
+
+    first = news_of(raw.where(number % 3 != 0), 10).unionAll(
+        news_of(still_open.where(number % 3 == 0), 10)
+    )
+    second = news_of(raw.where(number % 3 == 0), 20).unionAll(
+        news_of(raw.where((number % 3 != 0) & (number % 7 == 0)), 10)
+    )
+    for delivery in (first, second, news_of(still_open.where(number % 5 == 0), 5)):
+        delivery.write.mode("append").parquet(news)
+        stream = spark.readStream.schema(delivery.schema).parquet(news)
+        orders = orders_source(spark, folder, stream, "updated_at")
+        start_order_feed(
+            orders, models.sources, table, progress, order_totals=totals
+        ).awaitTermination()
     return table.read()
 
 

@@ -18,12 +18,15 @@ from martloom.sources.tables import with_tables
 class Models:
     """The pipeline as lazy frames.
 
-    Nothing runs until a frame is written or read, except that rankings write the table
-    they rank (see ``operators.ranking``).
+    Nothing runs until a frame is written or read, except that rankings write the distinct
+    values they rank (see ``operators.ranking``).
     """
 
-    def __init__(self, sources: Mapping[str, DataFrame]):
+    def __init__(self, sources: Mapping[str, DataFrame], order_totals: DataFrame | None = None):
+        """``order_totals`` are stored totals by order, used in place of the lines."""
         self.sources = sources
+        self._stored_totals = order_totals
+        self.facts_kept = False
 
     def for_orders(self, condition: Column) -> "Models":
         """The same pipeline over some orders only.
@@ -38,6 +41,7 @@ class Models:
     def keep_order_facts(self) -> None:
         """Write the order facts once, for runs that build several marts from them."""
         self.order_facts = keep(self.order_facts, "order-facts")
+        self.facts_kept = True
 
     # Staging
 
@@ -87,11 +91,15 @@ class Models:
     def priced_lines(self) -> DataFrame:
         return intermediate.priced_lines(self.stg_order_items)
 
+    @cached_property
+    def order_totals(self) -> DataFrame:
+        if self._stored_totals is not None:
+            return self._stored_totals
+        return intermediate.order_totals(self.priced_lines)
+
     @cached_property
     def order_facts(self) -> DataFrame:
-        return intermediate.order_facts(
-            self.stg_orders, intermediate.order_totals(self.priced_lines)
-        )
+        return intermediate.order_facts(self.stg_orders, self.order_totals)
 
     @cached_property
     def completed_orders(self) -> DataFrame:

@@ -38,10 +38,16 @@ def mart_path(base: str, env: str, name: str) -> str:
     return f"{base.rstrip('/')}/{env}/mart/{name}"
 
 
-def register_views(models: Models) -> None:
+def view_name(env: str, name: str) -> str:
+    """Environment, layer and model, so that no environment hides another's views."""
+    layer = "staging" if name in STAGING_VIEWS else "intermediate"
+    return f"{env}_{layer}_{name}"
+
+
+def register_views(models: Models, env: str = "dev") -> None:
     """Offer the staging and intermediate models to SQL as views."""
     for name in (*STAGING_VIEWS, *INTERMEDIATE_VIEWS):
-        getattr(models, name).createOrReplaceTempView(name)
+        getattr(models, name).createOrReplaceTempView(view_name(env, name))
 
 
 def refresh_orders(models: Models, table: MonthlyTable, full_refresh: bool = False) -> None:
@@ -57,7 +63,9 @@ def refresh_orders(models: Models, table: MonthlyTable, full_refresh: bool = Fal
         return
     cutoff = table.cutoff(LOOKBACK_DAYS)
     recent = F.lit(False) if cutoff is None else F.col("order_date") >= F.lit(cutoff)
-    table.merge(described("orders", models.for_orders(recent).orders))
+    # Kept facts hold the totals already; otherwise only the batch's lines are summed.
+    batch = models.orders.where(recent) if models.facts_kept else models.for_orders(recent).orders
+    table.merge(described("orders", batch))
 
 
 def build(
@@ -68,7 +76,7 @@ def build(
     full_refresh: bool = False,
 ) -> dict[str, SnapshotTable]:
     """Write all marts under ``base/env`` and return them by name."""
-    register_views(Models(sources))
+    register_views(Models(sources), env)
     orders = MonthlyTable(spark, mart_path(base, env, "orders"))
     tables = {name: SnapshotTable(spark, mart_path(base, env, name)) for name in TABLES}
     with temporary_tables(spark):

@@ -8,9 +8,10 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from martloom.operators.tables import MonthlyTable
+from martloom.operators.tables import SEQUENCE, MonthlyTable
 from martloom.plans.descriptions import described
 from martloom.plans.models import Models
+from martloom.session import keep, temporary_tables
 from martloom.sources.tables import with_tables
 
 
@@ -29,22 +30,34 @@ def start_order_feed(
     table: MonthlyTable,
     checkpoint: str,
     sequence: str = "updated_at",
+    order_totals: DataFrame | None = None,
 ) -> StreamingQuery:
     """Upsert a stream of raw order rows into ``table`` and stop when it is read.
 
     ``updates`` has the columns of the orders source and a ``sequence`` column that
-    grows with each change of an order. A batch that is delivered again after a failure
-    replaces its own rows, so the table ends the same.
+    grows with each change of an order. The table keeps it, so that an update which
+    arrives late never replaces a newer one. A batch that is delivered again after a
+    failure replaces its own rows, so the table ends the same.
+
+    ``order_totals`` are stored totals by order, as ``Models.order_totals`` has them. With
+    them a batch reads no order lines; without, it reads all lines for its own orders.
     """
 
     def apply(batch: DataFrame, _: int) -> None:
-        latest = newest_per_key(batch, "order_id", sequence).drop(sequence)
-        models = Models(with_tables(sources, orders=latest)).for_orders(F.lit(True))
-        rows = described("orders", models.orders)
-        if table.exists():
-            table.merge(rows)
-        else:
-            table.replace(rows)
+        with temporary_tables(batch.sparkSession):
+            latest = keep(newest_per_key(batch, "order_id", sequence), "updates")
+            changed = with_tables(sources, orders=latest.drop(sequence))
+            if order_totals is None:
+                models = Models(changed).for_orders(F.lit(True))
+            else:
+                models = Models(changed, order_totals)
+            numbers = latest.select("order_id", F.col(sequence).alias(SEQUENCE))
+            rows = described("orders", models.orders).join(numbers, "order_id")
+            rows = rows.select(*models.orders.columns, SEQUENCE)
+            if table.exists():
+                table.merge(rows)
+            else:
+                table.replace(rows)
 
     return (
         updates.writeStream.foreachBatch(apply)

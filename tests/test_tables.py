@@ -222,3 +222,16 @@ def test_replaced_table(spark, tmp_path):
     assert records(table.read()) == [(1,), (2,)]
     table.replace(spark.range(0))
     assert records(table.read()) == []
+
+
+def test_full_refresh_refuses_a_key_twice(spark, tmp_path):
+    table = MonthlyTable(spark, str(tmp_path / "dup"))
+    schema = "order_id long, order_date date, store_id long, order_status int"
+    row = (1, day("2016-01-10"), 1, 4)
+    with pytest.raises(DuplicateKeyError):
+        table.replace(spark.createDataFrame([row, row], schema))
+    assert not table.exists()
+    table.replace(spark.createDataFrame([row], schema))
+    with pytest.raises(DuplicateKeyError):
+        table.replace(spark.createDataFrame([row, row], schema))
+    assert table.read().count() == 1
