@@ -26,8 +26,8 @@ from martloom.session import keep
 
 PIVOTS = 64
 BLOCK_ROWS = 1024
-# Bound on the number of blocks, and so on their broadcast bounds (40 bytes a block):
-# with more rows, blocks become larger.
+# Bound on the number of full blocks, and so on their broadcast bounds (48 bytes a block;
+# pivots and partitions add a part-filled block each): with more rows, blocks grow.
 MOST_BLOCKS = 65_536
 QUERY_ROWS = 512
 SLACK = 1e-6
@@ -97,29 +97,24 @@ def build_index(vectors: DataFrame, pivots: dict[int, np.ndarray], block_rows: i
             )
 
     def packed(frames):
-        """Consecutive rows of one pivot; a block never crosses Arrow batches."""
-        part = _partition()
-        number = 0
+        """Consecutive rows of one pivot; rows wait across batches until a block is full."""
+        part, number = _partition(), 0
+        waiting = None
         for frame in frames:
-            for (dim, pivot), rows in frame.groupby(["dim", "pivot"], sort=True):
-                for at in range(0, len(rows), block_rows):
-                    some = rows.iloc[at : at + block_rows]
-                    matrix = _matrix(some["vector"])
-                    distance = some["distance"].to_numpy(dtype=np.float64)
-                    yield pd.DataFrame(
-                        {
-                            "block": [(part << 33) + number],
-                            "dim": [dim],
-                            "pivot": [pivot],
-                            "near": [distance[0]],
-                            "far": [distance[-1]],
-                            "norm": [float((matrix**2).sum(1).max())],
-                            "ids": [some["vec_id"].to_numpy(dtype=np.int64).tobytes()],
-                            "distances": [distance.tobytes()],
-                            "vectors": [matrix.tobytes()],
-                        }
-                    )
+            rows = frame if waiting is None else pd.concat([waiting, frame], ignore_index=True)
+            waiting = None
+            groups = list(rows.groupby(["dim", "pivot"], sort=True))
+            for at, ((dim, pivot), some) in enumerate(groups):
+                for begin in range(0, len(some), block_rows):
+                    block = some.iloc[begin : begin + block_rows]
+                    if at == len(groups) - 1 and len(block) < block_rows:
+                        waiting = block
+                        break
+                    yield _block((part << 33) + number, int(dim), int(pivot), block)
                     number += 1
+        if waiting is not None:
+            dim, pivot = waiting["dim"].iloc[0], waiting["pivot"].iloc[0]
+            yield _block((part << 33) + number, int(dim), int(pivot), waiting)
 
     order = ["dim", "pivot", "distance", "vec_id"]
     ordered = (
@@ -132,6 +127,24 @@ def build_index(vectors: DataFrame, pivots: dict[int, np.ndarray], block_rows: i
     return keep(ordered.mapInPandas(packed, _BLOCK), "annuli")
 
 
+def _block(number: int, dim: int, pivot: int, rows: pd.DataFrame) -> pd.DataFrame:
+    matrix = _matrix(rows["vector"])
+    distance = rows["distance"].to_numpy(dtype=np.float64)
+    return pd.DataFrame(
+        {
+            "block": [number],
+            "dim": [dim],
+            "pivot": [pivot],
+            "near": [distance[0]],
+            "far": [distance[-1]],
+            "norm": [float((matrix**2).sum(1).max())],
+            "ids": [rows["vec_id"].to_numpy(dtype=np.int64).tobytes()],
+            "distances": [distance.tobytes()],
+            "vectors": [matrix.tobytes()],
+        }
+    )
+
+
 def _partition() -> int:
     from pyspark import TaskContext
 
