@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from martloom.operators.tables import MonthlyTable, SnapshotTable
 from martloom.plans import checks
-from martloom.plans.descriptions import described
+from martloom.plans.descriptions import RELATIONS, described
 from martloom.plans.models import Models
 from martloom.session import temporary_tables
 
@@ -47,7 +47,7 @@ def view_name(env: str, name: str) -> str:
 def register_views(models: Models, env: str = "dev") -> None:
     """Offer the staging and intermediate models to SQL as views."""
     for name in (*STAGING_VIEWS, *INTERMEDIATE_VIEWS):
-        getattr(models, name).createOrReplaceTempView(view_name(env, name))
+        described(name, getattr(models, name)).createOrReplaceTempView(view_name(env, name))
 
 
 def refresh_orders(models: Models, table: MonthlyTable, full_refresh: bool = False) -> None:
@@ -77,8 +77,10 @@ def build(
 ) -> dict[str, SnapshotTable]:
     """Write all marts under ``base/env`` and return them by name."""
     register_views(Models(sources), env)
-    orders = MonthlyTable(spark, mart_path(base, env, "orders"))
-    tables = {name: SnapshotTable(spark, mart_path(base, env, name)) for name in TABLES}
+    orders = MonthlyTable(spark, mart_path(base, env, "orders"), comment=RELATIONS["orders"])
+    tables = {
+        name: SnapshotTable(spark, mart_path(base, env, name), RELATIONS[name]) for name in TABLES
+    }
     with temporary_tables(spark):
         models = Models(sources)
         # Three marts read the order facts of all orders: sum the lines once.

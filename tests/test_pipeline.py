@@ -156,6 +156,17 @@ def test_views_carry_environment_and_layer(spark, make_sources):
     assert spark.table("prod_intermediate_int_orders_enriched").count() == 1
 
 
+def test_every_mart_column_and_relation_has_a_text(spark, make_sources, tmp_path):
+    sources = make_sources(orders=[order(1)], order_items=ITEMS)
+    for name, table in pipeline.build(spark, sources, str(tmp_path), env="prod").items():
+        assert table.stored_comment()
+        bare = [f.name for f in table.read().schema if not f.metadata.get("comment")]
+        assert bare == [], (name, bare)
+    for name in (*pipeline.STAGING_VIEWS, *pipeline.INTERMEDIATE_VIEWS):
+        view = spark.table(pipeline.view_name("prod", name))
+        assert [f.name for f in view.schema if not f.metadata.get("comment")] == [], name
+
+
 def test_newest_per_key(spark):
     rows = [(1, "a", 1), (1, "b", 2), (2, "c", 1)]
     df = spark.createDataFrame(rows, "k int, v string, s int")
