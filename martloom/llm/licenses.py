@@ -30,7 +30,7 @@ BUCKET_BITS = 13
 SAMPLE = 4000
 COPIES = 40
 REGULARISATION, STEPS = 1e-3, 60
-# Part of a template's words, in the same order, that a paragraph must hold.
+# Part of a template's words, by weight and in the same order, that a paragraph must hold.
 LEAST_FIT = 0.6
 # Of ordinary paragraphs kept apart, at most this part may be taken for a licence.
 FALSE_ALARMS = 0.001
@@ -120,31 +120,37 @@ class Templates:
             self.words[name] = [
                 words.hashes[a:b].tolist() for a, b in zip(words.first[:-1], words.first[1:])
             ]
+        # A word counts less the more families use it: "license" tells none of them.
+        families = [{w for t in texts for w in t} for texts in self.words.values()]
+        every = set().union(*families)
+        self.weights = {w: 1.0 / sum(w in f for f in families) ** 2 for w in every}
         lists = [t for texts in self.words.values() for t in texts]
         self.pairs = {pair for t in lists for pair in zip(t, t[1:])}
 
     def fit(self, name: str, paragraph: list[int]) -> float:
-        """Largest part of a template's words that the paragraph holds in their order."""
-        return max((_in_order(t, paragraph) for t in self.words.get(name, ())), default=0.0)
+        """Largest part of a template's words, by weight, that the paragraph holds in order."""
+        templates = self.words.get(name, ())
+        return max((_in_order(t, paragraph, self.weights) for t in templates), default=0.0)
 
     def touches(self, paragraph: list[int]) -> bool:
         """Whether the paragraph shares two words in a row with any template."""
         return any(pair in self.pairs for pair in zip(paragraph, paragraph[1:]))
 
 
-def _in_order(template: list[int], paragraph: list[int]) -> float:
-    """Longest common subsequence of words, as part of the template."""
+def _in_order(template: list[int], paragraph: list[int], weights: dict[int, float]) -> float:
+    """Heaviest common subsequence of words, as part of the template."""
     known = set(template)
-    row = [0] * (len(template) + 1)
+    row = [0.0] * (len(template) + 1)
     for word in paragraph:
         if word not in known:
             continue
-        before = 0
+        before = 0.0
         for at, own in enumerate(template, 1):
             here = row[at]
-            row[at] = before + 1 if own == word else max(here, row[at - 1])
+            match = before + weights[own] if own == word else 0.0
+            row[at] = max(match, here, row[at - 1])
             before = here
-    return row[-1] / len(template)
+    return row[-1] / sum(weights[w] for w in template)
 
 
 def altered(templates: dict[str, list[str]], ordinary: list[str], seed: int) -> list[tuple]:
@@ -238,10 +244,14 @@ def train(docs: DataFrame, templates: dict[str, list[str]] | None = None) -> Sca
         if not known.touches(words.hashes[words.first[i] : words.first[i + 1]].tolist())
     ] or ["the text of a page"]
     labelled = altered(templates, ordinary, SEED) + [(ORDINARY, text) for text in ordinary]
-    order = np.random.default_rng(SEED).permutation(len(labelled))
-    held = [labelled[i] for i in order[: len(order) // 4]]
-    used = [labelled[i] for i in order[len(order) // 4 :]]
-    classes = sorted({label for label, _ in used})
+    classes = sorted({label for label, _ in labelled})
+    random = np.random.default_rng(SEED)
+    held, used = [], []
+    for name in classes:
+        own = [item for item in labelled if item[0] == name]
+        own = [own[i] for i in random.permutation(len(own))]
+        held += own[: len(own) // 4]
+        used += own[len(own) // 4 :]
     schema = T.StructType.fromDDL("label double, paragraph string")
     data = (
         spark.createDataFrame([(float(classes.index(a)), b) for a, b in used], schema)
@@ -253,7 +263,6 @@ def train(docs: DataFrame, templates: dict[str, list[str]] | None = None) -> Sca
         family="multinomial", maxIter=STEPS, regParam=REGULARISATION, standardization=False
     ).fit(data)
     scanner = Scanner(classes, model.coefficientMatrix.toArray(), model.interceptVector.toArray())
-    held = [(label, text) for label, text in held if label in classes]
     scanner.calibrate([text for _, text in held], [label for label, _ in held])
     return scanner
 

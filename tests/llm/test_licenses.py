@@ -7,8 +7,11 @@ from martloom.llm import licenses
 
 
 def test_template_fit_is_the_longest_common_order():
-    assert licenses._in_order([1, 2, 3, 4], [9, 1, 3, 8, 4]) == 0.75
-    assert licenses._in_order([1, 2], [2, 1]) == 0.5 and licenses._in_order([1], []) == 0.0
+    one = dict.fromkeys(range(10), 1.0)
+    assert licenses._in_order([1, 2, 3, 4], [9, 1, 3, 8, 4], one) == 0.75
+    assert licenses._in_order([1, 2], [2, 1], one) == 0.5
+    assert licenses._in_order([1], [], one) == 0.0
+    assert licenses._in_order([1, 2], [2], {1: 1.0, 2: 3.0}) == 0.75
 
 
 def prose(rng, n=12):
