@@ -8,9 +8,11 @@ number of ones in the XOR of two sketches estimates how many samples differ. Pai
 that the sketch finds near enough are confirmed on their full sets.
 
 No bucket is expanded into its pairs. Its members are compared block against block by
-array arithmetic. At first a class reports its best partner only, and confirmed partners form
-components: in a dense group, nearly all of it. A second round reports every pair near
-enough that still spans two components, so that no link is lost.
+array arithmetic, and only the components of near ones leave the task, as one edge per
+member. Joined over all buckets, these edges form clusters. Within a cluster the full
+sets are compared, again block against block, and again only the components of linked
+ones leave the task. Two linked documents that share a bucket are near by their sketches,
+so they are in one cluster and their sets are compared: no link is lost.
 """
 
 from __future__ import annotations
@@ -33,9 +35,14 @@ SKETCH_BITS = 1024
 # five standard errors of 128 samples.
 MARGIN = 0.2
 BLOCK = 512
+# Members of a block whose full sets are compared, sketches compared in one step, and
+# shingles counted in one step.
+SET_BLOCK = 128
+COMPARED, COLUMNS = 1 << 16, 1 << 13
 
 _SEEDS = np.random.default_rng(85).integers(1, 2**63, (SAMPLES, 2), dtype=np.uint64)
 
+_GROUP = ["group", "block1", "block2"]
 _SIGNATURE = (
     "doc_id long, n_shingles long, print1 long, print2 long, bands array<long>, sketch binary"
 )
@@ -141,90 +148,146 @@ def components(edges: DataFrame) -> DataFrame:
     return linked.unionAll(roots)
 
 
-def _pairs(rows: pd.DataFrame, best_only: bool) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Pairs of rows in different components that their sketches find near enough."""
-    left = rows[rows["side"] != 2]
-    right = rows[rows["side"] != 1]
-    if left.empty or right.empty:
-        return np.array([], np.int64), np.array([], np.int64), np.array([])
-    same = len(left) == len(rows) and len(right) == len(rows)
-    unpacked = lambda part: np.frombuffer(
-        b"".join(part["sketch"]), dtype=np.uint64
-    ).reshape(len(part), SKETCH_BITS // 64)
-    a, b = unpacked(left), unpacked(right)
-    a_size, b_size = left["n_shingles"].to_numpy(), right["n_shingles"].to_numpy()
-    a_part, b_part = left["component"].to_numpy(), right["component"].to_numpy()
-    a_node, b_node = left["node"].to_numpy(), right["node"].to_numpy()
-    least = PERCENT / 100 - MARGIN
-    found_a, found_b, found_s = [], [], []
-    step = max(1, (1 << 21) // max(1, len(right)))
-    for at in range(0, len(left), step):
-        rows_a = slice(at, at + step)
-        differing = np.zeros((len(a[rows_a]), len(b)), dtype=np.uint16)
-        for word in range(a.shape[1]):
-            differing += np.bitwise_count(a[rows_a, word][:, None] ^ b[:, word][None, :])
-        near = similarity(differing)
-        small = np.minimum(a_size[rows_a][:, None], b_size[None, :])
-        large = np.maximum(a_size[rows_a][:, None], b_size[None, :])
-        fits = (near >= least) & (small * 100 >= large * PERCENT)
-        fits &= a_part[rows_a][:, None] != b_part[None, :]
-        near = np.where(fits, near, -1.0)
-        if best_only:
-            for axis in (1,) if same else (1, 0):
-                top = near.argmax(axis)
-                i = np.arange(len(top)) if axis == 1 else top
-                j = top if axis == 1 else np.arange(len(top))
-                good = near[i, j] >= 0
-                found_a.append(a_node[rows_a][i[good]])
-                found_b.append(b_node[j[good]])
-                found_s.append(near[i[good], j[good]])
-        else:
-            i, j = np.nonzero(fits)
-            if same:
-                i, j = i[i + at < j], j[i + at < j]
-            found_a.append(a_node[rows_a][i])
-            found_b.append(b_node[j])
-            found_s.append(near[i, j])
-    return np.concatenate(found_a), np.concatenate(found_b), np.concatenate(found_s)
-
-
-def _candidates(members: DataFrame, best_only: bool) -> DataFrame:
-    """Candidate pairs of one round: ``members`` has bucket, blocks, node, component."""
-
-    def compare(rows: pd.DataFrame) -> pd.DataFrame:
-        a, b, near = _pairs(rows, best_only)
-        pairs = pd.DataFrame({"a": np.minimum(a, b), "b": np.maximum(a, b), "near": near})
-        return pairs.drop_duplicates(["a", "b"])
+class _Group:
+    """Columns of the rows that are compared, as arrays."""
+
+    def __init__(self, rows: pd.DataFrame):
+        self.side = rows["side"].to_numpy()
+        self.node = rows["node"].to_numpy()
+        self.size = rows["n_shingles"].to_numpy()
+        bits = np.frombuffer(b"".join(rows["sketch"]), dtype=np.uint64)
+        self.sketch = bits.reshape(len(rows), SKETCH_BITS // 64)
+        self.shingles = rows["shingles"].tolist() if "shingles" in rows else None
+        if self.shingles is not None:
+            self.size = np.array([len(s) for s in self.shingles])
+
+    def near(self, a: np.ndarray, b: np.ndarray) -> np.ndarray:
+        """Whether the sketches of rows ``a`` and ``b`` let them be linked."""
+        differing = np.bitwise_count(self.sketch[a] ^ self.sketch[b]).sum(-1, dtype=np.int64)
+        small, large = np.minimum(self.size[a], self.size[b]), np.maximum(self.size[a], self.size[b])
+        fits = similarity(differing) >= PERCENT / 100 - MARGIN
+        return fits & (small * 100 >= large * PERCENT)
+
+    def linked(self, rows: np.ndarray) -> np.ndarray:
+        """Whether the full sets of any two of ``rows`` reach the threshold.
+
+        Rows times the shingles that two or more of them hold: the product of this table
+        with itself counts what each two have in common.
+        """
+        sets = [self.shingles[r] for r in rows]
+        owner = np.repeat(np.arange(len(rows)), [len(s) for s in sets])
+        _, column, held = np.unique(np.concatenate(sets), return_inverse=True, return_counts=True)
+        shared = held[column] > 1
+        owner, column = owner[shared], column[shared]
+        order = np.argsort(column, kind="stable")
+        owner, column = owner[order], np.cumsum(np.diff(column[order], prepend=-1) > 0) - 1
+        common = np.zeros((len(rows), len(rows)))
+        cuts = np.searchsorted(column, np.arange(0, column.max(initial=-1) + 2, COLUMNS))
+        for begin, end in zip(cuts, np.append(cuts[1:], len(column))):
+            table = np.zeros((len(rows), COLUMNS), dtype=np.float32)
+            table[owner[begin:end], column[begin:end] % COLUMNS] = 1.0
+            common += table @ table.T
+        size = self.size[rows]
+        return common * 100 >= (size[:, None] + size[None, :] - common) * PERCENT
+
+    def stars(self, begin: int, end: int) -> tuple[np.ndarray, np.ndarray]:
+        """Components of the rows of one group: the first row and each other one.
+
+        Rows are near by their sketches and, where there are sets, linked by these. Rows
+        of two blocks are compared across blocks only.
+        """
+        rows = np.arange(begin, end)
+        meets = np.zeros((len(rows), len(rows)), dtype=bool)
+        step = max(1, COMPARED // len(rows))
+        for at in range(0, len(rows), step):
+            meets[at : at + step] = self.near(rows[at : at + step, None], rows[None, :])
+        side = self.side[rows]
+        meets &= (side[:, None] != side[None, :]) | (side[:, None] == 0)
+        if self.shingles is not None and meets.any():
+            meets &= self.linked(rows)
+        root = np.full(len(rows), -1)
+        for first in range(len(rows)):
+            if root[first] >= 0:
+                continue
+            root[first] = first
+            reached = np.array([first])
+            while len(reached):
+                reached = np.flatnonzero(meets[reached].any(0) & (root < 0))
+                root[reached] = first
+        other = np.flatnonzero(root != np.arange(len(rows)))
+        return self.node[rows[root[other]]], self.node[rows[other]]
+
+
+def _found(rows: pd.DataFrame, starts: np.ndarray) -> pd.DataFrame:
+    """Edges between the rows of each group that begins at one of ``starts``."""
+    group = _Group(rows)
+    ends = np.append(starts[1:], len(rows))
+    pairs = [(np.array([], dtype=np.int64), np.array([], dtype=np.int64))]
+    single = ends - starts > 2
+    if group.shingles is None:
+        # Groups of two, which are the most, at once: of one block, or one of each.
+        two = starts[ends - starts == 2]
+        two = two[np.isin(group.side[two] + group.side[two + 1], (0, 3))]
+        two = two[group.near(two, two + 1)]
+        pairs.append((group.node[two], group.node[two + 1]))
+    else:
+        single = ends - starts > 1
+    pairs += [group.stars(b, e) for b, e in zip(starts[single], ends[single])]
+    a, b = (np.concatenate(x) for x in zip(*pairs))
+    return pd.DataFrame({"a": np.minimum(a, b), "b": np.maximum(a, b)}).drop_duplicates()
+
+
+def _compare(frames):
+    """Edges of rows that come sorted by group; a group may cross batches."""
+    rest = None
+    for frame in frames:
+        rows = frame if rest is None else pd.concat([rest, frame], ignore_index=True)
+        keys = rows[_GROUP].to_numpy()
+        starts = np.flatnonzero(np.append(True, (keys[1:] != keys[:-1]).any(1)))
+        rest = rows.iloc[starts[-1] :]
+        if len(starts) > 1:
+            yield _found(rows.iloc[: starts[-1]], starts[:-1])
+    if rest is not None and len(rest):
+        yield _found(rest, np.array([0]))
+
+
+def _edges(members: DataFrame) -> DataFrame:
+    """Edges among the members of each group: ``members`` has group, blocks, node.
 
+    A group is cut into blocks; every block is compared with itself and with each other.
+    """
     own = F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int")
     others = F.sequence(F.lit(0), F.col("blocks") - 1)
-    placed = (
-        members.withColumn("own", own)
-        .withColumn("other", F.explode(others))
-        .select(
-            "bucket",
-            F.least("own", "other").alias("block1"),
-            F.greatest("own", "other").alias("block2"),
-            F.when(F.col("own") == F.col("other"), 0)
-            .when(F.col("own") < F.col("other"), 1)
-            .otherwise(2)
-            .alias("side"),
-            "node",
-            "component",
-            "n_shingles",
-            "sketch",
-        )
+    placed = members.withColumn("own", own).withColumn("other", F.explode(others)).select(
+        "group",
+        F.least("own", "other").alias("block1"),
+        F.greatest("own", "other").alias("block2"),
+        F.when(F.col("own") == F.col("other"), 0)
+        .when(F.col("own") < F.col("other"), 1)
+        .otherwise(2)
+        .alias("side"),
+        *[c for c in members.columns if c not in ("group", "blocks")],
     )
-    return placed.groupBy("bucket", "block1", "block2").applyInPandas(
-        compare, "a long, b long, near double"
+    return (
+        placed.repartition(*_GROUP)
+        .sortWithinPartitions(*_GROUP)
+        .mapInPandas(_compare, "a long, b long")
+        .distinct()
     )
 
 
-def _linked(docs: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
-    """Classes of equal sets, components of first links, and how later links join those.
+def _groups(placed: DataFrame, block: int) -> DataFrame:
+    """Groups of two or more of ``placed`` (group, node) and their number of blocks."""
+    counted = placed.groupBy("group").agg(F.count("*").alias("members"))
+    blocks = F.ceil(F.col("members") / block).cast("int").alias("blocks")
+    return counted.where("members > 1").select("group", blocks)
+
 
-    ``docs`` has doc_id and text. A class is doc_id, n_shingles and ``node``, the smallest
-    doc_id of the class; documents without words have none.
+def _linked(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Classes of equal sets (doc_id, n_shingles, node) and components of their nodes.
+
+    ``docs`` has doc_id and text. ``node`` is the smallest doc_id of the class; documents
+    without words have none.
     """
     texts = docs.select(carried(), "text")
     signed = keep(texts.mapInPandas(_signed, _SIGNATURE), "signatures")
@@ -242,74 +305,24 @@ def _linked(docs: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
         .select(F.col("doc_id").alias("node"), "n_shingles", "bands", "sketch"),
         "nodes",
     )
-    banded = nodes.select(
-        "node", "n_shingles", F.posexplode("bands").alias("band", "key")
-    ).select("node", "n_shingles", F.xxhash64("band", "key").alias("bucket"))
-    shared = (
-        banded.groupBy("bucket")
-        .agg(F.count("*").alias("members"))
-        .where("members > 1")
-        .select("bucket", F.ceil(F.col("members") / BLOCK).cast("int").alias("blocks"))
-    )
-    met = keep(banded.select("bucket", "node").join(shared, "bucket"), "buckets")
-    wanted = met.select("node").distinct()
-    sketches = nodes.drop("bands").join(wanted, "node")
-    sets = keep(
-        texts.join(wanted, texts["doc_id"] == wanted["node"], "left_semi").mapInPandas(
-            _sets, "doc_id long, shingles array<long>"
-        ),
-        "sets",
+    banded = nodes.select("node", F.posexplode("bands").alias("band", "key")).select(
+        F.xxhash64("band", "key").alias("group"), "node"
     )
-    described = sketches.withColumn("component", F.col("node"))
-    found = _candidates(met.join(described, "node"), best_only=True)
-    # Several buckets and blocks name a partner for a node: the best one is enough.
-    best = (
-        found.select(F.explode(F.array("a", "b")).alias("end"), "a", "b", "near")
-        .groupBy("end")
-        .agg(F.max_by(F.struct("a", "b"), F.struct("near", "a", "b")).alias("pair"))
+    met = keep(banded.join(_groups(banded, BLOCK), "group"), "buckets")
+    sketches = nodes.select("node", "n_shingles", "sketch")
+    near = keep(_edges(met.join(sketches, "node")), "near")
+    clusters = keep(
+        components(near).select("node", F.col("component").alias("group")), "clusters"
     )
-    checked = keep(_confirmed(best.select("pair.a", "pair.b").distinct(), sets), "checked")
-    parts = keep(components(checked.where("linked")), "parts")
-    described = (
-        sketches.join(parts, "node", "left")
-        .withColumn("component", F.coalesce("component", "node"))
+    sets = texts.join(clusters, texts["doc_id"] == clusters["node"], "left_semi").mapInPandas(
+        _sets, "doc_id long, shingles array<long>"
     )
-    members = met.join(described, "node")
-    # Buckets within one component have nothing left to find.
-    spanning = (
-        members.groupBy("bucket")
-        .agg(F.min("component").alias("low"), F.max("component").alias("high"))
-        .where("low <> high")
-        .select("bucket")
-    )
-    rest = _candidates(members.join(spanning, "bucket"), best_only=False)
-    rest = rest.select("a", "b").distinct().join(checked, ["a", "b"], "left_anti")
-    late = keep(_confirmed(rest, sets).where("linked"), "late")
-    part_of = lambda end: parts.select(F.col("node").alias(end), F.col("component").alias(f"{end}c"))
-    between = (
-        late.join(part_of("a"), "a", "left")
-        .join(part_of("b"), "b", "left")
-        .select(F.coalesce("ac", "a").alias("a"), F.coalesce("bc", "b").alias("b"))
-    )
-    merged = components(between).select(
-        F.col("node").alias("component"), F.col("component").alias("merged")
-    )
-    return membership, parts, merged
-
-
-def _confirmed(pairs: DataFrame, sets: DataFrame) -> DataFrame:
-    """``pairs`` with ``linked``: whether their full sets reach the threshold."""
-    left = sets.select(F.col("doc_id").alias("a"), F.col("shingles").alias("sa"))
-    right = sets.select(F.col("doc_id").alias("b"), F.col("shingles").alias("sb"))
-    common = F.size(F.array_intersect("sa", "sb"))
-    union = F.size("sa") + F.size("sb") - common
-    return (
-        pairs.join(left, "a")
-        .join(right, "b")
-        .select("a", "b", (common * 100 >= union * PERCENT).alias("linked"))
-        .groupBy("a", "b")
-        .agg(F.max("linked").alias("linked"))
+    members = (
+        clusters.join(_groups(clusters, SET_BLOCK), "group")
+        .join(sketches, "node")
+        .join(sets.withColumnRenamed("doc_id", "node"), "node")
     )
+    return membership, components(_edges(members))
 
 
 def near_duplicates(docs: DataFrame) -> DataFrame:
@@ -319,19 +332,13 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     Rows without doc_id are linked with nothing: their component and ``kept`` are null.
     Rows that share a doc_id are one node. An empty table gives an empty result.
     """
-    membership, parts, merged = _linked(docs)
-    own = F.coalesce("merged", "component", "node", "doc_id")
-    return (
-        restored(membership)
-        .join(parts, "node", "left")
-        .withColumn("component", F.coalesce("component", "node"))
-        .join(merged, "component", "left")
-        .select(
-            "doc_id",
-            F.col("n_shingles").cast("long").alias("n_shingles"),
-            own.alias("component_id"),
-            (F.col("doc_id") == own).alias("kept"),
-        )
+    membership, parts = _linked(docs)
+    own = F.coalesce("component", "node", "doc_id")
+    return restored(membership).join(parts, "node", "left").select(
+        "doc_id",
+        F.col("n_shingles").cast("long").alias("n_shingles"),
+        own.alias("component_id"),
+        (F.col("doc_id") == own).alias("kept"),
     )
 
 
