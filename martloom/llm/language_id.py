@@ -130,7 +130,7 @@ class Machines:
         """Margin of every machine for every text, and the number of n-grams."""
         out = np.zeros((len(self.names), len(texts)))
         counts = np.zeros(len(texts), dtype=np.int64)
-        for some in text_slices(texts):
+        for some in text_slices(texts, 1_000_000):
             bucket, owner, total = features(texts[some])
             counts[some] = total
             for row, (weights, offset) in enumerate(zip(self.weights, self.offsets)):
