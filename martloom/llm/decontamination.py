@@ -1,9 +1,9 @@
-"""Benchmark passages in training documents: rare n-gram seeds, then local alignment.
+"""Benchmark passages in training documents: n-gram seeds, then local alignment.
 
-Seeds: of every ``WINDOW`` consecutive n-grams of a test item, the one that the fewest
-documents hold. A seed is chosen wherever the item's words are common, too, so that no
-count decides whether a copy can be found. Documents that hold a seed are aligned with
-the item by Smith-Waterman on words; the score is the part of the item's full score that
+Seeds: every n-gram of a test item. A choice among them, also of the rarest, can name
+those that an edited copy has lost while another document holds them, so that no count
+decides whether a copy can be found. Documents that hold a seed are aligned with the
+item by Smith-Waterman on words; the score is the part of the item's full score that
 the best local alignment reaches, so that edited copies are found as well.
 """
 
@@ -20,7 +20,6 @@ from martloom.llm.tables import carried, filtered, read_table, restored
 from martloom.llm.words import grams, split_words, text_slices
 
 SEED_WORDS = 3
-WINDOW = 3
 MATCH, MISMATCH, GAP = 2, -1, -1
 LEAST_SCORE = 0.5
 # An alignment of fewer matches is a copy only if it covers its whole item.
@@ -66,25 +65,19 @@ class Items:
             hashes[a:b][whole[a:b]] for a, b in zip(words.first[:-1], words.first[1:])
         ]
 
-    def all_grams(self) -> np.ndarray:
-        return np.unique(np.concatenate([np.array([], dtype=np.uint64), *self.grams]))
-
-    def seeds(self, counts: dict[int, int]) -> dict[int, list[tuple[int, int]]]:
-        """Places (item, word) of the rarest n-gram of every window."""
-        out: dict[int, list[tuple[int, int]]] = {}
-        for item, own in enumerate(self.grams):
-            chosen = set()
-            ranks = [(counts.get(int(g), 0), int(g), at) for at, g in enumerate(own)]
-            for begin in range(max(1, len(ranks) - WINDOW + 1)):
-                window = ranks[begin : begin + WINDOW]
-                if window:
-                    chosen.add(min(window)[1:])
-            for gram, _ in chosen:
-                for at in np.flatnonzero(own == np.uint64(gram)):
-                    place = (item, int(at))
-                    if place not in out.setdefault(gram, []):
-                        out[gram].append(place)
-        return out
+    def seeds(self) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        """All n-grams in order; where each begins in the places that follow: item and word."""
+        sizes = [len(own) for own in self.grams]
+        item = np.repeat(np.arange(len(sizes), dtype=np.int32), sizes)
+        word = np.concatenate([np.array([], dtype=np.int32), *map(_numbers, sizes)])
+        hashes = np.concatenate([np.array([], dtype=np.uint64), *self.grams])
+        order = np.argsort(hashes, kind="stable")
+        wanted, first = np.unique(hashes[order], return_index=True)
+        return wanted, np.append(first, len(hashes)), item[order], word[order]
+
+
+def _numbers(n: int) -> np.ndarray:
+    return np.arange(n, dtype=np.int32)
 
 
 def _holding(texts: list[str | None], wanted: np.ndarray):
@@ -136,9 +129,10 @@ def leaks(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     are reported once each. An empty table on either side gives no row.
     """
     rows = docs.select(carried(), "text")
-    found = docs.sparkSession.createDataFrame([], _FOUND)
+    spark = docs.sparkSession
+    found = spark.createDataFrame([], _FOUND)
     for items in _slices(benchmark):
-        known = _prepared(rows, items)
+        known = _prepared(spark, items)
         if known is not None:
             found = found.unionAll(rows.mapInPandas(_aligned(known), _FOUND))
     found = restored(found)
@@ -148,7 +142,7 @@ def leaks(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
 def without_leaks(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """Rows of ``docs``, with all their columns, that hold no test item."""
     for items in _slices(benchmark):
-        known = _prepared(docs.select("text"), items)
+        known = _prepared(docs.sparkSession, items)
         if known is not None:
             docs = filtered(docs, _clean(known))
     return docs
@@ -164,34 +158,12 @@ def _slices(benchmark: DataFrame) -> Iterator[Items]:
         yield Items([r["item_id"] for r in rows], [r["text"] for r in rows])
 
 
-def _prepared(docs: DataFrame, items: Items):
+def _prepared(spark: SparkSession, items: Items):
     """Broadcast of the seeds of ``items`` and their places; none without seeds."""
-    spark = docs.sparkSession
-    wanted = items.all_grams()
-    if not len(wanted):
+    seeds = items.seeds()
+    if not len(seeds[0]):
         return None
-    sent = spark.sparkContext.broadcast(wanted)
-
-    def held(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        """For every n-gram of the items, the documents of a partition that hold it."""
-        total = np.zeros(len(sent.value), dtype=np.int64)
-        for frame in frames:
-            for part in text_slices(frame["text"]):
-                texts = frame["text"].iloc[part].tolist()
-                _, text, _, gram = _holding(texts, sent.value)
-                once = np.unique(gram * np.int64(len(texts)) + text) // len(texts)
-                total += np.bincount(once, minlength=len(total))
-        some = np.flatnonzero(total)
-        yield pd.DataFrame({"gram": sent.value[some].astype(np.int64), "docs": total[some]})
-
-    counts = (
-        docs.mapInPandas(held, "gram long, docs long").groupBy("gram").agg(F.sum("docs")).collect()
-    )
-    # At most one count per n-gram of the slice.
-    seeds = items.seeds({row[0] % 2**64: row[1] for row in counts})
-    return spark.sparkContext.broadcast(
-        (np.array(sorted(seeds), dtype=np.uint64), seeds, items.ids, items.words)
-    )
+    return spark.sparkContext.broadcast((*seeds, items.ids, items.words))
 
 
 def _alignments(texts: list[str | None], known) -> list[tuple]:
@@ -204,11 +176,12 @@ def _alignments(texts: list[str | None], known) -> list[tuple]:
 
 
 def _alignments_of(texts: list[str | None], known) -> list[tuple]:
-    rare, places_of, ids, item_words = known.value
-    words, text, hits, gram = _holding(texts, rare)
+    wanted, begin, item_of, seed_of, ids, item_words = known.value
+    words, text, hits, gram = _holding(texts, wanted)
     meets: dict[tuple[int, int], list[tuple[int, int]]] = {}
     for t, hit, g in zip(text, hits, gram):
-        for item, seed in places_of[int(rare[g])]:
+        places = slice(begin[g], begin[g + 1])
+        for item, seed in zip(item_of[places].tolist(), seed_of[places].tolist()):
             meets.setdefault((t, item), []).append((hit - words.first[t], seed))
     out = []
     for (t, item), places in meets.items():

@@ -92,3 +92,28 @@ def test_smallest_table_equals_all_alignments(spark):
                 want.add((doc_id, item_id))
     got = rows_of(dc.op5_seed_alignment(spark, f"{TESTDATA}/sf0.001"))
     assert {(r["doc_id"], r["item_id"]) for r in got} == want and want
+
+
+def test_copies_with_every_fourth_or_fifth_word_changed(spark, make_docs):
+    """As all alignments find them: one copy in the corpus, and another that is intact."""
+    rng = random.Random(5)
+    forms = [(n, step, first) for n in (16, 30, 59) for step in (4, 5) for first in range(step)]
+    items = [prose(rng, n) for n, _, _ in forms]
+    rows = []
+    for i, (words, (_, step, first)) in enumerate(zip(items, forms)):
+        copy = [f"x{rng.randrange(10**9)}" if at % step == first else w for at, w in enumerate(words)]
+        rows.append((i, " ".join([*prose(rng, 60), *copy, *prose(rng, 50)])))
+    benchmark = benchmark_of(spark, [(i, " ".join(w), "", "") for i, w in enumerate(items)])
+    known = dc.Items(list(range(len(items))), [" ".join(w) for w in items])
+    intact = [(900 + i, " ".join(words)) for i, words in enumerate(items)]
+    for docs in (rows, rows + intact):
+        words = dc.split_words([t for _, t in docs], lower=True, marks=False)
+        want = {
+            (doc_id, i)
+            for (doc_id, _), a, b in zip(docs, words.first[:-1], words.first[1:])
+            for i, item in enumerate(known.words)
+            if dc.align(item, words.hashes[a:b])[0] >= dc.needed(len(item))
+        }
+        assert {(i, i) for i in range(len(items))} <= want
+        found = rows_of(dc.leaks(make_docs(docs), benchmark))
+        assert {(r["doc_id"], r["item_id"]) for r in found} == want
