@@ -18,6 +18,9 @@ from martloom.llm import decontamination, language_id, mixing, neardup, sharding
 from martloom.llm.tables import prepared, read_table
 from martloom.session import keep, local_trial
 
+# Part of the clean tokens that the mixture draws at least.
+LEAST_SAMPLE = 0.2
+
 
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents in a language that is told from their text."""
@@ -45,8 +48,12 @@ def decontaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
 
 def mixed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """A sample whose tokens have the target shares of source, language and topic."""
-    drawn = mixing.mix(docs, mixing.document_dimensions())
+    """A sample whose tokens have the target shares of source, language and topic.
+
+    Where rare values would leave less than ``LEAST_SAMPLE`` of the tokens, that much is
+    drawn, with those values as far as they reach.
+    """
+    drawn = mixing.mix(docs, mixing.document_dimensions(), least=LEAST_SAMPLE)
     return drawn.where("sampled").select(*docs.columns)
 
 

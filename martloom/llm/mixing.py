@@ -5,6 +5,10 @@ values. Each sweep scales the cells to the target shares of one dimension after
 other. The ratio of fitted to counted tokens, divided by the largest ratio, is the
 probability of a document: the expected tokens of the sample then have the fitted
 marginals, and no larger sample has them without drawing a document twice.
+
+One rare cell can thus fix the size of the whole sample. Where a least size is asked for
+and that sample is smaller, cells are drawn whole at most, the others are raked again for
+the rest, and ``lacks`` tells what is missing from the targets.
 """
 
 from __future__ import annotations
@@ -83,6 +87,79 @@ def rake(
     return fitted
 
 
+def capped_needs(
+    cells: DataFrame, name: str, target: DataFrame, total: float
+) -> DataFrame:
+    """Tokens to draw of every value of ``name``, ``total`` in all and no more than there are.
+
+    What a value lacks is spread over the others in proportion to their shares.
+    """
+    values = keep(
+        cells.groupBy(name).agg(F.sum("tokens").alias("tokens")).join(target, name), "values"
+    )
+    level, full = 0.0, -1
+    while True:
+        capped = F.col("tokens") <= F.lit(level) * F.col("share")
+        now = values.agg(
+            F.count_if(capped).alias("full"),
+            F.sum(F.when(capped, F.col("tokens")).otherwise(0)).alias("taken"),
+            F.sum(F.when(capped, 0.0).otherwise(F.col("share"))).alias("open"),
+        ).first()
+        if now["full"] in (None, full) or not now["open"]:
+            break
+        full, level = now["full"], (total - now["taken"]) / now["open"]
+    return values.select(
+        name, F.least(F.col("tokens"), F.lit(level) * F.col("share")).alias("need")
+    )
+
+
+def rake_within(
+    cells: DataFrame, targets: dict[str, DataFrame], total: float, sweeps: int = SWEEPS
+) -> DataFrame:
+    """``cells`` with ``fitted`` tokens, ``total`` in all and in no cell more than it has.
+
+    Cells that would need more are taken whole and the others raked for what is left,
+    until no cell is added; each round adds one at least. Values without a target get
+    nothing.
+    """
+    needs = {n: keep(capped_needs(cells, n, t, total), "needs") for n, t in targets.items()}
+    tokens = F.col("tokens").cast("double")
+    fitted = cells.withColumns({"fitted": tokens, "whole": F.lit(False)})
+    for name, need in needs.items():
+        fitted = fitted.join(need.select(name), name, "left_semi")
+    fitted, whole = keep(fitted, "cells"), 0
+    while True:
+        for sweep in range(sweeps):
+            for name, need in needs.items():
+                free = F.when(F.col("whole"), 0.0).otherwise(F.col("fitted"))
+                taken = F.when(F.col("whole"), F.col("fitted")).otherwise(0.0)
+                factors = (
+                    fitted.groupBy(name)
+                    .agg(F.sum(free).alias("free"), F.sum(taken).alias("taken"))
+                    .join(need, name)
+                    .where("free > 0")
+                    .select(name, (F.greatest(F.col("need") - F.col("taken"), F.lit(0.0))
+                                   / F.col("free")).alias("factor"))
+                )
+                scaled = F.col("fitted") * F.coalesce("factor", F.lit(0.0))
+                fitted = fitted.join(factors, name, "left").withColumn(
+                    "fitted", F.when(F.col("whole"), F.col("fitted")).otherwise(scaled)
+                ).drop("factor")
+            fitted = keep(fitted, f"sweep{sweep}")
+        over = F.col("whole") | ((F.col("fitted") >= tokens) & (tokens > 0))
+        fitted = keep(
+            fitted.withColumn("whole", over).withColumn(
+                "fitted", F.when(F.col("whole"), tokens).otherwise(F.col("fitted"))
+            ),
+            "whole",
+        )
+        before, whole = whole, fitted.where("whole").count()
+        if whole == before:
+            rest = fitted.drop("whole")
+            missing = cells.join(rest, list(targets), "left_anti")
+            return rest.unionByName(missing.withColumn("fitted", F.lit(0.0)))
+
+
 def draw(column: str, seed: str) -> Column:
     """A number from 0 up to 1 that depends on the value and the seed alone."""
     text = F.concat(F.lit(seed + ":"), F.coalesce(F.col(column).cast("string"), F.lit("")))
@@ -96,6 +173,7 @@ def mix(
     powers: dict[str, float] | None = None,
     id_column: str = "doc_id",
     seed: str = SEED,
+    least: float = 0.0,
 ) -> DataFrame:
     """``docs`` with ``mix_<dimension>``, ``n_tokens``, ``probability`` and ``sampled``.
 
@@ -103,7 +181,9 @@ def mix(
     of ``mix_<dimension>`` and ``share``, or else follow from ``powers``. Documents
     without tokens get the probability of their cell; where a cell has no tokens it is
     0. Rows that share an id share their draw; rows without id share one as well.
-    Columns of these names are replaced.
+    Columns of these names are replaced. Where the sample with the exact targets has
+    fewer than ``least`` of all tokens in expectation, that many are drawn: rare cells
+    whole, the others as near to the targets as they allow.
     """
     powers = powers or POWERS
     names = [f"mix_{d}" for d in dimensions]
@@ -121,13 +201,18 @@ def mix(
             for d in dimensions
         }
     fitted = rake(cells, targets)
-    ratio = F.when(F.col("tokens") > 0, F.col("fitted") / F.col("tokens")).otherwise(0.0)
-    rated = fitted.select(*[F.col(n).alias(f"__{n}") for n in names], ratio.alias("ratio"))
+    rated = fitted.select(*[F.col(n).alias(f"__{n}") for n in names], _per_token().alias("ratio"))
     largest = rated.agg(F.nullif(F.max("ratio"), F.lit(0.0))).scalar()
-    rates = rated.select(
-        *[f"__{n}" for n in names],
-        F.coalesce(F.col("ratio") / largest, F.lit(0.0)).alias("probability"),
-    )
+    chance = F.coalesce(F.col("ratio") / largest, F.lit(0.0))
+    if least:
+        size = fitted.agg(F.sum("tokens"), F.sum("fitted") / F.max(_per_token())).first()
+        if size[0] and size[1] and size[1] < least * size[0]:
+            fitted = rake_within(cells, targets, least * size[0])
+            rated = fitted.select(
+                *[F.col(n).alias(f"__{n}") for n in names], _per_token().alias("ratio")
+            )
+            chance = F.least(F.col("ratio"), F.lit(1.0))
+    rates = rated.select(*[f"__{n}" for n in names], chance.alias("probability"))
     same = [F.col(n) == F.col(f"__{n}") for n in names]
     return counted.join(rates, same).select(
         *given, *names, "n_tokens", "probability",
@@ -135,6 +220,34 @@ def mix(
     )
 
 
+def _per_token() -> Column:
+    return F.when(F.col("tokens") > 0, F.col("fitted") / F.col("tokens")).otherwise(0.0)
+
+
+def lacks(mixed: DataFrame, targets: dict[str, DataFrame]) -> DataFrame:
+    """dimension, value, wanted, expected and lacking tokens of every target value.
+
+    Wanted is the value's share of the tokens that ``mixed``, a result of ``mix``, is
+    expected to draw.
+    """
+    drawn = F.col("n_tokens") * F.col("probability")
+    total = mixed.agg(F.sum(drawn)).scalar()
+    parts = []
+    for name, target in targets.items():
+        got = mixed.groupBy(name).agg(F.sum(drawn).alias("expected"))
+        wanted = (F.col("share") * total).alias("wanted")
+        expected = F.coalesce("expected", F.lit(0.0)).alias("expected")
+        rows = target.join(got, name, "left").select(
+            F.lit(name).alias("dimension"), F.col(name).alias("value"), wanted, expected
+        )
+        short = F.greatest(F.col("wanted") - F.col("expected"), F.lit(0.0))
+        parts.append(rows.withColumn("lacking", short))
+    out = parts[0]
+    for part in parts[1:]:
+        out = out.unionAll(part)
+    return out
+
+
 def document_dimensions() -> dict[str, Column]:
     return {"source": dimension_key("source"), "lang": dimension_key("lang"), "topic": topic()}
 

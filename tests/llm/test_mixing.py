@@ -63,3 +63,35 @@ def test_draws_are_uniform(spark):
     ids = spark.range(4000).select(mixing.draw("id", "seed").alias("u"))
     low, mean, high = ids.agg(F.min("u"), F.avg("u"), F.max("u")).first()
     assert 0 <= low < 0.01 and 0.97 < high < 1 and abs(mean - 0.5) < 0.02
+
+
+def test_one_rare_document_does_not_shrink_the_sample(make_docs):
+    """A cell of four words of a new source and language, next to 3,000 documents."""
+    rows = [(i, "w " * (20 + i % 9), ["en", "en", "fr"][i % 3], "hot" if i % 4 else f"s{i % 12}")
+            for i in range(3000)]
+    rows += [(9000, "four words of it", "xx", "new")]
+    docs, dims = make_docs(rows), mixing.document_dimensions()
+    part = lambda m: m.agg(F.sum(F.expr("n_tokens * probability")) / F.sum("n_tokens")).first()[0]
+    assert part(mixing.mix(docs, dims)) < 0.1
+    mixed = mixing.mix(docs, dims, least=0.3).cache()
+    assert abs(part(mixed) - 0.3) < 0.003
+    assert abs(mixed.where("sampled").count() - 900) < 90
+    assert mixed.where("doc_id = 9000").first()["probability"] == 1.0
+    cells = mixed.groupBy("mix_source", "mix_lang", "mix_topic").agg(F.sum("n_tokens").alias("tokens"))
+    targets = {f"mix_{d}": mixing.power_targets(cells, f"mix_{d}", mixing.POWERS[d]) for d in dims}
+    missing = {(r["dimension"], r["value"]): r for r in rows_of(mixing.lacks(mixed, targets))}
+    new = missing["mix_source", "=new"]
+    assert new["expected"] == 4 and new["lacking"] > 8 * new["expected"]
+    # What the rare values lack is spread over the others in proportion.
+    for name, rare in (("mix_source", "=new"), ("mix_lang", "=xx")):
+        spread = [r["expected"] / r["wanted"] for (n, v), r in missing.items() if n == name and v != rare]
+        assert max(spread) - min(spread) < 0.02 and min(spread) >= 1
+
+
+def test_a_least_size_below_the_exact_sample_changes_nothing(make_docs):
+    docs, dims = documents(make_docs), mixing.document_dimensions()
+    key = lambda r: str(sorted(r.items(), key=str))
+    some, same = (rows_of(mixing.mix(docs, dims, least=x)) for x in (0.0, 0.01))
+    assert sorted(some, key=key) == sorted(same, key=key)
+    whole = rows_of(mixing.mix(docs, dims, least=1.0))
+    assert all(abs(r["probability"] - 1) < 1e-6 for r in whole if r["n_tokens"])
