@@ -4,7 +4,9 @@ Seeds: every n-gram of a test item. A choice among them, also of the rarest, can
 those that an edited copy has lost while another document holds them, so that no count
 decides whether a copy can be found. Documents that hold a seed are aligned with the
 item by Smith-Waterman on words; the score is the part of the item's full score that
-the best local alignment reaches, so that edited copies are found as well.
+the best local alignment reaches, so that edited copies are found as well. A passage of
+an item is found, too, whatever the item's length, if ``PASSAGE_MATCHES`` words match at
+half of the score that the passage could reach.
 """
 
 from __future__ import annotations
@@ -24,6 +26,8 @@ MATCH, MISMATCH, GAP = 2, -1, -1
 LEAST_SCORE = 0.5
 # An alignment of fewer matches is a copy only if it covers its whole item.
 LEAST_MATCHES = 8
+# So many matched words are a copy of a part of their item, too.
+PASSAGE_MATCHES = 13
 # Items are searched in slices of at most this many bytes of text, so that what is
 # broadcast is bounded; every slice is one more pass over the documents.
 SLICE_BYTES = 16 * 1024 * 1024
@@ -53,6 +57,34 @@ def needed(words: int) -> float:
     return max(LEAST_SCORE * MATCH * words, min(MATCH * words, MATCH * LEAST_MATCHES))
 
 
+def passage(item: np.ndarray, region: np.ndarray) -> tuple[int, int]:
+    """Where the best passage ends in ``item`` and ``region``; -1 and -1 without one.
+
+    A passage has ``PASSAGE_MATCHES`` matches and ``LEAST_SCORE`` of the score of its own
+    words of the item. Each of them therefore costs that part of a match, and a passage
+    is an alignment of 0 or more, kept apart by its number of matches.
+    """
+    own = LEAST_SCORE * MATCH
+    steps = np.arange(len(region) + 1) * -GAP
+    above = np.full((PASSAGE_MATCHES + 1, len(region) + 1), -np.inf)
+    above[0] = 0
+    best, ends = -0.5, (-1, -1)
+    for at, word in enumerate(item):
+        here = above + (GAP - own)
+        same = region == word
+        np.maximum(here[:, 1:], above[:, :-1] + np.where(same, -np.inf, MISMATCH - own), out=here[:, 1:])
+        matched = above[:, :-1] + np.where(same, MATCH - own, -np.inf)
+        np.maximum(here[1:, 1:], matched[:-1], out=here[1:, 1:])
+        np.maximum(here[-1, 1:], matched[-1], out=here[-1, 1:])
+        here = np.maximum.accumulate(here + steps, axis=1) - steps
+        here[0] = 0
+        top = int(here[-1].argmax())
+        if here[-1, top] > best:
+            best, ends = float(here[-1, top]), (at, top - 1)
+        above = here
+    return ends
+
+
 class Items:
     """Test items as word hashes, and the places of their n-grams."""
 
@@ -103,27 +135,37 @@ def _regions(places: list[tuple[int, int]], length: int) -> list[tuple[int, int]
 
 
 def _best_alignment(item: np.ndarray, text: np.ndarray, places) -> tuple[int, int, int]:
-    """Score and first and last word of the best alignment around the seeds."""
-    best = (0, -1, -1)
+    """Score and first and last word of the best alignment around the seeds.
+
+    Of items that no region holds as far as needed, those of the first passage of them.
+    """
+    best, part = (0, -1, -1), None
     for low, high in _regions(places, len(item)):
         low, high = max(low, 0), min(high, len(text))
         region = text[low:high]
         # No alignment has more matches than the item has words in common.
-        if MATCH * int(np.isin(item, region).sum()) < needed(len(item)):
+        common = int(np.isin(item, region).sum())
+        if MATCH * common < needed(len(item)) and common < PASSAGE_MATCHES:
             continue
         score, end = align(item, region)
         if score > best[0]:
             back = region[: end + 1][::-1]
             _, length = align(item[::-1], back)
             best = (score, low + end - length, low + end)
-    return best
+        if part is None and score < needed(len(item)) and common >= PASSAGE_MATCHES:
+            last, end = passage(item, region)
+            if end >= 0:
+                _, length = passage(item[: last + 1][::-1], region[: end + 1][::-1])
+                part = (score, low + end - length, low + end)
+    return best if best[0] >= needed(len(item)) else part or (0, -1, -1)
 
 
 def leaks(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """One row per document and test item that it holds: doc_id, item_id, score, span.
 
     ``docs`` has doc_id and text, ``benchmark`` item_id and text. Words are compared
-    without case and punctuation; ``first_word`` and ``last_word`` count them from 0.
+    without case and punctuation; ``first_word`` and ``last_word`` count them from 0. The
+    score of a passage of an item is a part of the whole item's, too, and may be small.
     Missing texts, texts without words, and items of fewer than three words are never
     found. Documents without doc_id are searched and reported with none; repeated rows
     are reported once each. An empty table on either side gives no row.
@@ -188,7 +230,7 @@ def _alignments_of(texts: list[str | None], known) -> list[tuple]:
         own = words.hashes[words.first[t] : words.first[t + 1]]
         score, first, last = _best_alignment(item_words[item], own, places)
         length = len(item_words[item])
-        if score >= needed(length):
+        if first >= 0:
             out.append((t, ids[item], round(score / (MATCH * length), 6), first, last))
     return out
 

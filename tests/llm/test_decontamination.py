@@ -117,3 +117,46 @@ def test_copies_with_every_fourth_or_fifth_word_changed(spark, make_docs):
         assert {(i, i) for i in range(len(items))} <= want
         found = rows_of(dc.leaks(make_docs(docs), benchmark))
         assert {(r["doc_id"], r["item_id"]) for r in found} == want
+
+
+def plain_passage(item, region):
+    """Whether some alignment has the matches and half of its own words' score, cell by cell."""
+    most, low = dc.PASSAGE_MATCHES, -(10**6)
+    rows = [[[0] + [low] * most for _ in range(len(region) + 1)] for _ in range(len(item) + 1)]
+    for i, x in enumerate(item, 1):
+        for j, y in enumerate(region, 1):
+            here = rows[i][j]
+            for k in range(most + 1):
+                options = [here[k], rows[i - 1][j][k] - 2, rows[i][j - 1][k] - 1]
+                if x != y:
+                    options.append(rows[i - 1][j - 1][k] - 2)
+                elif k:
+                    options.append(rows[i - 1][j - 1][k - 1] + 1)
+                if x == y and k == most:
+                    options.append(rows[i - 1][j - 1][k] + 1)
+                here[k] = max(options)
+    return any(cell[most] >= 0 for row in rows for cell in row)
+
+
+@settings(max_examples=150, deadline=None)
+@given(st.lists(st.integers(0, 3), max_size=30), st.lists(st.integers(0, 3), max_size=30))
+def test_passages_equal_the_plain_ones(a, b):
+    end = dc.passage(np.array(a, dtype=np.uint64), np.array(b, dtype=np.uint64))
+    assert (end[1] >= 0) == plain_passage(a, b)
+
+
+def test_passages_of_long_items(spark, make_docs):
+    rng = random.Random(6)
+    items = [prose(rng, 59), prose(rng, 1001)]
+    benchmark = benchmark_of(spark, [(i, " ".join(t), "", "") for i, t in enumerate(items)])
+    around = lambda words: " ".join([*prose(rng, 90), *words, *prose(rng, 70)])
+    edited = ["changed" if at % 5 == 4 else w for at, w in enumerate(items[1][300:320])]
+    rows = [(1, around(items[0][20:49])), (2, around(items[1][:500])), (3, around(items[1][700:713])),
+            (4, around(edited)), (5, around(items[0][:12])), (6, around([]))]
+    got = {(r["doc_id"], r["item_id"]): r for r in rows_of(dc.leaks(make_docs(rows), benchmark))}
+    assert set(got) == {(1, 0), (2, 1), (3, 1), (4, 1)}
+    spans = {k[0]: (r["first_word"], r["last_word"]) for k, r in got.items()}
+    assert spans[1] == (90, 118) and spans[2] == (90, 589) and spans[3] == (90, 102)
+    assert got[1, 0]["score"] == round(29 / 59, 6)
+    left = rows_of(dc.without_leaks(make_docs(rows), benchmark))
+    assert {r["doc_id"] for r in left} == {5, 6}
