@@ -136,6 +136,22 @@ class Pseudonyms:
             if not is_luhn(value):
                 return _fill(found, value)
 
+    def row(self, found: str) -> tuple[str, int]:
+        """Groups set apart by spaces: only numbers of usual groups and a valid check digit.
+
+        A new number is one with which the same groups are found again, so that the way
+        back reads the same ones.
+        """
+        groups, begin, count = found.split(" "), 0, 0
+        while (place := _first_number(groups, begin)) is not None:
+            while True:
+                new = self.number(" ".join(groups[place])).split(" ")
+                groups[place] = new
+                if _first_number(groups, begin) == place:
+                    break
+            begin, count = place.stop, count + 1
+        return " ".join(groups), count
+
     def phone(self, found: str) -> str | None:
         """The country code stays; up to ten digits after it change."""
         digits = _only_digits(found)
@@ -215,7 +231,25 @@ def _valid_social(digits: str) -> bool:
     return 0 < area < 900 and area != 666 and digits[3:5] != "00" and digits[5:] != "0000"
 
 
-# Longer forms come first; every form must not touch further letters or digits.
+# Digits in the groups of a number that is written with separators.
+_GROUPS = ((4, 4, 4, 4, 3), (4, 4, 4, 4), (4, 6, 5), (4, 6, 4))
+
+
+def _first_number(groups: list[str], begin: int) -> slice | None:
+    """The first groups from ``begin`` that are a number with a valid check digit."""
+    for at in range(begin, len(groups)):
+        for form in _GROUPS:
+            place = slice(at, at + len(form))
+            if tuple(map(len, groups[place])) == form and is_luhn("".join(groups[place])):
+                return place
+    return None
+
+
+def _hyphened(form: tuple[int, ...]) -> str:
+    return "-".join(f"[0-9]{{{size}}}" for size in form)
+
+
+# Dates and social numbers come before numbers, which have no mixed separators; every form must not touch further letters or digits.
 _FORMS = re.compile(
     r"(?P<email>(?<![\w.+-])[A-Za-z0-9][A-Za-z0-9._+-]*@[A-Za-z0-9-]+\.[A-Za-z0-9.-]*[A-Za-z])"
     r"|(?P<secret>(?<![0-9A-Za-z])(?=[0-9a-fA-F]*[a-fA-F])(?=[0-9a-fA-F]*[0-9])"
@@ -224,11 +258,13 @@ _FORMS = re.compile(
     r"|(?P<phone>(?<![\w+])(?:\+[0-9]{1,3}[ .-]?)?\([0-9]{3}\)[ .-]?[0-9]{3}[ .-]?[0-9]{4}(?!\w)"
     r"|(?<![\w+])\+[0-9]{1,3}(?:[ .-]?[0-9]{2,4}){2,4}(?!\w)"
     r"|(?<![\w.-])[0-9]{3}[.-][0-9]{3}[.-][0-9]{4}(?![\w-]))"
-    r"|(?P<number>(?<![\w.])[0-9](?:[ -]?[0-9]){11,18}(?![\w]))"
     r"|(?P<social>(?<![\w-])[0-9]{3}-[0-9]{2}-[0-9]{4}(?![\w-]))"
     r"|(?P<address>(?<![\w.])(?:[0-9]{1,3}\.){3}[0-9]{1,3}(?!\.?[0-9]|[A-Za-z_]))"
     r"|(?P<date>(?<![\w-])(?:[0-9]{4}(?P<m1>[-/.])[0-9]{2}(?P=m1)[0-9]{2}"
-    r"|[0-9]{2}(?P<m2>[-/.])[0-9]{2}(?P=m2)[0-9]{4})(?![\w-]))",
+    r"|[0-9]{2}(?P<m2>[-/.])[0-9]{2}(?P=m2)[0-9]{4})(?![\w-]))"
+    r"|(?P<number>(?<![\w.])[0-9]{12,19}(?!\w)"
+    rf"|(?<![\w.])(?<![0-9]-)(?:{'|'.join(map(_hyphened, _GROUPS))})(?!\w|-[0-9]))"
+    r"|(?P<row>(?<![\w.])[0-9]+(?: [0-9]+){2,}(?![\w-]))",
     re.ASCII,
 )
 _HINT = re.compile(r"[0-9]\.?[0-9]|@", re.ASCII)
@@ -239,6 +275,11 @@ def pseudonymised(text: str, names: Pseudonyms) -> tuple[str, dict[str, int]]:
     counts: dict[str, int] = {}
 
     def replace(match: re.Match) -> str:
+        if match["row"] is not None:
+            new, found = names.row(match[0])
+            if found:
+                counts["number"] = counts.get("number", 0) + found
+            return new
         kind = next(k for k in _KINDS if match[k] is not None)
         new = getattr(names, kind)(match[0])
         if new is None:

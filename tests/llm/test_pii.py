@@ -76,6 +76,47 @@ def test_dates_come_back(day, form):
     assert dt.datetime.strptime(new, form) and pii.Pseudonyms(KEY, undo=True).date(new) == text
 
 
+CARD = "4539 1488 0343 6467"
+
+
+def test_neighbouring_values_are_told_apart():
+    names, back = pii.Pseudonyms(KEY), pii.Pseudonyms(KEY, undo=True)
+    day, social = names.date("2024-01-15"), names.social("123-45-6789")
+    for text, kinds, part in [
+        ("2024-01-15 2024-01-16", {"date": 2}, day),
+        ("1990-02-03 2024-01-15", {"date": 2}, day),
+        ("2024-01-15 1234", {"date": 1}, f"{day} 1234"),
+        ("123-45-6789 987-65-4321", {"social": 1}, f"{social} 987-65-4321"),
+        ("123-45-6789 123-45-6789", {"social": 2}, f"{social} {social}"),
+        (f"{CARD} 2024-01-15", {"number": 1, "date": 1}, day),
+        (f"123-45-6789 {CARD}", {"number": 1, "social": 1}, social),
+        (f"{CARD} {CARD}", {"number": 2}, names.number(CARD)),
+        (f"{CARD} 12/27", {"number": 1}, names.number(CARD)),
+        ("1234-5678-9012-3456, 4539-1488-0343-6467", {"number": 2}, names.number("1234-5678-9012-3456")),
+    ]:
+        new, counts = pii.pseudonymised(text, names)
+        assert counts == kinds and part in new
+        assert pii.pseudonymised(new, back)[0] == text
+
+
+@pytest.mark.parametrize("text", [
+    "12 13 14 15 16 17", "1 2 3 4 5 6 7 8 9 10 11 12 13", "2019 2020 2021 2022", "12-13-14-15-16-17",
+    "100 200 300 400 500", "1234 5678-9012 3456", "3-4-5 6-7-8 9-10-11 12",
+])
+def test_rows_of_figures_stay(text):
+    assert pii.pseudonymised(f"a {text} b", pii.Pseudonyms(KEY)) == (f"a {text} b", {})
+
+
+@settings(max_examples=300, deadline=None)
+@given(st.lists(st.sampled_from([4, 4, 4, 6, 5, 3]).flatmap(
+    lambda n: st.text("0123456789", min_size=n, max_size=n)) | st.just(CARD), min_size=3, max_size=9))
+def test_rows_with_numbers_come_back(groups):
+    text = " ".join(groups)
+    new, counts = pii.pseudonymised(text, pii.Pseudonyms(KEY))
+    assert pii.pseudonymised(new, pii.Pseudonyms(KEY, undo=True)) == (text, counts)
+    assert CARD not in groups or counts
+
+
 def test_tables(make_docs):
     long = "word " * 40_000 + "a@b.org " + "9" * 30 + " 4539148803436467"
     rows = [(1, None), (2, ""), (3, "none"), (4, "a@b.org 43.21.141.162 a@b.org"), (4, "a@b.org"),
