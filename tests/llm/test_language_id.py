@@ -45,6 +45,17 @@ def test_three_families_and_texts_without_letters(make_docs):
     assert all(0 <= r["score"] <= 1 for r in got)
 
 
+def test_copies_do_not_shrink_the_sample(make_docs):
+    """A language of copies of one text, and one with a hundred copies of each other text."""
+    rows = [(0, texts("xx", 1)[0], "xx", "s")] * 1500 + [(1, "mira " * 20, "es", "s")] * 2000
+    for language in ("en", "de", "es"):
+        rows += [(2, t, language, "s") for t in texts(language, 20)]
+    machines = language_id.train(make_docs(rows), sample=25)
+    for language in ("en", "de", "es", "xx"):
+        found, _ = machines.decide(texts(language, 12))
+        assert [x == language for x in found].count(True) >= 11
+
+
 def test_one_language_and_none(make_docs):
     one = make_docs([(i, t, "en", "s") for i, t in enumerate(texts("en", 12))])
     assert {r["lang_pred"] for r in rows_of(language_id.identify(one))} == {"en"}
