@@ -1,0 +1,93 @@
+import random
+import re
+from collections import Counter
+
+import pytest
+from corpus_support import make_docs, rows_of  # noqa: F401
+
+from martloom.llm import divergence
+
+
+def brute(rows, ranks=200):
+    docs = [(lang or "", source or "", text or "") for _, text, lang, source in rows]
+    out = []
+    for lang in {d[0] for d in docs}:
+        documents, whole = Counter(), Counter()
+        by_source = {d[1]: Counter() for d in docs if d[0] == lang}
+        for own, source, text in docs:
+            if own != lang:
+                continue
+            terms = re.findall(r"[^\x00-\x40\x5B-\x60\x7B-\x7F]+", text)
+            terms = ["".join(chr(ord(c) + 32) if "A" <= c <= "Z" else c for c in t) for t in terms]
+            documents.update(set(terms))
+            by_source[source].update(terms)
+        kept = [t for t, n in documents.items() if n >= 3]
+        for counts in by_source.values():
+            whole.update({t: counts[t] for t in kept})
+
+        def share(counts):
+            total = sum(counts[t] for t in kept)
+            return {t: 1 + 10**9 * (counts[t] + 1) // (total + len(kept)) for t in kept}
+
+        shares = {s: share(c) for s, c in by_source.items()}
+        q = share(whole)
+        far = lambda a, b: (a - b) ** 2 // b
+        for s, p in shares.items():
+            pairs = [(-sum(far(p[t], r[t]) for t in kept), o.encode(), o) for o, r in shares.items() if o != s]
+            terms = [(-far(p[t], q[t]), t.encode(), t) for t in kept if by_source[s][t] and p[t] > q[t]]
+            for part, items in (("pair", sorted(pairs)), ("term", sorted(terms)[:ranks])):
+                out += [(lang, s, part, item, -v, i + 1) for i, (v, _, item) in enumerate(items)]
+    return sorted(out)
+
+
+def check(make_docs, rows):
+    got = rows_of(divergence.audit(make_docs(rows)))
+    names = ("lang", "source", "part", "item", "value", "rank")
+    assert sorted(tuple(r[n] for n in names) for r in got) == brute(rows)
+
+
+def corpus():
+    rng = random.Random(3)
+    rows = []
+    for i in range(400):
+        lang, source = rng.choice(["en", "fr", "en"]), f"s{min(rng.randrange(8), 4)}"
+        words = [rng.choice("abcdefgh") * rng.randrange(1, 4) for _ in range(rng.randrange(60))]
+        rows.append((i, rng.choice([" ", "-", "\n", "7"]).join(words).title(), lang, source))
+    copy = rows[7][1]
+    rows += [(1000 + i, copy, "en", f"s{i % 3}") for i in range(200)]
+    return rows + [(2000, copy, "fr", "s0"), (2001, "Lone Été", "de", "s9")]
+
+
+@pytest.mark.parametrize("small", [False, True])
+def test_equals_brute_force(make_docs, monkeypatch, small):
+    """Also with texts, counters and pairs cut to small pieces."""
+    if small:
+        monkeypatch.setattr(divergence, "ENTRIES", 5)
+        monkeypatch.setattr(divergence, "PIECE", 7)
+        monkeypatch.setattr(divergence, "PAIRS", 3)
+    check(make_docs, corpus())
+
+
+def test_edge_cases(make_docs):
+    rows = [
+        (1, None, None, None), (2, "", "", ""), (3, "Abc abc ABC", None, "x"), (4, "abc", "", None),
+        (4, "abc", "", None), (None, "abc déf DÉF", "", "y"), (5, "déf 1déf2", "", "x"),
+        (6, "[]`{}~\x7f@", "en", "x"), (7, "a b c", "en", "y"), (8, "word " * 50_000, "", "y"),
+        (9, "tie tie", "zz", "a"), (9, "tie tie", "zz", "b"), (9, "tie tie", "zz", "c"),
+        (10, "中文 中", "zz", "c"), (11, "中文 中 tie", "zz", "a"),
+        (12, "中文 中", "zz", "d"),
+    ]
+    check(make_docs, rows)
+
+
+def test_empty_table(make_docs):
+    assert rows_of(divergence.audit(make_docs([]))) == []
+
+
+def test_a_copied_text_is_tokenized_once(make_docs):
+    """Copies become one row with their number in every source."""
+    rows = [(i, "same text", "en", f"s{i % 2}") for i in range(50)] + [(60, "other", "en", "s0")]
+    got = rows_of(divergence._collapsed(make_docs(rows)))
+    assert sorted((r["text"], sorted((s["source"], s["n"]) for s in r["sources"])) for r in got) == [
+        ("other", [("s0", 1)]), ("same text", [("s0", 25), ("s1", 25)]),
+    ]
