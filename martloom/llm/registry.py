@@ -4,12 +4,15 @@ from __future__ import annotations
 
 from martloom.llm import (
     decontamination,
+    divergence,
+    exact_dedup,
     language_id,
     language_model,
     licenses,
     mixing,
     neardup,
     pii,
+    prefix_trie,
     sharding,
     substring,
     topk,
@@ -26,6 +29,9 @@ QUERIES = {
     "op8_hierarchical_langid": language_id.op8_hierarchical_langid,
     "op9_suffix_dedup": substring.op9_suffix_dedup,
     "op10_feistel_pseudonyms": pii.op10_feistel_pseudonyms,
+    "op11_bloom_exact_dedup": exact_dedup.op11_bloom_exact_dedup,
+    "op12_divergence_audit": divergence.op12_divergence_audit,
+    "op13_prefix_trie": prefix_trie.op13_prefix_trie,
 }
 
 ORACLES = {
@@ -34,6 +40,9 @@ ORACLES = {
     "op6_rake_mixture": mixing.oracle_sql,
     "op7_pivot_topk": topk.oracle_sql,
     "op9_suffix_dedup": substring.oracle_sql,
+    "op11_bloom_exact_dedup": exact_dedup.oracle_sql,
+    "op12_divergence_audit": divergence.oracle_sql,
+    "op13_prefix_trie": prefix_trie.oracle_sql,
 }
 
 

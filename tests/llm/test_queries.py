@@ -20,7 +20,7 @@ def con():
 
 def test_one_query_of_each_operator():
     numbers = sorted(int(name[2:].split("_")[0]) for name in registry.queries())
-    assert numbers == list(range(1, 11)) and "pipeline" in entry.queries()
+    assert numbers == list(range(1, 14)) and "pipeline" in entry.queries()
 
 
 @pytest.mark.parametrize("name", registry.oracle_sql())
