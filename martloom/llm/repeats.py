@@ -116,15 +116,20 @@ def repeated_filter(keys: DataFrame, count: int):
     return keys.sparkSession.sparkContext.broadcast((bits, cells))
 
 
+def told(known: tuple[int, np.ndarray], keys: np.ndarray) -> np.ndarray:
+    """Which of ``keys`` (int64) the filter's value takes for repeated ones."""
+    bits, cells = known
+    out = np.ones(len(keys), dtype=bool)
+    for cell in _cells(keys, bits):
+        out &= (cells[cell >> 3] >> (7 - (cell & 7)).astype(np.uint8)) & 1 == 1
+    return out
+
+
 def may_repeat(known, key: str) -> Column:
     """Whether the filter takes the column ``key`` for a repeated one."""
 
     @F.pandas_udf(T.BooleanType())
-    def told(keys: pd.Series) -> pd.Series:
-        bits, cells = known.value
-        out = np.ones(len(keys), dtype=bool)
-        for cell in _cells(keys.to_numpy(np.int64), bits):
-            out &= (cells[cell >> 3] >> (7 - (cell & 7)).astype(np.uint8)) & 1 == 1
-        return pd.Series(out)
-
-    return told(key)
+    def repeated(keys: pd.Series) -> pd.Series:
+        return pd.Series(told(known.value, keys.to_numpy(np.int64)))
+
+    return repeated(key)

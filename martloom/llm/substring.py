@@ -1,18 +1,21 @@
 """Substring deduplication by suffix automata of reference shards.
 
-Every window of 13 words has an anchor: the five-word n-gram of the smallest hash in it.
-Consecutive windows with the same anchor form a segment of at most 21 words; equal
-windows have equal anchors, so a window can only recur among the segments of its anchor.
-The segments of one anchor are a reference shard. A shard's suffix automaton grows in
-the order of doc_id: each document's segments are streamed through the automaton of all
-smaller documents first, and their matching statistics (the longest suffix at each word
-that the automaton knows) tell which words lie in a repeated window.
-
-An automaton of the whole corpus would grow with it, so shards are not broadcast to all
-tasks; each shard meets its segments in one place instead. What is sent there is little:
-first only hashes, which settle segments that recur as a whole; then the words of the
-first copy of each segment that has to be compared with different ones. A shard with
-many different segments, as around a very common line, is cut further by whole windows.
+Every window of 13 words has an anchor: the five-word n-gram of the lowest rank in it.
+Grams that are common lines come last in rank, so that one of them is an anchor only
+where all grams of a window are common; the others are ordered by hash. Consecutive
+windows with the same anchor form a segment of at most 21 words. Equal windows have equal
+anchors, so a window can only recur among the segments of its anchor, and only anchors
+that occur more than once matter: a Bloom filter passes over the rest.
+
+The different segments of these anchors are the reference text, each of them once, with
+the smallest doc_id that holds it. It is cut by anchor into shards of bounded size, and a
+shard's suffix automaton knows the smallest document of every factor. The documents'
+segments are streamed through the automaton of their shard: at every word the shortest
+match above the threshold tells in which document the window before it comes first.
+What a document shares with smaller ones is then looked up by segment, and the spans of
+a document are cut out of its text. Matches are decided on words, hashes only tell what
+has to be compared. An automaton of the whole corpus would grow with it; every shard
+therefore meets its segments in one place instead of being sent to all of them.
 """
 
 from __future__ import annotations
@@ -25,45 +28,54 @@ import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from martloom.llm import repeats
 from martloom.llm.tables import NO_ID, carried, read_table, restored
-from martloom.llm.words import Words, grams, mixed, part_of, split_words, text_slices
+from martloom.llm.words import Words, grams, mixed, split_words, text_slices
 from martloom.session import keep
 
 WINDOW = 13
 ANCHOR = 5
-PART_TEXT_BYTES = 32 * 1024 * 1024
-# Shards with more different segments than this are cut by whole windows.
-SHARD_SEGMENTS = 1000
-
-COVERED, COMPARE, COMPARE_WINDOWS = 1, 2, 3
-
-_SENT = "part long, ids binary, prints binary, counts binary, anchors binary, segments binary"
-_REPLY = "doc_id long, print long, segments binary, status binary"
-_JUDGED = (
-    "doc_id long, print long, n_words long, n_removed long, kept_sha256 string, text string,"
-    " removed binary, keys binary, starts binary, lengths binary"
-)
-_SEGMENT = "key long, doc_id long, print long, start int, words binary"
-_SPAN = "doc_id long, print long, start int, stop int"
+# Text per reference shard. Its different segments are at most a few times as long.
+SHARD_TEXT_BYTES = 2 * 1024 * 1024
+# Grams are counted in so many cells; a task reports those it saw at least so often.
+HEAT_BITS = 22
+COMMON = 8
+# Bytes of text that have about one anchor.
+BYTES_PER_ANCHOR = 32
+
+_CELL = "cell int, times long"
+_KEY = "key long"
+_SEGMENT = "anchor long, segment long, low long, high long, words binary"
+_PLACE = "anchor long, segment long, doc_id long, print long, start int"
+_FIRST = "anchor long, segment long, least long, lows binary"
 _RESULT = "doc_id long, n_words long, n_removed long, kept_sha256 string"
 
 _MIX = np.random.default_rng(9).integers(1, 2**63, 3, dtype=np.uint64) | np.uint64(1)
 
 
+def _cells(hashes: np.ndarray) -> np.ndarray:
+    return (hashes >> np.uint64(64 - HEAT_BITS)).astype(np.int64)
+
+
 class Segments:
-    """Segments of a batch: text, first and last window, anchor and identity of each."""
+    """Segments of a batch: text, first and last window, anchor and identity of each.
 
-    def __init__(self, words: Words, window: int = WINDOW, anchor: int = ANCHOR):
+    ``heat`` has a level from 0 to 63 for every cell of grams, the common ones high.
+    """
+
+    def __init__(self, words: Words, heat: np.ndarray | None = None):
         self.words = words
-        self.window = window
-        self.window_hash, whole = grams(words, window)
-        small, _ = grams(words, anchor)
-        reach = window - anchor + 1
+        window_hash, whole = grams(words, WINDOW)
+        small, _ = grams(words, ANCHOR)
+        rank = small >> np.uint64(6)
+        if heat is not None:
+            rank |= heat[_cells(small)].astype(np.uint64) << np.uint64(58)
+        reach = WINDOW - ANCHOR + 1
         n = max(0, len(words) - reach + 1)
-        best = small[:n].copy()
+        best = rank[:n].copy()
         place = np.zeros(n, dtype=np.int8)
         for j in range(1, reach):
-            other = small[j : j + n]
+            other = rank[j : j + n]
             lower = other < best
             best[lower] = other[lower]
             place[lower] = j
@@ -78,16 +90,17 @@ class Segments:
         self.text = np.searchsorted(words.first, self.first, side="right") - 1
         # First and last window overlap, so together they are all words of the segment.
         self.identity = mixed(
-            self.window_hash[self.first] * _MIX[0]
-            + self.window_hash[self.last] * _MIX[1]
+            window_hash[self.first] * _MIX[0]
+            + window_hash[self.last] * _MIX[1]
             + (self.last - self.first).astype(np.uint64) * _MIX[2]
         )
 
     def __len__(self) -> int:
         return len(self.first)
 
-    def stop(self, i: int) -> int:
-        return self.last[i] + self.window
+    def words_of(self, i: int) -> bytes:
+        begin, end = self.words.start[self.first[i]], self.words.end[self.last[i] + WINDOW - 1]
+        return b" ".join(self.words.data[begin:end].split())
 
 
 def _small(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -96,267 +109,283 @@ def _small(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
             yield frame.iloc[part]
 
 
-def _sent(parts: int):
-    def send(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for frame in _small(frames):
-            cut = Segments(split_words(frame["text"].tolist(), lower=False))
-            part = part_of(cut.anchor, parts).astype(np.int64)
-            order = np.argsort(part, kind="stable")
-            bounds = np.searchsorted(part[order], np.arange(parts + 1))
-            ids, prints = frame["doc_id"].to_numpy(np.int64), frame["print"].to_numpy(np.int64)
-            rows = []
-            for p in np.flatnonzero(np.diff(bounds)):
-                some = order[bounds[p] : bounds[p + 1]]
-                texts, counts = np.unique(cut.text[some], return_counts=True)
-                rows.append(
-                    (
-                        int(p),
-                        ids[texts].tobytes(),
-                        prints[texts].tobytes(),
-                        counts.astype(np.uint32).tobytes(),
-                        cut.anchor[some].astype(np.uint32).tobytes(),
-                        cut.identity[some].tobytes(),
-                    )
-                )
-            yield pd.DataFrame(
-                rows, columns=["part", "ids", "prints", "counts", "anchors", "segments"]
-            )
+def _common_cells(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    """Cells of grams that this task saw often; what it saw less of is no hot key anywhere."""
+    seen = np.zeros(1 << HEAT_BITS, dtype=np.int64)
+    for frame in _small(frames):
+        hashes, whole = grams(split_words(frame["text"].tolist(), lower=False), ANCHOR)
+        seen += np.bincount(_cells(hashes[whole]), minlength=len(seen))
+    cells = np.flatnonzero(seen >= COMMON)
+    yield pd.DataFrame({"cell": cells.astype(np.int32), "times": seen[cells]})
 
-    return send
 
+def _heat(named: DataFrame):
+    """Broadcast of a level for every cell: the binary logarithm of how often it was seen."""
+    cells = named.select("text").mapInPandas(_common_cells, _CELL)
+    level = F.floor(F.log2(F.sum("times"))).cast("int").alias("level")
+    levels = np.zeros(1 << HEAT_BITS, dtype=np.uint8)
+    # At most as many rows as there are cells.
+    for row in cells.groupBy("cell").agg(level).collect():
+        levels[row["cell"]] = row["level"]
+    return named.sparkSession.sparkContext.broadcast(levels)
 
-def _judged_part(rows: pd.DataFrame) -> pd.DataFrame:
-    """What the hashes of one part tell of its segments, by document.
 
-    A segment that a smaller document holds as a whole is covered. Its first copy is to
-    be compared if its anchor has other segments, in more than one document. Anchors
-    are compared by 32 bits: two that agree by chance only share a shard.
-    """
-    join = lambda name, kind: np.frombuffer(b"".join(rows[name]), dtype=kind)
-    counts = join("counts", np.uint32)
-    doc = np.repeat(np.arange(len(counts)), counts)
-    ids, prints = join("ids", np.int64), join("prints", np.int64)
-    anchors, segments = join("anchors", np.uint32), join("segments", np.uint64)
-    order = np.lexsort((ids[doc], segments, anchors))
-    doc, anchors, segments = doc[order], anchors[order], segments[order]
-    owner_of = ids[doc]
-    new_anchor = np.ones(len(doc), dtype=bool)
-    new_anchor[1:] = anchors[1:] != anchors[:-1]
-    new_segment = new_anchor.copy()
-    new_segment[1:] |= segments[1:] != segments[:-1]
-    segment_no = np.cumsum(new_segment) - 1
-    first = np.flatnonzero(new_segment)
-    owner = owner_of[first][segment_no]
-    starts = np.flatnonzero(new_anchor)
-    anchor_no = np.cumsum(new_anchor) - 1
-    different = np.add.reduceat(new_segment.astype(np.int64), starts)[anchor_no]
-    low = np.minimum.reduceat(owner_of, starts)[anchor_no]
-    high = np.maximum.reduceat(owner_of, starts)[anchor_no]
-    status = np.zeros(len(doc), dtype=np.uint8)
-    status[owner_of > owner] = COVERED
-    compare = (owner_of == owner) & (different > 1) & (low < high)
-    status[compare] = COMPARE
-    status[compare & (different > SHARD_SEGMENTS)] = COMPARE_WINDOWS
-    some = np.flatnonzero(status)
-    some = some[np.argsort(doc[some], kind="stable")]
-    cuts = np.flatnonzero(np.diff(doc[some], prepend=-1))
-    return pd.DataFrame(
-        [
-            (int(ids[doc[s[0]]]), int(prints[doc[s[0]]]), segments[s].tobytes(), status[s].tobytes())
-            for s in np.split(some, cuts[1:])
-            if len(s)
-        ],
-        columns=["doc_id", "print", "segments", "status"],
-    )
+def _anchor_keys(heat):
+    """Every anchor of every document once."""
 
+    def keys(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for frame in _small(frames):
+            cut = Segments(split_words(frame["text"].tolist(), lower=False), heat.value)
+            order = np.lexsort((cut.anchor, cut.text))
+            text, anchor = cut.text[order], cut.anchor[order]
+            fresh = np.ones(len(order), dtype=bool)
+            fresh[1:] = (text[1:] != text[:-1]) | (anchor[1:] != anchor[:-1])
+            yield pd.DataFrame({"key": anchor[fresh].view(np.int64)})
 
-def kept_digest(words: list[bytes], removed: np.ndarray | None = None) -> str:
-    if removed is not None:
-        words = [w for w, r in zip(words, removed) if not r]
-    return hashlib.sha256(b" ".join(words)).hexdigest()
+    return keys
 
 
-def _bytes(text: str | None) -> bytes:
-    return (text or "").encode("utf-8", "surrogatepass")
+def _recurring(frame: pd.DataFrame, heat, known) -> tuple[Segments, np.ndarray]:
+    """Segments of a batch, and which of them have an anchor that may occur again."""
+    cut = Segments(split_words(frame["text"].tolist(), lower=False), heat.value)
+    return cut, np.flatnonzero(repeats.told(known.value, cut.anchor.view(np.int64)))
 
 
-def _judge(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    """Results of documents that are settled; of others, the segments to compare."""
-    for frame in _small(frames):
-        told = frame["replies"].notna().to_numpy()
-        cut = Segments(split_words(frame["text"].where(told, None).tolist(), lower=False))
-        bounds = np.searchsorted(cut.text, np.arange(len(frame) + 1))
-        rows = []
-        for i, row in enumerate(frame.itertuples()):
-            raw = _bytes(row.text).split()
-            base = (row.doc_id, row.print, len(raw))
-            if not told[i]:
-                rows.append((*base, 0, kept_digest(raw), None, None, None, None, None))
-                continue
-            known = {}
-            for reply in row.replies:
-                seen = np.frombuffer(reply["segments"], dtype=np.uint64)
-                known.update(zip(seen.tolist(), reply["status"]))
-            removed = np.zeros(len(raw), dtype=bool)
-            begin = cut.words.first[i]
-            keys, starts, lengths = [], [], []
-            for s in range(bounds[i], bounds[i + 1]):
-                status = known.get(int(cut.identity[s]), 0)
-                if status == COVERED:
-                    removed[cut.first[s] - begin : cut.stop(s) - begin] = True
-                elif status == COMPARE:
-                    keys.append(cut.anchor[s])
-                    starts.append(cut.first[s] - begin)
-                    lengths.append(cut.stop(s) - cut.first[s])
-                elif status == COMPARE_WINDOWS:
-                    for w in range(cut.first[s], cut.last[s] + 1):
-                        keys.append(cut.window_hash[w])
-                        starts.append(w - begin)
-                        lengths.append(WINDOW)
-            if keys:
-                rows.append(
-                    (
-                        *base, None, None, row.text, np.packbits(removed).tobytes(),
-                        np.array(keys, dtype=np.uint64).tobytes(),
-                        np.array(starts, dtype=np.int32).tobytes(),
-                        np.array(lengths, dtype=np.int32).tobytes(),
-                    )
-                )
-            else:
-                digest = kept_digest(raw, removed)
-                rows.append((*base, int(removed.sum()), digest, None, None, None, None, None))
-        names = [c.split()[0] for c in _JUDGED.split(", ")]
-        out = pd.DataFrame(rows, columns=names)
-        yield out.astype({"n_removed": "Int64"})
+def _different(heat, known):
+    """Words of the different segments of a batch, with the smallest and largest doc_id."""
+
+    def segments(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for frame in _small(frames):
+            cut, some = _recurring(frame, heat, known)
+            doc = frame["doc_id"].to_numpy(np.int64)[cut.text[some]]
+            anchor, segment = cut.anchor[some], cut.identity[some]
+            order = np.lexsort((doc, segment, anchor))
+            anchor, segment, doc, some = anchor[order], segment[order], doc[order], some[order]
+            fresh = np.ones(len(order), dtype=bool)
+            fresh[1:] = (anchor[1:] != anchor[:-1]) | (segment[1:] != segment[:-1])
+            first = np.flatnonzero(fresh)
+            last = np.append(first[1:], len(order))[: len(first)] - 1
+            yield pd.DataFrame(
+                {
+                    "anchor": anchor[first].view(np.int64),
+                    "segment": segment[first].view(np.int64),
+                    "low": doc[first],
+                    "high": doc[last],
+                    "words": [cut.words_of(i) for i in some[first]],
+                }
+            )
 
+    return segments
 
-def _segment_words(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    for frame in _small(frames):
-        words = split_words(frame["text"].tolist(), lower=False)
-        short = words.hashes.astype(np.uint32)
-        rows = []
-        for i, row in enumerate(frame.itertuples()):
-            own = short[words.first[i] : words.first[i + 1]]
-            keys = np.frombuffer(row.keys, dtype=np.uint64).astype(np.int64)
-            starts = np.frombuffer(row.starts, dtype=np.int32)
-            lengths = np.frombuffer(row.lengths, dtype=np.int32)
-            rows += [
-                (int(k), row.doc_id, row.print, int(s), own[s : s + n].tobytes())
-                for k, s, n in zip(keys, starts, lengths)
-            ]
-        yield pd.DataFrame(rows, columns=["key", "doc_id", "print", "start", "words"])
+
+def _places(heat, known):
+    """Where the segments of recurring anchors are."""
+
+    def places(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for frame in _small(frames):
+            cut, some = _recurring(frame, heat, known)
+            text = cut.text[some]
+            yield pd.DataFrame(
+                {
+                    "anchor": cut.anchor[some].view(np.int64),
+                    "segment": cut.identity[some].view(np.int64),
+                    "doc_id": frame["doc_id"].to_numpy(np.int64)[text],
+                    "print": frame["print"].to_numpy(np.int64)[text],
+                    "start": (cut.first[some] - cut.words.first[text]).astype(np.int32),
+                }
+            )
+
+    return places
 
 
 class SuffixAutomaton:
-    """All factors of the word sequences added so far."""
+    """All factors of the word sequences added, and the smallest document of each.
+
+    A state stands for the factors that end at the same places: ``length`` of the
+    longest, and ``link`` to the state of their longest suffix that ends at more places.
+    """
 
     def __init__(self):
         self.next: list[dict[int, int]] = [{}]
         self.link = [-1]
         self.length = [0]
+        self.low = [NO_DOC]
 
-    def add(self, sequence: list[int]) -> None:
+    def add(self, sequence: list[int], doc: int) -> None:
+        moves, link, length, low = self.next, self.link, self.length, self.low
         last = 0
         for word in sequence:
-            last = self._extend(last, word)
-
-    def _extend(self, last: int, word: int) -> int:
-        known = self.next[last].get(word)
-        if known is not None:
-            if self.length[known] == self.length[last] + 1:
-                return known
-            return self._split(last, known, word)
-        state = self._state(self.length[last] + 1, {}, 0)
-        at = last
-        while at != -1 and word not in self.next[at]:
-            self.next[at][word] = state
-            at = self.link[at]
-        if at != -1:
-            target = self.next[at][word]
-            if self.length[target] == self.length[at] + 1:
-                self.link[state] = target
+            state = moves[last].get(word)
+            if state is not None:
+                if length[state] != length[last] + 1:
+                    state = self._split(last, state, word)
             else:
-                self.link[state] = self._split(at, target, word)
-        return state
-
-    def _state(self, length: int, moves: dict[int, int], link: int) -> int:
-        self.next.append(moves)
-        self.length.append(length)
-        self.link.append(link)
-        return len(self.next) - 1
+                state = len(link)
+                moves.append({})
+                length.append(length[last] + 1)
+                link.append(0)
+                low.append(NO_DOC)
+                at = last
+                while at != -1 and word not in moves[at]:
+                    moves[at][word] = state
+                    at = link[at]
+                if at != -1:
+                    target = moves[at][word]
+                    if length[target] != length[at] + 1:
+                        target = self._split(at, target, word)
+                    link[state] = target
+            last = state
+            if doc < low[last]:
+                low[last] = doc
 
     def _split(self, at: int, target: int, word: int) -> int:
         """A copy of ``target`` for the shorter factors that are reached from ``at``."""
-        copy = self._state(self.length[at] + 1, dict(self.next[target]), self.link[target])
-        self.link[target] = copy
-        while at != -1 and self.next[at].get(word) == target:
-            self.next[at][word] = copy
-            at = self.link[at]
+        moves, link = self.next, self.link
+        copy = len(link)
+        moves.append(dict(moves[target]))
+        self.length.append(self.length[at] + 1)
+        link.append(link[target])
+        self.low.append(NO_DOC)
+        link[target] = copy
+        while at != -1 and moves[at].get(word) == target:
+            moves[at][word] = copy
+            at = link[at]
         return copy
 
-    def matching_statistics(self, sequence: list[int]) -> list[int]:
-        """At every word, the length of the longest factor that ends there."""
-        state = length = 0
+    def finish(self) -> None:
+        """Hand the smallest documents down to the suffixes, the longest factors first."""
+        low, link = np.array(self.low), np.array(self.link)
+        length = np.array(self.length)
+        order = np.argsort(-length, kind="stable")
+        bounds = np.flatnonzero(np.diff(length[order], prepend=-1, append=-1))
+        for begin, end in zip(bounds[:-1], bounds[1:]):
+            level = order[begin:end]
+            level = level[link[level] >= 0]
+            np.minimum.at(low, link[level], low[level])
+        self.low = low.tolist()
+
+    def matches(self, sequence: list[int], least: int) -> list[tuple[int, int]]:
+        """At every word, the length of the longest match, and the smallest document of
+        its last ``least`` words (``NO_DOC`` if the match is shorter)."""
+        moves, link, length, low = self.next, self.link, self.length, self.low
+        state = matched = 0
         out = []
         for word in sequence:
-            while state and word not in self.next[state]:
-                state = self.link[state]
-                length = self.length[state]
-            if word in self.next[state]:
-                state = self.next[state][word]
-                length += 1
+            while state and word not in moves[state]:
+                state = link[state]
+                matched = length[state]
+            if word in moves[state]:
+                state = moves[state][word]
+                matched += 1
             else:
-                length = 0
-            out.append(length)
+                matched = 0
+            if matched < least:
+                out.append((matched, NO_DOC))
+                continue
+            shortest = state
+            while length[link[shortest]] >= least:
+                shortest = link[shortest]
+            out.append((matched, low[shortest]))
         return out
 
 
-def _spans(lengths: list[int], window: int) -> list[tuple[int, int]]:
-    """Maximal stretches of words that lie in a match of at least ``window`` words."""
-    out: list[tuple[int, int]] = []
-    for end, length in enumerate(lengths):
-        if length >= window:
-            begin = end - length + 1
-            if out and begin <= out[-1][1]:
-                out[-1] = (min(begin, out[-1][0]), end + 1)
-            else:
-                out.append((begin, end + 1))
-    return out
+NO_DOC = 2**63 - 1
 
 
-def _streamed(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    """Rows come sorted by shard, document and start; a shard may cross batches."""
-    key = doc = automaton = None
-    waiting: list[list[int]] = []
-    for frame in frames:
-        out = []
-        for row in frame.itertuples():
-            if row.key != key:
-                key, doc, automaton, waiting = row.key, None, SuffixAutomaton(), []
-            if row.doc_id != doc:
-                for sequence in waiting:
-                    automaton.add(sequence)
-                doc, waiting = row.doc_id, []
-            sequence = np.frombuffer(row.words, dtype=np.uint32).tolist()
-            waiting.append(sequence)
-            for begin, end in _spans(automaton.matching_statistics(sequence), WINDOW):
-                out.append((row.doc_id, row.print, row.start + begin, row.start + end))
-        yield pd.DataFrame(out, columns=["doc_id", "print", "start", "stop"])
+def _first_documents(rows: pd.DataFrame) -> pd.DataFrame:
+    """Where each window of a shard's segments comes first, for those that recur.
+
+    The segments of anchors in more than one document are streamed through the automaton
+    of them all.
+    """
+    by_anchor = rows.groupby("anchor")
+    low, high = by_anchor["low"].transform("min"), by_anchor["high"].transform("max")
+    rows = rows[(low < high).to_numpy()]
+    numbers: dict[bytes, int] = {}
+    sequences = [
+        [numbers.setdefault(word, len(numbers)) for word in words.split(b" ")]
+        for words in rows["words"]
+    ]
+    automaton = SuffixAutomaton()
+    for sequence, doc in zip(sequences, rows["low"].tolist()):
+        automaton.add(sequence, doc)
+    automaton.finish()
+    out = []
+    names = zip(rows["anchor"].tolist(), rows["segment"].tolist(), rows["high"].tolist(), sequences)
+    for anchor, segment, high, sequence in names:
+        lows = [doc for _, doc in automaton.matches(sequence, WINDOW)[WINDOW - 1 :]]
+        least = min(lows)
+        if least < high:
+            out.append((anchor, segment, least, np.array(lows, dtype=np.int64).tobytes()))
+    return pd.DataFrame(out, columns=["anchor", "segment", "least", "lows"])
+
+
+def kept_digest(words: list[bytes], removed: np.ndarray | None = None) -> str:
+    if removed is not None:
+        words = [w for w, r in zip(words, removed) if not r]
+    return hashlib.sha256(b" ".join(words)).hexdigest()
+
+
+def _bytes(text: str | None) -> bytes:
+    return (text or "").encode("utf-8", "surrogatepass")
+
+
+def _removed(n: int, doc_id: int, spans) -> np.ndarray:
+    """Which of ``n`` words lie in a window that comes first in a smaller document."""
+    steps = np.zeros(n + 1, dtype=np.int32)
+    for span in spans:
+        lows = np.frombuffer(span["lows"], dtype=np.int64)
+        at = span["start"] + np.flatnonzero(lows < doc_id)
+        steps[at] += 1
+        steps[at + WINDOW] -= 1
+    return np.cumsum(steps[:-1]) > 0
 
 
 def _finish(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    for frame in frames:
+    for frame in _small(frames):
         rows = []
         for row in frame.itertuples():
             raw = _bytes(row.text).split()
-            removed = np.unpackbits(np.frombuffer(row.removed, dtype=np.uint8))[: len(raw)]
-            removed = removed.astype(bool)
-            for span in row.spans if row.spans is not None else ():
-                removed[span["start"] : span["stop"]] = True
-            rows.append((row.doc_id, len(raw), int(removed.sum()), kept_digest(raw, removed)))
+            removed = None
+            if row.spans is not None:
+                removed = _removed(len(raw), row.doc_id, row.spans)
+            gone = 0 if removed is None else int(removed.sum())
+            rows.append((row.doc_id, len(raw), gone, kept_digest(raw, removed)))
         yield pd.DataFrame(rows, columns=["doc_id", "n_words", "n_removed", "kept_sha256"])
 
 
+def repeated_segments(texts: DataFrame) -> DataFrame:
+    """Where segments of ``texts`` (doc_id, print, text) hold windows of smaller documents.
+
+    doc_id, print, start and, for every window of the segment, the smallest doc_id that
+    holds it. One row for every such segment of every document.
+    """
+    size = texts.agg(F.coalesce(F.sum(F.octet_length("text")), F.lit(0))).first()[0]
+    shards = max(1, -(-size // SHARD_TEXT_BYTES))
+    heat = _heat(texts)
+    keys = texts.select("text").mapInPandas(_anchor_keys(heat), _KEY)
+    known = repeats.repeated_filter(keys, size // BYTES_PER_ANCHOR)
+    shard = F.pmod(F.xxhash64("anchor"), F.lit(shards)).alias("shard")
+    first = keep(
+        texts.select("doc_id", "text")
+        .mapInPandas(_different(heat, known), _SEGMENT)
+        # One shuffle for both groupings. A segment is a row per batch by now.
+        .select(shard, "*")
+        .repartition("shard")
+        .groupBy("shard", "anchor", "segment")
+        .agg(F.min("low").alias("low"), F.max("high").alias("high"), F.first("words").alias("words"))
+        .groupBy("shard")
+        .applyInPandas(lambda rows: _first_documents(rows), _FIRST),
+        "first",
+    )
+    places = texts.select("doc_id", "print", "text").mapInPandas(_places(heat, known), _PLACE)
+    return (
+        places.join(first, ["anchor", "segment"])
+        .where("least < doc_id")
+        .select("doc_id", "print", "start", "lows")
+    )
+
+
 def without_repeats(docs: DataFrame) -> DataFrame:
     """n_words, n_removed and the digest of the kept words for every row of ``docs``.
 
@@ -371,35 +400,13 @@ def without_repeats(docs: DataFrame) -> DataFrame:
         "text",
     )
     named = texts.where((F.col("doc_id") != NO_ID) & F.col("text").isNotNull())
-    size = named.agg(F.coalesce(F.sum(F.octet_length("text")), F.lit(0))).first()[0]
-    parts = max(1, -(-size // PART_TEXT_BYTES))
-    replies = (
-        named.mapInPandas(_sent(parts), _SENT)
-        .groupBy("part")
-        .applyInPandas(_judged_part, _REPLY)
-        .groupBy("doc_id", "print")
-        .agg(F.collect_list(F.struct("segments", "status")).alias("replies"))
-    )
-    judged = keep(texts.join(replies, ["doc_id", "print"], "left").mapInPandas(_judge, _JUDGED))
-    open_docs = judged.where("text IS NOT NULL")
+    # A row that stands twice has its spans twice.
     spans = (
-        open_docs.select("doc_id", "print", "text", "keys", "starts", "lengths")
-        .mapInPandas(_segment_words, _SEGMENT)
-        .repartition("key")
-        .sortWithinPartitions("key", "doc_id", "start")
-        .mapInPandas(_streamed, _SPAN)
+        repeated_segments(named)
         .groupBy("doc_id", "print")
-        .agg(F.collect_list(F.struct("start", "stop")).alias("spans"))
-    )
-    compared = (
-        open_docs.select("doc_id", "print", "text", "removed")
-        .join(spans, ["doc_id", "print"], "left")
-        .mapInPandas(_finish, _RESULT)
-    )
-    settled = judged.where("text IS NULL")
-    return restored(
-        settled.select("doc_id", "n_words", "n_removed", "kept_sha256").unionAll(compared)
+        .agg(F.collect_list(F.struct("start", "lows")).alias("spans"))
     )
+    return restored(texts.join(spans, ["doc_id", "print"], "left").mapInPandas(_finish, _RESULT))
 
 
 def op9_suffix_dedup(spark: SparkSession, folder: str) -> DataFrame:

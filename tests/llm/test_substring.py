@@ -1,12 +1,15 @@
 import hashlib
 import random
+from collections import Counter
 
 import pytest
 from corpus_support import make_docs, rows_of, words_of  # noqa: F401
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
-from martloom.llm import substring
+from pyspark.sql import functions as F
+
+from martloom.llm import repeats, substring
 
 
 def brute(rows):
@@ -40,18 +43,25 @@ SEQUENCES = st.lists(st.lists(st.integers(0, 2), max_size=12), max_size=5)
 
 
 @settings(max_examples=200, deadline=None)
-@given(SEQUENCES, st.lists(st.integers(0, 2), max_size=12))
-def test_matching_statistics(known, asked):
+@given(SEQUENCES, st.lists(st.integers(0, 2), max_size=12), st.integers(1, 4))
+def test_matches(known, asked, least):
+    """The longest match at every word, and the smallest document of its end."""
     automaton = substring.SuffixAutomaton()
-    for sequence in known:
-        automaton.add(sequence)
-    factors = {tuple(s[i:j]) for s in known for i in range(len(s)) for j in range(i, len(s) + 1)}
-    factors.add(())
-    want = [
-        max(n for n in range(end + 2) if tuple(asked[end + 1 - n : end + 1]) in factors)
-        for end in range(len(asked))
-    ]
-    assert automaton.matching_statistics(asked) == want
+    docs = [(7 * i) % 5 for i in range(len(known))]
+    for sequence, doc in zip(known, docs):
+        automaton.add(sequence, doc)
+    automaton.finish()
+    low = {(): 0}
+    for s, doc in zip(known, docs):
+        for i in range(len(s)):
+            for j in range(i + 1, len(s) + 1):
+                low[tuple(s[i:j])] = min(low.get(tuple(s[i:j]), substring.NO_DOC), doc)
+    want = []
+    for end in range(1, len(asked) + 1):
+        longest = max(n for n in range(end + 1) if tuple(asked[end - n : end]) in low)
+        doc = low[tuple(asked[end - least : end])] if longest >= least else substring.NO_DOC
+        want.append((longest, doc))
+    assert automaton.matches(asked, least) == want
 
 
 def corpus():
@@ -80,14 +90,33 @@ def corpus():
     return rows
 
 
-@pytest.mark.parametrize("largest", [1000, 2])
-def test_equals_all_windows(make_docs, monkeypatch, largest):
-    """With few and many segments allowed in a shard, and over several parts."""
-    monkeypatch.setattr(substring, "PART_TEXT_BYTES", 20_000)
-    monkeypatch.setattr(substring, "SHARD_SEGMENTS", largest)
+@pytest.mark.parametrize("common", [8, 1, 10_000])
+def test_equals_all_windows(make_docs, monkeypatch, common):
+    """Over several shards, with common grams, all grams and none told apart."""
+    monkeypatch.setattr(substring, "SHARD_TEXT_BYTES", 20_000)
+    monkeypatch.setattr(substring, "COMMON", common)
+    check(make_docs, corpus())
+
+
+def test_a_small_filter_changes_nothing(make_docs, monkeypatch):
+    monkeypatch.setattr(repeats, "MOST_BITS", 9)
+    monkeypatch.setattr(repeats, "LEAST_BITS", 9)
+    monkeypatch.setattr(repeats, "BLOCK_BITS", 4)
     check(make_docs, corpus())
 
 
+def test_common_lines_are_no_anchors_of_their_surroundings(make_docs):
+    """A line in all documents has as many different segments as places in it, not as
+    there are documents around it."""
+    line = " ".join(f"line{i}" for i in range(12))
+    rows = [(i, f"a{i} b{i} c{i} {line} d{i} e{i} f{i} g{i}") for i in range(200)]
+    texts = make_docs(rows).select("doc_id", F.lit(0).cast("long").alias("print"), "text").coalesce(1)
+    heat = substring._heat(texts)
+    anchors = rows_of(texts.select("text").mapInPandas(substring._anchor_keys(heat), "key long"))
+    counts = Counter(r["key"] for r in anchors)
+    assert max(counts.values()) == 1
+
+
 def test_edge_cases(make_docs):
     text = " ".join(f"w{i % 50}" for i in range(100))
     long = " ".join(f"v{i}" for i in range(50_000))
