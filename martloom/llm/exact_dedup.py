@@ -83,7 +83,7 @@ def copies(docs: DataFrame) -> DataFrame:
     equal them. An empty table gives an empty result.
     """
     rows = _digest_table(docs)
-    known = repeats.repeated_filter(rows, rows.count())
+    known = repeats.repeated_filter(rows.select("key"), rows.count())
     marked = keep(rows.withColumn("repeated", repeats.may_repeat(known, "key")), "marked")
     some = marked.where("repeated")
     groups = _groups(some)
@@ -108,7 +108,7 @@ def without_copies(docs: DataFrame) -> DataFrame:
     Texts that are surely single are not shuffled.
     """
     rows = _digest_table(docs)
-    known = repeats.repeated_filter(rows, rows.count())
+    known = repeats.repeated_filter(rows.select("key"), rows.count())
     groups = _groups(rows.where(repeats.may_repeat(known, "key")))
 
     @F.pandas_udf("binary")

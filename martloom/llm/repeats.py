@@ -9,7 +9,8 @@ beyond that, more single keys are taken for repeated ones, and nothing else chan
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+import zlib
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pandas as pd
@@ -42,7 +43,20 @@ def _cells(keys: np.ndarray, bits: int) -> list[np.ndarray]:
     return [(mixed(spread * f) >> np.uint64(64 - bits)).astype(np.uint32) for f in _FACTORS]
 
 
-def _set_cells(bits: int):
+def _packed(cells: np.ndarray) -> bytes:
+    """Sorted cells by their distances, which are small."""
+    return zlib.compress(np.diff(cells, prepend=np.uint32(0)).tobytes(), 1)
+
+
+def _unpacked(packed: bytes) -> np.ndarray:
+    return np.cumsum(np.frombuffer(zlib.decompress(packed), dtype=np.uint32), dtype=np.uint32)
+
+
+def _key_column(batch: pa.RecordBatch) -> np.ndarray:
+    return batch.column("key").to_numpy(zero_copy_only=False).astype(np.int64)
+
+
+def _set_cells(bits: int, times: int, keys_of: Callable[[pa.RecordBatch], np.ndarray]):
     low = bits - BLOCK_BITS
 
     def rows(keys: list[np.ndarray]) -> pa.RecordBatch:
@@ -53,20 +67,19 @@ def _set_cells(bits: int):
         out = []
         for block in np.flatnonzero(np.diff(bounds)):
             part = slice(bounds[block], bounds[block + 1])
-            once = counts[part] == 1
-            own = cells[part]
-            out.append((int(block), own[once].tobytes(), own[~once].tobytes()))
-        names = ["block", "once", "twice"]
+            once = counts[part] * times == 1
+            own = cells[part] & np.uint32((1 << low) - 1)
+            out.append((int(block), _packed(own[once]), _packed(own[~once])))
         kinds = [pa.int32(), pa.binary(), pa.binary()]
         return pa.RecordBatch.from_arrays(
-            [pa.array(c, k) for c, k in zip(zip(*out), kinds)], names=names
+            [pa.array(c, k) for c, k in zip(zip(*out), kinds)], names=["block", "once", "twice"]
         )
 
     def set_cells(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         waiting, n = [], 0
         for batch in batches:
-            waiting.append(batch.column("key").to_numpy(zero_copy_only=False).astype(np.int64))
-            n += len(batch)
+            waiting.append(keys_of(batch))
+            n += len(waiting[-1])
             if n >= FLUSH:
                 yield rows(waiting)
                 waiting, n = [], 0
@@ -80,12 +93,11 @@ def _merged(bits: int):
     low = bits - BLOCK_BITS
 
     def merged(rows: pd.DataFrame) -> pd.DataFrame:
-        inside = np.uint32((1 << low) - 1)
         seen = np.zeros(1 << low, dtype=np.uint8)
         for once, twice in zip(rows["once"], rows["twice"]):
-            own = np.frombuffer(once, dtype=np.uint32) & inside
+            own = _unpacked(once)
             seen[own] = np.minimum(seen[own] + 1, 2)
-            seen[np.frombuffer(twice, dtype=np.uint32) & inside] = 2
+            seen[_unpacked(twice)] = 2
         return pd.DataFrame(
             [(int(rows["block"].iloc[0]), np.packbits(seen == 2).tobytes())],
             columns=["block", "bits"],
@@ -94,15 +106,10 @@ def _merged(bits: int):
     return merged
 
 
-def repeated_filter(keys: DataFrame, count: int):
-    """Broadcast filter of the keys (long column ``key``, none missing) that may be repeated.
-
-    The driver gets the filter in blocks, at most 2 ** ``MOST_BITS`` bits together.
-    """
+def _built(rows: DataFrame, count: int, times: int, keys_of):
     bits = filter_bits(count)
     blocks = (
-        keys.select("key")
-        .mapInArrow(_set_cells(bits), _SET)
+        rows.mapInArrow(_set_cells(bits, times, keys_of), _SET)
         .groupBy("block")
         .applyInPandas(_merged(bits), _BLOCK)
         .collect()
@@ -113,7 +120,22 @@ def repeated_filter(keys: DataFrame, count: int):
         cells[row["block"] * size : (row["block"] + 1) * size] = np.frombuffer(
             row["bits"], dtype=np.uint8
         )
-    return keys.sparkSession.sparkContext.broadcast((bits, cells))
+    return rows.sparkSession.sparkContext.broadcast((bits, cells))
+
+
+def repeated_filter(rows: DataFrame, count: int, keys_of=_key_column):
+    """Broadcast filter of the keys of ``rows`` that may be repeated.
+
+    ``keys_of`` has the keys of a batch as int64, by default those of the long column
+    ``key``, none missing; ``count`` is about their number. The driver gets the filter in
+    blocks, at most 2 ** ``MOST_BITS`` bits together.
+    """
+    return _built(rows, count, 1, keys_of)
+
+
+def member_filter(rows: DataFrame, count: int):
+    """Broadcast filter of all keys of ``rows``, as if each were there twice."""
+    return _built(rows.select("key"), count, 2, _key_column)
 
 
 def told(known: tuple[int, np.ndarray], keys: np.ndarray) -> np.ndarray:

@@ -25,6 +25,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -37,17 +38,21 @@ WINDOW = 13
 ANCHOR = 5
 # Text per reference shard. Its different segments are at most a few times as long.
 SHARD_TEXT_BYTES = 2 * 1024 * 1024
-# Grams are counted in so many cells; a task reports those it saw at least so often.
+# Grams are counted in so many cells; a task reports those it saw so often, and so many
+# times as often as the mean cell.
 HEAT_BITS = 22
 COMMON = 8
-# Bytes of text that have about one anchor.
-BYTES_PER_ANCHOR = 32
+# Bytes of text that have about one anchor or two.
+BYTES_PER_ANCHOR = 64
+# Texts go through in slices of about so many characters.
+SLICE = 2_000_000
 
 _CELL = "cell int, times long"
-_KEY = "key long"
 _SEGMENT = "anchor long, segment long, low long, high long, words binary"
 _PLACE = "anchor long, segment long, doc_id long, print long, start int"
-_FIRST = "anchor long, segment long, least long, lows binary"
+_FIRST = "anchor long, segment long, least long, windows int, lows binary"
+_CUTS = "doc_id long, print long, cuts binary"
+_OPEN = "doc_id long, print long, text string"
 _RESULT = "doc_id long, n_words long, n_removed long, kept_sha256 string"
 
 _MIX = np.random.default_rng(9).integers(1, 2**63, 3, dtype=np.uint64) | np.uint64(1)
@@ -105,7 +110,7 @@ class Segments:
 
 def _small(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     for frame in frames:
-        for part in text_slices(frame["text"]):
+        for part in text_slices(frame["text"], SLICE):
             yield frame.iloc[part]
 
 
@@ -115,7 +120,7 @@ def _common_cells(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     for frame in _small(frames):
         hashes, whole = grams(split_words(frame["text"].tolist(), lower=False), ANCHOR)
         seen += np.bincount(_cells(hashes[whole]), minlength=len(seen))
-    cells = np.flatnonzero(seen >= COMMON)
+    cells = np.flatnonzero(seen >= COMMON * max(1.0, seen.mean()))
     yield pd.DataFrame({"cell": cells.astype(np.int32), "times": seen[cells]})
 
 
@@ -130,19 +135,22 @@ def _heat(named: DataFrame):
     return named.sparkSession.sparkContext.broadcast(levels)
 
 
-def _anchor_keys(heat):
-    """Every anchor of every document once."""
+def _anchors(heat):
+    """Every anchor of every document of a batch, once by document."""
 
-    def keys(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for frame in _small(frames):
-            cut = Segments(split_words(frame["text"].tolist(), lower=False), heat.value)
+    def anchors(batch: pa.RecordBatch) -> np.ndarray:
+        texts = batch.column("text").to_pylist()
+        out = [np.array([], dtype=np.uint64)]
+        for part in text_slices(texts, SLICE):
+            cut = Segments(split_words(texts[part], lower=False), heat.value)
             order = np.lexsort((cut.anchor, cut.text))
             text, anchor = cut.text[order], cut.anchor[order]
             fresh = np.ones(len(order), dtype=bool)
             fresh[1:] = (text[1:] != text[:-1]) | (anchor[1:] != anchor[:-1])
-            yield pd.DataFrame({"key": anchor[fresh].view(np.int64)})
+            out.append(anchor[fresh])
+        return np.concatenate(out).view(np.int64)
 
-    return keys
+    return anchors
 
 
 def _recurring(frame: pd.DataFrame, heat, known) -> tuple[Segments, np.ndarray]:
@@ -316,8 +324,11 @@ def _first_documents(rows: pd.DataFrame) -> pd.DataFrame:
         lows = [doc for _, doc in automaton.matches(sequence, WINDOW)[WINDOW - 1 :]]
         least = min(lows)
         if least < high:
-            out.append((anchor, segment, least, np.array(lows, dtype=np.int64).tobytes()))
-    return pd.DataFrame(out, columns=["anchor", "segment", "least", "lows"])
+            windows = len(lows)
+            # Most often one document is the first of all windows.
+            lows = lows[:1] if max(lows) == least else lows
+            out.append((anchor, segment, least, windows, np.array(lows, dtype=np.int64).tobytes()))
+    return pd.DataFrame(out, columns=["anchor", "segment", "least", "windows", "lows"])
 
 
 def kept_digest(words: list[bytes], removed: np.ndarray | None = None) -> str:
@@ -330,41 +341,82 @@ def _bytes(text: str | None) -> bytes:
     return (text or "").encode("utf-8", "surrogatepass")
 
 
-def _removed(n: int, doc_id: int, spans) -> np.ndarray:
-    """Which of ``n`` words lie in a window that comes first in a smaller document."""
-    steps = np.zeros(n + 1, dtype=np.int32)
-    for span in spans:
-        lows = np.frombuffer(span["lows"], dtype=np.int64)
-        at = span["start"] + np.flatnonzero(lows < doc_id)
-        steps[at] += 1
-        steps[at + WINDOW] -= 1
-    return np.cumsum(steps[:-1]) > 0
+def _cuts(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    """Maximal spans of words, as starts and ends, in windows that come first in a smaller
+    document."""
+    for frame in frames:
+        rows = []
+        for row in frame.itertuples():
+            starts = []
+            for span in row.spans:
+                lows = np.frombuffer(span["lows"], dtype=np.int64)
+                if len(lows) == 1:
+                    starts.append(span["start"] + np.arange(span["windows"]))
+                else:
+                    starts.append(span["start"] + np.flatnonzero(lows < row.doc_id))
+            at = np.unique(np.concatenate(starts))
+            apart = np.flatnonzero(np.diff(at) > WINDOW)
+            begin = at[np.concatenate([[0], apart + 1])]
+            end = at[np.append(apart, len(at) - 1)] + WINDOW
+            rows.append((row.doc_id, row.print, np.stack([begin, end]).astype(np.int32).tobytes()))
+        yield pd.DataFrame(rows, columns=["doc_id", "print", "cuts"])
+
+
+def _result(frame: pd.DataFrame, cuts) -> pd.DataFrame:
+    rows = []
+    for doc_id, text, own in zip(frame["doc_id"], frame["text"], cuts):
+        raw = _bytes(text).split()
+        removed = np.zeros(len(raw), dtype=bool)
+        if own is not None:
+            for begin, end in np.frombuffer(own, dtype=np.int32).reshape(2, -1).T:
+                removed[begin:end] = True
+        rows.append((doc_id, len(raw), int(removed.sum()), kept_digest(raw, removed)))
+    return pd.DataFrame(rows, columns=["doc_id", "n_words", "n_removed", "kept_sha256"])
+
+
+def _has_cuts(frame: pd.DataFrame, known) -> np.ndarray:
+    return repeats.told(known.value, frame["key"].to_numpy(np.int64))
+
+
+def _whole(known):
+    """Results of documents of which nothing goes."""
+
+    def whole(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for frame in _small(frames):
+            some = frame[~_has_cuts(frame, known)]
+            yield _result(some, [None] * len(some))
+
+    return whole
+
+
+def _open(known):
+    """The other documents; a few of which nothing goes are among them."""
+
+    def open_docs(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for frame in _small(frames):
+            yield frame.loc[_has_cuts(frame, known), ["doc_id", "print", "text"]]
+
+    return open_docs
 
 
 def _finish(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     for frame in _small(frames):
-        rows = []
-        for row in frame.itertuples():
-            raw = _bytes(row.text).split()
-            removed = None
-            if row.spans is not None:
-                removed = _removed(len(raw), row.doc_id, row.spans)
-            gone = 0 if removed is None else int(removed.sum())
-            rows.append((row.doc_id, len(raw), gone, kept_digest(raw, removed)))
-        yield pd.DataFrame(rows, columns=["doc_id", "n_words", "n_removed", "kept_sha256"])
+        yield _result(frame, frame["cuts"])
 
 
 def repeated_segments(texts: DataFrame) -> DataFrame:
     """Where segments of ``texts`` (doc_id, print, text) hold windows of smaller documents.
 
-    doc_id, print, start and, for every window of the segment, the smallest doc_id that
-    holds it. One row for every such segment of every document.
+    doc_id, print, start, the number of windows and, for every one, the smallest doc_id
+    that holds it (one for all if they agree). One row for every such segment of every
+    document.
     """
     size = texts.agg(F.coalesce(F.sum(F.octet_length("text")), F.lit(0))).first()[0]
     shards = max(1, -(-size // SHARD_TEXT_BYTES))
     heat = _heat(texts)
-    keys = texts.select("text").mapInPandas(_anchor_keys(heat), _KEY)
-    known = repeats.repeated_filter(keys, size // BYTES_PER_ANCHOR)
+    known = repeats.repeated_filter(
+        texts.select("text"), size // BYTES_PER_ANCHOR, _anchors(heat)
+    )
     shard = F.pmod(F.xxhash64("anchor"), F.lit(shards)).alias("shard")
     first = keep(
         texts.select("doc_id", "text")
@@ -382,7 +434,7 @@ def repeated_segments(texts: DataFrame) -> DataFrame:
     return (
         places.join(first, ["anchor", "segment"])
         .where("least < doc_id")
-        .select("doc_id", "print", "start", "lows")
+        .select("doc_id", "print", "start", "windows", "lows")
     )
 
 
@@ -404,9 +456,19 @@ def without_repeats(docs: DataFrame) -> DataFrame:
     spans = (
         repeated_segments(named)
         .groupBy("doc_id", "print")
-        .agg(F.collect_list(F.struct("start", "lows")).alias("spans"))
+        .agg(F.collect_list(F.struct("start", "windows", "lows")).alias("spans"))
+    )
+    cuts = keep(spans.mapInPandas(_cuts, _CUTS), "cuts")
+    key = F.xxhash64("doc_id", "print").alias("key")
+    known = repeats.member_filter(cuts.select(key), cuts.count())
+    keyed = texts.withColumn("key", key)
+    whole = keyed.select("doc_id", "text", "key").mapInPandas(_whole(known), _RESULT)
+    cut = (
+        keyed.mapInPandas(_open(known), _OPEN)
+        .join(cuts, ["doc_id", "print"], "left")
+        .mapInPandas(_finish, _RESULT)
     )
-    return restored(texts.join(spans, ["doc_id", "print"], "left").mapInPandas(_finish, _RESULT))
+    return restored(whole.unionAll(cut))
 
 
 def op9_suffix_dedup(spark: SparkSession, folder: str) -> DataFrame:

@@ -2,13 +2,12 @@ import hashlib
 import random
 from collections import Counter
 
+import pyarrow as pa
 import pytest
 from corpus_support import make_docs, rows_of, words_of  # noqa: F401
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
-from pyspark.sql import functions as F
-
 from martloom.llm import repeats, substring
 
 
@@ -110,10 +109,10 @@ def test_common_lines_are_no_anchors_of_their_surroundings(make_docs):
     there are documents around it."""
     line = " ".join(f"line{i}" for i in range(12))
     rows = [(i, f"a{i} b{i} c{i} {line} d{i} e{i} f{i} g{i}") for i in range(200)]
-    texts = make_docs(rows).select("doc_id", F.lit(0).cast("long").alias("print"), "text").coalesce(1)
+    texts = make_docs(rows).select("text").coalesce(1)
     heat = substring._heat(texts)
-    anchors = rows_of(texts.select("text").mapInPandas(substring._anchor_keys(heat), "key long"))
-    counts = Counter(r["key"] for r in anchors)
+    batch = pa.RecordBatch.from_arrays([pa.array([text for _, text in rows])], names=["text"])
+    counts = Counter(substring._anchors(heat)(batch).tolist())
     assert max(counts.values()) == 1
 
 
