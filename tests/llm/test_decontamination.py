@@ -28,6 +28,17 @@ def test_alignment_equals_the_plain_one(a, b):
     assert score == plain_alignment(a, b) and (score == 0 or 0 <= end < len(b))
 
 
+@settings(max_examples=100, deadline=None)
+@given(st.lists(st.tuples(WORDS, WORDS), min_size=1, max_size=6))
+def test_many_alignments_equal_single_ones(pairs):
+    items = [np.array(a, dtype=np.uint64) + 2 for a, _ in pairs]
+    regions = [np.array(b, dtype=np.uint64) + 2 for _, b in pairs]
+    low = np.cumsum([0, *map(len, regions)])
+    score, end = dc._scores(items, np.concatenate(regions), low[:-1], low[1:])
+    want = [dc.align(a, b) for a, b in zip(items, regions)]
+    assert list(zip(score.tolist(), end.tolist())) == want
+
+
 def prose(rng, n):
     return [f"w{rng.randrange(3000)}" for _ in range(n)]
 
@@ -160,3 +171,24 @@ def test_passages_of_long_items(spark, make_docs):
     assert got[1, 0]["score"] == round(29 / 59, 6)
     left = rows_of(dc.without_leaks(make_docs(rows), benchmark))
     assert {r["doc_id"] for r in left} == {5, 6}
+
+
+def test_marks_and_capitals_beyond_ascii(spark, make_docs):
+    item = "Él dijo que la Élite no sabe nada de este asunto tan serio"
+    written = "«ÉL DIJO» – que la “élite” no sabe nada… de este asunto tan serio"
+    benchmark = benchmark_of(spark, [(1, item, "", "")])
+    got = rows_of(dc.leaks(make_docs([(5, f"uno dos {written} tres"), (6, "la élite")]), benchmark))
+    assert [(r["doc_id"], r["score"]) for r in got] == [(5, 1.0)]
+
+
+def test_items_that_share_a_formula(spark, make_docs):
+    """A formula of many items opens those for which it is rare; copies are found by the rest."""
+    rng = random.Random(11)
+    formula = ["one", "of", "the"]
+    items = [[*prose(rng, 9), *formula, *prose(rng, 9)] for _ in range(60)]
+    benchmark = benchmark_of(spark, [(i, " ".join(t), "", "") for i, t in enumerate(items)])
+    common = " ".join(w for _ in range(300) for w in (*formula, rng.choice("abcdefgh")))
+    rows = [(i, " ".join([*prose(rng, 20), *items[i]])) for i in range(0, 60, 7)]
+    rows += [(100 + i, common) for i in range(5)]
+    got = rows_of(dc.leaks(make_docs(rows), benchmark))
+    assert {(r["doc_id"], r["item_id"]) for r in got} == {(i, i) for i in range(0, 60, 7)}
