@@ -19,6 +19,7 @@ import oracle  # noqa: E402
 from martloom.operators import quality, ranking  # noqa: E402
 from martloom.operators.tables import MonthlyTable  # noqa: E402
 from martloom.plans import checks, kpis, pipeline  # noqa: E402
+from martloom.plans.incremental import KeptMarts  # noqa: E402
 from martloom.plans.models import Models  # noqa: E402
 from martloom.session import keep, local_trial, scratch_path  # noqa: E402
 from martloom.sources import from_testdata, with_tables  # noqa: E402
@@ -176,6 +177,42 @@ def orders_stream(spark: SparkSession, folder: str) -> DataFrame:
     return table.read()
 
 
+def _marts_from_changes(mart: str) -> Query:
+    """A mart kept since an earlier state of the sources, after all that has changed since.
+
+    Then every seventh order was unknown and every tenth open, others had another date,
+    customer or no lines, and there were orders that are gone now.
+    """
+
+    def query(spark: SparkSession, folder: str) -> DataFrame:
+        models = _models(spark, folder)
+        orders, lines = models.sources["orders"], models.sources["order_items"]
+        number, gone = F.col("order_id"), F.col("order_id") + 10**9
+        then = orders.where(number % 7 != 3).withColumns(
+            {
+                "order_status": F.when(number % 10 == 0, 2).otherwise(F.col("order_status")),
+                "order_date": F.when(number % 11 == 5, F.date_sub("order_date", 40)).otherwise(
+                    F.col("order_date")
+                ),
+                "customer_id": F.when(number % 17 == 4, 1).otherwise(F.col("customer_id")),
+            }
+        )
+        then = then.unionAll(orders.where(number % 13 == 1).withColumn("order_id", gone))
+        lines_then = lines.where(number % 19 != 2).unionAll(
+            lines.where(number % 13 == 1).withColumn("order_id", gone)
+        )
+        changed = orders.where(
+            (number % 7 == 3) | (number % 10 == 0) | (number % 11 == 5) | (number % 17 == 4)
+            | (number % 19 == 2)
+        ).select("order_id").unionAll(orders.where(number % 13 == 1).select(gone))
+        kept = KeptMarts(spark, scratch_path(spark, "kept"))
+        kept.load(Models(with_tables(models.sources, orders=then, order_items=lines_then)))
+        kept.apply(models, changed)
+        return getattr(kept, mart)(models)
+
+    return query
+
+
 def rank_scalable(spark: SparkSession, folder: str) -> DataFrame:
     """Every order ranked by revenue, both ways."""
     orders = _models(spark, folder).order_measures.select("order_id", "order_revenue")
@@ -211,6 +248,8 @@ def queries() -> dict[str, Query]:
     out["orders_incremental"] = orders_incremental
     out["orders_schema_sync"] = orders_schema_sync
     out["orders_stream"] = orders_stream
+    for mart in ("revenue_by_store", "revenue_by_category", "customer_summary"):
+        out[f"{mart}_from_changes"] = _marts_from_changes(mart)
     out["rank_scalable"] = rank_scalable
     out["dq_failing_values"] = dq_failing_values
     if corpus is not None:

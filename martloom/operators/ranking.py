@@ -68,9 +68,12 @@ def value_ranks(df: DataFrame, value: str, descending: bool = False) -> DataFram
     )
 
 
-def _attach(df: DataFrame, value: str, descending: bool, ranks: dict[str, Column]) -> DataFrame:
-    """``df`` with ranks by its values. Only the distinct values are written; the rows
-    themselves are planned once more for the join."""
+def _attach(
+    df: DataFrame, value: str, descending: bool, ranks: dict[str, Column], stored: bool
+) -> DataFrame:
+    """``df`` with ranks by its values. The rows are read twice, for the values and for the
+    join, and are written first unless they are ``stored``."""
+    df = df if stored else keep(df, "ranked")
     ranked = value_ranks(df.select(value), value, descending)
     ranked = ranked.select("value", *[rank.alias(name) for name, rank in ranks.items()])
     joined = df.join(ranked, F.col(value).eqNullSafe(F.col("value")))
@@ -87,27 +90,29 @@ def _percent() -> Column:
 
 
 def with_dense_rank(
-    df: DataFrame, value: str, name: str, descending: bool = False
+    df: DataFrame, value: str, name: str, descending: bool = False, stored: bool = False
 ) -> DataFrame:
     """Add ``dense_rank`` over the whole table as a BIGINT column."""
-    return _attach(df, value, descending, {name: _dense()})
+    return _attach(df, value, descending, {name: _dense()}, stored)
 
 
 def with_percent_rank(
-    df: DataFrame, value: str, name: str, descending: bool = False
+    df: DataFrame, value: str, name: str, descending: bool = False, stored: bool = False
 ) -> DataFrame:
     """Add ``percent_rank`` over the whole table as a DOUBLE column."""
-    return _attach(df, value, descending, {name: _percent()})
+    return _attach(df, value, descending, {name: _percent()}, stored)
 
 
-def with_both_ranks(df: DataFrame, value: str, dense: str, percent: str) -> DataFrame:
+def with_both_ranks(
+    df: DataFrame, value: str, dense: str, percent: str, stored: bool = False
+) -> DataFrame:
     """Add ``dense``, from the largest value down, and ``percent``, from the smallest up.
 
     One ranking serves both: counted from above, a value has the place that is left by
     the values before it.
     """
     downwards = F.col("values_total") - F.col("values_before")
-    return _attach(df, value, False, {dense: downwards, percent: _percent()})
+    return _attach(df, value, False, {dense: downwards, percent: _percent()}, stored)
 
 
 def top_ranked(df: DataFrame, value: str, name: str, k: int) -> DataFrame:
@@ -130,8 +135,9 @@ def top_ranked(df: DataFrame, value: str, name: str, k: int) -> DataFrame:
 def best_by_revenue(sales: DataFrame, ranks: int) -> DataFrame:
     """Products on the first ``ranks`` revenue ranks, with ``revenue_rank``.
 
-    A stored ranking is filtered by the rank it has; other product frames are ranked.
+    A stored ranking is filtered by the rank it has; other product frames are written,
+    so that the lines behind them are summed once, and ranked.
     """
     if "revenue_rank" in sales.columns:
         return sales.where(F.col("revenue_rank") <= ranks)
-    return top_ranked(sales, "total_revenue", "revenue_rank", ranks)
+    return top_ranked(keep(sales, "sales"), "total_revenue", "revenue_rank", ranks)

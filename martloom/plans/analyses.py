@@ -67,6 +67,7 @@ def low_stock_analysis(sales: DataFrame, stocks: DataFrame, stores: DataFrame) -
         ),
         "units_sold",
         "sales_percentile",
+        stored="revenue_rank" in sales.columns,
     )
     quantity = F.col("quantity")
     names = stores.select("store_id", "store_name")

@@ -82,6 +82,23 @@ def order_facts(orders: DataFrame, totals: DataFrame) -> DataFrame:
     )
 
 
+def order_facts_by_category(facts: DataFrame, lines: DataFrame, products: DataFrame) -> DataFrame:
+    """Order facts with ``categories``: cents and units of every category in the order.
+
+    An order holds each category once, however many lines it has.
+    """
+    held = (
+        lines.join(products.select("product_id", "category_id"), "product_id", "left")
+        .groupBy("order_id", "category_id")
+        .agg(F.sum("line_cents").alias("cents"), F.sum("quantity").alias("units"))
+        .groupBy("order_id")
+        .agg(F.collect_list(F.struct("category_id", "cents", "units")).alias("categories"))
+    )
+    return facts.join(held, "order_id", "left").select(
+        "order_id", "customer_id", "store_id", "order_status", "order_date", "revenue_cents", "categories"
+    )
+
+
 def _with_dims(
     orders: DataFrame,
     customers: DataFrame,

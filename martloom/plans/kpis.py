@@ -162,7 +162,9 @@ def store_share(by_store: DataFrame) -> DataFrame:
 
 
 def _growth(cents: str, window):
-    before = F.lag(cents).over(window)
+    """Growth over the calendar year before; none where that year has no row."""
+    last = F.lag("order_year").over(window)
+    before = F.when(last == F.col("order_year") - 1, F.lag(cents).over(window))
     return money.percent(F.col(cents) - before, before)
 
 

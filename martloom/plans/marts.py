@@ -46,6 +46,11 @@ def revenue_by_store(facts: DataFrame, stores: DataFrame) -> DataFrame:
         .groupBy("store_id", month_of(F.col("order_date")).alias("order_month"))
         .agg(F.sum("revenue_cents").alias("cents"), F.count("*").alias("order_count"))
     )
+    return store_months(totals, stores)
+
+
+def store_months(totals: DataFrame, stores: DataFrame) -> DataFrame:
+    """Cents and orders by store and month as the mart shows them."""
     return totals.join(stores, "store_id", "left").select(
         "store_id",
         "store_name",
@@ -78,6 +83,11 @@ def revenue_by_category(
         F.sum("units").alias("units_sold"),
         F.count("order_id").alias("order_count"),
     )
+    return category_months(totals, categories)
+
+
+def category_months(totals: DataFrame, categories: DataFrame) -> DataFrame:
+    """Cents, units and orders by category and month as the mart shows them."""
     return totals.join(categories, "category_id", "left").select(
         "category_id",
         "category_name",
@@ -140,6 +150,12 @@ def customer_summary(facts: DataFrame, customers: DataFrame) -> DataFrame:
         F.count(finished).alias("completed_order_count"),
         F.sum(F.when(known, F.col("cents"))).alias("cents"),
     )
+    return customer_totals(totals, customers)
+
+
+def customer_totals(totals: DataFrame, customers: DataFrame) -> DataFrame:
+    """Activity and cents by customer as the mart shows them."""
+    known = F.col("customer_id").isNotNull()
     name = full_name(F.col("first_name"), F.col("last_name"))
     names = customers.select("customer_id", "first_name", "last_name")
     return totals.join(names, "customer_id", "left").select(

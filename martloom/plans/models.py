@@ -38,6 +38,12 @@ class Models:
         lines = self.sources["order_items"].join(orders.select("order_id"), "order_id", "left_semi")
         return Models(with_tables(self.sources, orders=orders, order_items=lines))
 
+    def for_order_ids(self, ids: DataFrame) -> "Models":
+        """The same pipeline over the orders whose order_id is in ``ids``."""
+        orders = self.sources["orders"].join(ids, "order_id", "left_semi")
+        lines = self.sources["order_items"].join(ids, "order_id", "left_semi")
+        return Models(with_tables(self.sources, orders=orders, order_items=lines))
+
     def keep_order_facts(self) -> None:
         """Write the order facts once, for runs that build several marts from them."""
         self.order_facts = keep(self.order_facts, "order-facts")
@@ -101,6 +107,13 @@ class Models:
     def order_facts(self) -> DataFrame:
         return intermediate.order_facts(self.stg_orders, self.order_totals)
 
+    @cached_property
+    def order_facts_by_category(self) -> DataFrame:
+        """Order facts with what each order holds of every category."""
+        return intermediate.order_facts_by_category(
+            self.order_facts, self.priced_lines, self.stg_products
+        )
+
     @cached_property
     def completed_orders(self) -> DataFrame:
         return intermediate.completed_orders(self.stg_orders)

@@ -255,7 +255,8 @@ def _kpis() -> dict[str, str]:
         "kpi_store_year_growth": f"""
             SELECT store_id, store_name, order_year, CAST(cents AS DOUBLE) / 100 AS total_revenue,
                    {growth} AS growth_pct
-            FROM (SELECT *, lag(cents) OVER (PARTITION BY store_id ORDER BY order_year) AS before
+            FROM (SELECT *, sum(cents) OVER (PARTITION BY store_id ORDER BY order_year
+                                RANGE BETWEEN 1 PRECEDING AND 1 PRECEDING) AS before
                   FROM (SELECT store_id, store_name, year(order_month) AS order_year,
                                sum({revenue}) AS cents
                         FROM revenue_by_store GROUP BY ALL))""",
@@ -278,7 +279,8 @@ def _kpis() -> dict[str, str]:
         "kpi_yearly_growth": f"""
             SELECT order_year, CAST(cents AS DOUBLE) / 100 AS total_revenue, order_count,
                    {growth} AS growth_pct
-            FROM (SELECT *, lag(cents) OVER (ORDER BY order_year) AS before
+            FROM (SELECT *, sum(cents) OVER (ORDER BY order_year
+                                RANGE BETWEEN 1 PRECEDING AND 1 PRECEDING) AS before
                   FROM (SELECT year(order_date) AS order_year, sum({order}) AS cents,
                                count(*) AS order_count
                         FROM mart_orders WHERE order_status = 4 GROUP BY 1))""",
@@ -362,6 +364,10 @@ def _stored() -> dict[str, str]:
                     AS order_line_count)
             FROM mart_orders""",
         "orders_stream": prefix() + "SELECT * FROM mart_orders",
+        **{
+            f"{mart}_from_changes": prefix() + f"SELECT * FROM {mart}"
+            for mart in ("revenue_by_store", "revenue_by_category", "customer_summary")
+        },
     }
 
 

@@ -1,0 +1,119 @@
+"""Marts kept from changes against marts that are built anew."""
+
+import datetime as dt
+import random
+
+import pytest
+from conftest import day, order, records
+
+from martloom.operators.sums import PART, GroupTable
+from martloom.plans.incremental import KeptMarts
+from martloom.plans.models import Models
+from pyspark.sql import functions as F
+
+MARTS = ("revenue_by_store", "revenue_by_category", "customer_summary")
+
+
+def same(kept, models):
+    for mart in MARTS:
+        full = getattr(models, mart)
+        stored = getattr(kept, mart)(models)
+        assert stored.dtypes == full.dtypes, mart
+        assert records(stored, *full.columns) == records(full), mart
+
+
+def random_order(rng, i):
+    date = day("2016-01-05") + dt.timedelta(rng.randrange(120))
+    made = order(i, customer=rng.choice([1, 2, 3, None]), store=rng.choice([1, 2, 2, None]),
+                 status=rng.choice([1, 4, 4, 4]), date=str(date))
+    return made if rng.random() > 0.05 else (*made[:5], None, *made[6:])
+
+
+def random_lines(rng, i):
+    return [
+        (i, n, rng.choice([10, 11, 12, 99]), rng.randrange(1, 4), 10.0 * rng.randrange(1, 9), 0.1)
+        for n in range(rng.randrange(4))
+    ]
+
+
+def frames(make_sources, spark, orders, lines):
+    return Models(make_sources(orders=list(orders.values()), order_items=sum(lines.values(), [])))
+
+
+def test_random_changes_equal_a_rebuild(spark, make_sources, tmp_path):
+    """New, moved and deleted orders, other customers and stores, and changed lines."""
+    rng = random.Random(7)
+    orders = {i: random_order(rng, i) for i in range(80)}
+    lines = {i: random_lines(rng, i) for i in orders}
+    kept = KeptMarts(spark, str(tmp_path))
+    kept.load(frames(make_sources, spark, orders, lines))
+    same(kept, frames(make_sources, spark, orders, lines))
+    for step in range(3):
+        ids = rng.sample(range(100), 12)
+        for i in ids:
+            choice = rng.random()
+            if choice < 0.25:
+                orders.pop(i, None)
+                lines.pop(i, None)
+            elif choice < 0.6 or i not in orders:
+                orders[i] = random_order(rng, i)
+                lines.setdefault(i, random_lines(rng, i))
+            else:
+                lines[i] = random_lines(rng, i)
+        models = frames(make_sources, spark, orders, lines)
+        changed = spark.createDataFrame([(i,) for i in [*ids, ids[0], None]], "order_id bigint")
+        kept.apply(models, changed)
+        same(kept, models)
+
+
+def test_a_change_writes_the_months_it_touches(spark, make_sources, tmp_path):
+    rows = {i: order(i, date=f"2016-{i + 1:02}-10") for i in range(6)}
+    lines = {i: [(i, 1, 10, 1, 5.0, 0.0)] for i in rows}
+    kept = KeptMarts(spark, str(tmp_path))
+    kept.load(frames(make_sources, spark, rows, lines))
+    rows[2] = order(2, status=1, date="2016-05-20")
+    kept.apply(frames(make_sources, spark, rows, lines), spark.createDataFrame([(2,)], "order_id bigint"))
+    for table in (kept.stores, kept.categories, kept.months):
+        new = table._state(table._version())["parts"]
+        old = table._state(1)["parts"]
+        changed = {m for m in {*old, *new} if old.get(m) != new.get(m)}
+        assert changed <= {"2016-03", "2016-05"} and "2016-03" in changed
+    same(kept, frames(make_sources, spark, rows, lines))
+
+
+def test_nothing_changed(spark, make_sources, tmp_path):
+    models = frames(make_sources, spark, {1: order(1)}, {1: [(1, 1, 10, 1, 5.0, 0.0)]})
+    kept = KeptMarts(spark, str(tmp_path))
+    kept.load(models)
+    kept.apply(models, spark.createDataFrame([], "order_id bigint"))
+    same(kept, models)
+
+
+@pytest.fixture
+def groups(spark, tmp_path):
+    table = GroupTable(spark, str(tmp_path / "g"), ("k",), F.col("k") % 2)
+    table.replace(spark.createDataFrame([(1, 5, 1), (2, 7, 1), (None, 9, 1)], "k int, a bigint, n bigint"))
+    return table
+
+
+def rows(spark, *values):
+    return spark.createDataFrame(list(values), "k int, a bigint, n bigint")
+
+
+def test_groups_take_differences(spark, groups):
+    groups.add(rows(spark, (1, -5, -1), (3, 2, 1), (3, 2, 1), (None, 1, 0)))
+    assert records(groups.read()) == [(2, 7, 1), (3, 4, 2), (None, 10, 1)]
+    assert PART not in groups.read().columns
+
+
+def test_a_batch_is_added_once(spark, groups):
+    for _ in range(2):
+        groups.add(rows(spark, (2, 1, 0)), token=4)
+    groups.add(rows(spark, (2, 1, 0)), token=5)
+    assert records(groups.read())[1] == (2, 9, 1)
+
+
+def test_groups_are_replaced(spark, groups):
+    keys = spark.createDataFrame([(1,), (None,), (8,)], "k int")
+    groups.put(keys, rows(spark, (None, 3, 3)))
+    assert records(groups.read()) == [(2, 7, 1), (None, 3, 3)]

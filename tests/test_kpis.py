@@ -91,6 +91,24 @@ def test_order_figures(make_sources):
     assert trend == [("2016-11", 1, 1, 60.0), ("2016-12", 1, 1, 40.0), ("2017-01", 2, 1, 25.01)]
 
 
+def test_growth_needs_the_calendar_year_before(spark, make_sources):
+    """A year after a gap has nothing to grow from."""
+    rows = [(1, "North", day(f"{year}-02-01"), amount, 1) for year, amount in
+            ((2014, 10.0), (2016, 20.0), (2017, 30.0))]
+    by_store = spark.createDataFrame(
+        rows, "store_id bigint, store_name string, order_month date, total_revenue double,"
+        " order_count bigint",
+    )
+    growth = [r.growth_pct for r in kpis.store_year_growth(by_store).orderBy("order_year").collect()]
+    assert growth == [None, None, 50.0]
+    orders = [order(i, date=f"{year}-03-01") for i, year in enumerate((2014, 2016, 2017))]
+    lines = [(i, 1, 10, 1, amount, 0.0) for i, amount in enumerate((10.0, 20.0, 30.0))]
+    models = Models(make_sources(orders=orders, order_items=lines))
+    assert records(kpis.yearly_growth(models.order_measures), "order_year", "growth_pct") == [
+        (2014, None), (2016, None), (2017, 50.0),
+    ]
+
+
 def test_customer_figures(summary):
     assert records(kpis.basket_per_customer(summary)) == [(4, 125.0)]
     assert [r.customer_id for r in kpis.top_customers(summary, 2).collect()] == [0, 1]

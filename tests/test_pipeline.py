@@ -27,7 +27,7 @@ def test_build_writes_all_marts_and_they_pass(spark, small, tmp_path):
     assert {(r.model, r.column_name): r.failures for r in failed} == (
         {("revenue_by_store", "total_revenue"): empty} if empty else {}
     )
-    assert spark.sql("SELECT count(*) FROM int_orders_enriched").first()[0] == models.stg_orders.count()
+    assert spark.sql("SELECT count(*) FROM prod_intermediate_int_orders_enriched").first()[0] == models.stg_orders.count()
 
 
 def test_second_build_is_incremental_and_equal(spark, small, tmp_path):

@@ -6,6 +6,9 @@ import pytest
 from conftest import order, records
 from pyspark.sql import functions as F
 
+from martloom import session
+from martloom.operators import ranking
+from martloom.plans import kpis
 from martloom.plans.models import Models
 from martloom.sources import from_testdata, read_tables
 
@@ -160,3 +163,33 @@ def test_product_figures_read_the_stored_ranking(spark, tmp_path):
     ):
         assert records(build(stored)) == records(build(models.product_sales))
         assert "lineitem" not in physical(build(stored)) and "l_orderkey" not in physical(build(stored))
+
+
+@pytest.mark.parametrize(
+    "frame",
+    [
+        lambda m: m.top_products,
+        lambda m: m.low_stock_analysis,
+        lambda m: m.stock_top_products,
+        lambda m: kpis.best_ranked_products(m.product_sales),
+        lambda m: kpis.brand_concentration(m.product_sales),
+        lambda m: kpis.revenue_concentration(m.customer_summary),
+    ],
+)
+def test_rankings_read_the_lines_once(spark, stored, frame):
+    """In what they write before and in the result together."""
+    reads = []
+
+    def scanned(df):
+        return sum("list_price" in columns and "quantity" in columns for columns in scans(df))
+
+    written = session.keep
+
+    def counting(df, name="kept"):
+        reads.append(scanned(df))
+        return written(df, name)
+
+    with pytest.MonkeyPatch.context() as patch:
+        patch.setattr(ranking, "keep", counting)
+        result = frame(Models(stored))
+    assert sum(reads) + scanned(result) == 1
