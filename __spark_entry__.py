@@ -24,6 +24,7 @@ from martloom.plans.models import Models  # noqa: E402
 from martloom.session import keep, local_trial, scratch_path  # noqa: E402
 from martloom.sources import from_testdata, with_tables  # noqa: E402
 from martloom.sources.testdata import SCHEMAS, orders_source  # noqa: E402
+from martloom.streaming.line_feed import order_totals_table, start_line_feed  # noqa: E402
 from martloom.streaming.order_feed import start_order_feed  # noqa: E402
 
 # The corpus operators may be absent; everything else works without them.
@@ -177,6 +178,49 @@ def orders_stream(spark: SparkSession, folder: str) -> DataFrame:
     return table.read()
 
 
+def orders_line_stream(spark: SparkSession, folder: str) -> DataFrame:
+    """The order history from streams of orders and lines that arrive in disorder.
+
+    First lines of orders that are unknown yet, orders that are still open, lines with
+    another quantity, and lines that are removed later; then the missing orders and lines
+    and all corrections; last, older news, which must change nothing.
+    """
+    models = _models(spark, folder)
+    table = MonthlyTable(spark, scratch_path(spark, "orders"))
+    totals = order_totals_table(spark, scratch_path(spark, "totals"))
+    places = {n: scratch_path(spark, n) for n in ("orders-in", "lines-in", "feed")}
+    orders, lines = models.sources["orders"], models.sources["order_items"]
+    lines = lines.withColumn("gone", F.lit(False))
+    number, more = F.col("order_id"), {"quantity": F.col("quantity") + 1}
+    still_open = {"order_status": F.lit(2), "shipped_date": F.lit("NULL")}
+    removed = lines.where(number % 7 == 0).withColumn("item_id", -1 - F.abs("item_id"))
+    deliveries = (
+        (10, orders.where((number % 4 != 1) & (number % 3 != 0)), lines.where(number % 2 == 0)),
+        (10, orders.where((number % 4 != 1) & (number % 3 == 0)).withColumns(still_open), removed),
+        (10, None, lines.where((number % 2 == 1) & (number % 5 == 0)).withColumns(more)),
+        (20, orders.where((number % 4 == 1) | (number % 3 == 0)), lines.where(number % 2 == 1)),
+        (20, None, removed.withColumn("gone", F.lit(True))),
+        (5, orders.withColumns(still_open), lines.withColumns(more)),
+    )
+    for round_, parts in enumerate((deliveries[:3], deliveries[3:5], deliveries[5:])):
+        for sequence, some_orders, some_lines in parts:
+            stamp = {
+                "updated_at": F.lit(sequence),
+                "event_time": F.lit(f"2024-01-0{round_ + 1} 00:00:00").cast("timestamp"),
+            }
+            for place, rows in (("orders-in", some_orders), ("lines-in", some_lines)):
+                if rows is not None:
+                    rows.withColumns(stamp).write.mode("append").parquet(places[place])
+        streams = [
+            spark.readStream.schema(spark.read.parquet(places[p]).schema).parquet(places[p])
+            for p in ("orders-in", "lines-in")
+        ]
+        start_line_feed(
+            *streams, models.sources, table, totals, places["feed"]
+        ).awaitTermination()
+    return table.read()
+
+
 def _marts_from_changes(mart: str) -> Query:
     """A mart kept since an earlier state of the sources, after all that has changed since.
 
@@ -248,6 +292,7 @@ def queries() -> dict[str, Query]:
     out["orders_incremental"] = orders_incremental
     out["orders_schema_sync"] = orders_schema_sync
     out["orders_stream"] = orders_stream
+    out["orders_line_stream"] = orders_line_stream
     for mart in ("revenue_by_store", "revenue_by_category", "customer_summary"):
         out[f"{mart}_from_changes"] = _marts_from_changes(mart)
     out["rank_scalable"] = rank_scalable

@@ -364,6 +364,7 @@ def _stored() -> dict[str, str]:
                     AS order_line_count)
             FROM mart_orders""",
         "orders_stream": prefix() + "SELECT * FROM mart_orders",
+        "orders_line_stream": prefix() + "SELECT * FROM mart_orders",
         **{
             f"{mart}_from_changes": prefix() + f"SELECT * FROM {mart}"
             for mart in ("revenue_by_store", "revenue_by_category", "customer_summary")
