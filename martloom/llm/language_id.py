@@ -31,7 +31,13 @@ SAMPLE = 500
 SIZES = (3, 4)
 BUCKET_BITS = 14
 REGULARISATION, STEPS, TOLERANCE = 1e-4, 15, 1e-3
-LEAST = 0.25
+# N-grams of four bytes that a language's sample holds are remembered in so many cells. A
+# text is of the language if it has this part of the share that the sample's own texts
+# have among the others', all but the strangest hundredth of them.
+KNOWN_BITS = 20
+KNOWN_PART, STRANGEST = 0.5, 0.01
+# The share asked for where a sample is too small to tell.
+LEAST_KNOWN = 0.3
 # n-gram frequencies are small: scaled up, margins are of the order of 1.
 SCALE = 100.0
 
@@ -54,6 +60,7 @@ _LETTER = re.compile(r"[^\W\d_]")
 _AS_SPACE = bytes(c if c >= 128 or chr(c).isalpha() else 32 for c in range(256))
 _FACTORS = np.array([0x9E3779B1, 0x85EBCA6B, 0xC2B2AE35, 0x27D4EB2F], dtype=np.uint32)
 
+_KNOWN = "lang string, cells binary, least double"
 _PREDICTION = "doc_id long, held_out boolean, lang_pred string, score double"
 
 
@@ -104,6 +111,49 @@ def features(texts: list[str | None]) -> tuple[np.ndarray, np.ndarray, np.ndarra
     return bucket, owner, np.bincount(owner, minlength=len(texts))
 
 
+def _cells(texts: list[str | None]) -> tuple[np.ndarray, np.ndarray]:
+    """Cell of every n-gram of four bytes, and its text."""
+    data, first = _letters(texts)
+    n = len(data) - 3
+    hashed = np.full(n, 4, dtype=np.uint32)
+    for j in range(4):
+        hashed = (hashed ^ data[j : n + j]) * _FACTORS[j]
+        hashed ^= hashed >> np.uint32(15)
+    useful = (data[:n] != 32) | (data[1 : n + 1] != 32)
+    owner = np.repeat(np.arange(len(texts), dtype=np.int32), np.diff(first))[:n]
+    return (hashed >> np.uint32(32 - KNOWN_BITS)).astype(np.int64)[useful], owner[useful]
+
+
+def _known_shares(texts: list[str | None], known: np.ndarray) -> np.ndarray:
+    """Share of each text's n-grams that ``known``, a flag for every cell, has."""
+    cell, owner = _cells(texts)
+    total = np.bincount(owner, minlength=len(texts))
+    return np.bincount(owner, weights=known[cell], minlength=len(texts)) / np.maximum(total, 1)
+
+
+def _known_ngrams(rows: pd.DataFrame) -> pd.DataFrame:
+    """Cells of one language's sample, and the share that one of its texts has at least.
+
+    A fifth of the texts is kept apart and compared with the others' cells.
+    """
+    texts = rows["text"].tolist()
+    apart, others = texts[::5], [t for i, t in enumerate(texts) if i % 5]
+
+    def cells(some: list[str]) -> np.ndarray:
+        known = np.zeros(1 << KNOWN_BITS, dtype=bool)
+        for part in text_slices(some, 1_000_000):
+            known[_cells(some[part])[0]] = True
+        return known
+
+    least = LEAST_KNOWN
+    if len(apart) >= 20:
+        learned = cells(others)
+        shares = [_known_shares(apart[part], learned) for part in text_slices(apart, 1_000_000)]
+        least = KNOWN_PART * float(np.quantile(np.concatenate(shares), STRANGEST))
+    packed = np.packbits(cells(texts)).tobytes()
+    return pd.DataFrame([(rows["lang"].iloc[0], packed, least)], columns=["lang", "cells", "least"])
+
+
 @F.udf(VectorUDT())
 def _vector(text: str | None) -> SparseVector:
     """For training only: texts of the bounded sample."""
@@ -120,6 +170,7 @@ class Machines:
         self.names: list[tuple] = []
         self.weights: list[np.ndarray] = []
         self.offsets: list[float] = []
+        self.known: dict[str, tuple[bytes, float]] = {}
 
     def add(self, name: tuple, weights: np.ndarray, offset: float) -> None:
         self.names.append(name)
@@ -138,6 +189,18 @@ class Machines:
                 out[row, some] = sums / np.maximum(total, 1) + offset
         return out, counts
 
+    def familiar(self, texts: list[str | None], languages: np.ndarray) -> np.ndarray:
+        """Which texts are made of n-grams that are known from their language."""
+        out = np.zeros(len(texts), dtype=bool)
+        for language, (packed, least) in self.known.items():
+            own = np.flatnonzero(languages == language)
+            if len(own):
+                known = np.unpackbits(np.frombuffer(packed, dtype=np.uint8)).astype(bool)
+                some = [texts[i] for i in own]
+                shares = [_known_shares(some[p], known) for p in text_slices(some, 1_000_000)]
+                out[own] = np.concatenate(shares) >= least
+        return out
+
     def decide(self, texts: list[str | None]) -> tuple[np.ndarray, np.ndarray]:
         """Language of every text that has a letter, and a score from 0 to 1."""
         margins, _ = self.margins(texts)
@@ -196,16 +259,18 @@ def train(labelled: DataFrame, sample: int = SAMPLE) -> Machines | None:
     languages = sorted(row["lang"] for row in counts)
     share = {row["lang"]: min(1.0, sample / row["count"]) for row in counts}
     share_of = F.create_map(*[F.lit(v) for item in share.items() for v in item])
-    place = F.pmod(F.xxhash64("text"), F.lit(1_000_000)) / F.lit(1_000_000.0)
-    chosen = keep(
-        usable.where(place < share_of[F.col("lang")])
-        .dropDuplicates(["lang", "text"])
-        .select("lang", _vector("text").alias("features")),
-        "labelled",
+    place = F.pmod(F.xxhash64("text"), F.lit(10**15)) / F.lit(1e15)
+    sampled = keep(
+        usable.where(place < share_of[F.col("lang")]).dropDuplicates(["lang", "text"]).select("lang", "text"),
+        "sampled",
     )
+    chosen = keep(sampled.select("lang", _vector("text").alias("features")), "labelled")
     # A bounded sample: in two partitions a step of the learner is one short stage.
     chosen = chosen.repartition(2).cache()
     machines = Machines()
+    # One bounded sample is one group.
+    for row in sampled.groupBy("lang").applyInPandas(_known_ngrams, _KNOWN).collect():
+        machines.known[row["lang"]] = (row["cells"], row["least"])
     for language in languages:
         machines.families.setdefault(family(language), []).append(language)
     learner = LinearSVC(maxIter=STEPS, tol=TOLERANCE, regParam=REGULARISATION, standardization=False)
@@ -266,19 +331,23 @@ def _decided(texts: list[str | None], machines: Machines | None) -> tuple[np.nda
     return languages, scores
 
 
-def in_a_language(docs: DataFrame, least: float = LEAST, sample: int = SAMPLE) -> DataFrame:
+def in_a_language(docs: DataFrame, sample: int = SAMPLE) -> DataFrame:
     """Rows of ``docs``, with all their columns, whose language is told.
 
-    Texts that are missing or without a letter go, and those whose score does not exceed
-    ``least``: at 0.25, both the family and the language are a coin toss.
+    Texts that are missing or without a letter go, and those made of n-grams that the
+    language which they are nearest to does not have: other scripts, other languages and
+    junk. The share asked for is set by texts of the sample that were kept apart, and
+    means the same for any number of families.
     """
     sent = docs.sparkSession.sparkContext.broadcast(
         train(docs.where(in_training()).select("text", "lang"), sample)
     )
 
     def told(texts: list[str | None]) -> list[bool]:
-        languages, scores = _decided(texts, sent.value)
-        return [x != "und" and s > least for x, s in zip(languages, scores)]
+        languages, _ = _decided(texts, sent.value)
+        if sent.value is None:
+            return [False] * len(texts)
+        return sent.value.familiar(texts, languages).tolist()
 
     return filtered(docs, told)
 

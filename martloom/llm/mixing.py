@@ -6,13 +6,16 @@ other. The ratio of fitted to counted tokens, divided by the largest ratio, is t
 probability of a document: the expected tokens of the sample then have the fitted
 marginals, and no larger sample has them without drawing a document twice.
 
-One rare cell can thus fix the size of the whole sample. Where a least size is asked for
-and that sample is smaller, cells are drawn whole at most, the others are raked again for
-the rest, and ``lacks`` tells what is missing from the targets.
+One rare cell can thus fix the size of the whole sample. Where a size is asked for, cells
+are drawn whole at most and the others are raked again for the rest, by one rule for all
+sizes: where no cell is drawn whole, the shares are the exact ones. ``lacks`` tells what
+is missing from the targets.
 """
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -60,6 +63,17 @@ def power_targets(cells: DataFrame, name: str, power: float) -> DataFrame:
     return shares.select(name, (F.col("raw") / total).alias("share"))
 
 
+def _same(frame: DataFrame, *names: str) -> tuple[DataFrame, Column]:
+    """The right side of a join and its condition; a missing value equals itself.
+
+    The key of the right side becomes ``__same``, or, of several, ``__same`` and a number.
+    """
+    columns = [f"__same{i or ''}" for i in range(len(names))]
+    renamed = frame.withColumnsRenamed(dict(zip(names, columns)))
+    same = [F.col(n).eqNullSafe(F.col(c)) for n, c in zip(names, columns)]
+    return renamed, reduce(Column.__and__, same)
+
+
 def rake(
     cells: DataFrame, targets: dict[str, DataFrame], sweeps: int = SWEEPS
 ) -> DataFrame:
@@ -76,13 +90,13 @@ def rake(
             factors = (
                 fitted.groupBy(name)
                 .agg(F.sum("fitted").alias("now"))
-                .join(target, name)
+                .join(*_same(target, name))
                 .where("now > 0")
                 .select(name, (F.col("share") / F.col("now")).alias("factor"))
             )
-            fitted = fitted.join(factors, name, "left").withColumn(
+            fitted = fitted.join(*_same(factors, name), "left").withColumn(
                 "fitted", F.col("fitted") * F.coalesce("factor", F.lit(0.0))
-            ).drop("factor")
+            ).drop("factor", "__same")
         fitted = keep(fitted, f"sweep{sweep}")
     return fitted
 
@@ -95,7 +109,8 @@ def capped_needs(
     What a value lacks is spread over the others in proportion to their shares.
     """
     values = keep(
-        cells.groupBy(name).agg(F.sum("tokens").alias("tokens")).join(target, name), "values"
+        cells.groupBy(name).agg(F.sum("tokens").alias("tokens")).join(*_same(target, name)).drop("__same"),
+        "values",
     )
     level, full = 0.0, -1
     while True:
@@ -126,7 +141,7 @@ def rake_within(
     tokens = F.col("tokens").cast("double")
     fitted = cells.withColumns({"fitted": tokens, "whole": F.lit(False)})
     for name, need in needs.items():
-        fitted = fitted.join(need.select(name), name, "left_semi")
+        fitted = fitted.join(*_same(need.select(name), name), "left_semi")
     fitted, whole = keep(fitted, "cells"), 0
     while True:
         for sweep in range(sweeps):
@@ -136,15 +151,15 @@ def rake_within(
                 factors = (
                     fitted.groupBy(name)
                     .agg(F.sum(free).alias("free"), F.sum(taken).alias("taken"))
-                    .join(need, name)
+                    .join(*_same(need, name))
                     .where("free > 0")
                     .select(name, (F.greatest(F.col("need") - F.col("taken"), F.lit(0.0))
                                    / F.col("free")).alias("factor"))
                 )
                 scaled = F.col("fitted") * F.coalesce("factor", F.lit(0.0))
-                fitted = fitted.join(factors, name, "left").withColumn(
+                fitted = fitted.join(*_same(factors, name), "left").withColumn(
                     "fitted", F.when(F.col("whole"), F.col("fitted")).otherwise(scaled)
-                ).drop("factor")
+                ).drop("factor", "__same")
             fitted = keep(fitted, f"sweep{sweep}")
         over = F.col("whole") | ((F.col("fitted") >= tokens) & (tokens > 0))
         fitted = keep(
@@ -156,7 +171,7 @@ def rake_within(
         before, whole = whole, fitted.where("whole").count()
         if whole == before:
             rest = fitted.drop("whole")
-            missing = cells.join(rest, list(targets), "left_anti")
+            missing = cells.join(*_same(rest.select(*targets), *targets), "left_anti")
             return rest.unionByName(missing.withColumn("fitted", F.lit(0.0)))
 
 
@@ -166,6 +181,42 @@ def draw(column: str, seed: str) -> Column:
     return F.conv(F.substring(F.md5(text), 1, 13), 16, 10).cast("double") / F.lit(float(2**52))
 
 
+def _counted(docs: DataFrame, dimensions: dict[str, Column]) -> DataFrame:
+    return docs.withColumns(
+        {f"mix_{d}": e for d, e in dimensions.items()} | {"n_tokens": token_count()}
+    )
+
+
+def cell_rates(
+    docs: DataFrame,
+    dimensions: dict[str, Column],
+    targets: dict[str, DataFrame] | None = None,
+    powers: dict[str, float] | None = None,
+    size: float | None = None,
+) -> tuple[DataFrame, dict[str, DataFrame]]:
+    """``n_tokens`` and ``probability`` of every cell, and the targets (see ``mix``)."""
+    powers = powers or POWERS
+    names = [f"mix_{d}" for d in dimensions]
+    cells = keep(
+        _counted(docs, dimensions).groupBy(*names).agg(F.sum("n_tokens").alias("tokens")), "mix_tokens"
+    )
+    if targets is None:
+        targets = {
+            f"mix_{d}": keep(power_targets(cells, f"mix_{d}", powers[d]), "targets")
+            for d in dimensions
+        }
+    if size is None:
+        rated = rake(cells, targets).withColumn("ratio", _per_token())
+        largest = rated.agg(F.nullif(F.max("ratio"), F.lit(0.0))).scalar()
+        chance = F.coalesce(F.col("ratio") / largest, F.lit(0.0))
+    else:
+        total = cells.agg(F.coalesce(F.sum("tokens"), F.lit(0))).first()[0]
+        rated = rake_within(cells, targets, size * total).withColumn("ratio", _per_token())
+        chance = F.least(F.col("ratio"), F.lit(1.0))
+    rates = rated.select(*names, F.col("tokens").alias("n_tokens"), chance.alias("probability"))
+    return rates, targets
+
+
 def mix(
     docs: DataFrame,
     dimensions: dict[str, Column],
@@ -173,48 +224,28 @@ def mix(
     powers: dict[str, float] | None = None,
     id_column: str = "doc_id",
     seed: str = SEED,
-    least: float = 0.0,
+    size: float | None = None,
+    rates: DataFrame | None = None,
 ) -> DataFrame:
     """``docs`` with ``mix_<dimension>``, ``n_tokens``, ``probability`` and ``sampled``.
 
-    ``dimensions`` names the expression of each dimension. Targets are given as frames
-    of ``mix_<dimension>`` and ``share``, or else follow from ``powers``. Documents
-    without tokens get the probability of their cell; where a cell has no tokens it is
-    0. Rows that share an id share their draw; rows without id share one as well.
-    Columns of these names are replaced. Where the sample with the exact targets has
-    fewer than ``least`` of all tokens in expectation, that many are drawn: rare cells
-    whole, the others as near to the targets as they allow.
+    ``dimensions`` names the expression of each dimension; a missing value is a value like
+    others. Targets are given as frames of ``mix_<dimension>`` and ``share``, or else
+    follow from ``powers``. Documents without tokens get the probability of their cell;
+    where a cell has no tokens it is 0. Rows that share an id share their draw; rows
+    without id share one as well. Columns of these names are replaced.
+
+    ``size`` is the share of all tokens that is drawn in expectation: rare cells whole, the
+    others as near to the targets as they allow. Without it the sample is the largest
+    one that has the exact targets. ``rates`` are those of ``cell_rates``, if known.
     """
-    powers = powers or POWERS
     names = [f"mix_{d}" for d in dimensions]
     made = {*names, "n_tokens", "probability", "sampled"}
     given = [c for c in docs.columns if c not in made]
-    counted = docs.withColumns(
-        {f"mix_{d}": e for d, e in dimensions.items()} | {"n_tokens": token_count()}
-    )
-    cells = keep(
-        counted.groupBy(*names).agg(F.sum("n_tokens").alias("tokens")), "mix_tokens"
-    )
-    if targets is None:
-        targets = {
-            f"mix_{d}": keep(power_targets(cells, f"mix_{d}", powers[d]), "targets")
-            for d in dimensions
-        }
-    fitted = rake(cells, targets)
-    rated = fitted.select(*[F.col(n).alias(f"__{n}") for n in names], _per_token().alias("ratio"))
-    largest = rated.agg(F.nullif(F.max("ratio"), F.lit(0.0))).scalar()
-    chance = F.coalesce(F.col("ratio") / largest, F.lit(0.0))
-    if least:
-        size = fitted.agg(F.sum("tokens"), F.sum("fitted") / F.max(_per_token())).first()
-        if size[0] and size[1] and size[1] < least * size[0]:
-            fitted = rake_within(cells, targets, least * size[0])
-            rated = fitted.select(
-                *[F.col(n).alias(f"__{n}") for n in names], _per_token().alias("ratio")
-            )
-            chance = F.least(F.col("ratio"), F.lit(1.0))
-    rates = rated.select(*[f"__{n}" for n in names], chance.alias("probability"))
-    same = [F.col(n) == F.col(f"__{n}") for n in names]
-    return counted.join(rates, same).select(
+    if rates is None:
+        rates, _ = cell_rates(docs, dimensions, targets, powers, size)
+    own = rates.select(*names, "probability")
+    return _counted(docs, dimensions).drop("probability").join(*_same(own, *names)).select(
         *given, *names, "n_tokens", "probability",
         (draw(id_column, seed) < F.col("probability")).alias("sampled"),
     )
@@ -227,8 +258,8 @@ def _per_token() -> Column:
 def lacks(mixed: DataFrame, targets: dict[str, DataFrame]) -> DataFrame:
     """dimension, value, wanted, expected and lacking tokens of every target value.
 
-    Wanted is the value's share of the tokens that ``mixed``, a result of ``mix``, is
-    expected to draw.
+    Wanted is the value's share of the tokens that ``mixed``, a result of ``mix`` or of
+    ``cell_rates``, is expected to draw.
     """
     drawn = F.col("n_tokens") * F.col("probability")
     total = mixed.agg(F.sum(drawn)).scalar()
@@ -237,7 +268,7 @@ def lacks(mixed: DataFrame, targets: dict[str, DataFrame]) -> DataFrame:
         got = mixed.groupBy(name).agg(F.sum(drawn).alias("expected"))
         wanted = (F.col("share") * total).alias("wanted")
         expected = F.coalesce("expected", F.lit(0.0)).alias("expected")
-        rows = target.join(got, name, "left").select(
+        rows = target.join(*_same(got, name), "left").select(
             F.lit(name).alias("dimension"), F.col(name).alias("value"), wanted, expected
         )
         short = F.greatest(F.col("wanted") - F.col("expected"), F.lit(0.0))

@@ -1,5 +1,7 @@
 import zlib
 
+import pytest
+
 from corpus_support import TESTDATA, make_docs, rows_of  # noqa: F401
 
 from martloom.llm import language_id
@@ -71,3 +73,30 @@ def test_held_out_accuracy(spark):
     got = rows_of(language_id.op8_hierarchical_langid(spark, f"{TESTDATA}/sf0.01"))
     held = [r["lang_pred"] == docs[r["doc_id"]] for r in got if r["held_out"]]
     assert sum(held) / len(held) >= 0.98
+
+
+OTHERS = {
+    "ru": "погода этим утром была лучше чем прошлой ночью и мы пошли гулять",
+    "zh": "今天早上的天气比昨天晚上好我们出去散步了",
+    "junk": "asdf qwerty zxcvbnm lkjh poiu qqqq wwxx zzyy vbnm hjkl fdsa",
+    "el": "ο καιρός σήμερα το πρωί ήταν καλύτερος από χθες το βράδυ",
+}
+
+
+@pytest.mark.parametrize("languages", [("en", "de", "fr", "es"), ("en", "de", "fr", "es", "xx")])
+def test_foreign_scripts_and_junk_go(make_docs, languages):
+    """With two families and with three; short clean texts stay."""
+    rows = []
+    for n, language in enumerate(languages):
+        rows += [(n * 1000 + i, t, language, "s") for i, t in enumerate(texts(language, 200))]
+    clean = [(9000 + n, " ".join(SENTENCES[language].split()[:4]), None, "s") for n, language in enumerate(languages)]
+    odd = [(9500 + n, text, lang, "s") for n, text in enumerate(OTHERS.values()) for lang in (None,)]
+    odd += [(9600, None, "en", "s"), (9601, "123 !!", "en", "s")]
+    left = {r["doc_id"] for r in rows_of(language_id.in_a_language(make_docs(rows + clean + odd)))}
+    assert left == {r[0] for r in rows + clean}
+
+
+def test_all_of_the_given_documents_that_are_prose_stay(spark):
+    docs = spark.read.parquet(f"{TESTDATA}/sf0.01/documents.parquet")
+    left = language_id.in_a_language(docs)
+    assert left.count() >= 0.99 * docs.where("text RLIKE '[a-z]{3}'").count()

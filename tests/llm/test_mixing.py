@@ -73,7 +73,7 @@ def test_one_rare_document_does_not_shrink_the_sample(make_docs):
     docs, dims = make_docs(rows), mixing.document_dimensions()
     part = lambda m: m.agg(F.sum(F.expr("n_tokens * probability")) / F.sum("n_tokens")).first()[0]
     assert part(mixing.mix(docs, dims)) < 0.1
-    mixed = mixing.mix(docs, dims, least=0.3).cache()
+    mixed = mixing.mix(docs, dims, size=0.3).cache()
     assert abs(part(mixed) - 0.3) < 0.003
     assert abs(mixed.where("sampled").count() - 900) < 90
     assert mixed.where("doc_id = 9000").first()["probability"] == 1.0
@@ -88,10 +88,71 @@ def test_one_rare_document_does_not_shrink_the_sample(make_docs):
         assert max(spread) - min(spread) < 0.02 and min(spread) >= 1
 
 
-def test_a_least_size_below_the_exact_sample_changes_nothing(make_docs):
+def plain_rates(cells, targets, total):
+    """Capped raking in plain Python: dict of cell to tokens; targets by dimension."""
+    needs = []
+    for d, target in enumerate(targets):
+        held = defaultdict(float)
+        for cell, tokens in cells.items():
+            held[cell[d]] += tokens
+        need, open_values = {}, {v for v in target if v in held}
+        while True:
+            rest = total - sum(need.values())
+            share = sum(target[v] for v in open_values)
+            full = {v for v in open_values if held[v] <= rest * target[v] / share + 1e-9}
+            if not full:
+                need.update({v: rest * target[v] / share for v in open_values})
+                break
+            need.update({v: held[v] for v in full})
+            open_values -= full
+            if not open_values:
+                break
+        needs.append(need)
+    fitted = {c: float(t) for c, t in cells.items() if all(v in n for v, n in zip(c, needs))}
+    whole = set()
+    while True:
+        for _ in range(mixing.SWEEPS):
+            for d, need in enumerate(needs):
+                free, taken = defaultdict(float), defaultdict(float)
+                for cell, value in fitted.items():
+                    (taken if cell in whole else free)[cell[d]] += value
+                for cell in fitted:
+                    if cell not in whole and free[cell[d]] > 0:
+                        fitted[cell] *= max(0.0, need[cell[d]] - taken[cell[d]]) / free[cell[d]]
+        over = {c for c, v in fitted.items() if v >= cells[c] > 0} | whole
+        fitted.update({c: float(cells[c]) for c in over})
+        if over == whole:
+            return {c: min(1.0, fitted.get(c, 0.0) / t) if t else 0.0 for c, t in cells.items()}
+        whole = over
+
+
+def test_capped_raking_equals_the_plain_one(make_docs):
+    """For sizes at which no cell, some cells and all cells are drawn whole."""
     docs, dims = documents(make_docs), mixing.document_dimensions()
-    key = lambda r: str(sorted(r.items(), key=str))
-    some, same = (rows_of(mixing.mix(docs, dims, least=x)) for x in (0.0, 0.01))
-    assert sorted(some, key=key) == sorted(same, key=key)
-    whole = rows_of(mixing.mix(docs, dims, least=1.0))
-    assert all(abs(r["probability"] - 1) < 1e-6 for r in whole if r["n_tokens"])
+    names = [f"mix_{d}" for d in dims]
+    for size in (0.05, 0.5, 0.9, 1.0):
+        rates, targets = mixing.cell_rates(docs, dims, size=size)
+        got = {tuple(r[n] for n in names): r for r in rows_of(rates)}
+        cells = {c: r["n_tokens"] for c, r in got.items()}
+        shares = [{r[n]: r["share"] for r in rows_of(targets[n])} for n in names]
+        want = plain_rates(cells, shares, size * sum(cells.values()))
+        assert all(abs(got[c]["probability"] - p) < 1e-6 for c, p in want.items()), size
+
+
+def test_a_size_without_whole_cells_has_the_exact_shares(make_docs):
+    docs, dims = documents(make_docs), mixing.document_dimensions()
+    exact = {r["doc_id"]: r["probability"] for r in rows_of(mixing.mix(docs, dims))}
+    small = {r["doc_id"]: r["probability"] for r in rows_of(mixing.mix(docs, dims, size=0.01))}
+    ratio = {small[i] / p for i, p in exact.items() if p > 0}
+    assert max(ratio) - min(ratio) < 1e-3 * max(ratio)
+
+
+def test_missing_values_of_a_dimension(make_docs):
+    """A caller's dimension may have none; every row comes back."""
+    docs = documents(make_docs)
+    dims = {"lang": F.col("lang"), "source": F.col("source")}
+    powers = {"lang": 0.5, "source": 0.5}
+    for size in (None, 0.5):
+        got = rows_of(mixing.mix(docs, dims, powers=powers, size=size))
+        assert len(got) == docs.count()
+        assert {r["probability"] > 0 for r in got if r["mix_lang"] is None and r["n_tokens"]} == {True}
