@@ -18,25 +18,25 @@ from martloom.llm import decontamination, language_id, mixing, neardup, sharding
 from martloom.llm.tables import prepared, read_table
 from martloom.session import keep, local_trial
 
-# Part of the clean tokens that the mixture draws at least.
-LEAST_SAMPLE = 0.2
+# Part of the clean tokens that the mixture draws.
+SAMPLE = 0.5
 
 
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents in a language that is told from their text."""
+    """Documents in a language that is told from their text; other scripts and junk go."""
     return language_id.in_a_language(docs)
 
 
 def deduplicated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near duplicates, the one of the smallest doc_id.
 
-    Of rows that share a doc_id one stays.
+    Of rows that share doc_id and text one stays; a doc_id with several texts keeps them.
     """
     kept = neardup.near_duplicates(docs).where("kept").select("doc_id").distinct()
-    same_id = Window.partitionBy("doc_id").orderBy(F.xxhash64(*docs.columns))
+    same = Window.partitionBy("doc_id", F.xxhash64("text")).orderBy(F.xxhash64(*docs.columns))
     first = (
         docs.join(kept, "doc_id", "left_semi")
-        .withColumn("__row", F.row_number().over(same_id))
+        .withColumn("__row", F.row_number().over(same))
         .where("__row = 1")
     )
     return first.select(*docs.columns).unionAll(docs.where("doc_id IS NULL"))
@@ -50,10 +50,13 @@ def decontaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 def mixed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """A sample whose tokens have the target shares of source, language and topic.
 
-    Where rare values would leave less than ``LEAST_SAMPLE`` of the tokens, that much is
-    drawn, with those values as far as they reach.
+    ``SAMPLE`` of the tokens are drawn, rare values as far as they reach; what the targets
+    lack is written to the shared folder.
     """
-    drawn = mixing.mix(docs, mixing.document_dimensions(), least=LEAST_SAMPLE)
+    dimensions = mixing.document_dimensions()
+    rates, targets = mixing.cell_rates(docs, dimensions, size=SAMPLE)
+    keep(mixing.lacks(rates, targets), "mixture-lacks")
+    drawn = mixing.mix(docs, dimensions, rates=rates)
     return drawn.where("sampled").select(*docs.columns)
 
 
