@@ -7,8 +7,8 @@ probability of a document: the expected tokens of the sample then have the fitte
 marginals, and no larger sample has them without drawing a document twice.
 
 One rare cell can thus fix the size of the whole sample. Where a size is asked for, cells
-are drawn whole at most and the others are raked again for the rest, by one rule for all
-sizes: where no cell is drawn whole, the shares are the exact ones. ``lacks`` tells what
+are drawn whole at most, and every sweep spreads what they lack over the others, by one
+rule for all sizes: where no cell is drawn whole, the shares are the exact ones. ``lacks`` tells what
 is missing from the targets.
 """
 
@@ -131,48 +131,29 @@ def capped_needs(
 def rake_within(
     cells: DataFrame, targets: dict[str, DataFrame], total: float, sweeps: int = SWEEPS
 ) -> DataFrame:
-    """``cells`` with ``fitted`` tokens, ``total`` in all and in no cell more than it has.
+    """``cells`` with ``fitted`` tokens, about ``total`` in all and in no cell more than it has.
 
-    Cells that would need more are taken whole and the others raked for what is left,
-    until no cell is added; each round adds one at least. Values without a target get
-    nothing.
+    Every sweep scales the cells to what each value is to have and then cuts them to their
+    tokens, so that the next one spreads over others what a cell could not take. Values
+    without a target get nothing.
     """
     needs = {n: keep(capped_needs(cells, n, t, total), "needs") for n, t in targets.items()}
     tokens = F.col("tokens").cast("double")
-    fitted = cells.withColumns({"fitted": tokens, "whole": F.lit(False)})
-    for name, need in needs.items():
-        fitted = fitted.join(*_same(need.select(name), name), "left_semi")
-    fitted, whole = keep(fitted, "cells"), 0
-    while True:
-        for sweep in range(sweeps):
-            for name, need in needs.items():
-                free = F.when(F.col("whole"), 0.0).otherwise(F.col("fitted"))
-                taken = F.when(F.col("whole"), F.col("fitted")).otherwise(0.0)
-                factors = (
-                    fitted.groupBy(name)
-                    .agg(F.sum(free).alias("free"), F.sum(taken).alias("taken"))
-                    .join(*_same(need, name))
-                    .where("free > 0")
-                    .select(name, (F.greatest(F.col("need") - F.col("taken"), F.lit(0.0))
-                                   / F.col("free")).alias("factor"))
-                )
-                scaled = F.col("fitted") * F.coalesce("factor", F.lit(0.0))
-                fitted = fitted.join(*_same(factors, name), "left").withColumn(
-                    "fitted", F.when(F.col("whole"), F.col("fitted")).otherwise(scaled)
-                ).drop("factor", "__same")
-            fitted = keep(fitted, f"sweep{sweep}")
-        over = F.col("whole") | ((F.col("fitted") >= tokens) & (tokens > 0))
-        fitted = keep(
-            fitted.withColumn("whole", over).withColumn(
-                "fitted", F.when(F.col("whole"), tokens).otherwise(F.col("fitted"))
-            ),
-            "whole",
-        )
-        before, whole = whole, fitted.where("whole").count()
-        if whole == before:
-            rest = fitted.drop("whole")
-            missing = cells.join(*_same(rest.select(*targets), *targets), "left_anti")
-            return rest.unionByName(missing.withColumn("fitted", F.lit(0.0)))
+    fitted = keep(cells.withColumn("fitted", tokens), "cells")
+    for sweep in range(sweeps):
+        for name, need in needs.items():
+            factors = (
+                fitted.groupBy(name)
+                .agg(F.sum("fitted").alias("now"))
+                .join(*_same(need, name))
+                .where("now > 0")
+                .select(name, (F.col("need") / F.col("now")).alias("factor"))
+            )
+            fitted = fitted.join(*_same(factors, name), "left").withColumn(
+                "fitted", F.col("fitted") * F.coalesce("factor", F.lit(0.0))
+            ).drop("factor", "__same")
+        fitted = keep(fitted.withColumn("fitted", F.least("fitted", tokens)), f"sweep{sweep}")
+    return fitted
 
 
 def draw(column: str, seed: str) -> Column:

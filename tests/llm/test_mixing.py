@@ -108,22 +108,16 @@ def plain_rates(cells, targets, total):
             if not open_values:
                 break
         needs.append(need)
-    fitted = {c: float(t) for c, t in cells.items() if all(v in n for v, n in zip(c, needs))}
-    whole = set()
-    while True:
-        for _ in range(mixing.SWEEPS):
-            for d, need in enumerate(needs):
-                free, taken = defaultdict(float), defaultdict(float)
-                for cell, value in fitted.items():
-                    (taken if cell in whole else free)[cell[d]] += value
-                for cell in fitted:
-                    if cell not in whole and free[cell[d]] > 0:
-                        fitted[cell] *= max(0.0, need[cell[d]] - taken[cell[d]]) / free[cell[d]]
-        over = {c for c, v in fitted.items() if v >= cells[c] > 0} | whole
-        fitted.update({c: float(cells[c]) for c in over})
-        if over == whole:
-            return {c: min(1.0, fitted.get(c, 0.0) / t) if t else 0.0 for c, t in cells.items()}
-        whole = over
+    fitted = {c: float(t) for c, t in cells.items()}
+    for _ in range(mixing.SWEEPS):
+        for d, need in enumerate(needs):
+            now = defaultdict(float)
+            for cell, value in fitted.items():
+                now[cell[d]] += value
+            for cell in fitted:
+                fitted[cell] *= need.get(cell[d], 0.0) / now[cell[d]] if now[cell[d]] else 0.0
+        fitted = {c: min(v, cells[c]) for c, v in fitted.items()}
+    return {c: min(1.0, fitted[c] / t) if t else 0.0 for c, t in cells.items()}
 
 
 def test_capped_raking_equals_the_plain_one(make_docs):
