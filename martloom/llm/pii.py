@@ -195,15 +195,28 @@ class Pseudonyms:
                         return out
         return None
 
-    def iban(self, found: str) -> str | None:
-        compact = found.replace(" ", "")
-        country, check, account = compact[:2], compact[2:4], compact[4:]
-        digits = _only_digits(account)
-        if not digits or iban_digits(country, account) != check:
-            return None
-        account = _fill(account, self._number(digits, 10, f"iban|{country}"))
-        supply = iter(country + iban_digits(country, account) + account)
-        return "".join(c if c == " " else next(supply) for c in found)
+    def iban(self, found: str) -> tuple[str, int] | None:
+        """The new number and how far it reached: words that follow are no part of it.
+
+        The longest end with valid check digits counts. A new number is one for which no
+        longer end is valid, so that the way back reads the same one.
+        """
+        ends = [len(found), *(m.start() for m in reversed([*re.finditer(" ", found)]))]
+        for longer, end in enumerate(ends):
+            if end < len(found) and len(found[:end].replace(" ", "")) < _SHORTEST_IBAN:
+                break
+            if not _valid_iban(found[:end]):
+                continue
+            compact = found[:end].replace(" ", "")
+            country, account = compact[:2], compact[4:]
+            while True:
+                digits = self._number(_only_digits(account), 10, f"iban|{country}")
+                account = _fill(account, digits)
+                supply = iter(country + iban_digits(country, account) + account)
+                new = "".join(c if c == " " else next(supply) for c in found[:end])
+                if not any(_valid_iban(new + found[end:e]) for e in ends[:longer]):
+                    return new, end
+        return None
 
     def email(self, found: str) -> str | None:
         """Letters and digits of the name and of the host's first label change, form kept.
@@ -226,6 +239,16 @@ class Pseudonyms:
         return out.upper() if found.upper() == found else out
 
 
+# Norwegian numbers are the shortest.
+_SHORTEST_IBAN = 15
+
+
+def _valid_iban(text: str) -> bool:
+    compact = text.replace(" ", "")
+    country, check, account = compact[:2], compact[2:4], compact[4:]
+    return bool(_only_digits(account)) and iban_digits(country, account) == check
+
+
 def _valid_social(digits: str) -> bool:
     area = int(digits[:3])
     return 0 < area < 900 and area != 666 and digits[3:5] != "00" and digits[5:] != "0000"
@@ -261,7 +284,7 @@ _FORMS = re.compile(
     r"|(?P<social>(?<![\w-])[0-9]{3}-[0-9]{2}-[0-9]{4}(?![\w-]))"
     r"|(?P<address>(?<![\w.])(?:[0-9]{1,3}\.){3}[0-9]{1,3}(?!\.?[0-9]|[A-Za-z_]))"
     r"|(?P<date>(?<![\w-])(?:[0-9]{4}(?P<m1>[-/.])[0-9]{2}(?P=m1)[0-9]{2}"
-    r"|[0-9]{2}(?P<m2>[-/.])[0-9]{2}(?P=m2)[0-9]{4})(?![\w-]))"
+    r"|[0-9]{2}(?P<m2>[-/.])[0-9]{2}(?P=m2)[0-9]{4})(?:(?=T[0-9]{2}:[0-9]{2})|(?![\w-])))"
     r"|(?P<number>(?<![\w.])[0-9]{12,19}(?!\w)"
     rf"|(?<![\w.])(?<![0-9]-)(?:{'|'.join(map(_hyphened, _GROUPS))})(?!\w|-[0-9]))"
     r"|(?P<row>(?<![\w.])[0-9]+(?: [0-9]+){2,}(?![\w-]))",
@@ -274,22 +297,32 @@ def pseudonymised(text: str, names: Pseudonyms) -> tuple[str, dict[str, int]]:
     """``text`` with every valid value replaced, and how many there were of each kind."""
     counts: dict[str, int] = {}
 
-    def replace(match: re.Match) -> str:
-        if match["row"] is not None:
-            new, found = names.row(match[0])
-            if found:
-                counts["number"] = counts.get("number", 0) + found
-            return new
-        kind = next(k for k in _KINDS if match[k] is not None)
-        new = getattr(names, kind)(match[0])
-        if new is None:
-            return match[0]
-        counts[kind] = counts.get(kind, 0) + 1
-        return new
-
     if not _HINT.search(text):
         return text, counts
-    return _FORMS.sub(replace, text), counts
+    out, begin = [], 0
+    while match := _FORMS.search(text, begin):
+        start, end = match.span()
+        new, found = match[0], 1
+        if match["row"] is not None:
+            kind = "number"
+            new, found = names.row(match[0])
+        else:
+            kind = next(k for k in _KINDS if match[k] is not None)
+            made = getattr(names, kind)(match[0])
+            if kind == "iban":
+                # What follows the number, or its first word, may hold other values.
+                first = start + (match[0] + " ").index(" ")
+                made, end = (made[0], start + made[1]) if made else (None, first)
+                new = text[start:end]
+            if made is None:
+                found = 0
+            else:
+                new = made
+        if found:
+            counts[kind] = counts.get(kind, 0) + found
+        out += [text[begin:start], new]
+        begin = end
+    return "".join([*out, text[begin:]]), counts
 
 
 _KINDS = ("email", "secret", "iban", "phone", "number", "social", "address", "date")

@@ -63,6 +63,32 @@ def test_separators_do_not_unlink_equal_numbers():
     assert pii.Pseudonyms(b"other").number("4539148803436467") != two
 
 
+IBANS = ["DE89370400440532013000", "GB82 WEST 1234 5698 7654 32", "BE68 5390 0754 7034",
+         "BE68539007547034", "AT611904300234573201", "NO9386011117947"]
+AFTER = ["EUR", "USD", "PAID", "PAID EUR", "2024", "12345678", "A", "AB12", "XYZW 1234 ABCD", "PAID 43.21.141.162",
+         "IBAN BE68 5390 0754 7034 EUR"]
+
+
+@pytest.mark.parametrize("after", AFTER)
+@pytest.mark.parametrize("value", IBANS)
+def test_account_numbers_end_before_words(value, after):
+    """Words of capitals or digits that follow are no part of a number, and stay searched."""
+    names, back = pii.Pseudonyms(KEY), pii.Pseudonyms(KEY, undo=True)
+    text = f"FROM ACCOUNT {value} {after} TO"
+    new, counts = pii.pseudonymised(text, names)
+    assert counts["iban"] == 1 + after.count("BE68") and value not in new
+    assert counts.get("address", 0) == after.count("141")
+    assert pii.pseudonymised(new, back) == (text, counts)
+
+
+def test_dates_with_a_time_and_after_other_words():
+    names, back = pii.Pseudonyms(KEY), pii.Pseudonyms(KEY, undo=True)
+    for text in ("at 2024-01-15T10:00:00Z", "AB12 CDEF GHIJ 2024-01-15 KLMN"):
+        new, counts = pii.pseudonymised(text, names)
+        assert counts == {"date": 1} and "2024-01-15" not in new
+        assert pii.pseudonymised(new, back)[0] == text
+
+
 @pytest.mark.parametrize("value", KEPT)
 def test_values_that_fail_their_check_stay(value):
     assert pii.pseudonymised(f"a {value} b", pii.Pseudonyms(KEY)) == (f"a {value} b", {})
