@@ -293,7 +293,7 @@ def queries() -> dict[str, Query]:
     out["orders_schema_sync"] = orders_schema_sync
     out["orders_stream"] = orders_stream
     out["orders_line_stream"] = orders_line_stream
-    for mart in ("revenue_by_store", "revenue_by_category", "customer_summary"):
+    for mart in ("revenue_by_store", "revenue_by_category", "top_products", "customer_summary"):
         out[f"{mart}_from_changes"] = _marts_from_changes(mart)
     out["rank_scalable"] = rank_scalable
     out["dq_failing_values"] = dq_failing_values

@@ -4,8 +4,10 @@ The order facts are stored with what each order holds of every category. An upse
 changed orders tells their rows before and after as signed differences. Sums and counts
 by month take the differences; first and last days and customers' figures cannot be
 subtracted, so a customer's month is summed again from the facts of that month, and a
-customer from his or her months. A change reads the months and customers it touches, not
-the lines and orders of all others, and the marts equal those that are built anew.
+customer from his or her months. Products are summed over what each order holds of them;
+their ranking is kept by range of revenue, so that a change writes the ranges it touches and
+shifts the ranks of the others. A change reads the months, customers and ranges it touches,
+not the lines and orders of all others, and the marts equal those that are built anew.
 """
 
 from __future__ import annotations
@@ -14,6 +16,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from martloom.functions.columns import COMPLETED, month_of, year_month
+from martloom.operators.kept_ranks import RankedValues
 from martloom.operators.sums import GroupTable
 from martloom.operators.tables import MonthlyTable
 from martloom.plans import marts
@@ -21,7 +24,7 @@ from martloom.plans.models import Models
 from martloom.session import keep, temporary_tables
 
 CENTS = "decimal(38,0)"
-# Customers are stored in so many parts.
+# Customers, and products, are stored in so many parts.
 CUSTOMER_PARTS = 64
 
 
@@ -64,6 +67,22 @@ def category_differences(changes: DataFrame) -> DataFrame:
     )
 
 
+def product_differences(held: DataFrame) -> DataFrame:
+    """Signed figures by product from what orders hold of them."""
+    sign = F.col("sign")
+    return held.select(
+        "product_id",
+        sign.cast("bigint").alias("order_count"),
+        *_amounts(sign, cents=F.col("cents"), units=F.col("units")),
+    )
+
+
+def _summed(differences: DataFrame, keys: tuple[str, ...]) -> DataFrame:
+    kinds = dict(differences.dtypes)
+    figures = [c for c in differences.columns if c not in keys]
+    return differences.groupBy(*keys).agg(*[F.sum(c).cast(kinds[c]).alias(c) for c in figures])
+
+
 def customer_months(facts: DataFrame) -> DataFrame:
     """A customer's orders by month. Orders without a customer are one customer's."""
     done = F.when(_done(), 1).otherwise(0)
@@ -90,7 +109,7 @@ def customers(months: DataFrame) -> DataFrame:
 
 
 class KeptMarts:
-    """Stored facts, and the figures of M5, M6 and M8 that follow from them."""
+    """Stored facts, and the figures of M5, M6, M7 and M8 that follow from them."""
 
     def __init__(self, spark: SparkSession, base: str):
         self.spark = spark
@@ -104,6 +123,11 @@ class KeptMarts:
         )
         self.months = GroupTable(spark, f"{root}/months", ("customer_id", "order_month"), month)
         self.customers = GroupTable(spark, f"{root}/customers", ("customer_id",), bucket)
+        held = ("order_id", "product_id", "order_month")
+        self.order_products = GroupTable(spark, f"{root}/order_products", held, month)
+        bucket = F.pmod(F.xxhash64("product_id"), F.lit(CUSTOMER_PARTS))
+        self.products = GroupTable(spark, f"{root}/products", ("product_id",), bucket)
+        self.ranking = RankedValues(spark, f"{root}/ranking", CENTS)
 
     def load(self, models: Models) -> None:
         """Store everything anew."""
@@ -114,12 +138,13 @@ class KeptMarts:
             (self.stores, store_differences(first)),
             (self.categories, category_differences(first)),
         ):
-            figures = [c for c in differences.columns if c not in table.keys]
-            kinds = dict(differences.dtypes)
-            sums = [F.sum(c).cast(kinds[c]).alias(c) for c in figures]
-            table.replace(differences.groupBy(*table.keys).agg(*sums))
+            table.replace(_summed(differences, table.keys))
         self.months.replace(customer_months(facts))
         self.customers.replace(customers(self.months.read()))
+        self.order_products.replace(models.order_products)
+        sold = self.order_products.read().withColumn("sign", F.lit(1))
+        self.products.replace(_summed(product_differences(sold), self.products.keys))
+        self.ranking.load(self.products.read().select(_shown("cents")), "cents")
 
     def apply(self, models: Models, changed: DataFrame) -> None:
         """Take over orders that are new, changed, gone, or have changed lines.
@@ -143,6 +168,25 @@ class KeptMarts:
             buyers = touched.select("customer_id").distinct()
             self.customers.put(buyers, customers(_of_groups(self.months.read(), buyers)))
 
+            self._apply_products(models.for_order_ids(ids), changes)
+
+    def _apply_products(self, batch: Models, changes: DataFrame) -> None:
+        """Products of the changed orders, before and after, and the ranks that follow."""
+        month = month_of(F.col("order_date")).alias("order_month")
+        before = changes.where((F.col("sign") < 0) & _done()).select("order_id", month)
+        old = _of_groups(self.order_products.read_parts_of(before), before)
+        new = keep(batch.order_products, "new")
+        signed = keep(
+            old.withColumn("sign", F.lit(-1)).unionByName(new.withColumn("sign", F.lit(1))), "held"
+        )
+        self.order_products.put(signed.select(*self.order_products.keys).distinct(), new)
+        named = signed.select("product_id").distinct()
+        values = [_shown("cents").alias("value")]
+        left = keep(self.products.read_groups(named).select(*values, F.lit(-1).alias("n")), "left")
+        self.products.add(product_differences(signed))
+        came = self.products.read_groups(named).select(*values, F.lit(1).alias("n"))
+        self.ranking.add(left.unionAll(came).select("value", F.col("n").cast("bigint")))
+
     def _facts_of(self, touched: DataFrame) -> DataFrame:
         """Stored facts of some customers' months, from the files of these months alone."""
         state = self.facts._state(self.facts._version())
@@ -165,6 +209,23 @@ class KeptMarts:
         )
         return marts.category_months(sums, models.stg_categories)
 
+    def top_products(self, models: Models) -> DataFrame:
+        return self._ranked_products(models, self.ranking.ranks())
+
+    def best_products(self, models: Models, ranks: int) -> DataFrame:
+        """Products on the first ranks; only the highest ranges of the ranking are read."""
+        return self._ranked_products(models, self.ranking.best(ranks))
+
+    def _ranked_products(self, models: Models, ranks: DataFrame) -> DataFrame:
+        sums = self.products.read().select(
+            "product_id", _shown("cents"), _shown("units").alias("units_sold"), "order_count"
+        )
+        sales = marts.product_totals(sums, models.product_dim)
+        ranked = sales.join(ranks, F.col("cents").eqNullSafe(F.col("value")))
+        return ranked.select(
+            *[c for c in sales.columns if c != "cents"], F.col("dense_rank").alias("revenue_rank")
+        )
+
     def customer_summary(self, models: Models) -> DataFrame:
         return marts.customer_totals(self.customers.read(), models.stg_customers)
 

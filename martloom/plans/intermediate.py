@@ -12,7 +12,14 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from martloom.functions import money
-from martloom.functions.columns import COMPLETED, ORDER_STATUS, days_between, decode, full_name
+from martloom.functions.columns import (
+    COMPLETED,
+    ORDER_STATUS,
+    days_between,
+    decode,
+    full_name,
+    month_of,
+)
 
 
 def product_dim(products: DataFrame, brands: DataFrame, categories: DataFrame) -> DataFrame:
@@ -99,6 +106,15 @@ def order_facts_by_category(facts: DataFrame, lines: DataFrame, products: DataFr
     )
 
 
+def order_products(lines: DataFrame, completed: DataFrame) -> DataFrame:
+    """What each completed order holds of every product, with its month."""
+    return (
+        lines.join(completed, "order_id")
+        .groupBy("order_id", "product_id", month_of(F.col("order_date")).alias("order_month"))
+        .agg(F.sum("line_cents").alias("cents"), F.sum("quantity").alias("units"))
+    )
+
+
 def _with_dims(
     orders: DataFrame,
     customers: DataFrame,

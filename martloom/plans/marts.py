@@ -110,6 +110,11 @@ def product_sales(lines: DataFrame, completed: DataFrame, product_dim: DataFrame
         F.sum("units").alias("units_sold"),
         F.count("order_id").alias("order_count"),
     )
+    return product_totals(totals, product_dim)
+
+
+def product_totals(totals: DataFrame, product_dim: DataFrame) -> DataFrame:
+    """Cents, units and orders by product, named."""
     return totals.join(product_dim, "product_id", "left").select(
         "product_id",
         "product_name",

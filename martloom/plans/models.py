@@ -114,6 +114,10 @@ class Models:
             self.order_facts, self.priced_lines, self.stg_products
         )
 
+    @cached_property
+    def order_products(self) -> DataFrame:
+        return intermediate.order_products(self.priced_lines, self.completed_orders)
+
     @cached_property
     def completed_orders(self) -> DataFrame:
         return intermediate.completed_orders(self.stg_orders)

@@ -367,7 +367,9 @@ def _stored() -> dict[str, str]:
         "orders_line_stream": prefix() + "SELECT * FROM mart_orders",
         **{
             f"{mart}_from_changes": prefix() + f"SELECT * FROM {mart}"
-            for mart in ("revenue_by_store", "revenue_by_category", "customer_summary")
+            for mart in (
+                "revenue_by_store", "revenue_by_category", "top_products", "customer_summary"
+            )
         },
     }
 

@@ -11,7 +11,7 @@ from martloom.plans.incremental import KeptMarts
 from martloom.plans.models import Models
 from pyspark.sql import functions as F
 
-MARTS = ("revenue_by_store", "revenue_by_category", "customer_summary")
+MARTS = ("revenue_by_store", "revenue_by_category", "top_products", "customer_summary")
 
 
 def same(kept, models):
