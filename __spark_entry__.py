@@ -249,7 +249,7 @@ def _marts_from_changes(mart: str) -> Query:
             (number % 7 == 3) | (number % 10 == 0) | (number % 11 == 5) | (number % 17 == 4)
             | (number % 19 == 2)
         ).select("order_id").unionAll(orders.where(number % 13 == 1).select(gone))
-        kept = KeptMarts(spark, scratch_path(spark, "kept"))
+        kept = KeptMarts(spark, scratch_path(spark, "kept"), ranked=mart == "top_products")
         kept.load(Models(with_tables(models.sources, orders=then, order_items=lines_then)))
         kept.apply(models, changed)
         return getattr(kept, mart)(models)

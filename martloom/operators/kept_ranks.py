@@ -11,8 +11,9 @@ from pyspark.sql import functions as F
 from martloom.operators.sums import PART, GroupTable
 from martloom.session import keep, temporary_tables
 
-# Ranges of a ranking: what the manifest holds, and how many tasks rank at once.
-RANGES = 256
+# Ranges of a ranking: what the manifest holds, and how many tasks rank at once. A range is
+# ranked by one task, so rankings of very many values need more of them.
+RANGES = 64
 # Ranges are cut anew once the largest holds so many times the mean.
 UNEVEN = 8
 _NONE = "none"
@@ -27,9 +28,16 @@ class RankedValues(GroupTable):
     and comes last.
     """
 
-    def __init__(self, spark: SparkSession, root: str, kind: str, comment: str = ""):
+    def __init__(
+        self,
+        spark: SparkSession,
+        root: str,
+        kind: str,
+        comment: str = "",
+        ranges: int = RANGES,
+    ):
         super().__init__(spark, root, ("value",), F.lit(None), comment)
-        self.kind = kind
+        self.kind, self.ranges = kind, ranges
         self._bounds: list[str] = []
 
     def load(self, rows: DataFrame, value: str) -> None:
@@ -101,7 +109,7 @@ class RankedValues(GroupTable):
         """Store counted values in ranges of about equally many."""
         with temporary_tables(self.spark):
             counted = keep(counted, "values")
-            shares = [i / RANGES for i in range(1, RANGES)]
+            shares = [i / self.ranges for i in range(1, self.ranges)]
             found = counted.agg(F.percentile_approx("value", shares)).first()[0] or []
             self._bounds = [str(bound) for bound in sorted(set(found))]
             self._part = self._range()

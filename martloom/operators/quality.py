@@ -10,7 +10,7 @@ from __future__ import annotations
 from functools import reduce
 from typing import NamedTuple
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 
@@ -204,3 +204,52 @@ def domain_rules(frames: dict[str, DataFrame], rules: list[Rule]) -> DataFrame:
             for r in rules
         ]
     )
+
+
+class Observed:
+    """Checks of one model's rows, counted while these are written.
+
+    No row is read once more. ``accepted_values`` counts rows here, not distinct values,
+    since an observation holds no set; a check passes here if it passes there.
+    """
+
+    def __init__(
+        self,
+        model: str,
+        not_null: tuple[str, ...] = (),
+        accepted: list[AcceptedValues] = (),
+        rules: list[Rule] = (),
+    ):
+        self.model = model
+        self._checks = [("not_null", c, F.col(c).isNull()) for c in not_null]
+        for check in accepted:
+            strange = ~F.col(check.column).isin(*check.values)
+            self._checks.append(("accepted_values", check.column, strange))
+        self._checks += [(r.name, ",".join(r.columns), r.violated) for r in rules]
+        self._observation: Observation | None = None
+
+    def __call__(self, rows: DataFrame) -> DataFrame:
+        """``rows``, observed. The first action on them counts."""
+        self._observation = Observation()
+        counts = [F.count_if(bad).alias(f"c{i}") for i, (_, _, bad) in enumerate(self._checks)]
+        return rows.observe(self._observation, F.count(F.lit(1)).alias("rows"), *counts)
+
+    @property
+    def written(self) -> bool:
+        return self._observation is not None
+
+    @property
+    def rows(self) -> int:
+        return self._observation.get["rows"]
+
+    def failures(self) -> list[tuple[str, str, str, int]]:
+        """Model, test, column_name, failures: one entry per check."""
+        found = self._observation.get
+        return [(self.model, t, c, found[f"c{i}"]) for i, (t, c, _) in enumerate(self._checks)]
+
+
+def outcomes(spark: SparkSession, found: list[tuple[str, str, str, int]]) -> DataFrame:
+    """Counted failures as the other checks show them, with a status."""
+    names = "model string, test string, column_name string, failures bigint"
+    outcome = F.when(F.col("failures") == 0, "pass").otherwise("fail")
+    return spark.createDataFrame(found, names).withColumn("status", outcome)

@@ -109,10 +109,13 @@ def customers(months: DataFrame) -> DataFrame:
 
 
 class KeptMarts:
-    """Stored facts, and the figures of M5, M6, M7 and M8 that follow from them."""
+    """Stored facts, and the figures of M5, M6, M7 and M8 that follow from them.
 
-    def __init__(self, spark: SparkSession, base: str):
-        self.spark = spark
+    Without ``ranked``, products and their ranking (M7) are not kept.
+    """
+
+    def __init__(self, spark: SparkSession, base: str, ranked: bool = True):
+        self.spark, self.ranked = spark, ranked
         month = year_month(F.col("order_month"))
         bucket = F.pmod(F.xxhash64("customer_id"), F.lit(CUSTOMER_PARTS))
         root = base.rstrip("/")
@@ -141,6 +144,8 @@ class KeptMarts:
             table.replace(_summed(differences, table.keys))
         self.months.replace(customer_months(facts))
         self.customers.replace(customers(self.months.read()))
+        if not self.ranked:
+            return
         self.order_products.replace(models.order_products)
         sold = self.order_products.read().withColumn("sign", F.lit(1))
         self.products.replace(_summed(product_differences(sold), self.products.keys))
@@ -168,7 +173,8 @@ class KeptMarts:
             buyers = touched.select("customer_id").distinct()
             self.customers.put(buyers, customers(_of_groups(self.months.read(), buyers)))
 
-            self._apply_products(models.for_order_ids(ids), changes)
+            if self.ranked:
+                self._apply_products(models.for_order_ids(ids), changes)
 
     def _apply_products(self, batch: Models, changes: DataFrame) -> None:
         """Products of the changed orders, before and after, and the ranks that follow."""

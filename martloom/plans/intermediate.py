@@ -106,6 +106,40 @@ def order_facts_by_category(facts: DataFrame, lines: DataFrame, products: DataFr
     )
 
 
+def line_sums(lines: DataFrame, orders: DataFrame) -> DataFrame:
+    """Lines of known orders summed by order and product, with the order's state and date.
+
+    The order join places each order in one partition, so the sums move no data, and what
+    is written in that order reduces again by order before any further shuffle.
+    """
+    known = orders.select("order_id", "order_status", "order_date")
+    return (
+        lines.join(known, "order_id")
+        .groupBy("order_id", "product_id", "order_status", "order_date")
+        .agg(
+            F.sum("line_cents").alias("cents"),
+            F.sum("quantity").alias("units"),
+            F.count("item_id").alias("line_count"),
+        )
+    )
+
+
+def totals_of(sums: DataFrame) -> DataFrame:
+    """``order_totals`` from ``line_sums``."""
+    return sums.groupBy("order_id").agg(
+        F.sum("cents").alias("revenue_cents"),
+        F.sum("units").alias("units_sold"),
+        F.sum("line_count").alias("line_count"),
+    )
+
+
+def products_of(sums: DataFrame) -> DataFrame:
+    """``order_products`` from ``line_sums``."""
+    return sums.where(F.col("order_status") == COMPLETED).select(
+        "order_id", "product_id", month_of(F.col("order_date")).alias("order_month"), "cents", "units"
+    )
+
+
 def order_products(lines: DataFrame, completed: DataFrame) -> DataFrame:
     """What each completed order holds of every product, with its month."""
     return (

@@ -78,6 +78,11 @@ def revenue_by_category(
         .groupBy("order_id", "category_id", month_of(F.col("order_date")).alias("order_month"))
         .agg(F.sum("line_cents").alias("cents"), F.sum("quantity").alias("units"))
     )
+    return sold_categories(per_order, categories)
+
+
+def sold_categories(per_order: DataFrame, categories: DataFrame) -> DataFrame:
+    """The category mart from one row per completed order, category and month."""
     totals = per_order.groupBy("category_id", "order_month").agg(
         F.sum("cents").alias("cents"),
         F.sum("units").alias("units_sold"),
@@ -86,6 +91,16 @@ def revenue_by_category(
     return category_months(totals, categories)
 
 
+def categories_of(held: DataFrame, products: DataFrame, categories: DataFrame) -> DataFrame:
+    """The category mart from what each completed order holds of every product."""
+    per_order = (
+        held.join(products.select("product_id", "category_id"), "product_id", "left")
+        .groupBy("order_id", "category_id", "order_month")
+        .agg(F.sum("cents").alias("cents"), F.sum("units").alias("units"))
+    )
+    return sold_categories(per_order, categories)
+
+
 def category_months(totals: DataFrame, categories: DataFrame) -> DataFrame:
     """Cents, units and orders by category and month as the mart shows them."""
     return totals.join(categories, "category_id", "left").select(
@@ -105,6 +120,11 @@ def product_sales(lines: DataFrame, completed: DataFrame, product_dim: DataFrame
         .groupBy("order_id", "product_id")
         .agg(F.sum("line_cents").alias("cents"), F.sum("quantity").alias("units"))
     )
+    return sold_products(per_order, product_dim)
+
+
+def sold_products(per_order: DataFrame, product_dim: DataFrame) -> DataFrame:
+    """Sold products from one row per completed order and product."""
     totals = per_order.groupBy("product_id").agg(
         F.sum("cents").alias("cents"),
         F.sum("units").alias("units_sold"),

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Callable, Mapping
 from functools import cached_property
 
 from pyspark.sql import Column, DataFrame
@@ -44,11 +44,28 @@ class Models:
         lines = self.sources["order_items"].join(ids, "order_id", "left_semi")
         return Models(with_tables(self.sources, orders=orders, order_items=lines))
 
-    def keep_order_facts(self) -> None:
-        """Write the order facts once, for runs that build several marts from them."""
-        self.order_facts = keep(self.order_facts, "order-facts")
+    def keep_order_facts(self, watch: Callable[[DataFrame], DataFrame] | None = None) -> None:
+        """Write the order facts once, for runs that build several marts from them.
+
+        They hold every order with its own columns; ``watch`` observes them.
+        """
+        facts = watch(self.order_facts) if watch else self.order_facts
+        self.order_facts = keep(facts, "order-facts")
         self.facts_kept = True
 
+    def keep_line_sums(self) -> None:
+        """Write the lines' sums by order and product once, for runs that build several marts.
+
+        Order totals, the category mart and product sales then read these, not the lines.
+        """
+        sums = keep(intermediate.line_sums(self.priced_lines, self.stg_orders), "line-sums")
+        self.order_totals = intermediate.totals_of(sums)
+        self.order_products = held = intermediate.products_of(sums)
+        self.product_sales = marts.sold_products(held, self.product_dim)
+        self.revenue_by_category = marts.categories_of(
+            held, self.stg_products, self.stg_categories
+        )
+
     # Staging
 
     @cached_property

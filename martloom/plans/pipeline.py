@@ -50,7 +50,12 @@ def register_views(models: Models, env: str = "dev") -> None:
         described(name, getattr(models, name)).createOrReplaceTempView(view_name(env, name))
 
 
-def refresh_orders(models: Models, table: MonthlyTable, full_refresh: bool = False) -> None:
+def refresh_orders(
+    models: Models,
+    table: MonthlyTable,
+    full_refresh: bool = False,
+    watch: checks.BuildChecks | None = None,
+) -> None:
     """Bring the order history up to date.
 
     The first run and a full refresh write everything. Later runs take the orders from
@@ -58,14 +63,17 @@ def refresh_orders(models: Models, table: MonthlyTable, full_refresh: bool = Fal
     refresh, as do orders without a date. A table that exists but is empty has no newest
     order, so such a run loads nothing.
     """
+    watched = {"watch": watch["orders"]} if watch else {}
     if full_refresh or not table.exists():
-        table.replace(described("orders", models.orders))
+        if watch:
+            watch.all_orders_written()
+        table.replace(described("orders", models.orders), **watched)
         return
     cutoff = table.cutoff(LOOKBACK_DAYS)
     recent = F.lit(False) if cutoff is None else F.col("order_date") >= F.lit(cutoff)
     # Kept facts hold the totals already; otherwise only the batch's lines are summed.
     batch = models.orders.where(recent) if models.facts_kept else models.for_orders(recent).orders
-    table.merge(described("orders", batch))
+    table.merge(described("orders", batch), **watched)
 
 
 def build(
@@ -74,8 +82,12 @@ def build(
     base: str,
     env: str = "dev",
     full_refresh: bool = False,
+    watch: checks.BuildChecks | None = None,
 ) -> dict[str, SnapshotTable]:
-    """Write all marts under ``base/env`` and return them by name."""
+    """Write all marts under ``base/env`` and return them by name.
+
+    With ``watch``, checks on rows are counted while the build writes them.
+    """
     register_views(Models(sources), env)
     orders = MonthlyTable(spark, mart_path(base, env, "orders"), comment=RELATIONS["orders"])
     tables = {
@@ -83,11 +95,16 @@ def build(
     }
     with temporary_tables(spark):
         models = Models(sources)
-        # Three marts read the order facts of all orders: sum the lines once.
-        models.keep_order_facts()
-        refresh_orders(models, orders, full_refresh)
+        if watch:
+            models.stg_order_items = watch["stg_order_items"](models.stg_order_items)
+        # Two marts and the order totals follow from the lines' sums, which are written once,
+        # as are the facts of all orders, which three marts read.
+        models.keep_line_sums()
+        models.keep_order_facts(**({"watch": watch["stg_orders"]} if watch else {}))
+        refresh_orders(models, orders, full_refresh, watch)
         for name, table in tables.items():
-            table.replace(described(name, getattr(models, name)))
+            mart = described(name, getattr(models, name))
+            table.replace(mart, **({"watch": watch[name]} if watch else {}))
     return {"orders": orders, **tables}
 
 

@@ -22,8 +22,8 @@ def ranked_anew(spark, values):
     )
 
 
-def table(spark, tmp_path, values):
-    kept = RankedValues(spark, str(tmp_path), "bigint")
+def table(spark, tmp_path, values, ranges=8):
+    kept = RankedValues(spark, str(tmp_path), "bigint", ranges=ranges)
     kept.load(spark.createDataFrame([(v,) for v in values], "v bigint"), "v")
     return kept
 
@@ -32,8 +32,7 @@ def change(spark, kept, rows):
     kept.add(spark.createDataFrame(rows, "value bigint, n bigint"))
 
 
-def test_random_changes_equal_a_new_ranking(spark, tmp_path, monkeypatch):
-    monkeypatch.setattr(kept_ranks, "RANGES", 8)
+def test_random_changes_equal_a_new_ranking(spark, tmp_path):
     rng = random.Random(4)
     # A third of the rows hold one value; some hold none.
     values = [7] * 30 + [None] * 5 + [rng.randrange(-50, 200) for _ in range(60)]
@@ -54,8 +53,7 @@ def test_random_changes_equal_a_new_ranking(spark, tmp_path, monkeypatch):
         assert records(kept.ranks_of(asked)) == records(held)
 
 
-def test_a_change_leaves_other_ranges_as_they_are(spark, tmp_path, monkeypatch):
-    monkeypatch.setattr(kept_ranks, "RANGES", 8)
+def test_a_change_leaves_other_ranges_as_they_are(spark, tmp_path):
     kept = table(spark, tmp_path, range(400))
     before = kept._state(1)
     change(spark, kept, [(399, 2), (1000, 1)])
@@ -68,9 +66,8 @@ def test_a_change_leaves_other_ranges_as_they_are(spark, tmp_path, monkeypatch):
     assert files and all(f"_part={changed[0]}" in name for name in files)
 
 
-def test_ranges_are_cut_anew_when_one_grows(spark, tmp_path, monkeypatch):
-    monkeypatch.setattr(kept_ranks, "RANGES", 16)
-    kept = table(spark, tmp_path, range(32))
+def test_ranges_are_cut_anew_when_one_grows(spark, tmp_path):
+    kept = table(spark, tmp_path, range(32), ranges=16)
     change(spark, kept, [(v, 1) for v in range(1000, 1600)])
     sizes = [values for values, _ in kept._state(kept._version())["ranges"].values()]
     assert max(sizes) * len(sizes) <= kept_ranks.UNEVEN * sum(sizes)

@@ -7,7 +7,7 @@ from hypothesis import HealthCheck, Phase, given, settings
 from hypothesis import strategies as st
 
 from martloom.operators.tables import MonthlyTable
-from martloom.plans import pipeline
+from martloom.plans import checks, pipeline
 from martloom.plans.models import Models
 from martloom.sources import read_tables, with_tables
 from martloom.streaming.order_feed import newest_per_key, start_order_feed
@@ -30,6 +30,46 @@ def test_build_writes_all_marts_and_they_pass(spark, small, tmp_path):
     assert spark.sql("SELECT count(*) FROM prod_intermediate_int_orders_enriched").first()[0] == models.stg_orders.count()
 
 
+def test_a_build_counts_its_checks_while_it_writes(spark, make_sources, tmp_path):
+    """Planted failures are found by observation, with the figures of the checks that scan."""
+    rows = [order(1), order(2, status=9), order(3, shipped="2016-01-01"), order(4, date=None)]
+    lines = [(1, 1, 10, 2, 10.0, 0.1), (1, 2, 11, 0, 5.0, 0.0), (3, 1, None, 1, 5.0, 1.5)]
+    sources = make_sources(orders=rows, order_items=lines)
+    watch = checks.BuildChecks()
+    tables = pipeline.build(spark, sources, str(tmp_path), watch=watch)
+    keys = ("model", "test", "column_name", "failures", "status")
+    got = {tuple(r[k] for k in keys[:3]): (r.failures, r.status) for r in watch.outcomes(spark).collect()}
+    full = pipeline.validate(sources, tables).select(*keys).collect()
+    want = {tuple(r[k] for k in keys[:3]): (r.failures, r.status) for r in full}
+    explosion = ("orders", "int_orders_no_row_explosion", "stg_orders")
+    assert got.pop(explosion) == (0, "pass")
+    kinds = {"not_null", "accepted_values", *[r.name for r in checks.domain_rules()]}
+    models = set(checks.BuildChecks.MODELS)
+    assert got == {k: v for k, v in want.items() if k[0] in models and k[1] in kinds}
+    assert {k[0] for k, v in got.items() if v[1] == "fail"} >= {"stg_orders", "stg_order_items", "orders"}
+    # Later builds observe the months they write, and have no number of orders to compare.
+    again = checks.BuildChecks()
+    pipeline.build(spark, sources, str(tmp_path), watch=again)
+    assert explosion not in {tuple(r[k] for k in keys[:3]) for r in again.outcomes(spark).collect()}
+
+
+def test_a_build_reads_the_lines_once(spark, make_sources, tmp_path):
+    """After the lines' sums are kept, no mart reads the lines, and all are as without."""
+    lines = [(i, n, 10 + n % 3, n + 1, 10.0, 0.1) for i in range(1, 7) for n in range(5)]
+    orders = [order(i, status=4 if i % 3 else 2, date=f"2016-0{i}-10") for i in range(1, 6)]
+    for name, df in make_sources(orders=orders, order_items=[*lines, (1, 9, None, 1, 1.0, 0.0)]).items():
+        df.write.parquet(str(tmp_path / name))
+    sources = read_tables(spark, str(tmp_path))
+    plain, kept = Models(sources), Models(sources)
+    kept.keep_line_sums()
+    kept.keep_order_facts()
+    for name in ("orders", *pipeline.TABLES):
+        mart = getattr(kept, name)
+        assert not [f for f in mart.inputFiles() if "/order_items/" in f], name
+        assert mart.dtypes == getattr(plain, name).dtypes
+        assert records(mart) == records(getattr(plain, name)), name
+
+
 def test_second_build_is_incremental_and_equal(spark, small, tmp_path):
     tables = pipeline.build(spark, small, str(tmp_path))
     first = records(tables["orders"].read())
