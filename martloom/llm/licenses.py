@@ -1,12 +1,14 @@
 """Licence scan: a trained paragraph classifier, confirmed against templates.
 
-Paragraphs are lines of a text. A multinomial logistic regression on sparse word
+Paragraphs are runs of lines with words, so that comment marks and wrapping do not matter;
+they are judged line by line and in overlapping windows of lines. A multinomial logistic regression on sparse word
 n-grams gives each the probability of every licence family and of ordinary text. It is
-trained on templates, altered and set into ordinary words, and on a bounded sample of
-the corpus' own paragraphs. Part of the same data is kept apart to calibrate: a
-temperature makes the probabilities honest, and a threshold is set above what ordinary
-paragraphs reach. A paragraph that is no ordinary text, but of which no family is sure
-or whose words fit no template of the predicted family, is reported as ``unknown``.
+trained on templates, on notices of other licences as a class of their own, both altered
+and set into ordinary words, and on a bounded sample of the corpus' own lines. Part of the
+same data is kept apart to calibrate: a temperature makes the probabilities honest, and a
+threshold is set above what ordinary text reaches. What the calibrated probability calls no
+ordinary text, but of which no family is sure or whose words fit no template of the
+predicted family, is reported as ``unknown``.
 """
 
 from __future__ import annotations
@@ -25,8 +27,10 @@ from martloom.llm.tables import carried, read_table, restored
 from martloom.llm.words import Words, grams, mixed, split_words, text_slices
 from martloom.session import keep
 
-BUCKET_BITS = 13
-# Ordinary paragraphs for training, about; and altered copies of each template.
+BUCKET_BITS = 15
+# Words of a window; a line with more is cut into windows that overlap by half.
+WINDOW = 48
+# Ordinary lines for training, about; and altered copies of each template.
 SAMPLE = 4000
 COPIES = 40
 REGULARISATION, STEPS = 1e-3, 60
@@ -83,8 +87,23 @@ TEMPLATES = {
 }
 ORDINARY, UNKNOWN = "ordinary", "unknown"
 
+# Notices of licences that are no family of their own.
+UNNAMED = [
+    "ISC License",
+    "Permission to use, copy, modify, and/or distribute this software for any purpose with or"
+    " without fee is hereby granted",
+    "Distributed under the Boost Software License, Version 1.0.",
+    "This file is in the public domain.",
+    "This is free and unencumbered software released into the public domain.",
+    "This software is licensed under the zlib license.",
+    "Licensed under the Eclipse Public License, Version 2.0.",
+    "WTFPL",
+    "Licensed under the terms of the license in the LICENSE file.",
+    "SPDX-License-Identifier: Zlib",
+]
+
 _FOUND = (
-    "doc_id long, paragraph int, family string, predicted string, probability double,"
+    "doc_id long, paragraph int, last_line int, family string, predicted string, probability double,"
     " template_fit double"
 )
 
@@ -162,14 +181,64 @@ def altered(templates: dict[str, list[str]], ordinary: list[str], seed: int) ->
         for text in texts:
             words = text.split()
             out.append((name, text))
-            for _ in range(COPIES):
+            for copy in range(COPIES):
                 own = [w for w in words if random.random() > 0.08] or words
-                before = list(random.choice(pool, random.integers(0, 4)))
-                after = list(random.choice(pool, random.integers(0, 4)))
+                # Some stand alone, others within a window of which they are a good part.
+                most = 1 + (4 if copy % 2 else max(4, len(words) // 2))
+                before = list(random.choice(pool, random.integers(0, most)))
+                after = list(random.choice(pool, random.integers(0, most)))
                 out.append((name, " ".join([*before, *own, *after])))
     return out
 
 
+def windows(words: Words, ends: np.ndarray) -> tuple[np.ndarray, ...]:
+    """What is judged of lines: first and last line, first word and word after the last.
+
+    Every line with words, and windows of consecutive lines with at most ``WINDOW`` words
+    that begin at every second line of a paragraph, at its last full window, and where two
+    neighbouring lines would stand in no window. A line with
+    more words gives windows that overlap by half. ``ends`` has the line after the last of
+    each line's text.
+    """
+    first, counts = words.first, words.counts()
+    lines = np.arange(len(counts))
+    filled = counts > 0
+    # The paragraph's end: the next line without words, or the text's end.
+    blank = np.where(filled, len(counts), lines)
+    stop = np.minimum(np.minimum.accumulate(blank[::-1])[::-1], ends) if len(lines) else lines
+    out = []
+    short = lines[filled & (counts <= WINDOW)]
+    out.append((short, short, first[short], first[short + 1]))
+    for line in lines[counts > WINDOW]:
+        starts = np.arange(first[line], first[line + 1] - WINDOW // 2, WINDOW // 2)
+        same = np.full(len(starts), line)
+        out.append((same, same, starts, np.minimum(starts + WINDOW, first[line + 1])))
+    reach = np.minimum(np.searchsorted(first, first[:-1] + WINDOW, side="right") - 1, stop)
+    begin = np.ones(len(lines), dtype=bool)
+    begin[1:] = stop[1:] != stop[:-1]
+    since = lines - np.maximum.accumulate(np.where(begin, lines, 0)) if len(lines) else lines
+    final = np.zeros(len(lines), dtype=bool)
+    final[1:] = (reach[1:] == stop[1:]) & (reach[:-1] < stop[1:])
+    # So does one whose first two lines the window before does not hold together.
+    final[1:] |= reach[:-1] < lines[1:] + 2
+    several = filled & (reach > lines + 1) & ((since % 2 == 0) | final)
+    # A window within the one that begins before it tells nothing more.
+    some = lines[several]
+    fresh = np.ones(len(some), dtype=bool)
+    fresh[1:] = reach[some[1:]] != reach[some[:-1]]
+    some = some[fresh]
+    out.append((some, reach[some] - 1, first[some], first[reach[some]]))
+    return tuple(np.concatenate(parts) for parts in zip(*out))
+
+
+def _cut(words: Words, start: np.ndarray, end: np.ndarray) -> Words:
+    """The words of some runs, each as a text of its own."""
+    sizes = end - start
+    first = np.concatenate([[0], np.cumsum(sizes)])
+    at = np.arange(first[-1]) + np.repeat(start - first[:-1], sizes)
+    return Words(words.data, words.start[at], words.end[at], first, words.hashes[at])
+
+
 class Scanner:
     """Weights, temperature and threshold of a trained classifier."""
 
@@ -219,33 +288,41 @@ def _paragraphs(docs: DataFrame) -> DataFrame:
 
 
 def train(docs: DataFrame, templates: dict[str, list[str]] | None = None) -> Scanner:
-    """A scanner from templates and about ``SAMPLE`` of the paragraphs of ``docs``.
+    """A scanner from templates and about ``SAMPLE`` different lines of ``docs``.
 
-    The sample takes texts by hash, at the rate that gives ``SAMPLE`` paragraphs, and
-    leaves out those that share two words in a row with a template.
+    The sample takes lines by hash, at the rate that gives ``SAMPLE`` of the different ones,
+    and leaves out those that share two words in a row with a licence notice. Of a long line
+    one window is taken; some lines are joined, as windows of a paragraph are.
     """
     spark = docs.sparkSession
     templates = templates or TEMPLATES
-    known = Templates(templates)
+    notices = {**templates, UNKNOWN: UNNAMED}
+    known = Templates(notices)
     texts = docs.select("text").where("length(text) > 0")
-    lines = texts.agg(
-        F.coalesce(F.sum(F.length("text") - F.length(F.replace("text", F.lit("\n"))) + 1), F.lit(0))
-    ).first()[0]
+    lines = _paragraphs(texts).agg(F.approx_count_distinct("paragraph")).first()[0]
     rate = min(1.0, SAMPLE / max(1, lines))
     place = F.pmod(F.xxhash64("paragraph", F.lit(SEED)), F.lit(10_000_000)) / F.lit(1e7)
     rows = keep(
         _paragraphs(texts).where(place < rate).distinct().orderBy(F.xxhash64("paragraph")), "sample"
     ).collect()
-    sample = sorted(row[0] for row in rows if row[0].strip())
+    random = np.random.default_rng(SEED)
+    sample = []
+    for text in sorted(row[0] for row in rows if row[0].strip()):
+        own = text.split()
+        at = int(random.integers(0, max(1, len(own) - WINDOW + 1)))
+        sample.append(" ".join(own[at : at + WINDOW]))
     words = _split(sample)
     ordinary = [
         text
         for i, text in enumerate(sample)
         if not known.touches(words.hashes[words.first[i] : words.first[i + 1]].tolist())
     ] or ["the text of a page"]
-    labelled = altered(templates, ordinary, SEED) + [(ORDINARY, text) for text in ordinary]
+    joined = []
+    for _ in range(len(ordinary) // 2):
+        some = random.choice(len(ordinary), random.integers(2, 5))
+        joined.append(" ".join(" ".join(ordinary[i] for i in some).split()[:WINDOW]))
+    labelled = altered(notices, ordinary, SEED) + [(ORDINARY, t) for t in ordinary + joined]
     classes = sorted({label for label, _ in labelled})
-    random = np.random.default_rng(SEED)
     held, used = [], []
     for name in classes:
         own = [item for item in labelled if item[0] == name]
@@ -268,56 +345,67 @@ def train(docs: DataFrame, templates: dict[str, list[str]] | None = None) -> Sca
 
 
 def scan(docs: DataFrame, templates: dict[str, list[str]] | None = None) -> DataFrame:
-    """One row per paragraph that is a licence: doc_id, paragraph (from 0), family, and why.
-
-    ``predicted`` is the classifier's family, ``probability`` its calibrated probability
-    and ``template_fit`` the part of that family's best template in the paragraph;
-    ``family`` is ``unknown`` unless both suffice. Missing and empty texts have no
-    paragraph. Rows without doc_id are scanned and reported without one; repeated rows
-    are reported once each. An empty table gives an empty result.
+    """One row per licence notice: doc_id, ``paragraph`` and ``last_line``, family, and why.
+
+    The notice stands in the lines from ``paragraph`` (from 0) to ``last_line``; notices of a
+    text do not overlap. Of overlapping ones those of a sure family come first, then the
+    better fit, the higher probability, fewer words, and the earlier line. ``predicted`` is
+    the classifier's family, ``probability`` its calibrated probability and ``template_fit``
+    the part of that family's best notice in the lines; ``family`` is ``unknown`` unless both
+    suffice. Missing and empty texts have no line. Rows without doc_id are scanned and
+    reported without one; repeated rows are reported once each. An empty table gives an
+    empty result.
     """
     templates = templates or TEMPLATES
     scanner = train(docs, templates)
-    sent = docs.sparkSession.sparkContext.broadcast((scanner, Templates(templates)))
+    notices = Templates({**templates, UNKNOWN: UNNAMED})
+    sent = docs.sparkSession.sparkContext.broadcast((scanner, notices))
 
     def scanned(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         scanner, known = sent.value
-        ordinary = scanner.classes.index(ORDINARY)
+        names = [c.split()[0] for c in _FOUND.split(", ")]
         for frame in frames:
             out = []
-            for part in text_slices(frame["text"], 2_000_000):
-                some = frame.iloc[part]
-                paragraphs, places = [], []
-                for doc, text in enumerate(some["text"]):
-                    for number, paragraph in enumerate((text or "").split("\n")):
-                        paragraphs.append(paragraph)
-                        places.append((doc, number))
-                words = _split(paragraphs)
-                p = scanner.probabilities(scanner.logits(words, len(paragraphs)))
-                full = words.counts() > 0
-                for i in np.flatnonzero((1.0 - p[:, ordinary] >= scanner.threshold) & full):
-                    families = p[i].copy()
-                    families[ordinary] = -1.0
-                    best = int(families.argmax())
-                    name = scanner.classes[best]
-                    own = words.hashes[words.first[i] : words.first[i + 1]].tolist()
-                    fit = known.fit(name, own)
-                    sure = p[i, best] >= scanner.threshold and fit >= LEAST_FIT
-                    # Neither a family nor any licence wording: ordinary after all.
-                    if not sure and not known.touches(own):
-                        continue
-                    doc, number = places[i]
-                    out.append(
-                        (
-                            some["doc_id"].iloc[doc], number, name if sure else UNKNOWN, name,
-                            round(float(p[i, best]), 6), round(fit, 6),
-                        )
-                    )
-            names = [c.split()[0] for c in _FOUND.split(", ")]
+            for part in text_slices(frame["text"], 1_000_000):
+                ids = frame["doc_id"].iloc[part].tolist()
+                lines = [(text or "").split("\n") for text in frame["text"].iloc[part]]
+                for doc, begin, found in _notices(scanner, known, lines):
+                    first, last, *rest = found
+                    out.append((ids[doc], first - begin, last - begin, *rest))
             yield pd.DataFrame(out, columns=names)
 
     return restored(docs.select(carried(), "text").mapInPandas(scanned, _FOUND))
 
 
+def _notices(
+    scanner: Scanner, known: Templates, texts: list[list[str]]
+) -> Iterator[tuple[int, int, tuple]]:
+    """Text, its first line, and a notice in it, for the lines of many texts."""
+    sizes = np.array([len(lines) for lines in texts])
+    begins = np.concatenate([[0], np.cumsum(sizes)])
+    words = _split([line for lines in texts for line in lines])
+    first, last, start, end = windows(words, np.repeat(begins[1:], sizes))
+    cut = _cut(words, start, end)
+    p = scanner.probabilities(scanner.logits(cut, len(first)))
+    ordinary = scanner.classes.index(ORDINARY)
+    candidates = []
+    for i in np.flatnonzero(1.0 - p[:, ordinary] >= scanner.threshold):
+        families = p[i].copy()
+        families[ordinary] = -1.0
+        best = int(families.argmax())
+        name = scanner.classes[best]
+        fit = known.fit(name, words.hashes[start[i] : end[i]].tolist())
+        sure = name != UNKNOWN and p[i, best] >= scanner.threshold and fit >= LEAST_FIT
+        order = (not sure, -round(fit, 6), -round(float(p[i, best]), 6), end[i] - start[i], first[i])
+        found = (name if sure else UNKNOWN, name, -order[2], -order[1])
+        candidates.append((order, int(first[i]), int(last[i]), found))
+    taken = np.zeros(begins[-1], dtype=bool)
+    for _, a, b, found in sorted(candidates):
+        if not taken[a : b + 1].any():
+            taken[a : b + 1] = True
+            doc = int(np.searchsorted(begins, a, side="right")) - 1
+            yield doc, int(begins[doc]), (a, b, *found)
+
+
 def op1_license_scan(spark: SparkSession, folder: str) -> DataFrame:
     return scan(read_table(spark, folder, "documents"))
