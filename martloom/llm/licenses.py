@@ -4,7 +4,8 @@ Paragraphs are runs of lines with words, so that comment marks and wrapping do n
 they are judged line by line and in overlapping windows of lines. A multinomial logistic regression on sparse word
 n-grams gives each the probability of every licence family and of ordinary text. It is
 trained on templates, on notices of other licences as a class of their own, both altered
-and set into ordinary words, and on a bounded sample of the corpus' own lines. Part of the
+and set into ordinary words, and on a bounded sample of the corpus' own lines. Its features
+are the words and word pairs that several training texts hold, by name, not by bucket. Part of the
 same data is kept apart to calibrate: a temperature makes the probabilities honest, and a
 threshold is set above what ordinary text reaches. What the calibrated probability calls no
 ordinary text, but of which no family is sure or whose words fit no template of the
@@ -27,7 +28,6 @@ from martloom.llm.tables import carried, read_table, restored
 from martloom.llm.words import Words, grams, mixed, split_words, text_slices
 from martloom.session import keep
 
-BUCKET_BITS = 15
 # Words of a window; a line with more is cut into windows that overlap by half.
 WINDOW = 48
 # Ordinary lines for training, about; and altered copies of each template.
@@ -36,6 +36,8 @@ COPIES = 40
 REGULARISATION, STEPS = 1e-3, 60
 # Part of a template's words, by weight and in the same order, that a paragraph must hold.
 LEAST_FIT = 0.6
+# Training texts, joined lines aside, in which a word or word pair must stand to be a feature.
+LEAST_TEXTS = 3
 # Of ordinary paragraphs kept apart, at most this part may be taken for a licence.
 FALSE_ALARMS = 0.001
 SEED = 11
@@ -108,25 +110,60 @@ _FOUND = (
 )
 
 
-def _buckets(words: Words) -> tuple[np.ndarray, np.ndarray]:
-    """Bucket and paragraph of every word and word pair."""
+def _split(texts: list[str]) -> Words:
+    return split_words(texts, lower=True, marks=False)
+
+
+class Features:
+    """Words and word pairs of texts as numbered features; others count in the length only."""
+
+    def __init__(self, known: np.ndarray):
+        self.known = known
+
+    @classmethod
+    def of(cls, texts: list[str]) -> Features:
+        """Features that stand in at least ``LEAST_TEXTS`` of the training texts."""
+        every, texts_with = np.unique(_terms(_split(texts))[0], return_counts=True)
+        return cls(every[texts_with >= LEAST_TEXTS])
+
+    def __len__(self) -> int:
+        return len(self.known)
+
+    def vectors(self, words: Words) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Feature, text and value; a text's words and pairs together have length 1."""
+        term, owner, counts = _terms(words)
+        length = np.sqrt(np.bincount(owner, counts.astype(float) ** 2, len(words.first) - 1))
+        at = np.searchsorted(self.known, term)
+        found = np.zeros(len(term), dtype=bool)
+        inside = at < len(self.known)
+        found[inside] = self.known[at[inside]] == term[inside]
+        owner = owner[found]
+        return at[found], owner, counts[found] / length[owner]
+
+
+def _terms(words: Words) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Hash, text and count of the different words and word pairs of every text."""
     pairs, whole = grams(words, 2)
     owner = words.text_of_word()
-    shift = np.uint64(64 - BUCKET_BITS)
-    both = np.concatenate([mixed(words.hashes), pairs[whole]])
-    return (both >> shift).astype(np.int64), np.concatenate([owner, owner[whole]])
+    term = np.concatenate([mixed(words.hashes), pairs[whole]])
+    owner = np.concatenate([owner, owner[whole]])
+    order = np.lexsort((term, owner))
+    term, owner = term[order], owner[order]
+    fresh = np.ones(len(term), dtype=bool)
+    fresh[1:] = (term[1:] != term[:-1]) | (owner[1:] != owner[:-1])
+    starts = np.flatnonzero(fresh)
+    return term[starts], owner[starts], np.diff(np.append(starts, len(term)))
 
 
-def _split(texts: list[str]) -> Words:
-    return split_words(texts, lower=True, marks=False)
+def _training_vector(features: Features):
+    """For training only: paragraphs of the bounded sample."""
 
+    @F.udf(returnType=VectorUDT())
+    def vector(paragraph: str):
+        at, _, values = features.vectors(_split([paragraph]))
+        return Vectors.sparse(len(features), sorted(zip(at.tolist(), values.tolist())))
 
-@F.udf(returnType=VectorUDT())
-def _vector(paragraph: str):
-    """For training only: paragraphs of the bounded sample."""
-    bucket, _ = _buckets(_split([paragraph]))
-    some, counts = np.unique(bucket, return_counts=True)
-    return Vectors.sparse(1 << BUCKET_BITS, some, counts / np.sqrt((counts**2).sum() or 1.0))
+    return vector
 
 
 class Templates:
@@ -242,22 +279,21 @@ def _cut(words: Words, start: np.ndarray, end: np.ndarray) -> Words:
 class Scanner:
     """Weights, temperature and threshold of a trained classifier."""
 
-    def __init__(self, classes: list[str], weights: np.ndarray, offsets: np.ndarray):
+    def __init__(
+        self, classes: list[str], features: Features, weights: np.ndarray, offsets: np.ndarray
+    ):
         self.classes = classes
+        self.features = features
         self.weights = weights.astype(np.float32)
         self.offsets = offsets
         self.temperature, self.threshold = 1.0, 0.5
 
     def logits(self, words: Words, count: int) -> np.ndarray:
-        bucket, owner = _buckets(words)
-        code = owner * (1 << BUCKET_BITS) + bucket
-        code, counts = np.unique(code, return_counts=True)
-        owner, bucket = code >> BUCKET_BITS, code & ((1 << BUCKET_BITS) - 1)
-        length = np.sqrt(np.bincount(owner, weights=counts.astype(float) ** 2, minlength=count))
+        feature, owner, values = self.features.vectors(words)
         out = np.empty((count, len(self.classes)))
         for at in range(len(self.classes)):
-            sums = np.bincount(owner, weights=self.weights[at, bucket] * counts, minlength=count)
-            out[:, at] = sums / np.maximum(length, 1.0) + self.offsets[at]
+            weights = self.weights[at, feature] * values
+            out[:, at] = np.bincount(owner, weights, count) + self.offsets[at]
         return out
 
     def probabilities(self, logits: np.ndarray) -> np.ndarray:
@@ -269,16 +305,18 @@ class Scanner:
         """Temperature of the least log loss; threshold above ordinary paragraphs."""
         logits = self.logits(_split(texts), len(texts))
         truth = np.array([self.classes.index(label) for label in labels])
+        plain = truth == self.classes.index(ORDINARY)
+        # As in training: ordinary paragraphs count as much as all notices.
+        weights = np.where(plain, (~plain).sum() / max(1, plain.sum()), 1.0)
 
         def loss(temperature: float) -> float:
             self.temperature = temperature
             p = self.probabilities(logits)[np.arange(len(truth)), truth]
-            return float(-np.log(np.maximum(p, 1e-12)).mean())
+            return float(np.average(-np.log(np.maximum(p, 1e-12)), weights=weights))
 
         self.temperature = float(min(np.geomspace(0.1, 4.0, 40), key=loss))
         p = self.probabilities(logits)
-        ordinary = self.classes.index(ORDINARY)
-        licence = 1.0 - p[truth == ordinary, ordinary]
+        licence = 1.0 - p[plain, self.classes.index(ORDINARY)]
         if len(licence):
             self.threshold = float(max(0.5, np.quantile(licence, 1.0 - FALSE_ALARMS)))
 
@@ -329,17 +367,30 @@ def train(docs: DataFrame, templates: dict[str, list[str]] | None = None) -> Sca
         own = [own[i] for i in random.permutation(len(own))]
         held += own[: len(own) // 4]
         used += own[len(own) // 4 :]
-    schema = T.StructType.fromDDL("label double, paragraph string")
+    features = Features.of([text for label, text in used if label != ORDINARY] + ordinary)
+    # Ordinary paragraphs are many; together they count as much as all notices.
+    plain = sum(label == ORDINARY for label, _ in used)
+    share = (len(used) - plain) / plain
+    rows = [
+        (float(classes.index(label)), share if label == ORDINARY else 1.0, text)
+        for label, text in used
+    ]
+    schema = T.StructType.fromDDL("label double, weight double, paragraph string")
     data = (
-        spark.createDataFrame([(float(classes.index(a)), b) for a, b in used], schema)
+        spark.createDataFrame(rows, schema)
         .repartition(6)
-        .select("label", _vector("paragraph").alias("features"))
+        .select("label", "weight", _training_vector(features)("paragraph").alias("features"))
     )
     data = keep(data, "paragraphs")
     model = LogisticRegression(
-        family="multinomial", maxIter=STEPS, regParam=REGULARISATION, standardization=False
+        family="multinomial",
+        maxIter=STEPS,
+        regParam=REGULARISATION,
+        standardization=False,
+        weightCol="weight",
     ).fit(data)
-    scanner = Scanner(classes, model.coefficientMatrix.toArray(), model.interceptVector.toArray())
+    weights, offsets = model.coefficientMatrix.toArray(), model.interceptVector.toArray()
+    scanner = Scanner(classes, features, weights, offsets)
     scanner.calibrate([text for _, text in held], [label for label, _ in held])
     return scanner
 

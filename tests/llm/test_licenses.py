@@ -88,6 +88,19 @@ def test_wrapped_notices_and_licences_without_a_template(make_docs):
     assert all(a[0] != b[0] or a[2] < b[1] for a, b in zip(spans, spans[1:]))
 
 
+def test_features_are_words_and_pairs_of_several_texts(monkeypatch):
+    """Against plain counting; what is no feature still counts in a text's length."""
+    monkeypatch.setattr(licenses, "LEAST_TEXTS", 2)
+    texts = ["a b a b", "b a, c", "C", "", "z"]
+    features = licenses.Features.of(texts)
+    feature, owner, values = features.vectors(licenses._split([*texts, "b a new"]))
+    assert len(features) == 4  # a, b, c and "b a"
+    sums = np.bincount(owner, values**2, 6)
+    # Of "a b a b": a and b twice and "b a" once; "a b" stands twice, in this text alone.
+    assert np.allclose(sums, [9 / 13, 4 / 5, 1, 0, 0, 3 / 5])
+    assert len(set(zip(feature.tolist(), owner.tolist()))) == len(feature)
+
+
 def test_many_copies_of_a_line_do_not_shrink_the_sample(make_docs, monkeypatch):
     """99 % of the rows are one text; the sample still holds nearly all different lines."""
     rng = random.Random(6)
@@ -138,8 +151,10 @@ def test_empty_table(make_docs):
 
 def test_calibration_lowers_the_log_loss():
     rng = np.random.default_rng(0)
-    scanner = licenses.Scanner([licenses.ORDINARY, "MIT"], rng.normal(size=(2, 1 << licenses.BUCKET_BITS)), np.zeros(2))
     texts = [f"word{i} other{i}" for i in range(60)]
+    features = licenses.Features.of(texts * licenses.LEAST_TEXTS)
+    weights = rng.normal(size=(2, len(features)))
+    scanner = licenses.Scanner([licenses.ORDINARY, "MIT"], features, weights, np.zeros(2))
     labels = [licenses.ORDINARY if i % 2 else "MIT" for i in range(60)]
     truth = np.array([scanner.classes.index(x) for x in labels])
 
