@@ -31,12 +31,14 @@ BLOCK_ROWS = 1024
 MOST_BLOCKS = 65_536
 QUERY_ROWS = 512
 SLACK = 1e-6
+# Whole numbers up to which a product's sums are exact as doubles, and as 64-bit numbers.
+EXACT, WIDEST = 2.0**53, 2.0**63
 
 _BLOCK = (
     "block long, dim int, pivot int, near double, far double, norm double, ids binary,"
     " distances binary, vectors binary"
 )
-_HIT = "query_id long, vec_id long, score long"
+_HIT = "query_id long, vec_id long, score long, print long"
 
 
 def quantised(embedding: str = "embedding", scale: int = 256) -> Column:
@@ -157,33 +159,42 @@ def _block_arrays(row) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     return ids, np.frombuffer(row.distances, dtype=np.float64), vectors
 
 
+def _products(queries: np.ndarray, points: np.ndarray) -> np.ndarray:
+    """Exact inner products of whole numbers, as 64-bit numbers."""
+    most = [np.abs(m).max(initial=0.0) for m in (queries, points)]
+    largest = most[0] * most[1] * queries.shape[1]
+    if largest < EXACT:
+        return (queries @ points.T).astype(np.int64)
+    if max(largest, *most) >= WIDEST:
+        raise ValueError("vector components are too large: an inner product may exceed 64 bits")
+    return queries.astype(np.int64) @ points.astype(np.int64).T
+
+
 def _best(
     queries: np.ndarray, scores: np.ndarray, ids: np.ndarray, k: int, allowed: np.ndarray
-) -> pd.DataFrame:
-    """The k best columns of every row of ``scores``, ties to smaller ids."""
+) -> tuple[np.ndarray, pd.DataFrame]:
+    """The k best columns of every row of ``scores``, ties to smaller ids, and their rows."""
     order = np.argsort(ids, kind="stable")
-    scores = np.where(allowed, scores, -np.inf)[:, order]
+    scores, allowed = scores[:, order], allowed[:, order]
     width = min(k, scores.shape[1])
-    # Stable, so that of equal scores the smaller id comes first.
-    top = np.argsort(-scores, axis=1, kind="stable")[:, :width]
-    values = np.take_along_axis(scores, top, 1)
-    good = np.isfinite(values)
-    return pd.DataFrame(
-        {
-            "query_id": np.repeat(queries, width)[good.ravel()],
-            "vec_id": ids[order][top][good],
-            "score": values[good].astype(np.int64),
-        }
-    )
+    # Stable, so that of equal scores the smaller id comes first; own rows come last.
+    top = np.lexsort((-scores, ~allowed), axis=1)[:, :width]
+    good = np.take_along_axis(allowed, top, 1)
+    rows = np.repeat(np.arange(len(queries)), width)[good.ravel()]
+    values = np.take_along_axis(scores, top, 1)[good]
+    found = {"query_id": queries[rows], "vec_id": ids[order][top][good], "score": values}
+    return rows, pd.DataFrame(found)
 
 
 def search(vectors: DataFrame, is_query: Column, k: int = 5, pivots: int = PIVOTS) -> DataFrame:
     """Each query's k best other vectors: query_id, rank, vec_id, score.
 
-    ``vectors`` has vec_id and ``vector`` (whole numbers as double, below 2**20, so that
-    products are exact). Vectors that are null take no part; vectors meet only those of
-    their own dimension. A query excludes its own row by vec_id. Rows of one vec_id that
-    is repeated are all candidates and are ranked as equals. An empty table gives none.
+    ``vectors`` has vec_id and ``vector`` (whole numbers as double). Products are exact;
+    components so large that one might exceed 64 bits raise an error. Vectors that are null
+    take no part; vectors meet only those of their own dimension. A query excludes its own
+    row by vec_id. Rows of one vec_id that is repeated are all candidates and are ranked as
+    equals. Query rows of one vec_id and equal vectors are one query; of unlike vectors each
+    has ranks of its own. An empty table gives none.
     """
     spark = vectors.sparkSession
     vectors = vectors.where(F.col("vector").isNotNull() & F.col("vec_id").isNotNull())
@@ -199,7 +210,7 @@ def search(vectors: DataFrame, is_query: Column, k: int = 5, pivots: int = PIVOT
                 ids, _, points = _block_arrays(row)
                 mine = np.isin(ids, np.frombuffer(row.queries, dtype=np.int64))
                 asked, matrix = ids[mine], points[mine]
-                scores = matrix @ points.T
+                scores = _products(matrix, points).astype(np.float64)
                 allowed = ids[None, :] != asked[:, None]
                 ranked = -np.sort(-np.where(allowed, scores, -np.inf), axis=1)
                 beat = ranked[:, k - 1] if len(ids) >= k else np.full(len(asked), -np.inf)
@@ -236,10 +247,14 @@ def search(vectors: DataFrame, is_query: Column, k: int = 5, pivots: int = PIVOT
             yield frame
 
     homes = homes.mapInPandas(as_bytes, "block long, queries binary")
+    started = blocks.join(homes, "block").mapInPandas(
+        home, "query_id long, dim int, beat double, vector binary"
+    )
+    # Query rows that are repeated are one query; the print tells unlike ones of an id apart.
     queries = keep(
-        blocks.join(homes, "block").mapInPandas(
-            home, "query_id long, dim int, beat double, vector binary"
-        ),
+        started.groupBy("query_id", "dim", "vector")
+        .agg(F.max("beat").alias("beat"))
+        .withColumn("print", F.xxhash64("vector")),
         "queries",
     )
 
@@ -273,6 +288,9 @@ def search(vectors: DataFrame, is_query: Column, k: int = 5, pivots: int = PIVOT
                                 "query_ids": [
                                     part["query_id"].to_numpy(dtype=np.int64)[rows].tobytes()
                                 ],
+                                "prints": [
+                                    part["print"].to_numpy(dtype=np.int64)[rows].tobytes()
+                                ],
                                 "beats": [part["beat"].to_numpy()[rows].tobytes()],
                                 "query_vectors": [matrix[rows].tobytes()],
                             }
@@ -283,6 +301,7 @@ def search(vectors: DataFrame, is_query: Column, k: int = 5, pivots: int = PIVOT
             for row in frame.itertuples():
                 ids, distances, points = _block_arrays(row)
                 asked = np.frombuffer(row.query_ids, dtype=np.int64)
+                prints = np.frombuffer(row.prints, dtype=np.int64)
                 beats = np.frombuffer(row.beats, dtype=np.float64)
                 matrix = np.frombuffer(row.query_vectors, dtype=np.float64)
                 matrix = matrix.reshape(len(asked), row.dim)
@@ -292,18 +311,22 @@ def search(vectors: DataFrame, is_query: Column, k: int = 5, pivots: int = PIVOT
                 radius = np.sqrt(
                     np.maximum(0.0, (matrix**2).sum(1) + row.norm - 2 * beats) * (1 + SLACK)
                 )
-                low = np.searchsorted(distances, (away - radius).min() - SLACK, "left")
-                high = np.searchsorted(distances, (away + radius).max() + SLACK, "right")
+                # Distances of products beyond exact doubles are rounded.
+                slack = SLACK * (1.0 + np.sqrt(max(row.norm, (matrix**2).sum(1).max())))
+                low = np.searchsorted(distances, (away - radius).min() - slack, "left")
+                high = np.searchsorted(distances, (away + radius).max() + slack, "right")
                 ids, points = ids[low:high], points[low:high]
                 if len(ids):
                     allowed = ids[None, :] != asked[:, None]
-                    yield _best(asked, matrix @ points.T, ids, k, allowed)
+                    rows, found = _best(asked, _products(matrix, points), ids, k, allowed)
+                    yield found.assign(print=prints[rows])
 
     sent = queries.mapInPandas(
-        routed, "block long, query_ids binary, beats binary, query_vectors binary"
+        routed,
+        "block long, query_ids binary, prints binary, beats binary, query_vectors binary",
     )
     hits = blocks.join(sent, "block").mapInPandas(scored, _HIT)
-    best = Window.partitionBy("query_id").orderBy(F.col("score").desc(), "vec_id")
+    best = Window.partitionBy("query_id", "print").orderBy(F.col("score").desc(), "vec_id")
     return (
         hits.withColumn("rank", F.row_number().over(best))
         .where(F.col("rank") <= k)

@@ -26,11 +26,15 @@ def brute(rows, k=5):
     return out
 
 
-def run(spark, rows, **kwargs):
-    frame = spark.createDataFrame([(*r, "x", 1, 0.5) for r in rows], SCHEMA).repartition(3)
+def ranked(spark, rows, schema=SCHEMA, **kwargs):
+    frame = spark.createDataFrame([(*r, "x", 1, 0.5) for r in rows], schema).repartition(3)
     vectors = frame.withColumn("vector", topk.quantised())
     got = rows_of(topk.search(vectors, F.col("vec_id") % 50 == 0, **kwargs))
-    return {(r["query_id"], r["rank"], r["vec_id"], r["score"]) for r in got}
+    return [(r["query_id"], r["rank"], r["vec_id"], r["score"]) for r in got]
+
+
+def run(spark, rows, **kwargs):
+    return set(ranked(spark, rows, **kwargs))
 
 
 @pytest.mark.parametrize("block_rows", [4, 1024])
@@ -65,3 +69,30 @@ def test_annuli_are_left_out(spark):
     ]
     rows = [(i, [round(x * 64) / 64 for x in v]) for i, v in rows]
     assert run(spark, rows, pivots=40) == brute(rows)
+
+
+def test_repeated_query_rows(spark):
+    """Equal rows of one query are one query; unlike ones are ranked apart."""
+    others = [(i, [float(i), 1.0]) for i in range(1, 8)]
+    rows = [(0, [1.0, 0.0]), (0, [1.0, 0.0]), (50, [1.0, 0.0]), (50, [-1.0, 0.0]), *others]
+    got = ranked(spark, rows)
+    # The candidates of 0 are both rows of 50; those of 50 are both rows of 0.
+    assert sorted(g for g in got if g[0] == 0) == sorted(
+        (0, n + 1, i, i * 65536) for n, i in enumerate((7, 6, 5, 4, 3))
+    )
+    up = [(50, n + 1, i, i * 65536) for n, i in enumerate((7, 6, 5, 4, 3))]
+    down = [(50, n + 1, i, -max(i, 1) * 65536) for n, i in enumerate((0, 0, 1, 2, 3))]
+    assert sorted(g for g in got if g[0] == 50) == sorted(up + down)
+
+
+def test_products_beyond_exact_doubles(spark, monkeypatch):
+    """Large components: exact to 64 bits, an error beyond."""
+    monkeypatch.setattr(topk, "BLOCK_ROWS", 8)
+    wide = SCHEMA.replace("array<float>", "array<double>")
+    rng = random.Random(9)
+    rows = [(i, [float(rng.randrange(-(2**21), 2**21)) for _ in range(4)]) for i in range(200)]
+    rows += [(200 + i, [2.0**21 - j / 256 for j in range(i, i + 4)]) for i in range(40)]
+    got = set(ranked(spark, rows, wide, pivots=8))
+    assert got == brute(rows) and max(s for *_, s in got) > 2**53
+    with pytest.raises(Exception, match="too large"):
+        ranked(spark, [(0, [2.0**40]), (1, [2.0**40])], wide)
