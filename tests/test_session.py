@@ -53,3 +53,19 @@ def test_kept_tables_outlive_a_query_but_not_a_block(spark):
     with pytest.raises(Exception, match="PATH_NOT_FOUND"):
         spark.read.parquet(files[0])
     assert rows.count() == 3
+
+
+def test_tasks_are_bounded_unless_the_session_bounds_them(spark):
+    own = {"spark.sql.files.maxPartitionBytes": "4m"}
+    before = {n: spark.conf.getAll.get(n) for n in session.TASK_SETTINGS}
+    try:
+        for name in session.TASK_SETTINGS:
+            spark.conf.unset(name)
+        for name, value in own.items():
+            spark.conf.set(name, value)
+        session.configure(spark)
+        got = {name: spark.conf.get(name) for name in session.TASK_SETTINGS}
+        assert got == {**session.TASK_SETTINGS, **own}
+    finally:
+        for name, value in before.items():
+            spark.conf.unset(name) if value is None else spark.conf.set(name, value)
