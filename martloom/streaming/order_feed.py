@@ -52,8 +52,7 @@ def start_order_feed(
             else:
                 models = Models(changed, order_totals)
             numbers = latest.select("order_id", F.col(sequence).alias(SEQUENCE))
-            rows = described("orders", models.orders).join(numbers, "order_id")
-            rows = rows.select(*models.orders.columns, SEQUENCE)
+            rows = described("orders", models.orders_with(numbers))
             if table.exists():
                 table.merge(rows)
             else:

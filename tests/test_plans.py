@@ -193,3 +193,14 @@ def test_rankings_read_the_lines_once(spark, stored, frame):
         patch.setattr(ranking, "keep", counting)
         result = frame(Models(stored))
     assert sum(reads) + scanned(result) == 1
+
+
+def test_sequences_meet_orders_before_these_hold_text(spark, stored, no_broadcast):
+    """No shuffle by order carries names; the rows are those of the order history."""
+    numbers = spark.createDataFrame([(1, 7), (2, 8)], "order_id bigint, _sequence int")
+    models = Models(stored)
+    rows = models.orders_with(numbers)
+    assert records(rows) == [(*r, 7) for r in records(models.orders)]
+    plan = rows._jdf.queryExecution().executedPlan().toString()
+    for shuffle in re.findall(r"(?s)Exchange hashpartitioning\(order_id#.*?(?=Exchange|\Z)", plan):
+        assert "full_name" not in shuffle and "store_name" not in shuffle

@@ -6,6 +6,7 @@ import pytest
 from conftest import day, order, records
 from pyspark.sql import functions as F
 
+from martloom.operators import tables
 from martloom.operators.tables import DuplicateKeyError, MonthlyTable, SnapshotTable
 from martloom.plans.models import Models
 from martloom.plans.pipeline import refresh_orders
@@ -235,3 +236,28 @@ def test_full_refresh_refuses_a_key_twice(spark, tmp_path):
     with pytest.raises(DuplicateKeyError):
         table.replace(spark.createDataFrame([row, row], schema))
     assert table.read().count() == 1
+
+
+def test_a_batch_is_written_again_only_if_some_of_it_is_old(spark, tmp_path, monkeypatch):
+    kept = []
+
+    def noted(df, name="kept", keep=tables.keep):
+        kept.append(name)
+        return keep(df, name)
+
+    def numbered(*some):
+        return spark.createDataFrame(
+            [(i, day("2020-01-01"), s) for i, s in some],
+            "order_id bigint, order_date date, _sequence int",
+        )
+
+    table = MonthlyTable(spark, str(tmp_path / "t"), cluster_by=())
+    table.replace(numbered((1, 5), (2, 5), (3, None)))
+    monkeypatch.setattr(tables, "keep", noted)
+    table.merge(numbered((1, 6), (2, 5), (3, 1), (4, None)))
+    assert "newer" not in kept
+    table.merge(numbered((1, 5), (2, 7), (None, 9)))
+    assert "newer" in kept
+    state = table._state(table._version())
+    got = table._read_months(state, state["months"])
+    assert records(got, "order_id", "_sequence") == [(1, 6), (2, 7), (3, 1), (4, None), (None, 9)]
