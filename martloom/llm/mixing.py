@@ -74,31 +74,42 @@ def _same(frame: DataFrame, *names: str) -> tuple[DataFrame, Column]:
     return renamed, reduce(Column.__and__, same)
 
 
+def _swept(
+    cells: DataFrame, wanted: dict[str, DataFrame], column: str, sweeps: int, cut: bool
+) -> DataFrame:
+    """``cells`` with ``fitted``, scaled in turn to what the values of each dimension are to have.
+
+    What is wanted is joined to the cells once, and every step is written, so that a step
+    is one sum and one join: its plan, and what the driver holds for it, has nothing of the
+    steps before. The cells stay distributed. ``cut`` cuts them to their tokens after a sweep.
+    """
+    tokens = F.col("tokens").cast("double")
+    fitted, names = cells.withColumn("fitted", tokens), list(wanted)
+    for i, name in enumerate(names):
+        share = wanted[name].select(name, F.col(column).alias(f"__wanted{i}"))
+        fitted = fitted.join(*_same(share, name), "left").drop("__same")
+    fitted = keep(fitted, "cells")
+    for sweep in range(sweeps):
+        for i, name in enumerate(names):
+            now = fitted.groupBy(name).agg(F.sum("fitted").alias("__now"))
+            factor = F.when(F.col("__now") > 0, F.col(f"__wanted{i}") / F.col("__now"))
+            scaled = F.col("fitted") * F.coalesce(factor, F.lit(0.0))
+            if cut and name == names[-1]:
+                scaled = F.least(scaled, tokens)
+            step = fitted.join(*_same(now, name)).withColumn("fitted", scaled)
+            fitted = keep(step.drop("__now", "__same"), f"sweep{sweep}")
+    return fitted.drop(*[f"__wanted{i}" for i in range(len(names))])
+
+
 def rake(
     cells: DataFrame, targets: dict[str, DataFrame], sweeps: int = SWEEPS
 ) -> DataFrame:
     """``cells`` (dimensions and ``tokens``) with ``fitted``, shares that add up to 1.
 
     ``targets`` has for every dimension a frame of value and ``share``. A value without
-    a target gets none of the weight. Values of cells are few next to rows, but the
-    cells stay distributed: a sweep is a sum and a join per dimension, and is written
-    once, so that the plan stays short.
+    a target gets none of the weight.
     """
-    fitted = keep(cells.withColumn("fitted", F.col("tokens").cast("double")), "cells")
-    for sweep in range(sweeps):
-        for name, target in targets.items():
-            factors = (
-                fitted.groupBy(name)
-                .agg(F.sum("fitted").alias("now"))
-                .join(*_same(target, name))
-                .where("now > 0")
-                .select(name, (F.col("share") / F.col("now")).alias("factor"))
-            )
-            fitted = fitted.join(*_same(factors, name), "left").withColumn(
-                "fitted", F.col("fitted") * F.coalesce("factor", F.lit(0.0))
-            ).drop("factor", "__same")
-        fitted = keep(fitted, f"sweep{sweep}")
-    return fitted
+    return _swept(cells, targets, "share", sweeps, cut=False)
 
 
 def capped_needs(
@@ -138,22 +149,7 @@ def rake_within(
     without a target get nothing.
     """
     needs = {n: keep(capped_needs(cells, n, t, total), "needs") for n, t in targets.items()}
-    tokens = F.col("tokens").cast("double")
-    fitted = keep(cells.withColumn("fitted", tokens), "cells")
-    for sweep in range(sweeps):
-        for name, need in needs.items():
-            factors = (
-                fitted.groupBy(name)
-                .agg(F.sum("fitted").alias("now"))
-                .join(*_same(need, name))
-                .where("now > 0")
-                .select(name, (F.col("need") / F.col("now")).alias("factor"))
-            )
-            fitted = fitted.join(*_same(factors, name), "left").withColumn(
-                "fitted", F.col("fitted") * F.coalesce("factor", F.lit(0.0))
-            ).drop("factor", "__same")
-        fitted = keep(fitted.withColumn("fitted", F.least("fitted", tokens)), f"sweep{sweep}")
-    return fitted
+    return _swept(cells, needs, "need", sweeps, cut=True)
 
 
 def draw(column: str, seed: str) -> Column:

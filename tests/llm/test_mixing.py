@@ -150,3 +150,27 @@ def test_missing_values_of_a_dimension(make_docs):
         got = rows_of(mixing.mix(docs, dims, powers=powers, size=size))
         assert len(got) == docs.count()
         assert {r["probability"] > 0 for r in got if r["mix_lang"] is None and r["n_tokens"]} == {True}
+
+
+def test_a_step_holds_nothing_of_the_steps_before(spark, monkeypatch):
+    """One sum and one join in each plan, however many dimensions and sweeps there are."""
+    plans, written = [], mixing.keep
+
+    def noted(df, name="kept"):
+        if name.startswith("sweep"):
+            plans.append(df._jdf.queryExecution().optimizedPlan().toString())
+        return written(df, name)
+
+    monkeypatch.setattr(mixing, "keep", noted)
+    cells = spark.createDataFrame(
+        [("a", "x", 30), ("a", "y", 10), ("b", "x", 5), (None, "y", 5)], "s string, l string, tokens long"
+    )
+    targets = {
+        n: spark.createDataFrame(rows, f"{n} string, share double")
+        for n, rows in {"s": [("a", 0.5), ("b", 0.5)], "l": [("x", 0.3), ("y", 0.7)]}.items()
+    }
+    for fitted in (mixing.rake(cells, targets, 2), mixing.rake_within(cells, targets, 10.0, 2)):
+        assert fitted.columns == ["s", "l", "tokens", "fitted"]
+        assert {r["s"]: r["fitted"] for r in fitted.where("s IS NULL").collect()} == {None: 0.0}
+    assert len(plans) == 8
+    assert all(p.count("Join ") == 1 and p.count("Aggregate ") == 1 for p in plans)
