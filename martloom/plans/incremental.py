@@ -119,7 +119,7 @@ class KeptMarts:
         month = year_month(F.col("order_month"))
         bucket = F.pmod(F.xxhash64("customer_id"), F.lit(CUSTOMER_PARTS))
         root = base.rstrip("/")
-        self.facts = MonthlyTable(spark, f"{root}/facts", cluster_by=("customer_id",))
+        self.facts = MonthlyTable(spark, f"{root}/facts", ranged=False)
         self.stores = GroupTable(spark, f"{root}/stores", ("store_id", "order_month"), month)
         self.categories = GroupTable(
             spark, f"{root}/categories", ("category_id", "order_month"), month
@@ -162,7 +162,7 @@ class KeptMarts:
             batch = keep(models.for_order_ids(ids).order_facts_by_category, "facts")
             removed = ids.join(batch, "order_id", "left_anti")
             changes = keep(self.facts.signed_changes(batch, removed), "signed")
-            self.facts.merge(batch, removed)
+            self.facts.merge(batch, removed, stored=True)
             self.stores.add(store_differences(changes))
             self.categories.add(category_differences(changes))
             touched = keep(
@@ -185,7 +185,8 @@ class KeptMarts:
         signed = keep(
             old.withColumn("sign", F.lit(-1)).unionByName(new.withColumn("sign", F.lit(1))), "held"
         )
-        self.order_products.put(signed.select(*self.order_products.keys).distinct(), new)
+        # Orders are replaced as a whole.
+        self.order_products.put(before.unionAll(new.select(*before.columns)).distinct(), new)
         named = signed.select("product_id").distinct()
         values = [_shown("cents").alias("value")]
         left = keep(self.products.read_groups(named).select(*values, F.lit(-1).alias("n")), "left")

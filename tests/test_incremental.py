@@ -117,3 +117,65 @@ def test_groups_are_replaced(spark, groups):
     keys = spark.createDataFrame([(1,), (None,), (8,)], "k int")
     groups.put(keys, rows(spark, (None, 3, 3)))
     assert records(groups.read()) == [(2, 7, 1), (None, 3, 3)]
+
+
+def test_rows_are_computed_once_when_written(spark, tmp_path):
+    """Neither groups nor facts that lie by month are sampled before they are dealt out."""
+    seen = spark.sparkContext.accumulator(0)
+
+    def counted(n):
+        seen.add(1)
+        return n
+
+    data = spark.range(0, 40, 1, 4).select(F.udf(counted, "long")("id").alias("k"), F.lit(1).alias("n"))
+    table = GroupTable(spark, str(tmp_path / "once"), ("k",), F.col("k") % 5)
+    table.replace(data)
+    assert seen.value == 40
+    assert records(table.read()) == [(i, 1) for i in sorted(range(40), key=lambda i: repr((i, 1)))]
+    dated = data.withColumn("order_date", F.date_add(F.lit("2020-01-01").cast("date"), F.col("n") * 40))
+    facts = KeptMarts(spark, str(tmp_path / "marts"), ranked=False).facts
+    facts.replace(dated.withColumnRenamed("k", "order_id"))
+    assert facts.read().count() == 40
+    # Spark computes a column once for each of its uses; the rows come by once.
+    assert seen.value == 80
+
+
+def test_groups_are_replaced_by_some_of_their_keys(spark, tmp_path):
+    table = GroupTable(spark, str(tmp_path / "some"), ("k", "p"), F.col("k") % 2)
+    kinds = "k int, p int, n bigint"
+    table.replace(spark.createDataFrame([(1, 1, 5), (1, None, 6), (2, 1, 7), (3, 1, 8), (None, 1, 9)], kinds))
+    keys = spark.createDataFrame([(1,), (None,)], "k int")
+    table.put(keys, spark.createDataFrame([(1, 4, 1)], kinds))
+    assert records(table.read()) == [(1, 4, 1), (2, 1, 7), (3, 1, 8)]
+
+
+def test_order_facts_move_the_lines_by_order_once(spark, make_sources):
+    lines = [(1, 1, 10, 1, 5.0, 0.0), (1, 2, 10, 1, 5.0, 0.0), (1, 3, 11, 2, 1.0, 0.0), (1, 4, None, 1, 2.0, 0.0),
+             (2, 1, 10, 1, 3.0, 0.0), (8, 1, 10, 1, 3.0, 0.0)]
+    # Product 10 is listed twice, which must not double an order's revenue.
+    products = [(10, 1, 1, "A", 2016, 1.0), (10, 1, 3, "A", 2016, 1.0), (11, 1, 2, "B", 2016, 1.0)]
+    orders = [order(1), order(2, status=1), order(3), (None, *order(4)[1:]), (None, *order(4)[1:])]
+    models = Models(make_sources(orders=orders, order_items=lines, products=products))
+    names = ["spark.sql.autoBroadcastJoinThreshold", "spark.sql.adaptive.autoBroadcastJoinThreshold"]
+    try:
+        for name in names:
+            spark.conf.set(name, "-1")
+        facts = models.order_facts_by_category
+        plan = facts._jdf.queryExecution().executedPlan().toString()
+        got = {
+            (r["order_id"], r["revenue_cents"], tuple(sorted((c["category_id"] or 0, int(c["cents"]), c["units"])
+            for c in r["categories"] or [])))
+            for r in facts.collect()
+        }
+    finally:
+        for name in names:
+            spark.conf.unset(name)
+    assert got == {
+        (1, 1400, ((0, 200, 1), (1, 1000, 2), (2, 200, 2), (3, 1000, 2))),
+        (2, None, ((1, 300, 1), (3, 300, 1))),
+        (3, None, ()),
+        (None, None, ()),
+    }
+    assert facts.count() == 5
+    # Lines by product and by order, known orders, orders and products: nothing else moves.
+    assert plan.count("Exchange hashpartitioning") == 5
