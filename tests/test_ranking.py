@@ -5,6 +5,8 @@ from conftest import records
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from martloom import session
+from martloom.operators import ranking
 from martloom.operators.ranking import (
     top_ranked,
     value_ranks,
@@ -89,3 +91,27 @@ def test_top_values_run_no_job_and_write_nothing(spark, values, monkeypatch):
 
     monkeypatch.setattr(ranking, "keep", None)
     assert top_ranked(values, "v", "rank", 3).count() > 0
+
+
+def test_the_lines_behind_a_ranking_start_from_many_partitions(spark, monkeypatch):
+    """So that a task does not grow with them; the session is as before afterwards."""
+    seen, written = [], ranking.keep
+
+    def noted(df, name="kept"):
+        if name in ("ranked", "sales"):
+            seen.append(spark.conf.get(session.INITIAL, None))
+        return written(df, name)
+
+    monkeypatch.setattr(ranking, "keep", noted)
+    sales = spark.createDataFrame([(1, 2.0), (2, 5.0)], "product_id int, total_revenue double")
+    assert records(ranking.best_by_revenue(sales, 1)) == [(2, 5.0, 1)]
+    assert ranking.with_dense_rank(sales, "total_revenue", "r").count() == 2
+    assert seen == [str(session.FINE)] * 2
+    assert spark.conf.get(session.INITIAL, None) is None
+    spark.conf.set(session.INITIAL, 7)
+    try:
+        ranking.best_by_revenue(sales, 1)
+        assert spark.conf.get(session.INITIAL) == "7"
+    finally:
+        spark.conf.unset(session.INITIAL)
+    assert seen[2:] == ["7"]
