@@ -1,6 +1,7 @@
 import math
 import random
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
@@ -96,3 +97,47 @@ def test_products_beyond_exact_doubles(spark, monkeypatch):
     assert got == brute(rows) and max(s for *_, s in got) > 2**53
     with pytest.raises(Exception, match="too large"):
         ranked(spark, [(0, [2.0**40]), (1, [2.0**40])], wide)
+
+
+def clustered(count, dim, seed=7):
+    """Vectors near four centres, of which a third is one and the same."""
+    rng = random.Random(seed)
+    centres = [[rng.gauss(0, 1) for _ in range(dim)] for _ in range(4)]
+    rows = [(i, [round((c + rng.gauss(0, 0.1)) * 64) / 64 for c in centres[i % 4]]) for i in range(count)]
+    return [(i, [0.5] * dim if i % 3 == 0 else v) for i, v in rows]
+
+
+def test_regions_and_lots_of_any_size(spark, monkeypatch):
+    """Many regions with several lots each, some of them of two dimensions, and large components."""
+    sizes = {"BLOCK_ROWS": 4, "REGION_BYTES": 700, "LOT_QUERIES": 2, "QUERY_ROWS": 2, "BOUNDS_AT_ONCE": 3}
+    for name, size in sizes.items():
+        monkeypatch.setattr(topk, name, size)
+    rows = clustered(400, 5) + [(i + 400, v) for i, v in clustered(200, 3)]
+    rows += [(700 + i, [1000.0 + i, -400.0, 1.0]) for i in range(60)]
+    assert run(spark, rows, pivots=8) == brute(rows)
+
+
+def test_nothing_that_grows_is_broadcast(spark):
+    """Queries and blocks meet in tasks, whatever Spark takes their size to be."""
+    frame = spark.createDataFrame([(*r, "x", 1, 0.5) for r in clustered(300, 6)], SCHEMA)
+    vectors = frame.withColumn("vector", topk.quantised())
+    found = topk.search(vectors, F.col("vec_id") % 50 == 0)
+    assert "Broadcast" not in found._jdf.queryExecution().executedPlan().toString()
+    assert found.count() == 30
+
+
+def test_best_of_blocks_equal_the_best_of_all():
+    rng = np.random.default_rng(11)
+    asked, k = np.arange(40), 3
+    ids = rng.permutation(np.r_[0:300, 0:20])
+    scores = rng.integers(-3, 3, (40, len(ids)))
+    scores[:5] = 1
+    best = topk._Best(asked, np.full(40, -np.inf), k)
+    for some in np.array_split(np.arange(len(ids)), 9):
+        some = some[np.argsort(ids[some], kind="stable")]
+        for rows in (asked[::2], asked[1::2]):
+            best.add(rows, ids[some], scores[np.ix_(rows, some)])
+    for q in asked:
+        want = sorted((-s, i) for s, i in zip(scores[q], ids) if i != q)[:k]
+        mine = best.rows == q
+        assert list(zip(-best.scores[mine], best.ids[mine])) == want
